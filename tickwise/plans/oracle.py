@@ -153,3 +153,130 @@ ORACLE: dict[str, str] = {
     "mart_risk": with_(*RISK_CHAIN) + "SELECT * FROM mart_risk",
     "mart_macro_correlation": with_(*CORRELATION_CHAIN) + "SELECT * FROM mart_macro_correlation",
 }
+
+# -- normalisation -------------------------------------------------------------
+
+NUM_RE = r"(?i)[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)"
+ISO_RE = r"\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?"
+
+
+def STRIP(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def NUM(x: str) -> str:
+    s = STRIP(f"CAST({x} AS VARCHAR)")
+    return f"(CASE WHEN regexp_full_match({s}, '{NUM_RE}') THEN TRY_CAST({s} AS DOUBLE) END)"
+
+
+def DATE_(x: str) -> str:
+    s = STRIP(x)
+    return (f"(CASE WHEN regexp_full_match({s}, '{ISO_RE}') THEN "
+            f"CAST(TRY_CAST(regexp_replace({s}, 'Z$', '') AS TIMESTAMP) AS DATE) END)")
+
+
+def FIN(x: str) -> str:
+    return f"coalesce(isfinite({x}), false)"
+
+
+DIRTY_STOCK = """dirty_stock AS (
+  SELECT event_id AS _input_order,
+    CASE WHEN event_id % 11 = 0 THEN 'bad ticker!'
+         WHEN event_id % 7 = 0 THEN ' u' || CAST(user_id AS VARCHAR) || ' '
+         ELSE 'U' || CAST(user_id AS VARCHAR) END AS ticker,
+    CASE WHEN event_id % 13 = 0 THEN 'not-a-date' ELSE strftime(ts, '%Y-%m-%d') END AS trade_date,
+    CAST(value AS VARCHAR) AS open_price,
+    CASE WHEN event_id % 23 = 0 THEN '0.001' ELSE CAST(value + 1 AS VARCHAR) END AS high_price,
+    CASE WHEN event_id % 29 = 0 THEN 'inf' WHEN event_id % 37 = 0 THEN '1.0d'
+         ELSE CAST(value / 2 AS VARCHAR) END AS low_price,
+    CAST(value AS VARCHAR) AS close_price,
+    CASE WHEN event_id % 17 = 0 THEN '0' WHEN event_id % 19 = 0 THEN '1.5'
+         WHEN event_id % 31 = 0 THEN NULL ELSE CAST(user_id + 1 AS VARCHAR) END AS volume
+  FROM events)"""
+
+STOCK_NORMALIZED = f"""stock_parsed AS (
+  SELECT _input_order, upper({STRIP('ticker')}) AS ticker, {DATE_('trade_date')} AS trade_date,
+         {NUM('open_price')} AS open_price, {NUM('high_price')} AS high_price,
+         {NUM('low_price')} AS low_price, {NUM('close_price')} AS close_price,
+         {NUM('volume')} AS volume
+  FROM dirty_stock),
+stock_tagged AS (
+  SELECT *, CASE
+    WHEN NOT coalesce(regexp_full_match(ticker, '[A-Z][A-Z0-9.-]{{0,9}}'), false) THEN 'invalid_ticker'
+    WHEN trade_date IS NULL THEN 'invalid_trade_date'
+    WHEN NOT ({FIN('open_price')} AND {FIN('high_price')} AND {FIN('low_price')} AND {FIN('close_price')}
+              AND open_price > 0 AND high_price > 0 AND low_price > 0 AND close_price > 0) THEN 'invalid_ohlc'
+    WHEN high_price < low_price OR high_price < open_price OR high_price < close_price
+         OR low_price > open_price OR low_price > close_price THEN 'inconsistent_ohlc'
+    WHEN NOT {FIN('volume')} OR volume <= 0 OR volume % 1 <> 0 THEN 'invalid_volume'
+  END AS reason
+  FROM stock_parsed),
+stock_final AS (
+  SELECT *, COALESCE(reason, CASE WHEN ROW_NUMBER() OVER (
+              PARTITION BY reason IS NULL, ticker, trade_date ORDER BY _input_order DESC) > 1
+            THEN 'duplicate_key' END) AS final_reason
+  FROM stock_tagged)"""
+
+DIRTY_MACRO = """dirty_macro AS (
+  SELECT event_id AS _input_order,
+    CASE WHEN event_id % 23 = 0 THEN 'bad id!' ELSE event_type END AS series_id,
+    CASE WHEN event_id % 29 = 0 THEN '  ' ELSE event_type END AS indicator_name,
+    CASE WHEN event_id % 7 = 0 THEN 'bad' ELSE strftime(ts, '%Y-%m-%d') END AS indicator_date,
+    CASE WHEN event_id % 11 = 0 THEN '.' WHEN event_id % 13 = 0 THEN 'bad'
+         WHEN event_id % 17 = 0 THEN 'inf' WHEN event_id % 19 = 0 THEN NULL
+         ELSE CAST(value AS VARCHAR) END AS value
+  FROM events)"""
+
+MACRO_NORMALIZED = f"""macro_parsed AS (
+  SELECT _input_order, upper({STRIP('series_id')}) AS series_id,
+         {STRIP('indicator_name')} AS indicator_name,
+         {DATE_('indicator_date')} AS indicator_date,
+         {NUM("CASE WHEN value <> '.' THEN value END")} AS value
+  FROM dirty_macro),
+macro_tagged AS (
+  SELECT *, CASE
+    WHEN NOT coalesce(regexp_full_match(series_id, '[A-Z0-9_.-]{{1,64}}'), false) THEN 'invalid_series_id'
+    WHEN NOT coalesce(length(indicator_name) BETWEEN 1 AND 128, false) THEN 'invalid_indicator_name'
+    WHEN indicator_date IS NULL THEN 'invalid_indicator_date'
+    WHEN NOT {FIN('value')} THEN 'invalid_value'
+  END AS reason
+  FROM macro_parsed),
+macro_final AS (
+  SELECT *, COALESCE(reason, CASE WHEN ROW_NUMBER() OVER (
+              PARTITION BY reason IS NULL, series_id, indicator_date ORDER BY _input_order DESC) > 1
+            THEN 'duplicate_key' END) AS final_reason
+  FROM macro_tagged)"""
+
+STOCK_REASONS = ("invalid_ticker", "invalid_trade_date", "invalid_ohlc", "inconsistent_ohlc",
+                 "invalid_volume", "duplicate_key")
+MACRO_REASONS = ("invalid_series_id", "invalid_indicator_name", "invalid_indicator_date",
+                 "invalid_value", "duplicate_key")
+
+
+def _metrics_sql(final: str, reasons) -> str:
+    per = ",\n  ".join(f"count_if(final_reason = '{r}') AS dropped_{r}" for r in reasons)
+    return (f"SELECT count(*) AS rows_fetched, count_if(final_reason IS NULL) AS rows_valid,\n"
+            f"  count_if(final_reason IS NOT NULL) AS rows_dropped,\n  {per}\nFROM {final}")
+
+
+ORACLE.update({
+    "normalize_stock_rows": with_(DIRTY_STOCK, STOCK_NORMALIZED) + """
+SELECT _input_order, ticker, trade_date, round_even(open_price, 4) AS open_price,
+       round_even(high_price, 4) AS high_price, round_even(low_price, 4) AS low_price,
+       round_even(close_price, 4) AS close_price, CAST(volume AS BIGINT) AS volume
+FROM stock_final WHERE final_reason IS NULL""",
+    "rejected_stock_rows": with_(DIRTY_STOCK, STOCK_NORMALIZED)
+    + "SELECT _input_order, final_reason AS reason FROM stock_final WHERE final_reason IS NOT NULL",
+    "stock_normalization_metrics": with_(DIRTY_STOCK, STOCK_NORMALIZED)
+    + _metrics_sql("stock_final", STOCK_REASONS),
+    "stock_reason_counts": with_(DIRTY_STOCK, STOCK_NORMALIZED)
+    + "SELECT final_reason AS reason, count(*) AS rows FROM stock_final "
+      "WHERE final_reason IS NOT NULL GROUP BY final_reason",
+    "normalize_macro_rows": with_(DIRTY_MACRO, MACRO_NORMALIZED) + """
+SELECT _input_order, series_id, indicator_name, indicator_date, round_even(value, 6) AS value
+FROM macro_final WHERE final_reason IS NULL""",
+    "rejected_macro_rows": with_(DIRTY_MACRO, MACRO_NORMALIZED)
+    + "SELECT _input_order, final_reason AS reason FROM macro_final WHERE final_reason IS NOT NULL",
+    "macro_normalization_metrics": with_(DIRTY_MACRO, MACRO_NORMALIZED)
+    + _metrics_sql("macro_final", MACRO_REASONS),
+})

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwise.operators import normalize as N
 from tickwise.operators.staging import stg_macro_indicators, stg_stock_prices
 from tickwise.plans import marts
 from tickwise.plans.oracle import AS_OF
@@ -44,3 +45,24 @@ QUERIES: dict[str, Query] = {
     "mart_macro_correlation": lambda spark, sf: marts.mart_macro_correlation(
         _portfolio(spark, sf), _stg_macro(spark, sf), updated_at=as_of()),
 }
+
+
+def _stock_norm(spark, sf):
+    return N.stock_normalization(fixtures.dirty_stock_batch(spark, sf))
+
+
+def _macro_norm(spark, sf):
+    return N.macro_normalization(fixtures.dirty_macro_batch(spark, sf))
+
+
+QUERIES.update({
+    "normalize_stock_rows": lambda spark, sf: _stock_norm(spark, sf)[0],
+    "rejected_stock_rows": lambda spark, sf: _stock_norm(spark, sf)[1].select("_input_order", "reason"),
+    "stock_normalization_metrics": lambda spark, sf: N.normalization_metrics(
+        *_stock_norm(spark, sf), N.STOCK_REASONS),
+    "stock_reason_counts": lambda spark, sf: N.reason_counts(_stock_norm(spark, sf)[1]),
+    "normalize_macro_rows": lambda spark, sf: _macro_norm(spark, sf)[0],
+    "rejected_macro_rows": lambda spark, sf: _macro_norm(spark, sf)[1].select("_input_order", "reason"),
+    "macro_normalization_metrics": lambda spark, sf: N.normalization_metrics(
+        *_macro_norm(spark, sf), N.MACRO_REASONS),
+})

@@ -69,3 +69,49 @@ def raw_macro_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 97 != 0, F.col("o_totalprice")).alias("value"),
         _plus_seconds(F.col("o_orderdate"), F.col("o_orderkey")).alias("loaded_at"),
     )
+
+
+def _text(c: Column) -> Column:
+    return c.cast("string")
+
+
+def dirty_stock_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed stock batch with planted faults, one row per event (all text columns).
+
+    Faults are planted by event id so every class of reject occurs; the first
+    matching case of each column wins.  ``_input_order`` is the event id.
+    """
+    ev = read_table(spark, sf_dir, "events")
+    i, uid, val = F.col("event_id"), F.col("user_id"), F.col("value")
+    return ev.select(
+        i.alias("_input_order"),
+        F.when(i % 11 == 0, F.lit("bad ticker!"))
+        .when(i % 7 == 0, F.concat(F.lit(" u"), _text(uid), F.lit(" ")))
+        .otherwise(F.concat(F.lit("U"), _text(uid))).alias("ticker"),
+        F.when(i % 13 == 0, F.lit("not-a-date"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("trade_date"),
+        _text(val).alias("open_price"),
+        F.when(i % 23 == 0, F.lit("0.001")).otherwise(_text(val + 1)).alias("high_price"),
+        F.when(i % 29 == 0, F.lit("inf")).when(i % 37 == 0, F.lit("1.0d"))
+        .otherwise(_text(val / 2)).alias("low_price"),
+        _text(val).alias("close_price"),
+        F.when(i % 17 == 0, F.lit("0")).when(i % 19 == 0, F.lit("1.5"))
+        .when(i % 31 == 0, F.lit(None).cast("string"))
+        .otherwise(_text(uid + 1)).alias("volume"),
+    )
+
+
+def dirty_macro_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landed macro batch with planted faults, one row per event (all text columns)."""
+    ev = read_table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    return ev.select(
+        i.alias("_input_order"),
+        F.when(i % 23 == 0, F.lit("bad id!")).otherwise(F.col("event_type")).alias("series_id"),
+        F.when(i % 29 == 0, F.lit("  ")).otherwise(F.col("event_type")).alias("indicator_name"),
+        F.when(i % 7 == 0, F.lit("bad"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("indicator_date"),
+        F.when(i % 11 == 0, F.lit(".")).when(i % 13 == 0, F.lit("bad"))
+        .when(i % 17 == 0, F.lit("inf")).when(i % 19 == 0, F.lit(None).cast("string"))
+        .otherwise(_text(F.col("value"))).alias("value"),
+    )
