@@ -19,7 +19,17 @@ STOCK_COLUMNS = ("ticker", "trade_date", "open_price", "high_price", "low_price"
 MACRO_COLUMNS = ("indicator_name", "indicator_date", "value", "loaded_at")
 
 
-def _latest_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+# Total order that picks the surviving version of a key (latest load first).
+STOCK_ORDER = [
+    F.col("loaded_at").desc_nulls_last(), F.col("close_price").desc_nulls_last(),
+    F.col("open_price").desc_nulls_last(), F.col("high_price").desc_nulls_last(),
+    F.col("low_price").desc_nulls_last(), F.col("volume").desc_nulls_last(),
+]
+MACRO_ORDER = [F.col("loaded_at").desc_nulls_last(), F.col("value").desc_nulls_last()]
+
+
+def latest_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """Keep the first row per key under ``order`` (row_number = 1)."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
@@ -33,11 +43,7 @@ def stg_stock_prices(raw: DataFrame) -> DataFrame:
     """
     src = raw.select(*STOCK_COLUMNS).where(
         F.col("close_price").isNotNull() & (F.col("volume") > 0))
-    latest = _latest_per_key(src, ["ticker", "trade_date"], [
-        F.col("loaded_at").desc_nulls_last(), F.col("close_price").desc_nulls_last(),
-        F.col("open_price").desc_nulls_last(), F.col("high_price").desc_nulls_last(),
-        F.col("low_price").desc_nulls_last(), F.col("volume").desc_nulls_last(),
-    ])
+    latest = latest_per_key(src, ["ticker", "trade_date"], STOCK_ORDER)
     return latest.select(
         F.upper("ticker").alias("ticker"),
         F.col("trade_date").cast("date").alias("trade_date"),
@@ -53,9 +59,7 @@ def stg_stock_prices(raw: DataFrame) -> DataFrame:
 def stg_macro_indicators(raw: DataFrame) -> DataFrame:
     """T2. ``value IS NOT NULL``, latest ``loaded_at`` per (indicator_name, indicator_date)."""
     src = raw.select(*MACRO_COLUMNS).where(F.col("value").isNotNull())
-    latest = _latest_per_key(src, ["indicator_name", "indicator_date"], [
-        F.col("loaded_at").desc_nulls_last(), F.col("value").desc_nulls_last(),
-    ])
+    latest = latest_per_key(src, ["indicator_name", "indicator_date"], MACRO_ORDER)
     return latest.select(
         F.upper("indicator_name").alias("indicator_name"),
         F.col("indicator_date").cast("date").alias("indicator_date"),

@@ -280,3 +280,84 @@ FROM macro_final WHERE final_reason IS NULL""",
     "macro_normalization_metrics": with_(DIRTY_MACRO, MACRO_NORMALIZED)
     + _metrics_sql("macro_final", MACRO_REASONS),
 })
+
+# -- payloads ------------------------------------------------------------------
+
+STOCK_BARS = """stock_bars AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (
+      PARTITION BY ticker, trade_date
+      ORDER BY loaded_at DESC NULLS LAST, close_price DESC NULLS LAST, open_price DESC NULLS LAST,
+               high_price DESC NULLS LAST, low_price DESC NULLS LAST, volume DESC NULLS LAST) AS rn
+    FROM raw_stock_prices) b WHERE rn = 1),
+stock_groups AS (
+  SELECT *, ticker || ':' || strftime(trade_date, '%Y-%m') AS payload_id,
+    (CAST(substr(ticker, 2) AS INTEGER) + year(trade_date) * 12 + month(trade_date)) % 37 AS code,
+    ROW_NUMBER() OVER (PARTITION BY ticker, strftime(trade_date, '%Y-%m')
+                       ORDER BY trade_date DESC) - 1 AS pos
+  FROM stock_bars)"""
+
+MACRO_POINTS = """macro_points AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (
+      PARTITION BY indicator_name, indicator_date
+      ORDER BY loaded_at DESC NULLS LAST, value DESC NULLS LAST) AS rn
+    FROM raw_macro_indicators) p WHERE rn = 1),
+series_dim AS (
+  SELECT * FROM (VALUES ('FEDFUNDS', 'Federal Funds Rate'), ('CPIAUCSL', 'Consumer Price Index'),
+                        ('GDP', 'Gross Domestic Product'), ('UNRATE', 'Unemployment Rate'),
+                        ('DGS10', '10 Year Treasury Rate')) t(series_id, indicator_name)),
+macro_groups AS (
+  SELECT p.*, d.series_id, d.series_id || ':' || CAST(year(indicator_date) AS VARCHAR) AS payload_id,
+    (year(indicator_date) + length(d.series_id)) % 13 AS code,
+    ROW_NUMBER() OVER (PARTITION BY d.series_id, year(indicator_date)
+                       ORDER BY indicator_date DESC) - 1 AS pos
+  FROM macro_points p JOIN series_dim d ON p.indicator_name = d.indicator_name)"""
+
+STOCK_PAYLOAD_CHAIN = (RAW_STOCK, STOCK_BARS)
+MACRO_PAYLOAD_CHAIN = (RAW_MACRO, MACRO_POINTS)
+
+
+def DEC(x: str, s: int) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(18,{s})) AS VARCHAR)"
+
+
+ORACLE.update({
+    "classify_stock_payloads": with_(*STOCK_PAYLOAD_CHAIN) + """
+SELECT DISTINCT payload_id, ticker, CASE
+    WHEN code IN (1, 2) THEN 'API_RATE_LIMITED'
+    WHEN code IN (3, 4, 5, 6) THEN 'API_DATA_UNAVAILABLE'
+    WHEN code IN (7, 8, 9) THEN 'API_RESPONSE_INVALID' END AS error_code
+FROM stock_groups""",
+    "parse_stock_payloads": with_(*STOCK_PAYLOAD_CHAIN) + f"""
+SELECT payload_id, ticker, pos AS _input_order, strftime(trade_date, '%Y-%m-%d') AS trade_date,
+       {DEC('open_price', 4)} AS open_price, {DEC('high_price', 4)} AS high_price,
+       {DEC('low_price', 4)} AS low_price, {DEC('close_price', 4)} AS close_price,
+       CAST(volume AS VARCHAR) AS volume
+FROM stock_groups WHERE code NOT BETWEEN 1 AND 9""",
+    "ingest_stock_payloads": with_(*STOCK_PAYLOAD_CHAIN) + """
+SELECT payload_id, pos AS _input_order, ticker, trade_date,
+       round_even(CAST(CAST(open_price AS DECIMAL(18,4)) AS DOUBLE), 4) AS open_price,
+       round_even(CAST(CAST(high_price AS DECIMAL(18,4)) AS DOUBLE), 4) AS high_price,
+       round_even(CAST(CAST(low_price AS DECIMAL(18,4)) AS DOUBLE), 4) AS low_price,
+       round_even(CAST(CAST(close_price AS DECIMAL(18,4)) AS DOUBLE), 4) AS close_price,
+       volume
+FROM stock_groups
+WHERE code NOT BETWEEN 1 AND 9 AND close_price IS NOT NULL AND volume > 0""",
+    "classify_macro_payloads": with_(*MACRO_PAYLOAD_CHAIN) + """
+SELECT DISTINCT payload_id, series_id, indicator_name, CASE
+    WHEN code IN (1, 2, 3, 4, 5) THEN 'API_DATA_UNAVAILABLE'
+    WHEN code IN (6, 7, 8) THEN 'API_RESPONSE_INVALID' END AS error_code
+FROM macro_groups""",
+    "parse_macro_payloads": with_(*MACRO_PAYLOAD_CHAIN) + f"""
+SELECT payload_id, series_id, indicator_name, pos AS _input_order,
+       strftime(indicator_date, '%Y-%m-%d') AS indicator_date,
+       coalesce({DEC('value', 2)}, '.') AS value
+FROM macro_groups WHERE code NOT BETWEEN 1 AND 8""",
+    "ingest_macro_payloads": with_(*MACRO_PAYLOAD_CHAIN) + """
+SELECT payload_id, pos AS _input_order, series_id, indicator_name, indicator_date,
+       round_even(CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE), 6) AS value
+FROM macro_groups WHERE code NOT BETWEEN 1 AND 8 AND value IS NOT NULL""",
+    "latest_observations": with_(*MACRO_CHAIN) + """
+SELECT indicator_name, indicator_date, value, loaded_at FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY indicator_name ORDER BY indicator_date DESC) AS rn
+  FROM stg_macro_indicators) t WHERE rn <= 100""",
+})

@@ -66,3 +66,32 @@ QUERIES.update({
     "macro_normalization_metrics": lambda spark, sf: N.normalization_metrics(
         *_macro_norm(spark, sf), N.MACRO_REASONS),
 })
+
+
+from tickwise.sources import payloads as P  # noqa: E402
+
+
+def _ingest_stock(spark, sf):
+    rows = P.parse_stock_payloads(fixtures.stock_payloads(spark, sf))
+    return N.normalize_stock_rows(rows, batch_cols=["payload_id"])
+
+
+def _ingest_macro(spark, sf):
+    rows = P.parse_macro_payloads(fixtures.macro_payloads(spark, sf))
+    return N.normalize_macro_rows(rows, batch_cols=["payload_id"])
+
+
+QUERIES.update({
+    "classify_stock_payloads": lambda spark, sf: P.classify_stock_payloads(
+        fixtures.stock_payloads(spark, sf)),
+    "parse_stock_payloads": lambda spark, sf: P.parse_stock_payloads(
+        fixtures.stock_payloads(spark, sf)),
+    "ingest_stock_payloads": _ingest_stock,
+    "classify_macro_payloads": lambda spark, sf: P.classify_macro_payloads(
+        fixtures.macro_payloads(spark, sf)),
+    "parse_macro_payloads": lambda spark, sf: P.parse_macro_payloads(
+        fixtures.macro_payloads(spark, sf)),
+    "ingest_macro_payloads": _ingest_macro,
+    "latest_observations": lambda spark, sf: P.latest_observations(
+        _stg_macro(spark, sf), key="indicator_name"),
+})

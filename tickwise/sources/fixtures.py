@@ -115,3 +115,118 @@ def dirty_macro_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(i % 17 == 0, F.lit("inf")).when(i % 19 == 0, F.lit(None).cast("string"))
         .otherwise(_text(F.col("value"))).alias("value"),
     )
+
+
+# Macro series id → display name (the five default series).
+SERIES_NAMES = {
+    "FEDFUNDS": "Federal Funds Rate",
+    "CPIAUCSL": "Consumer Price Index",
+    "GDP": "Gross Domestic Product",
+    "UNRATE": "Unemployment Rate",
+    "DGS10": "10 Year Treasury Rate",
+}
+
+# The error payload forms planted among the landed payloads.
+STOCK_ERROR_PAYLOADS = (
+    '{"Note": null}',
+    '{"Information": "i", "Error Message": "x"}',
+    '{"Error Message": "x"}',
+    '{}',
+    '{"Time Series (Daily)": {}}',
+    '{"Time Series (Daily)": [1, 2]}',
+    '[1]',
+    '{oops',
+    None,
+)
+MACRO_ERROR_PAYLOADS = (
+    '{"error_code": 400, "error_message": "Bad Request"}',
+    '{"error_message": "x"}',
+    '{"observations": []}',
+    '{"observations": {}}',
+    '{}',
+    '[1]',
+    '{oops',
+    None,
+)
+STOCK_ERROR_MODULUS = 37
+MACRO_ERROR_MODULUS = 13
+
+
+def _plant(code: Column, forms, payload: Column) -> Column:
+    expr = payload
+    for i in range(len(forms), 0, -1):
+        expr = F.when(code == i, F.lit(forms[i - 1]).cast("string")).otherwise(expr)
+    return expr
+
+
+def _decimal_text(c: Column, scale: int) -> Column:
+    return c.cast(f"decimal(18,{scale})").cast("string")
+
+
+def latest_stock_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bar per (ticker, day): the latest load of the raw rows, unfiltered."""
+    from tickwise.operators.staging import STOCK_ORDER, latest_per_key
+    return latest_per_key(raw_stock_prices(spark, sf_dir), ["ticker", "trade_date"], STOCK_ORDER)
+
+
+def stock_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed stock responses: one JSON per (ticker, month), newest day first.
+
+    A group is one calendar month of one ticker, so it holds at most 31 bars.
+    Payloads whose (supplier + month index) % 37 is 1..9 are replaced by the
+    nine error forms.
+    """
+    bars = latest_stock_bars(spark, sf_dir)
+    bar = F.struct(
+        _decimal_text(F.col("open_price"), 4).alias("1. open"),
+        _decimal_text(F.col("high_price"), 4).alias("2. high"),
+        _decimal_text(F.col("low_price"), 4).alias("3. low"),
+        _decimal_text(F.col("close_price"), 4).alias("4. close"),
+        F.col("volume").cast("string").alias("5. volume"),
+    )
+    month = F.date_format("trade_date", "yyyy-MM")
+    grouped = bars.groupBy("ticker", month.alias("month")).agg(
+        F.sort_array(F.collect_list(F.struct(
+            F.date_format("trade_date", "yyyy-MM-dd").alias("d"), bar.alias("b"))), asc=False)
+        .alias("days"))
+    body = F.to_json(F.struct(F.map_from_entries("days").alias("Time Series (Daily)")))
+    code = (F.substring("ticker", 2, 20).cast("int")
+            + F.substring("month", 1, 4).cast("int") * 12
+            + F.substring("month", 6, 2).cast("int")) % STOCK_ERROR_MODULUS
+    return grouped.select(
+        F.concat_ws(":", "ticker", "month").alias("payload_id"), "ticker",
+        _plant(code, STOCK_ERROR_PAYLOADS, body).alias("payload"))
+
+
+def latest_macro_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One point per (indicator, date): the latest load, null values kept."""
+    from tickwise.operators.staging import MACRO_ORDER, latest_per_key
+    return latest_per_key(raw_macro_indicators(spark, sf_dir),
+                          ["indicator_name", "indicator_date"], MACRO_ORDER)
+
+
+def series_dimension(spark: SparkSession) -> DataFrame:
+    """The five-row series id → display name dimension."""
+    return spark.createDataFrame(list(SERIES_NAMES.items()), "series_id string, indicator_name string")
+
+
+def macro_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed macro responses: one JSON per (series, year), newest first; ``"."`` marks missing.
+
+    A group is one year of one series (≤ 366 points).  Payloads whose
+    (year + length of the series id) % 13 is 1..8 carry the eight error forms.
+    """
+    points = latest_macro_points(spark, sf_dir).join(
+        F.broadcast(series_dimension(spark)), "indicator_name")
+    value_text = F.coalesce(_decimal_text(F.col("value"), 2), F.lit("."))
+    year = F.year("indicator_date")
+    grouped = points.groupBy("series_id", "indicator_name", year.alias("year")).agg(
+        F.sort_array(F.collect_list(F.struct(
+            F.date_format("indicator_date", "yyyy-MM-dd").alias("date"),
+            value_text.alias("value"))), asc=False).alias("observations"))
+    body = F.to_json(F.struct("observations"))
+    code = (F.col("year") + F.length("series_id")) % MACRO_ERROR_MODULUS
+    return grouped.select(
+        F.concat_ws(":", "series_id", F.col("year").cast("string")).alias("payload_id"),
+        "series_id", "indicator_name",
+        _plant(code, MACRO_ERROR_PAYLOADS, body).alias("payload"))
