@@ -21,7 +21,7 @@ def with_(*ctes: str) -> str:
 
 
 RAW_STOCK = f"""raw_stock_prices AS (
-  SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS ticker,
+  SELECT l_orderkey AS source_key, 'S' || CAST(l_suppkey AS VARCHAR) AS ticker,
          CAST(l_shipdate AS DATE) AS trade_date,
          {R('l_extendedprice * (1 - l_discount)', 4)} AS open_price,
          {R('l_extendedprice * (1 + l_tax) + 1', 4)} AS high_price,
@@ -46,7 +46,7 @@ STG_STOCK = """stg_stock_prices AS (
   WHERE row_num = 1)"""
 
 RAW_MACRO = """raw_macro_indicators AS (
-  SELECT CASE c_mktsegment
+  SELECT o_orderkey AS source_key, CASE c_mktsegment
            WHEN 'AUTOMOBILE' THEN 'Consumer Price Index'
            WHEN 'BUILDING' THEN 'Federal Funds Rate'
            WHEN 'FURNITURE' THEN 'Gross Domestic Product'
@@ -361,3 +361,375 @@ SELECT indicator_name, indicator_date, value, loaded_at FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY indicator_name ORDER BY indicator_date DESC) AS rn
   FROM stg_macro_indicators) t WHERE rn <= 100""",
 })
+
+# -- single metrics -----------------------------------------------------------------
+
+ORACLE.update({
+    "daily_returns": with_(*PORTFOLIO_CHAIN)
+    + "SELECT ticker, trade_date, close_price, prev_close_price, daily_return_pct FROM mart_portfolio",
+    "moving_averages": with_(*PORTFOLIO_CHAIN)
+    + "SELECT ticker, trade_date, ma_20day, ma_50day FROM mart_portfolio",
+    "rolling_volatility": with_(*PORTFOLIO_CHAIN)
+    + "SELECT ticker, trade_date, rolling_volatility_20d FROM mart_portfolio",
+    "drawdown": with_(*PORTFOLIO_CHAIN)
+    + "SELECT ticker, trade_date, cumulative_return_pct, running_peak, drawdown_pct FROM mart_portfolio",
+    "risk_metrics": with_(*RISK_CHAIN)
+    + "SELECT ticker, trade_date, sharpe_ratio_20d, max_drawdown_pct, var_95_pct, avg_volume_20d FROM mart_risk",
+    "macro_changes": with_(*MACRO_CHAIN, MACRO_CHANGE) + "SELECT * FROM macro_changes",
+    "stock_macro_join": with_(*PORTFOLIO_CHAIN, *MACRO_CHAIN, MACRO_CHANGE, JOINED)
+    + "SELECT * FROM stock_macro",
+})
+
+# -- upsert ---------------------------------------------------------------------------
+
+STOCK_ORDER_SQL = ("loaded_at DESC NULLS LAST, close_price DESC NULLS LAST, open_price DESC NULLS LAST, "
+                   "high_price DESC NULLS LAST, low_price DESC NULLS LAST, volume DESC NULLS LAST")
+
+
+def _ups_stock(name: str, residue: int) -> str:
+    return f"""{name} AS (
+  SELECT ticker, trade_date, open_price, high_price, low_price, close_price, volume, loaded_at
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY ticker, trade_date ORDER BY {STOCK_ORDER_SQL}) AS rn
+        FROM raw_stock_prices
+        WHERE close_price IS NOT NULL AND volume > 0 AND source_key % 3 <> {residue}) x
+  WHERE rn = 1)"""
+
+
+def _ups_macro(name: str, residue: int) -> str:
+    return f"""{name} AS (
+  SELECT indicator_name, indicator_date, value, loaded_at
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY indicator_name, indicator_date
+                                     ORDER BY loaded_at DESC NULLS LAST, value DESC NULLS LAST) AS rn
+        FROM raw_macro_indicators WHERE value IS NOT NULL AND source_key % 3 <> {residue}) x
+  WHERE rn = 1)"""
+
+
+def _merge_ctes(keys, values) -> str:
+    """``merged`` (the labelled full outer join) and ``merged_rows`` (the new snapshot rows)."""
+    k0 = keys[0]
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    differs = " OR ".join(f"t.{v} IS DISTINCT FROM s.{v}" for v in values)
+    cols = [*keys, *values, "loaded_at"]
+    pick = ",\n         ".join(
+        f"CASE WHEN _action IN ('insert', 'update') THEN s_{c} ELSE t_{c} END AS {c}" for c in cols)
+    tsel = ", ".join(f"t.{c} AS t_{c}" for c in cols)
+    ssel = ", ".join(f"s.{c} AS s_{c}" for c in cols)
+    return f"""merged AS (
+  SELECT {tsel}, {ssel},
+    CASE WHEN t.{k0} IS NULL THEN 'insert' WHEN s.{k0} IS NULL THEN 'keep'
+         WHEN {differs} THEN 'update' ELSE 'unchanged' END AS _action
+  FROM ups_target t FULL OUTER JOIN ups_source s ON {on}),
+merged_rows AS (
+  SELECT {pick}, _action FROM merged)"""
+
+
+STOCK_KEYS = ("ticker", "trade_date")
+STOCK_VALUES = ("open_price", "high_price", "low_price", "close_price", "volume")
+STOCK_MERGE_CHAIN = (RAW_STOCK, _ups_stock("ups_target", 1), _ups_stock("ups_source", 2),
+                     _merge_ctes(STOCK_KEYS, STOCK_VALUES))
+MACRO_MERGE_CHAIN = (RAW_MACRO, _ups_macro("ups_target", 1), _ups_macro("ups_source", 2),
+                     _merge_ctes(("indicator_name", "indicator_date"), ("value",)))
+
+ORACLE.update({
+    "upsert_stock_prices": with_(*STOCK_MERGE_CHAIN) + "SELECT * FROM merged_rows",
+    "upsert_macro_indicators": with_(*MACRO_MERGE_CHAIN) + "SELECT * FROM merged_rows",
+    "merge_counts": with_(*STOCK_MERGE_CHAIN) + """
+SELECT ticker, count_if(_action = 'insert') AS rows_inserted,
+       count_if(_action = 'update') AS rows_updated,
+       count_if(_action = 'unchanged') AS rows_unchanged
+FROM merged_rows WHERE _action <> 'keep' GROUP BY ticker""",
+})
+
+# -- audit log (B7) -------------------------------------------------------------------
+
+LOGS = """pipeline_logs AS (
+  SELECT CAST(event_id AS VARCHAR) AS run_id,
+    ts - to_microseconds(CAST(floor(value * 1000) AS BIGINT)) AS run_timestamp,
+    ts AS completed_at,
+    CASE WHEN event_id % 101 = 0 THEN 'OTHER' WHEN event_id % 2 = 0 THEN 'STOCK_INGESTION'
+         ELSE 'MACRO_INGESTION' END AS pipeline_name,
+    'U' || CAST(user_id AS VARCHAR) AS entity_name,
+    k AS rows_fetched,
+    CASE WHEN event_type = 'purchase' THEN 0 ELSE k - k % 4 END AS rows_valid,
+    CASE WHEN event_type IN ('click', 'view') THEN k - k % 4 ELSE 0 END AS rows_inserted,
+    CAST(0 AS BIGINT) AS rows_updated,
+    CASE WHEN event_type = 'signup' THEN k - k % 4 ELSE 0 END AS rows_unchanged,
+    CAST(CASE WHEN event_type = 'purchase' THEN k ELSE k % 4 END
+         + CASE WHEN event_id % 103 = 0 THEN 1 ELSE 0 END AS BIGINT) AS rows_dropped,
+    CASE event_type WHEN 'click' THEN 'SUCCESS' WHEN 'view' THEN 'PARTIAL_SUCCESS'
+         WHEN 'signup' THEN 'NO_CHANGES' WHEN 'purchase' THEN 'NO_VALID_ROWS'
+         WHEN 'error' THEN 'FAILED' END AS status,
+    CAST(floor(value) AS BIGINT) AS duration_ms,
+    CASE WHEN event_type = 'error' THEN CASE event_id % 3 WHEN 0 THEN 'API_TIMEOUT'
+         WHEN 1 THEN 'API_RATE_LIMITED' ELSE 'SNOWFLAKE_LOAD_ERROR' END END AS error_code,
+    CASE WHEN event_type = 'error' THEN
+      'GET https://api.example/query?symbol=U' || CAST(user_id AS VARCHAR) || '&apikey=K'
+      || CAST(event_id AS VARCHAR) || ' failed' || chr(13) || chr(10) || 'token=T'
+      || CAST(event_id AS VARCHAR)
+      || CASE WHEN event_id % 5 = 0 THEN ' password hunter2' ELSE '' END
+      || ' ' || repeat('x', CAST(event_id % 600 AS INTEGER)) END AS error_message
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e)"""
+
+COUNT_VIOLATION = """(rows_fetched < 0 OR rows_valid < 0 OR rows_inserted < 0 OR rows_updated < 0
+   OR rows_unchanged < 0 OR rows_dropped < 0 OR duration_ms < 0
+   OR (status <> 'FAILED' AND rows_valid + rows_dropped <> rows_fetched)
+   OR (status IN ('SUCCESS', 'PARTIAL_SUCCESS', 'NO_CHANGES')
+       AND rows_inserted + rows_updated + rows_unchanged <> rows_valid))"""
+STATUS_VIOLATION = """(status NOT IN ('SUCCESS', 'PARTIAL_SUCCESS', 'NO_CHANGES', 'NO_VALID_ROWS', 'FAILED')
+   OR pipeline_name NOT IN ('STOCK_INGESTION', 'MACRO_INGESTION'))"""
+
+
+def REDACT(x: str, secrets=("hunter2",)) -> str:
+    e = f"CASE WHEN coalesce({x}, '') = '' THEN 'Pipeline processing failed.' ELSE {x} END"
+    for sec in secrets:
+        e = f"replace({e}, '{sec}', '[REDACTED]')"
+    e = (f"regexp_replace({e}, '(api[_-]?key|apikey|password|token|secret)\\s*[=:]\\s*[^\\s&,;]+', "
+         f"'\\1=[REDACTED]', 'gi')")
+    e = f"regexp_replace({e}, '([?&](?:api_key|apikey|token)=)[^&\\s]+', '\\1[REDACTED]', 'gi')"
+    e = f"translate({e}, chr(13) || chr(10), '  ')"
+    return f"substr({e}, 1, 500)"
+
+
+LOG_COLS_14 = ("run_id, completed_at, pipeline_name, entity_name, status, rows_fetched, rows_valid, "
+               "rows_inserted, rows_updated, rows_unchanged, rows_dropped, duration_ms, error_code")
+
+ORACLE.update({
+    "dq_log_counts": with_(LOGS) + f"SELECT run_id FROM pipeline_logs WHERE {COUNT_VIOLATION}",
+    "dq_log_status": with_(LOGS) + f"SELECT run_id FROM pipeline_logs WHERE {STATUS_VIOLATION}",
+    "run_log_violations": with_(LOGS) + f"""
+SELECT run_id, pipeline_name, status, violation FROM (
+  SELECT *, CASE
+    WHEN coalesce({STATUS_VIOLATION}, false) THEN 'metadata'
+    WHEN coalesce({COUNT_VIOLATION}, false) THEN 'counts'
+    WHEN coalesce(status = 'NO_VALID_ROWS' AND (rows_valid <> 0 OR rows_inserted <> 0
+         OR rows_updated <> 0 OR rows_unchanged <> 0), false) THEN 'no_valid_rows' END AS violation
+  FROM pipeline_logs) v WHERE violation IS NOT NULL""",
+    "redact_messages": with_(LOGS)
+    + f"SELECT run_id, {REDACT('error_message')} AS error_message FROM pipeline_logs "
+      "WHERE error_message IS NOT NULL",
+    "run_summary": with_(LOGS) + """
+SELECT pipeline_name, count(*) AS entity_runs, count_if(status = 'FAILED') AS failed_runs,
+       bool_or(status = 'FAILED') AS any_failed,
+       CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted,
+       CAST(sum(rows_updated) AS BIGINT) AS rows_updated
+FROM pipeline_logs GROUP BY pipeline_name""",
+    "failed_recent": with_(LOGS) + f"""
+SELECT count(*) AS failed_count FROM pipeline_logs
+WHERE status = 'FAILED' AND completed_at >= {AS_OF_SQL} - INTERVAL 7 DAY""",
+    "recent_runs": with_(LOGS) + f"""
+SELECT {LOG_COLS_14}, substr(error_message, 1, 160) AS error_message
+FROM pipeline_logs ORDER BY completed_at DESC, run_id DESC LIMIT 20""",
+    "recent_run_totals": with_(LOGS) + """
+SELECT CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted,
+       CAST(sum(rows_updated) AS BIGINT) AS rows_updated,
+       CAST(sum(rows_unchanged) AS BIGINT) AS rows_unchanged,
+       CAST(sum(rows_dropped) AS BIGINT) AS rows_dropped
+FROM (SELECT * FROM pipeline_logs ORDER BY completed_at DESC, run_id DESC LIMIT 20) r""",
+    "latest_stock_run": with_(LOGS) + """
+SELECT entity_name, completed_at, status FROM pipeline_logs
+WHERE pipeline_name = 'STOCK_INGESTION'
+  AND status IN ('SUCCESS', 'PARTIAL_SUCCESS', 'NO_CHANGES', 'NO_VALID_ROWS')
+ORDER BY completed_at DESC, run_id DESC LIMIT 1""",
+    "latest_macro_run": with_(LOGS) + """
+SELECT entity_name, completed_at, status FROM pipeline_logs
+WHERE pipeline_name = 'MACRO_INGESTION'
+  AND status IN ('SUCCESS', 'PARTIAL_SUCCESS', 'NO_CHANGES', 'NO_VALID_ROWS')
+ORDER BY completed_at DESC, run_id DESC LIMIT 1""",
+})
+
+# -- run log of a payload ingestion --------------------------------------------------------
+
+RUN_STARTED = "2024-01-31 00:00:00"
+RUN_COMPLETED = "2024-01-31 00:05:00"
+
+STOCK_RUN = f"""payload_class AS (
+  SELECT DISTINCT payload_id, ticker, CASE
+    WHEN code IN (1, 2) THEN 'API_RATE_LIMITED'
+    WHEN code IN (3, 4, 5, 6) THEN 'API_DATA_UNAVAILABLE'
+    WHEN code IN (7, 8, 9) THEN 'API_RESPONSE_INVALID' END AS error_code
+  FROM stock_groups),
+payload_rows AS (SELECT * FROM stock_groups WHERE code NOT BETWEEN 1 AND 9),
+payload_metrics AS (
+  SELECT payload_id, count(*) AS rows_fetched,
+         count_if(close_price IS NOT NULL AND volume > 0) AS rows_valid,
+         count_if(NOT (close_price IS NOT NULL AND volume > 0)) AS rows_dropped
+  FROM payload_rows GROUP BY payload_id),
+payload_merge AS (
+  SELECT v.payload_id, count_if(t.ticker IS NULL) AS rows_inserted,
+    count_if(t.ticker IS NOT NULL AND (t.open_price IS DISTINCT FROM v.open_price
+      OR t.high_price IS DISTINCT FROM v.high_price OR t.low_price IS DISTINCT FROM v.low_price
+      OR t.close_price IS DISTINCT FROM v.close_price OR t.volume IS DISTINCT FROM v.volume))
+      AS rows_updated,
+    count_if(t.ticker IS NOT NULL AND NOT (t.open_price IS DISTINCT FROM v.open_price
+      OR t.high_price IS DISTINCT FROM v.high_price OR t.low_price IS DISTINCT FROM v.low_price
+      OR t.close_price IS DISTINCT FROM v.close_price OR t.volume IS DISTINCT FROM v.volume))
+      AS rows_unchanged
+  FROM (SELECT * FROM payload_rows WHERE close_price IS NOT NULL AND volume > 0) v
+  LEFT JOIN ups_target t ON t.ticker = v.ticker AND t.trade_date = v.trade_date
+  GROUP BY v.payload_id),
+run_counts AS (
+  SELECT c.payload_id, c.ticker, c.error_code,
+    coalesce(m.rows_fetched, 0) AS rows_fetched, coalesce(m.rows_valid, 0) AS rows_valid,
+    coalesce(m.rows_dropped, 0) AS rows_dropped,
+    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_inserted, 0) ELSE 0 END AS rows_inserted,
+    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_updated, 0) ELSE 0 END AS rows_updated,
+    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_unchanged, 0) ELSE 0 END AS rows_unchanged
+  FROM payload_class c LEFT JOIN payload_metrics m ON c.payload_id = m.payload_id
+  LEFT JOIN payload_merge g ON c.payload_id = g.payload_id),
+run_log AS (
+  SELECT
+    (SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-'
+            || substr(h, 17, 4) || '-' || substr(h, 21, 12)
+     FROM (SELECT md5('STOCK_INGESTION|' || payload_id || '|{RUN_STARTED}') AS h)) AS run_id,
+    TIMESTAMP '{RUN_STARTED}' AS run_timestamp, TIMESTAMP '{RUN_COMPLETED}' AS completed_at,
+    'STOCK_INGESTION' AS pipeline_name, substr(ticker, 1, 128) AS entity_name,
+    CAST(rows_fetched AS BIGINT) AS rows_fetched, CAST(rows_valid AS BIGINT) AS rows_valid,
+    CAST(rows_inserted AS BIGINT) AS rows_inserted, CAST(rows_updated AS BIGINT) AS rows_updated,
+    CAST(rows_unchanged AS BIGINT) AS rows_unchanged, CAST(rows_dropped AS BIGINT) AS rows_dropped,
+    CASE WHEN error_code IS NOT NULL THEN 'FAILED' WHEN rows_valid = 0 THEN 'NO_VALID_ROWS'
+         WHEN rows_inserted = 0 AND rows_updated = 0 THEN 'NO_CHANGES'
+         WHEN rows_dropped > 0 THEN 'PARTIAL_SUCCESS' ELSE 'SUCCESS' END AS status,
+    CAST(300000 AS BIGINT) AS duration_ms,
+    error_code,
+    CASE error_code WHEN 'API_RESPONSE_INVALID' THEN 'Provider response was invalid.'
+         WHEN 'API_RATE_LIMITED' THEN 'Provider request was rate limited.'
+         WHEN 'API_DATA_UNAVAILABLE' THEN 'Provider data was unavailable.' END AS error_message,
+    payload_id
+  FROM run_counts)"""
+
+STOCK_RUN_CHAIN = (RAW_STOCK, STOCK_BARS, _ups_stock("ups_target", 1), STOCK_RUN)
+
+ORACLE.update({
+    "run_log": with_(*STOCK_RUN_CHAIN) + "SELECT * EXCLUDE (payload_id) FROM run_log",
+    "run_status": with_(*STOCK_RUN_CHAIN) + "SELECT payload_id, status FROM run_log",
+})
+
+# -- data quality ---------------------------------------------------------------------------
+
+RAW_STOCK_FAULTY = RAW_STOCK.replace("raw_stock_prices AS (", "raw_stock_clean AS (", 1) + """,
+raw_stock_prices AS (
+  SELECT source_key,
+    CASE WHEN source_key % 61 = 0 THEN lower(ticker) ELSE ticker END AS ticker, trade_date,
+    CASE WHEN source_key % 59 = 0 THEN -open_price ELSE open_price END AS open_price,
+    CASE WHEN source_key % 53 = 0 THEN low_price ELSE high_price END AS high_price,
+    CASE WHEN source_key % 53 = 0 THEN high_price ELSE low_price END AS low_price,
+    close_price, volume, loaded_at
+  FROM raw_stock_clean)"""
+RAW_MACRO_FAULTY = RAW_MACRO.replace("raw_macro_indicators AS (", "raw_macro_clean AS (", 1) + """,
+raw_macro_indicators AS (
+  SELECT source_key,
+    CASE WHEN source_key % 71 = 0 THEN 'Unknown Series'
+         WHEN source_key % 67 = 0 THEN lower(indicator_name) ELSE indicator_name END AS indicator_name,
+    indicator_date, value, loaded_at
+  FROM raw_macro_clean)"""
+
+NOT_NULL = {
+    "stg_stock_prices": ("ticker", "trade_date", "close_price", "volume", "loaded_at"),
+    "stg_macro_indicators": ("indicator_name", "indicator_date", "value", "loaded_at"),
+    "mart_portfolio": ("ticker", "trade_date", "close_price", "updated_at"),
+    "mart_risk": ("ticker", "trade_date", "cumulative_return_pct", "updated_at"),
+    "mart_macro_correlation": ("ticker", "indicator_name", "trade_date", "indicator_value",
+                               "updated_at"),
+}
+ACCEPTED = ("'CONSUMER PRICE INDEX', 'FEDERAL FUNDS RATE', 'GROSS DOMESTIC PRODUCT', "
+            "'UNEMPLOYMENT RATE', '10 YEAR TREASURY RATE'")
+OHLCV_VIOLATION = """(open_price <= 0 OR high_price <= 0 OR low_price <= 0 OR close_price <= 0
+   OR volume <= 0 OR high_price < open_price OR high_price < low_price OR high_price < close_price
+   OR low_price > open_price OR low_price > high_price OR low_price > close_price)"""
+
+DQ_CHAIN = (RAW_STOCK_FAULTY, STG_STOCK, RAW_MACRO_FAULTY, STG_MACRO, PORTFOLIO, RISK, MACRO_CHANGE,
+            JOINED, CORRELATION, LOGS)
+
+
+def _not_null_sql(check_names: bool) -> str:
+    parts = []
+    for model, cols in NOT_NULL.items():
+        for c in cols:
+            label = (f"'not_null_{model}_{c}' AS check_name" if check_names
+                     else f"'{model}' AS model, '{c}' AS column_name")
+            parts.append(f"SELECT {label}, count_if({c} IS NULL) AS failures FROM {model}")
+    return "\nUNION ALL ".join(parts)
+
+
+ORACLE.update({
+    "dq_not_null": with_(*DQ_CHAIN) + _not_null_sql(False),
+    "dq_accepted_values": with_(*DQ_CHAIN)
+    + f"SELECT * FROM stg_macro_indicators WHERE indicator_name NOT IN ({ACCEPTED})",
+    "dq_unique_stock_key": with_(*DQ_CHAIN) + """
+SELECT ticker, trade_date, count(*) AS row_count FROM stg_stock_prices
+GROUP BY ticker, trade_date HAVING count(*) > 1""",
+    "dq_unique_macro_key": with_(*DQ_CHAIN) + """
+SELECT indicator_name, indicator_date, count(*) AS row_count FROM stg_macro_indicators
+GROUP BY indicator_name, indicator_date HAVING count(*) > 1""",
+    "dq_valid_ohlcv": with_(*DQ_CHAIN)
+    + f"SELECT ticker, trade_date FROM stg_stock_prices WHERE {OHLCV_VIOLATION}",
+    "dq_report": with_(*DQ_CHAIN) + f"""
+SELECT check_name, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM (
+{_not_null_sql(True)}
+UNION ALL SELECT 'accepted_values_stg_macro_indicators_indicator_name', count(*)
+  FROM stg_macro_indicators WHERE indicator_name NOT IN ({ACCEPTED})
+UNION ALL SELECT 'assert_unique_stock_key', count(*) FROM (SELECT ticker, trade_date
+  FROM stg_stock_prices GROUP BY ticker, trade_date HAVING count(*) > 1) d
+UNION ALL SELECT 'assert_unique_macro_key', count(*) FROM (SELECT indicator_name, indicator_date
+  FROM stg_macro_indicators GROUP BY indicator_name, indicator_date HAVING count(*) > 1) d
+UNION ALL SELECT 'assert_valid_stock_ohlcv', count(*) FROM stg_stock_prices WHERE {OHLCV_VIOLATION}
+UNION ALL SELECT 'assert_pipeline_log_counts', count(*) FROM pipeline_logs WHERE {COUNT_VIOLATION}
+UNION ALL SELECT 'assert_pipeline_log_status', count(*) FROM pipeline_logs WHERE {STATUS_VIOLATION}
+) c""",
+    "source_freshness": with_(RAW_STOCK) + f"""
+SELECT 'raw_stock_prices' AS source_name, max(loaded_at) AS max_loaded_at,
+  CAST(floor((epoch_us({AS_OF_SQL}) - epoch_us(max(loaded_at))) / 1000000) AS BIGINT) AS age_seconds,
+  CASE WHEN max(loaded_at) IS NULL THEN 'error'
+       WHEN epoch_us({AS_OF_SQL}) - epoch_us(max(loaded_at)) > 7 * 86400000000 THEN 'error'
+       WHEN epoch_us({AS_OF_SQL}) - epoch_us(max(loaded_at)) > 3 * 86400000000 THEN 'warn'
+       ELSE 'pass' END AS status
+FROM raw_stock_prices""",
+})
+
+# -- dashboard reads ---------------------------------------------------------------------------
+
+SUMMARY = f"""summary AS (
+  SELECT ticker, MAX(close_price) AS max_price, MIN(close_price) AS min_price,
+         {R('AVG(rolling_volatility_20d)', 2)} AS avg_volatility,
+         {R('MAX(cumulative_return_pct)', 2)} AS best_return,
+         {R('MIN(drawdown_pct)', 2)} AS max_drawdown
+  FROM mart_portfolio GROUP BY ticker)"""
+MA_TICKER = "S1"
+FOCUS_INDICATOR = "10 YEAR TREASURY RATE"
+
+ORACLE.update({
+    "portfolio_summary": with_(*PORTFOLIO_CHAIN, SUMMARY) + "SELECT * FROM summary",
+    "portfolio_extremes": with_(*PORTFOLIO_CHAIN, SUMMARY) + """
+SELECT
+  (SELECT ticker FROM summary WHERE best_return IS NOT NULL ORDER BY best_return DESC, ticker LIMIT 1)
+    AS best_ticker,
+  (SELECT ticker FROM summary WHERE best_return IS NOT NULL ORDER BY best_return ASC, ticker LIMIT 1)
+    AS worst_ticker,
+  (SELECT ticker FROM summary WHERE avg_volatility IS NOT NULL
+   ORDER BY avg_volatility DESC, ticker LIMIT 1) AS most_volatile_ticker,
+  (SELECT max(best_return) FROM summary) AS best_return,
+  (SELECT min(best_return) FROM summary) AS worst_return,
+  (SELECT max(avg_volatility) FROM summary) AS avg_volatility,
+  (SELECT count(*) FROM summary) AS tickers_tracked""",
+    "ticker_list": with_(*PORTFOLIO_CHAIN) + "SELECT DISTINCT ticker FROM mart_portfolio",
+    "indicator_list": with_(*CORRELATION_CHAIN)
+    + "SELECT DISTINCT indicator_name FROM mart_macro_correlation WHERE indicator_name IS NOT NULL",
+    "indicator_coverage": with_(*CORRELATION_CHAIN) + """
+SELECT indicator_name, bool_or(rolling_correlation_20d IS NOT NULL) AS has_correlation
+FROM mart_macro_correlation GROUP BY indicator_name""",
+    "price_history": with_(*PORTFOLIO_CHAIN) + """
+SELECT ticker, trade_date, close_price, ma_20day, ma_50day, rolling_volatility_20d, daily_return_pct
+FROM mart_portfolio""",
+    "moving_average_series": with_(*PORTFOLIO_CHAIN) + f"""
+SELECT trade_date, close_price, ma_20day, ma_50day FROM mart_portfolio WHERE ticker = '{MA_TICKER}'""",
+    "risk_series": with_(*RISK_CHAIN) + """
+SELECT ticker, trade_date, rolling_volatility_20d, sharpe_ratio_20d, max_drawdown_pct, var_95_pct,
+       cumulative_return_pct FROM mart_risk""",
+    "macro_series": with_(*CORRELATION_CHAIN) + f"""
+SELECT ticker, trade_date, indicator_name, indicator_value, rolling_correlation_20d
+FROM mart_macro_correlation WHERE indicator_name = '{FOCUS_INDICATOR}'""",
+    "latest_indicator_values": with_(*CORRELATION_CHAIN) + f"""
+SELECT ticker, max(trade_date) AS trade_date,
+       {R('arg_max(indicator_value, trade_date)', 2)} AS indicator_value
+FROM mart_macro_correlation WHERE indicator_name = '{FOCUS_INDICATOR}' GROUP BY ticker""",
+})

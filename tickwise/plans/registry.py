@@ -95,3 +95,160 @@ QUERIES.update({
     "latest_observations": lambda spark, sf: P.latest_observations(
         _stg_macro(spark, sf), key="indicator_name"),
 })
+
+
+from tickwise.operators import audit as AU  # noqa: E402
+from tickwise.operators import quality as Q  # noqa: E402
+from tickwise.operators import reads as RD  # noqa: E402
+from tickwise.operators import upsert as U  # noqa: E402
+from tickwise.plans.oracle import FOCUS_INDICATOR, MA_TICKER, RUN_COMPLETED, RUN_STARTED  # noqa: E402
+
+
+def _risk(spark, sf):
+    return marts.mart_risk(_portfolio(spark, sf), updated_at=as_of())
+
+
+def _correlation(spark, sf):
+    return marts.mart_macro_correlation(_portfolio(spark, sf), _stg_macro(spark, sf),
+                                        updated_at=as_of())
+
+
+def _returns_joined(spark, sf):
+    p = _portfolio(spark, sf).select("ticker", "trade_date", "daily_return_pct").where(
+        F.col("daily_return_pct").isNotNull())
+    from tickwise.operators.joins import stock_macro_join
+    j = stock_macro_join(p, marts.macro_changes(_stg_macro(spark, sf)))
+    return j.select("ticker", "trade_date", "daily_return_pct", "indicator_name",
+                    F.col("value").alias("indicator_value"), "indicator_change_pct")
+
+
+def _merged_stock(spark, sf):
+    return U.upsert_stock_prices(fixtures.upsert_stock_target(spark, sf),
+                                 fixtures.upsert_stock_source(spark, sf))
+
+
+def _stock_run(spark, sf):
+    """One stock ingestion run over the landed payloads against yesterday's snapshot."""
+    payloads = fixtures.stock_payloads(spark, sf)
+    batches = P.classify_stock_payloads(payloads).withColumnRenamed("ticker", "entity_name")
+    valid, rejected = N.stock_normalization(P.parse_stock_payloads(payloads),
+                                            batch_cols=["payload_id"])
+    metrics = N.normalization_metrics(valid, rejected, N.STOCK_REASONS, ["payload_id"])
+    merged = U.upsert_stock_prices(fixtures.upsert_stock_target(spark, sf), valid,
+                                   loaded_at=F.lit(RUN_STARTED).cast("timestamp_ntz"),
+                                   carry=["payload_id"])
+    counts = U.merge_counts(merged, ["payload_id"])
+    return AU.run_log(batches, metrics, counts, pipeline_name=AU.STOCK_PIPELINE,
+                      started_at=RUN_STARTED, completed_at=RUN_COMPLETED, batch_col="payload_id")
+
+
+def _stock_run_status(spark, sf):
+    """U2 on its own: the status each payload's counts give (payload id, status)."""
+    payloads = fixtures.stock_payloads(spark, sf)
+    batches = P.classify_stock_payloads(payloads)
+    valid, rejected = N.stock_normalization(P.parse_stock_payloads(payloads),
+                                            batch_cols=["payload_id"])
+    metrics = N.normalization_metrics(valid, rejected, N.STOCK_REASONS, ["payload_id"])
+    merged = U.upsert_stock_prices(fixtures.upsert_stock_target(spark, sf), valid,
+                                   loaded_at=F.lit(RUN_STARTED).cast("timestamp_ntz"),
+                                   carry=["payload_id"])
+    counts = U.merge_counts(merged, ["payload_id"])
+    j = batches.join(metrics, "payload_id", "left").join(counts, "payload_id", "left")
+    z = F.lit(0).cast("bigint")
+    return j.select("payload_id", AU.run_status(
+        F.coalesce("rows_valid", z), F.coalesce("rows_inserted", z),
+        F.coalesce("rows_updated", z), F.coalesce("rows_dropped", z),
+        F.col("error_code")).alias("status"))
+
+
+def _logs(spark, sf):
+    return fixtures.pipeline_logs(spark, sf)
+
+
+def _dq_models(spark, sf):
+    stg_s = stg_stock_prices(fixtures.raw_stock_prices_with_faults(spark, sf))
+    stg_m = stg_macro_indicators(fixtures.raw_macro_indicators_with_faults(spark, sf))
+    port = marts.mart_portfolio(stg_s, updated_at=as_of())
+    return {
+        "stg_stock_prices": stg_s,
+        "stg_macro_indicators": stg_m,
+        "mart_portfolio": port,
+        "mart_risk": marts.mart_risk(port, updated_at=as_of()),
+        "mart_macro_correlation": marts.mart_macro_correlation(port, stg_m, updated_at=as_of()),
+    }
+
+
+def _dq_not_null(spark, sf):
+    models = _dq_models(spark, sf)
+    out = None
+    for name in Q.NOT_NULL:
+        part = Q.dq_not_null(models[name], name)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _summary(spark, sf):
+    return RD.portfolio_summary(_portfolio(spark, sf))
+
+
+QUERIES.update({
+    # single metrics (each inventory row checked on its own)
+    "daily_returns": lambda spark, sf: _portfolio(spark, sf).select(
+        "ticker", "trade_date", "close_price", "prev_close_price", "daily_return_pct"),
+    "moving_averages": lambda spark, sf: _portfolio(spark, sf).select(
+        "ticker", "trade_date", "ma_20day", "ma_50day"),
+    "rolling_volatility": lambda spark, sf: _portfolio(spark, sf).select(
+        "ticker", "trade_date", "rolling_volatility_20d"),
+    "drawdown": lambda spark, sf: _portfolio(spark, sf).select(
+        "ticker", "trade_date", "cumulative_return_pct", "running_peak", "drawdown_pct"),
+    "risk_metrics": lambda spark, sf: _risk(spark, sf).select(
+        "ticker", "trade_date", "sharpe_ratio_20d", "max_drawdown_pct", "var_95_pct",
+        "avg_volume_20d"),
+    "macro_changes": lambda spark, sf: marts.macro_changes(_stg_macro(spark, sf)),
+    "stock_macro_join": _returns_joined,
+    # upsert and run accounting
+    "upsert_stock_prices": _merged_stock,
+    "upsert_macro_indicators": lambda spark, sf: U.upsert_macro_indicators(
+        fixtures.upsert_macro_target(spark, sf), fixtures.upsert_macro_source(spark, sf)),
+    "merge_counts": lambda spark, sf: U.merge_counts(_merged_stock(spark, sf), ["ticker"]),
+    "run_log": _stock_run,
+    "run_status": lambda spark, sf: _stock_run_status(spark, sf),
+    "run_log_violations": lambda spark, sf: AU.run_log_violations(_logs(spark, sf)),
+    "redact_messages": lambda spark, sf: AU.redact_messages(
+        _logs(spark, sf), secrets=[fixtures.PLANTED_SECRET]),
+    "run_summary": lambda spark, sf: AU.run_summary(_logs(spark, sf)),
+    # data quality
+    "dq_not_null": _dq_not_null,
+    "dq_accepted_values": lambda spark, sf: Q.dq_accepted_values(
+        _dq_models(spark, sf)["stg_macro_indicators"]),
+    "dq_unique_stock_key": lambda spark, sf: Q.dq_unique_stock_key(
+        _dq_models(spark, sf)["stg_stock_prices"]),
+    "dq_unique_macro_key": lambda spark, sf: Q.dq_unique_macro_key(
+        _dq_models(spark, sf)["stg_macro_indicators"]),
+    "dq_valid_ohlcv": lambda spark, sf: Q.dq_valid_ohlcv(
+        _dq_models(spark, sf)["stg_stock_prices"]),
+    "dq_log_counts": lambda spark, sf: Q.dq_log_counts(_logs(spark, sf)),
+    "dq_log_status": lambda spark, sf: Q.dq_log_status(_logs(spark, sf)),
+    "dq_report": lambda spark, sf: Q.dq_report(_dq_models(spark, sf), _logs(spark, sf)),
+    "source_freshness": lambda spark, sf: Q.source_freshness(
+        fixtures.raw_stock_prices(spark, sf), as_of()),
+    # dashboard reads
+    "portfolio_summary": _summary,
+    "portfolio_extremes": lambda spark, sf: RD.portfolio_extremes(_summary(spark, sf)),
+    "ticker_list": lambda spark, sf: RD.ticker_list(_portfolio(spark, sf)),
+    "indicator_list": lambda spark, sf: RD.indicator_list(_correlation(spark, sf)),
+    "indicator_coverage": lambda spark, sf: RD.indicator_coverage(_correlation(spark, sf)),
+    "failed_recent": lambda spark, sf: RD.failed_recent(_logs(spark, sf), as_of()),
+    "recent_runs": lambda spark, sf: RD.recent_runs(_logs(spark, sf)),
+    "recent_run_totals": lambda spark, sf: RD.recent_run_totals(_logs(spark, sf)),
+    "latest_stock_run": lambda spark, sf: RD.latest_stock_run(_logs(spark, sf)),
+    "latest_macro_run": lambda spark, sf: RD.latest_macro_run(_logs(spark, sf)),
+    "price_history": lambda spark, sf: RD.price_history(_portfolio(spark, sf)),
+    "moving_average_series": lambda spark, sf: RD.moving_average_series(
+        _portfolio(spark, sf), MA_TICKER),
+    "risk_series": lambda spark, sf: RD.risk_series(_risk(spark, sf)),
+    "macro_series": lambda spark, sf: RD.macro_series(
+        _correlation(spark, sf), indicator=FOCUS_INDICATOR),
+    "latest_indicator_values": lambda spark, sf: RD.latest_indicator_values(
+        _correlation(spark, sf), FOCUS_INDICATOR),
+})

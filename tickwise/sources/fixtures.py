@@ -30,11 +30,12 @@ def _plus_seconds(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, ts)
 
 
-def raw_stock_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_stock_prices(spark: SparkSession, sf_dir: str, with_source_key: bool = False) -> DataFrame:
     """``raw_stock_prices`` ← lineitem: one row per line, several versions per key."""
     li = read_table(spark, sf_dir, "lineitem")
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    return li.select(
+    extra = [F.col("l_orderkey").alias("source_key")] if with_source_key else []
+    return li.select(*extra,
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("ticker"),
         F.col("l_shipdate").cast("date").alias("trade_date"),
         round_half_up(net, 4).alias("open_price"),
@@ -55,14 +56,15 @@ def _segment_name(seg: Column) -> Column:
     return expr
 
 
-def raw_macro_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_macro_indicators(spark: SparkSession, sf_dir: str, with_source_key: bool = False) -> DataFrame:
     """``raw_macro_indicators`` ← orders ⋈ customer: five series, one daily, four monthly."""
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
     day = F.col("o_orderdate").cast("date")
-    return joined.select(
+    extra = [F.col("o_orderkey").alias("source_key")] if with_source_key else []
+    return joined.select(*extra,
         _segment_name(F.col("c_mktsegment")).alias("indicator_name"),
         F.when(F.col("c_mktsegment") == DAILY_SEGMENT, day)
         .otherwise(F.trunc(day, "month")).alias("indicator_date"),
@@ -230,3 +232,126 @@ def macro_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(":", "series_id", F.col("year").cast("string")).alias("payload_id"),
         "series_id", "indicator_name",
         _plant(code, MACRO_ERROR_PAYLOADS, body).alias("payload"))
+
+
+# -- upsert pair (B6) ------------------------------------------------------------
+# Yesterday's snapshot and today's batch, both built from every source row:
+# rows with source key ≡ 1 (mod 3) exist only in the batch (inserts), ≡ 2 only
+# in the snapshot (kept), ≡ 0 in both (updated or unchanged).
+
+def _valid_latest_stock(raw: DataFrame) -> DataFrame:
+    from tickwise.operators.staging import STOCK_ORDER, latest_per_key
+    valid = raw.where(F.col("close_price").isNotNull() & (F.col("volume") > 0))
+    return latest_per_key(valid, ["ticker", "trade_date"], STOCK_ORDER).drop("source_key")
+
+
+def upsert_stock_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_stock_prices(spark, sf_dir, with_source_key=True)
+    return _valid_latest_stock(raw.where(F.col("source_key") % 3 != 1))
+
+
+def upsert_stock_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_stock_prices(spark, sf_dir, with_source_key=True)
+    return _valid_latest_stock(raw.where(F.col("source_key") % 3 != 2))
+
+
+def _valid_latest_macro(raw: DataFrame) -> DataFrame:
+    from tickwise.operators.staging import MACRO_ORDER, latest_per_key
+    return latest_per_key(raw.where(F.col("value").isNotNull()),
+                          ["indicator_name", "indicator_date"], MACRO_ORDER).drop("source_key")
+
+
+def upsert_macro_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_macro_indicators(spark, sf_dir, with_source_key=True)
+    return _valid_latest_macro(raw.where(F.col("source_key") % 3 != 1))
+
+
+def upsert_macro_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_macro_indicators(spark, sf_dir, with_source_key=True)
+    return _valid_latest_macro(raw.where(F.col("source_key") % 3 != 2))
+
+
+# -- audit log (B7) --------------------------------------------------------------
+# Event type → run status, and a secret planted in messages.
+EVENT_STATUS = {
+    "click": "SUCCESS",
+    "view": "PARTIAL_SUCCESS",
+    "signup": "NO_CHANGES",
+    "purchase": "NO_VALID_ROWS",
+    "error": "FAILED",
+}
+PLANTED_SECRET = "hunter2"
+
+
+def pipeline_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pipeline_logs`` ← events: one audit row per event, with planted faults.
+
+    Every 101st run names an unknown pipeline and every 103rd over-counts its
+    drops, so the data-quality checks have rows to find.
+    """
+    ev = read_table(spark, sf_dir, "events")
+    i, et = F.col("event_id"), F.col("event_type")
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    status = None
+    for e, st in EVENT_STATUS.items():
+        status = F.when(et == e, F.lit(st)) if status is None else status.when(et == e, F.lit(st))
+    valid = F.when(et == "purchase", F.lit(0).cast("bigint")).otherwise(k - k % 4)
+    zero = F.lit(0).cast("bigint")
+    failed = et == "error"
+    code = F.when(i % 3 == 0, F.lit("API_TIMEOUT")).when(i % 3 == 1, F.lit("API_RATE_LIMITED")) \
+        .otherwise(F.lit("SNOWFLAKE_LOAD_ERROR"))
+    message = F.concat(
+        F.lit("GET https://api.example/query?symbol=U"), F.col("user_id").cast("string"),
+        F.lit("&apikey=K"), i.cast("string"), F.lit(" failed\r\ntoken=T"), i.cast("string"),
+        F.when(i % 5 == 0, F.lit(" password " + PLANTED_SECRET)).otherwise(F.lit("")),
+        F.lit(" "), F.expr("repeat('x', cast(event_id % 600 as int))"))
+    return ev.select(
+        i.cast("string").alias("run_id"),
+        F.timestamp_add("MICROSECOND", -F.floor(F.col("value") * 1000), F.col("ts"))
+        .alias("run_timestamp"),
+        F.col("ts").alias("completed_at"),
+        F.when(i % 101 == 0, F.lit("OTHER")).when(i % 2 == 0, F.lit("STOCK_INGESTION"))
+        .otherwise(F.lit("MACRO_INGESTION")).alias("pipeline_name"),
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("entity_name"),
+        k.alias("rows_fetched"),
+        valid.alias("rows_valid"),
+        F.when(et.isin("click", "view"), valid).otherwise(zero).alias("rows_inserted"),
+        zero.alias("rows_updated"),
+        F.when(et == "signup", valid).otherwise(zero).alias("rows_unchanged"),
+        (F.when(et == "purchase", k).otherwise(k % 4)
+         + F.when(i % 103 == 0, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias("rows_dropped"),
+        status.alias("status"),
+        F.floor(F.col("value")).cast("bigint").alias("duration_ms"),
+        F.when(failed, code).alias("error_code"),
+        F.when(failed, message).alias("error_message"),
+    )
+
+
+# -- RAW tables with planted quality faults (for the data-quality checks) ----------
+# Stock: source key % 61 → lower-case ticker (a second raw key that upper-cases
+# onto the first), % 59 → negative open, % 53 → high and low swapped.
+# Macro: source key % 67 → lower-case name, % 71 → a name outside the accepted list.
+UNKNOWN_INDICATOR = "Unknown Series"
+
+
+def raw_stock_prices_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_stock_prices(spark, sf_dir, with_source_key=True)
+    k = F.col("source_key")
+    swap = k % 53 == 0
+    return raw.select(
+        F.when(k % 61 == 0, F.lower("ticker")).otherwise(F.col("ticker")).alias("ticker"),
+        "trade_date",
+        F.when(k % 59 == 0, -F.col("open_price")).otherwise(F.col("open_price")).alias("open_price"),
+        F.when(swap, F.col("low_price")).otherwise(F.col("high_price")).alias("high_price"),
+        F.when(swap, F.col("high_price")).otherwise(F.col("low_price")).alias("low_price"),
+        "close_price", "volume", "loaded_at")
+
+
+def raw_macro_indicators_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_macro_indicators(spark, sf_dir, with_source_key=True)
+    k = F.col("source_key")
+    return raw.select(
+        F.when(k % 71 == 0, F.lit(UNKNOWN_INDICATOR))
+        .when(k % 67 == 0, F.lower("indicator_name"))
+        .otherwise(F.col("indicator_name")).alias("indicator_name"),
+        "indicator_date", "value", "loaded_at")
