@@ -17,6 +17,12 @@ NUMBER_PATTERN = r"(?i)^[+-]?(\d+\.?\d*([e][+-]?\d+)?|\.\d+([e][+-]?\d+)?|inf|in
 ISO_DATE_PATTERN = (
     r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
 )
+# The same forms as one capture inside optional surrounding white space, so a
+# single regexp_extract both strips and validates ('' when the text is not one).
+NUMBER_CAPTURE = (r"(?iU)^\s*([+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?"
+                  r"|inf|infinity|nan))\s*$")
+ISO_DATE_CAPTURE = (r"(?U)^\s*(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?)"
+                    r"(?:Z|([+-]\d{2}(?::?\d{2})?))?\s*$")
 # Leading / trailing white space in the Unicode sense (Spark's trim strips spaces only).
 EDGE_SPACE_PATTERN = r"(?U)^\s+|\s+$"
 
@@ -36,21 +42,28 @@ def canonical_upper(c: Column | str) -> Column:
 
 
 def parse_number(c: Column | str) -> Column:
-    """Text (or number) → double; null when the text is not a plain number."""
-    text = strip_text(c)
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    """Text (or number) → double; null when the text is not a plain number.
+
+    One regular-expression pass per value: the capture is empty for anything
+    that is not a number, and ``try_cast('')`` is null.
+    """
+    return F.regexp_extract(_col(c).cast("string"), NUMBER_CAPTURE, 1).try_cast("double")
 
 
 def is_finite(c: Column | str) -> Column:
     """True for a non-null, non-NaN, non-infinite double; false otherwise (never null)."""
+    return F.coalesce(F.abs(_col(c)) < F.lit(float("inf")), F.lit(False))
+
+
+def is_positive_finite(c: Column | str) -> Column:
+    """0 < x < ∞ with one reference to x; false for null and NaN (NaN sorts above ∞)."""
     x = _col(c)
-    return F.coalesce(
-        x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), F.lit(False)
-    )
+    return F.coalesce((x > 0) & (x < F.lit(float("inf"))), F.lit(False))
 
 
 def parse_iso_date(c: Column | str) -> Column:
     """ISO date or timestamp text → UTC calendar date; null for anything else."""
-    text = strip_text(c)
-    as_ts = F.regexp_replace(text, "Z$", "")
-    return F.when(text.rlike(ISO_DATE_PATTERN), F.to_date(as_ts.try_cast("timestamp")))
+    text = _col(c).cast("string")
+    local = F.regexp_extract(text, ISO_DATE_CAPTURE, 1)
+    offset = F.regexp_extract(text, ISO_DATE_CAPTURE, 2)
+    return F.to_date(F.concat(local, offset).try_cast("timestamp"))

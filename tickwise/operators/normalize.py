@@ -20,7 +20,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.functions.parse import canonical_upper, is_finite, parse_iso_date, parse_number, strip_text
+from tickwise.functions.parse import (
+    canonical_upper, is_finite, is_positive_finite, parse_iso_date, parse_number, strip_text,
+)
 from tickwise.functions.rounding import round_half_even
 
 
@@ -86,16 +88,17 @@ def _stock_tagged(df: DataFrame, order_col: str, batch_cols: Sequence[str]) -> D
         "volume": parse_number("volume"),
     }
     o, h, l, c = (F.col(x) for x in PRICE_COLUMNS)
-    prices_ok = F.lit(True)
-    for x in (o, h, l, c):
-        prices_ok = prices_ok & is_finite(x) & (x > 0)
+    prices_ok = (is_positive_finite(o) & is_positive_finite(h) & is_positive_finite(l)
+                 & is_positive_finite(c))
     v = F.col("volume")
+    # Each parsed value is referenced as few times as possible: Catalyst inlines
+    # the parse into every reference when it pushes the reason filter down.
     rules = [
         (~F.coalesce(F.col("ticker").rlike(TICKER_PATTERN), F.lit(False)), "invalid_ticker"),
         (F.col("trade_date").isNull(), "invalid_trade_date"),
-        (~F.coalesce(prices_ok, F.lit(False)), "invalid_ohlc"),
-        ((h < l) | (h < o) | (h < c) | (l > o) | (l > c), "inconsistent_ohlc"),
-        (~is_finite(v) | (v <= 0) | (v % 1 != 0), "invalid_volume"),
+        (~prices_ok, "invalid_ohlc"),
+        ((h < F.greatest(l, o, c)) | (l > F.least(o, c)), "inconsistent_ohlc"),
+        (~(is_positive_finite(v) & (v % 1 == 0)), "invalid_volume"),
     ]
     return _tag(df, values, rules, order_col, batch_cols)
 

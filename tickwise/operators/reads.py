@@ -40,9 +40,9 @@ def portfolio_summary(portfolio: DataFrame, tickers: Sequence[str] | None = None
     )
 
 
-def _arg(order: Column, ticker: Column = F.col("ticker")) -> Column:
+def _arg(order: Column, ticker: str = "ticker") -> Column:
     """Ticker of the smallest non-null ``order``; ties go to the smallest ticker."""
-    return F.min_by(ticker, F.when(order.isNotNull(), F.struct(order, ticker)))
+    return F.min_by(F.col(ticker), F.when(order.isNotNull(), F.struct(order, F.col(ticker))))
 
 
 def portfolio_extremes(summary: DataFrame) -> DataFrame:

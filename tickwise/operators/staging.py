@@ -20,17 +20,17 @@ MACRO_COLUMNS = ("indicator_name", "indicator_date", "value", "loaded_at")
 
 
 # Total order that picks the surviving version of a key (latest load first).
-STOCK_ORDER = [
-    F.col("loaded_at").desc_nulls_last(), F.col("close_price").desc_nulls_last(),
-    F.col("open_price").desc_nulls_last(), F.col("high_price").desc_nulls_last(),
-    F.col("low_price").desc_nulls_last(), F.col("volume").desc_nulls_last(),
-]
-MACRO_ORDER = [F.col("loaded_at").desc_nulls_last(), F.col("value").desc_nulls_last()]
+STOCK_ORDER = ("loaded_at", "close_price", "open_price", "high_price", "low_price", "volume")
+MACRO_ORDER = ("loaded_at", "value")
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """Keep the first row per key under ``order`` (row_number = 1)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+def _desc(cols) -> list:
+    return [F.col(c).desc_nulls_last() for c in cols]
+
+
+def latest_per_key(df: DataFrame, keys: list[str], order) -> DataFrame:
+    """Keep the first row per key, ordering by ``order`` columns descending (row_number = 1)."""
+    w = Window.partitionBy(*keys).orderBy(*_desc(order))
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Payload keys and error codes of the two APIs.
 STOCK_SERIES_KEY = "Time Series (Daily)"
@@ -70,18 +71,36 @@ def classify_macro_payloads(payloads: DataFrame,
     return payloads.select(*id_cols, macro_error_code(F.col("payload")).alias("error_code"))
 
 
-def _entries_last_value_first_position(m: Column) -> Column:
-    """Map entries as (pos, key, value); a repeated key keeps its first position and last value."""
-    entries = F.map_entries(m)
-    keys = F.map_keys(m)
-    plain = F.transform(entries, lambda e, i: F.struct(
-        i.alias("pos"), e["key"].alias("key"), e["value"].alias("value")))
+def _day_schema() -> T.StructType:
+    return T.StructType([T.StructField(src, T.StringType()) for src in STOCK_FIELDS.values()])
+
+
+def _observation_schema() -> T.StructType:
+    return T.StructType([T.StructField("date", T.StringType()), T.StructField("value", T.StringType())])
+
+
+def _days(series: Column) -> Column:
+    """Days of a series map as (pos, key, fields); each day's JSON is parsed exactly once.
+
+    A repeated date keeps its first position and its last value (JSON object
+    semantics of the producer).  Parsing inside the array keeps every field a
+    plain struct read of the generator output, so no later filter can be
+    pushed below the explode and re-run the parser per reference.
+    """
+    schema = _day_schema()
+    entries = F.map_entries(series)
+    keys = F.map_keys(series)
+
+    def day(key: Column, pos: Column, value: Column) -> Column:
+        return F.struct(pos.alias("pos"), key.alias("key"),
+                        F.from_json(value, schema).alias("fields"))
+
+    plain = F.transform(entries, lambda e, i: day(e["key"], i, e["value"]))
     merged = F.filter(
-        F.transform(entries, lambda e, i: F.struct(
-            i.alias("pos"), e["key"].alias("key"),
-            F.element_at(F.filter(entries, lambda x: x["key"] == e["key"]), -1)["value"]
-            .alias("value"))),
-        lambda e: F.array_position(keys, e["key"]) == e["pos"] + 1)
+        F.transform(entries, lambda e, i: day(
+            e["key"], i,
+            F.element_at(F.filter(entries, lambda x: x["key"] == e["key"]), -1)["value"])),
+        lambda d: F.array_position(keys, d["key"]) == d["pos"] + 1)
     return F.when(F.size(F.array_distinct(keys)) < F.size(keys), merged).otherwise(plain)
 
 
@@ -90,30 +109,33 @@ def parse_stock_payloads(payloads: DataFrame, id_cols=("payload_id", "ticker"))
 
     A day whose value is not an object gives a row of null fields.
     """
-    series = F.from_json("payload", f"struct<`{STOCK_SERIES_KEY}`: map<string,string>>")
-    usable = payloads.where(stock_error_code(F.col("payload")).isNull())
-    days = usable.select(
+    usable = payloads.where(stock_error_code(F.col("payload")).isNull()).select(
         *id_cols,
-        F.explode(_entries_last_value_first_position(series[STOCK_SERIES_KEY])).alias("d"))
-    fields = F.from_json(F.col("d.value"), "map<string,string>")
+        F.from_json("payload", f"struct<`{STOCK_SERIES_KEY}`: map<string,string>>")
+        [STOCK_SERIES_KEY].alias("series"))
+    days = usable.select(*id_cols, F.explode(_days(F.col("series"))).alias("d"))
     return days.select(
         *id_cols,
         F.col("d.pos").cast("bigint").alias("_input_order"),
         F.col("d.key").alias("trade_date"),
-        *[fields[src].alias(dst) for dst, src in STOCK_FIELDS.items()],
+        *[F.col("d.fields").getField(src).alias(dst) for dst, src in STOCK_FIELDS.items()],
     )
 
 
 def parse_macro_payloads(payloads: DataFrame,
                          id_cols=("payload_id", "series_id", "indicator_name")) -> DataFrame:
     """S3: one text row per observation; a non-object element gives null date and value."""
+    schema = _observation_schema()
     obs = F.from_json("payload", f"struct<{MACRO_LIST_KEY}: array<string>>")[MACRO_LIST_KEY]
     usable = payloads.where(macro_error_code(F.col("payload")).isNull())
-    return usable.select(*id_cols, F.posexplode_outer(obs).alias("_input_order", "obs")).select(
+    parsed = F.transform(obs, lambda o, i: F.struct(
+        i.alias("pos"), F.from_json(o, schema).alias("fields")))
+    rows = usable.select(*id_cols, F.explode(parsed).alias("o"))
+    return rows.select(
         *id_cols,
-        F.col("_input_order").cast("bigint").alias("_input_order"),
-        F.get_json_object("obs", "$.date").alias("indicator_date"),
-        F.get_json_object("obs", "$.value").alias("value"),
+        F.col("o.pos").cast("bigint").alias("_input_order"),
+        F.col("o.fields.date").alias("indicator_date"),
+        F.col("o.fields.value").alias("value"),
     )
 
 
