@@ -16,6 +16,7 @@ from tickwise.operators import normalize as N
 from tickwise.operators.staging import stg_macro_indicators, stg_stock_prices
 from tickwise.plans import marts
 from tickwise.plans.oracle import AS_OF
+from tickwise.session import ensure_checkpoint_dir
 from tickwise.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,32 +128,36 @@ def _merged_stock(spark, sf):
                                  fixtures.upsert_stock_source(spark, sf))
 
 
-def _stock_run(spark, sf):
-    """One stock ingestion run over the landed payloads against yesterday's snapshot."""
-    payloads = fixtures.stock_payloads(spark, sf)
+def _stock_run_parts(spark, sf):
+    """Shared inputs of one stock ingestion run, with lineage cut after the expensive steps.
+
+    The landed payloads and the normalised batch feed several branches
+    (classification, metrics, merge), so each is checkpointed once into the
+    session's checkpoint folder instead of being recomputed per branch.
+    """
+    ensure_checkpoint_dir(spark)
+    payloads = fixtures.stock_payloads(spark, sf).checkpoint()
     batches = P.classify_stock_payloads(payloads).withColumnRenamed("ticker", "entity_name")
     valid, rejected = N.stock_normalization(P.parse_stock_payloads(payloads),
                                             batch_cols=["payload_id"])
+    valid = valid.checkpoint()
     metrics = N.normalization_metrics(valid, rejected, N.STOCK_REASONS, ["payload_id"])
     merged = U.upsert_stock_prices(fixtures.upsert_stock_target(spark, sf), valid,
                                    loaded_at=F.lit(RUN_STARTED).cast("timestamp_ntz"),
                                    carry=["payload_id"])
-    counts = U.merge_counts(merged, ["payload_id"])
+    return batches, metrics, U.merge_counts(merged, ["payload_id"])
+
+
+def _stock_run(spark, sf):
+    """One stock ingestion run over the landed payloads against yesterday's snapshot."""
+    batches, metrics, counts = _stock_run_parts(spark, sf)
     return AU.run_log(batches, metrics, counts, pipeline_name=AU.STOCK_PIPELINE,
                       started_at=RUN_STARTED, completed_at=RUN_COMPLETED, batch_col="payload_id")
 
 
 def _stock_run_status(spark, sf):
     """U2 on its own: the status each payload's counts give (payload id, status)."""
-    payloads = fixtures.stock_payloads(spark, sf)
-    batches = P.classify_stock_payloads(payloads)
-    valid, rejected = N.stock_normalization(P.parse_stock_payloads(payloads),
-                                            batch_cols=["payload_id"])
-    metrics = N.normalization_metrics(valid, rejected, N.STOCK_REASONS, ["payload_id"])
-    merged = U.upsert_stock_prices(fixtures.upsert_stock_target(spark, sf), valid,
-                                   loaded_at=F.lit(RUN_STARTED).cast("timestamp_ntz"),
-                                   carry=["payload_id"])
-    counts = U.merge_counts(merged, ["payload_id"])
+    batches, metrics, counts = _stock_run_parts(spark, sf)
     j = batches.join(metrics, "payload_id", "left").join(counts, "payload_id", "left")
     z = F.lit(0).cast("bigint")
     return j.select("payload_id", AU.run_status(
