@@ -254,9 +254,11 @@ MACRO_REASONS = ("invalid_series_id", "invalid_indicator_name", "invalid_indicat
 
 
 def _metrics_sql(final: str, reasons) -> str:
-    per = ",\n  ".join(f"count_if(final_reason = '{r}') AS dropped_{r}" for r in reasons)
-    return (f"SELECT count(*) AS rows_fetched, count_if(final_reason IS NULL) AS rows_valid,\n"
-            f"  count_if(final_reason IS NOT NULL) AS rows_dropped,\n  {per}\nFROM {final}")
+    per = ",\n  ".join(f"CAST(count_if(final_reason = '{r}') AS BIGINT) AS dropped_{r}"
+                        for r in reasons)
+    return (f"SELECT count(*) AS rows_fetched,\n"
+            f"  CAST(count_if(final_reason IS NULL) AS BIGINT) AS rows_valid,\n"
+            f"  CAST(count_if(final_reason IS NOT NULL) AS BIGINT) AS rows_dropped,\n  {per}\nFROM {final}")
 
 
 ORACLE.update({
@@ -434,9 +436,9 @@ ORACLE.update({
     "upsert_stock_prices": with_(*STOCK_MERGE_CHAIN) + "SELECT * FROM merged_rows",
     "upsert_macro_indicators": with_(*MACRO_MERGE_CHAIN) + "SELECT * FROM merged_rows",
     "merge_counts": with_(*STOCK_MERGE_CHAIN) + """
-SELECT ticker, count_if(_action = 'insert') AS rows_inserted,
-       count_if(_action = 'update') AS rows_updated,
-       count_if(_action = 'unchanged') AS rows_unchanged
+SELECT ticker, CAST(count_if(_action = 'insert') AS BIGINT) AS rows_inserted,
+       CAST(count_if(_action = 'update') AS BIGINT) AS rows_updated,
+       CAST(count_if(_action = 'unchanged') AS BIGINT) AS rows_unchanged
 FROM merged_rows WHERE _action <> 'keep' GROUP BY ticker""",
 })
 
@@ -508,7 +510,8 @@ SELECT run_id, pipeline_name, status, violation FROM (
     + f"SELECT run_id, {REDACT('error_message')} AS error_message FROM pipeline_logs "
       "WHERE error_message IS NOT NULL",
     "run_summary": with_(LOGS) + """
-SELECT pipeline_name, count(*) AS entity_runs, count_if(status = 'FAILED') AS failed_runs,
+SELECT pipeline_name, count(*) AS entity_runs,
+       CAST(count_if(status = 'FAILED') AS BIGINT) AS failed_runs,
        bool_or(status = 'FAILED') AS any_failed,
        CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted,
        CAST(sum(rows_updated) AS BIGINT) AS rows_updated
@@ -647,7 +650,8 @@ def _not_null_sql(check_names: bool) -> str:
         for c in cols:
             label = (f"'not_null_{model}_{c}' AS check_name" if check_names
                      else f"'{model}' AS model, '{c}' AS column_name")
-            parts.append(f"SELECT {label}, count_if({c} IS NULL) AS failures FROM {model}")
+            parts.append(f"SELECT {label}, CAST(count_if({c} IS NULL) AS BIGINT) AS failures "
+                         f"FROM {model}")
     return "\nUNION ALL ".join(parts)
 
 
