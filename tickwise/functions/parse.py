@@ -22,7 +22,7 @@ ISO_DATE_PATTERN = (
 NUMBER_CAPTURE = (r"(?iU)^\s*([+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?"
                   r"|inf|infinity|nan))\s*$")
 ISO_DATE_CAPTURE = (r"(?U)^\s*(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?)"
-                    r"(?:Z|([+-]\d{2}(?::?\d{2})?))?\s*$")
+                    r"(?:Z|([+-](?:0\d|1[0-8])(?::?[0-5]\d)?))?\s*$")
 # Leading / trailing white space in the Unicode sense (Spark's trim strips spaces only).
 EDGE_SPACE_PATTERN = r"(?U)^\s+|\s+$"
 
@@ -62,8 +62,13 @@ def is_positive_finite(c: Column | str) -> Column:
 
 
 def parse_iso_date(c: Column | str) -> Column:
-    """ISO date or timestamp text → UTC calendar date; null for anything else."""
+    """ISO date or timestamp text → UTC calendar date; null for anything else.
+
+    Computed on TIMESTAMP_NTZ with an explicit offset, so the result does not
+    depend on the session time zone.
+    """
     text = _col(c).cast("string")
-    local = F.regexp_extract(text, ISO_DATE_CAPTURE, 1)
+    local = F.regexp_extract(text, ISO_DATE_CAPTURE, 1).try_cast("timestamp_ntz")
     offset = F.regexp_extract(text, ISO_DATE_CAPTURE, 2)
-    return F.to_date(F.concat(local, offset).try_cast("timestamp"))
+    zone = F.when(offset != "", offset).otherwise(F.lit("UTC"))
+    return F.to_date(F.convert_timezone(zone, F.lit("UTC"), local))

@@ -50,8 +50,7 @@ def run_status(valid: Column, inserted: Column, updated: Column, dropped: Column
 def duration_ms(started: Column, completed: Column) -> Column:
     """U4: whole milliseconds between two timestamps, never negative."""
     return F.greatest(F.lit(0).cast("bigint"),
-                      F.unix_micros(completed.cast("timestamp")) / 1000
-                      - F.unix_micros(started.cast("timestamp")) / 1000).cast("bigint")
+                      F.timestamp_diff("MILLISECOND", started, completed).cast("bigint"))
 
 
 def uuid_from(*parts: Column) -> Column:

@@ -87,8 +87,7 @@ def source_freshness(raw: DataFrame, as_of: Column, source_name: str = "raw_stoc
                      loaded_at: str = "loaded_at") -> DataFrame:
     """Newest load vs ``as_of``; error after 7 days, warn after 3, else pass."""
     newest = raw.agg(F.max(loaded_at).alias("max_loaded_at"))
-    age = (F.unix_micros(as_of.cast("timestamp"))
-           - F.unix_micros(F.col("max_loaded_at").cast("timestamp")))
+    age = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), as_of)
     day = 86_400 * 1_000_000
     status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
               .when(age > FRESHNESS_ERROR_DAYS * day, F.lit("error"))
