@@ -66,15 +66,30 @@ def _tag(df: DataFrame, values: dict[str, Column], rules, order_col: str,
     return parsed.withColumn("reason", _first_reason(rules))
 
 
-def _split(tagged: DataFrame, key: Sequence[str], batch_cols: Sequence[str]):
+def _final_reasons(tagged: DataFrame, key: Sequence[str], batch_cols: Sequence[str]) -> DataFrame:
+    """Every row with its final reason: null for the surviving valid row of each key.
+
+    With batch columns each batch is one landed document, already held whole
+    by one parser task, so a single window over (batch, key) is bounded by the
+    document and replaces a union + anti join.  Without them the whole input
+    is one batch of unbounded size: survivors are then picked with a
+    ``row_number() = 1`` (partial, map-side limit) and losers found by an anti
+    join on the unique row identity, so a key holding a third of all rows
+    never lands in one task.
+    """
+    if batch_cols:
+        w = Window.partitionBy(*batch_cols, *key, F.col("reason").isNull()).orderBy(
+            F.col("_input_order").desc())
+        ranked = tagged.withColumn("_rn", F.row_number().over(w))
+        dup = F.col("reason").isNull() & (F.col("_rn") > 1)
+        return ranked.withColumn(
+            "reason", F.when(dup, F.lit("duplicate_key")).otherwise(F.col("reason"))).drop("_rn")
     valid = tagged.where(F.col("reason").isNull())
-    w = Window.partitionBy(*batch_cols, *key).orderBy(F.col("_input_order").desc())
+    w = Window.partitionBy(*key).orderBy(F.col("_input_order").desc())
     survivors = valid.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    losers = (valid.join(survivors.select(*batch_cols, "_input_order"),
-                         [*batch_cols, "_input_order"], "left_anti")
+    losers = (valid.join(survivors.select("_input_order"), ["_input_order"], "left_anti")
               .withColumn("reason", F.lit("duplicate_key")))
-    rejected = tagged.where(F.col("reason").isNotNull()).unionByName(losers)
-    return survivors, rejected
+    return survivors.unionByName(tagged.where(F.col("reason").isNotNull())).unionByName(losers)
 
 
 # -- stock ---------------------------------------------------------------------
@@ -103,16 +118,26 @@ def _stock_tagged(df: DataFrame, order_col: str, batch_cols: Sequence[str]) -> D
     return _tag(df, values, rules, order_col, batch_cols)
 
 
-def stock_normalization(df: DataFrame, order_col: str = "_input_order",
-                        batch_cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows) of a stock batch."""
-    survivors, rejected = _split(_stock_tagged(df, order_col, batch_cols),
-                                 ["ticker", "trade_date"], batch_cols)
-    valid = survivors.select(
+def valid_stock_rows(final: DataFrame, batch_cols: Sequence[str] = ()) -> DataFrame:
+    """Loaded rows of a final-reason frame, rounded to the RAW contract."""
+    return final.where(F.col("reason").isNull()).select(
         *batch_cols, "_input_order", "ticker", "trade_date",
         *[round_half_even(p, 4).alias(p) for p in PRICE_COLUMNS],
         F.col("volume").cast("bigint").alias("volume"))
-    return valid, rejected
+
+
+def stock_normalization(df: DataFrame, order_col: str = "_input_order",
+                        batch_cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejected rows) of a stock batch."""
+    final = stock_reasons(df, order_col, batch_cols)
+    return valid_stock_rows(final, batch_cols), final.where(F.col("reason").isNotNull())
+
+
+def stock_reasons(df: DataFrame, order_col: str = "_input_order",
+                  batch_cols: Sequence[str] = ()) -> DataFrame:
+    """Every input row once, with its final reason (null = loaded)."""
+    return _final_reasons(_stock_tagged(df, order_col, batch_cols), ["ticker", "trade_date"],
+                          batch_cols)
 
 
 def normalize_stock_rows(df: DataFrame, order_col: str = "_input_order",
@@ -152,14 +177,25 @@ def _macro_tagged(df: DataFrame, order_col: str, batch_cols: Sequence[str]) -> D
     return _tag(df, values, rules, order_col, batch_cols)
 
 
+def valid_macro_rows(final: DataFrame, batch_cols: Sequence[str] = ()) -> DataFrame:
+    """Loaded rows of a final-reason frame, value rounded to 6 places."""
+    return final.where(F.col("reason").isNull()).select(
+        *batch_cols, "_input_order", "series_id", "indicator_name", "indicator_date",
+        round_half_even("value", 6).alias("value"))
+
+
 def macro_normalization(df: DataFrame, order_col: str = "_input_order",
                         batch_cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows) of a macro batch; dedup key is (series_id, date)."""
-    survivors, rejected = _split(_macro_tagged(df, order_col, batch_cols),
-                                 ["series_id", "indicator_date"], batch_cols)
-    valid = survivors.select(*batch_cols, "_input_order", "series_id", "indicator_name",
-                             "indicator_date", round_half_even("value", 6).alias("value"))
-    return valid, rejected
+    final = macro_reasons(df, order_col, batch_cols)
+    return valid_macro_rows(final, batch_cols), final.where(F.col("reason").isNotNull())
+
+
+def macro_reasons(df: DataFrame, order_col: str = "_input_order",
+                  batch_cols: Sequence[str] = ()) -> DataFrame:
+    """Every input row once, with its final reason (null = loaded)."""
+    return _final_reasons(_macro_tagged(df, order_col, batch_cols), ["series_id", "indicator_date"],
+                          batch_cols)
 
 
 def normalize_macro_rows(df: DataFrame, order_col: str = "_input_order",
@@ -184,6 +220,12 @@ def normalization_metrics(valid: DataFrame, rejected: DataFrame, reasons: Sequen
     """
     tagged = (valid.select(*batch_cols, F.lit(None).cast("string").alias("reason"))
               .unionByName(rejected.select(*batch_cols, "reason")))
+    return metrics_from_reasons(tagged, reasons, batch_cols)
+
+
+def metrics_from_reasons(tagged: DataFrame, reasons: Sequence[str],
+                         batch_cols: Sequence[str] = ()) -> DataFrame:
+    """The same counts from a frame holding every row once with its final reason."""
     aggs = [F.count(F.lit(1)).alias("rows_fetched"),
             F.count_if(F.col("reason").isNull()).alias("rows_valid"),
             F.count_if(F.col("reason").isNotNull()).alias("rows_dropped")]

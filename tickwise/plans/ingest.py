@@ -49,12 +49,11 @@ def run_stock_ingestion(spark: SparkSession, payloads: DataFrame, snapshot_path:
     started = started_at or _now()
     key = f"stock-{uuid.uuid4().hex}"
     batches = P.classify_stock_payloads(payloads).withColumnRenamed("ticker", "entity_name")
-    valid, rejected = N.stock_normalization(P.parse_stock_payloads(payloads),
-                                            batch_cols=["payload_id"])
+    final = sinks.stage(spark, N.stock_reasons(P.parse_stock_payloads(payloads),
+                                               batch_cols=["payload_id"]), "reasons", key)
     batches = sinks.stage(spark, batches, "batches", key)
-    metrics = sinks.stage(spark, N.normalization_metrics(valid, rejected, N.STOCK_REASONS,
-                                                         ["payload_id"]), "metrics", key)
-    valid = sinks.stage(spark, sinks.with_month(valid, "trade_date"), "valid", key)
+    metrics = N.metrics_from_reasons(final, N.STOCK_REASONS, ["payload_id"])
+    valid = sinks.with_month(N.valid_stock_rows(final, ["payload_id"]), "trade_date")
     target = _touched(sinks.read_snapshot(spark, snapshot_path, RAW_STOCK_SCHEMA), valid)
     merged = U.upsert_stock_prices(target, valid,
                                    loaded_at=F.lit(started).cast("timestamp_ntz"),
@@ -81,9 +80,9 @@ def run_macro_ingestion(spark: SparkSession, payloads: DataFrame, snapshot_path:
     started = started_at or _now()
     key = f"macro-{uuid.uuid4().hex}"
     classified = P.classify_macro_payloads(payloads)
-    valid, rejected = N.macro_normalization(P.parse_macro_payloads(payloads),
-                                            batch_cols=["payload_id"])
-    valid = sinks.stage(spark, sinks.with_month(valid, "indicator_date"), "valid", key)
+    final = sinks.stage(spark, N.macro_reasons(P.parse_macro_payloads(payloads),
+                                               batch_cols=["payload_id"]), "reasons", key)
+    valid = sinks.with_month(N.valid_macro_rows(final, ["payload_id"]), "indicator_date")
     clash = (U.duplicate_source_keys(valid).join(valid, list(U.MACRO_KEY))
              .select("payload_id").distinct().withColumn("_clash", F.lit(True)))
     batches = (classified.join(clash, "payload_id", "left").select(
@@ -91,9 +90,7 @@ def run_macro_ingestion(spark: SparkSession, payloads: DataFrame, snapshot_path:
         F.when(F.col("error_code").isNotNull(), F.col("error_code"))
         .when(F.col("_clash"), F.lit("SNOWFLAKE_LOAD_ERROR")).alias("error_code")))
     batches = sinks.stage(spark, batches, "batches", key)
-    metrics = sinks.stage(spark, N.normalization_metrics(valid.drop(sinks.MONTH_COLUMN), rejected,
-                                                         N.MACRO_REASONS, ["payload_id"]),
-                          "metrics", key)
+    metrics = N.metrics_from_reasons(final, N.MACRO_REASONS, ["payload_id"])
     loadable = valid.join(batches.where(F.col("error_code").isNull()).select("payload_id"),
                           "payload_id", "left_semi")
     target = _touched(sinks.read_snapshot(spark, snapshot_path, RAW_MACRO_SCHEMA), loadable)

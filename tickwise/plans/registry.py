@@ -138,10 +138,9 @@ def _stock_run_parts(spark, sf):
     ensure_checkpoint_dir(spark)
     payloads = fixtures.stock_payloads(spark, sf).checkpoint()
     batches = P.classify_stock_payloads(payloads).withColumnRenamed("ticker", "entity_name")
-    valid, rejected = N.stock_normalization(P.parse_stock_payloads(payloads),
-                                            batch_cols=["payload_id"])
-    valid = valid.checkpoint()
-    metrics = N.normalization_metrics(valid, rejected, N.STOCK_REASONS, ["payload_id"])
+    final = N.stock_reasons(P.parse_stock_payloads(payloads), batch_cols=["payload_id"]).checkpoint()
+    valid = N.valid_stock_rows(final, ["payload_id"])
+    metrics = N.metrics_from_reasons(final, N.STOCK_REASONS, ["payload_id"])
     merged = U.upsert_stock_prices(fixtures.upsert_stock_target(spark, sf), valid,
                                    loaded_at=F.lit(RUN_STARTED).cast("timestamp_ntz"),
                                    carry=["payload_id"])
