@@ -66,30 +66,46 @@ def _tag(df: DataFrame, values: dict[str, Column], rules, order_col: str,
     return parsed.withColumn("reason", _first_reason(rules))
 
 
-def _final_reasons(tagged: DataFrame, key: Sequence[str], batch_cols: Sequence[str]) -> DataFrame:
-    """Every row with its final reason: null for the surviving valid row of each key.
-
-    With batch columns each batch is one landed document, already held whole
-    by one parser task, so a single window over (batch, key) is bounded by the
-    document and replaces a union + anti join.  Without them the whole input
-    is one batch of unbounded size: survivors are then picked with a
-    ``row_number() = 1`` (partial, map-side limit) and losers found by an anti
-    join on the unique row identity, so a key holding a third of all rows
-    never lands in one task.
+def _batch_final(tagged: DataFrame, key: Sequence[str], batch_cols: Sequence[str]) -> DataFrame:
+    """One window over (batch, key): losers among the valid rows become ``duplicate_key``.
+
+    Each batch is one landed document, already held whole by one parser task,
+    so a window partition is bounded by the document.
+    """
+    w = Window.partitionBy(*batch_cols, *key, F.col("reason").isNull()).orderBy(
+        F.col("_input_order").desc())
+    ranked = tagged.withColumn("_rn", F.row_number().over(w))
+    dup = F.col("reason").isNull() & (F.col("_rn") > 1)
+    return ranked.withColumn(
+        "reason", F.when(dup, F.lit("duplicate_key")).otherwise(F.col("reason"))).drop("_rn")
+
+
+def _survivors_and_rejects(tagged: DataFrame, key: Sequence[str],
+                           batch_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(surviving valid rows, rejected rows with their final reason).
+
+    Without batch columns the whole input is one batch of unbounded size:
+    survivors are picked with ``row_number() = 1`` (partial, map-side limit)
+    and losers found by an anti join on the unique row identity, so a key
+    holding a third of all rows never lands in one task.
     """
     if batch_cols:
-        w = Window.partitionBy(*batch_cols, *key, F.col("reason").isNull()).orderBy(
-            F.col("_input_order").desc())
-        ranked = tagged.withColumn("_rn", F.row_number().over(w))
-        dup = F.col("reason").isNull() & (F.col("_rn") > 1)
-        return ranked.withColumn(
-            "reason", F.when(dup, F.lit("duplicate_key")).otherwise(F.col("reason"))).drop("_rn")
+        final = _batch_final(tagged, key, batch_cols)
+        return final.where(F.col("reason").isNull()), final.where(F.col("reason").isNotNull())
     valid = tagged.where(F.col("reason").isNull())
     w = Window.partitionBy(*key).orderBy(F.col("_input_order").desc())
     survivors = valid.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     losers = (valid.join(survivors.select("_input_order"), ["_input_order"], "left_anti")
               .withColumn("reason", F.lit("duplicate_key")))
-    return survivors.unionByName(tagged.where(F.col("reason").isNotNull())).unionByName(losers)
+    return survivors, tagged.where(F.col("reason").isNotNull()).unionByName(losers)
+
+
+def _final_reasons(tagged: DataFrame, key: Sequence[str], batch_cols: Sequence[str]) -> DataFrame:
+    """Every row once with its final reason: null for the surviving valid row of each key."""
+    if batch_cols:
+        return _batch_final(tagged, key, batch_cols)
+    survivors, rejected = _survivors_and_rejects(tagged, key, batch_cols)
+    return survivors.unionByName(rejected)
 
 
 # -- stock ---------------------------------------------------------------------
@@ -129,8 +145,9 @@ def valid_stock_rows(final: DataFrame, batch_cols: Sequence[str] = ()) -> DataFr
 def stock_normalization(df: DataFrame, order_col: str = "_input_order",
                         batch_cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows) of a stock batch."""
-    final = stock_reasons(df, order_col, batch_cols)
-    return valid_stock_rows(final, batch_cols), final.where(F.col("reason").isNotNull())
+    survivors, rejected = _survivors_and_rejects(
+        _stock_tagged(df, order_col, batch_cols), ["ticker", "trade_date"], batch_cols)
+    return valid_stock_rows(survivors, batch_cols), rejected
 
 
 def stock_reasons(df: DataFrame, order_col: str = "_input_order",
@@ -187,8 +204,9 @@ def valid_macro_rows(final: DataFrame, batch_cols: Sequence[str] = ()) -> DataFr
 def macro_normalization(df: DataFrame, order_col: str = "_input_order",
                         batch_cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows) of a macro batch; dedup key is (series_id, date)."""
-    final = macro_reasons(df, order_col, batch_cols)
-    return valid_macro_rows(final, batch_cols), final.where(F.col("reason").isNotNull())
+    survivors, rejected = _survivors_and_rejects(
+        _macro_tagged(df, order_col, batch_cols), ["series_id", "indicator_date"], batch_cols)
+    return valid_macro_rows(survivors, batch_cols), rejected
 
 
 def macro_reasons(df: DataFrame, order_col: str = "_input_order",
