@@ -1,10 +1,12 @@
 """One ingestion run: landed payloads → normalised batch → upsert → audit rows.
 
+``stock_run_plan`` / ``macro_run_plan`` are the pure plans (DataFrames in,
+DataFrames out).  ``run_*_ingestion`` execute them against the warehouse.
 All entities (payloads) of the run are processed by one set of Spark jobs,
 keyed by payload id; a bad payload becomes a FAILED audit row and the others
 still load.  Order of effects:
 
-1. the normalised batch and the labelled merge are staged under the shared
+1. the per-row reasons and the labelled merge are staged under the shared
    checkpoint folder (lineage cut; survives executor loss);
 2. the touched month partitions of the snapshot are replaced;
 3. the audit rows are appended.
@@ -17,7 +19,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,78 +33,112 @@ from tickwise.sources import sinks
 from tickwise.sources.tables import RAW_MACRO_SCHEMA, RAW_STOCK_SCHEMA
 
 TS_FORMAT = "%Y-%m-%d %H:%M:%S"
+Stage = Callable[[DataFrame, str], DataFrame]
+# The snapshot rows a batch may touch, given the batch's valid rows.
+Target = Callable[[DataFrame], DataFrame]
 
 
 def _now() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime(TS_FORMAT)
 
 
-def _touched(snapshot: DataFrame, batch: DataFrame) -> DataFrame:
-    """Snapshot rows in the months the batch touches (a semi join: partition pruning)."""
-    months = batch.select(sinks.MONTH_COLUMN).distinct()
-    return snapshot.join(months, sinks.MONTH_COLUMN, "left_semi")
+def _keep(df: DataFrame, name: str) -> DataFrame:
+    return df
 
 
-def run_stock_ingestion(spark: SparkSession, payloads: DataFrame, snapshot_path: str,
-                        logs_path: str, started_at: str | None = None,
-                        secrets: Sequence[str] = ()) -> DataFrame:
-    """Ingest stock payloads (payload_id, ticker, payload); returns the audit rows written."""
-    started = started_at or _now()
-    key = f"stock-{uuid.uuid4().hex}"
-    batches = P.classify_stock_payloads(payloads).withColumnRenamed("ticker", "entity_name")
-    final = sinks.stage(spark, N.stock_reasons(P.parse_stock_payloads(payloads),
-                                               batch_cols=["payload_id"]), "reasons", key)
-    batches = sinks.stage(spark, batches, "batches", key)
+@dataclass(frozen=True)
+class RunPlan:
+    batches: DataFrame   # payload_id, entity_name, error_code (null = usable)
+    metrics: DataFrame   # payload_id + normalisation counts
+    merged: DataFrame    # labelled merge (snapshot rows + _action + payload_id)
+
+    def audit(self, pipeline_name: str, started_at: str, completed_at: str,
+              secrets: Sequence[str] = ()) -> DataFrame:
+        return AU.run_log(self.batches, self.metrics, U.merge_counts(self.merged, ["payload_id"]),
+                          pipeline_name=pipeline_name, started_at=started_at,
+                          completed_at=completed_at, secrets=secrets)
+
+
+def _target(target: DataFrame | Target, valid: DataFrame) -> DataFrame:
+    return target(valid) if callable(target) else target
+
+
+def stock_run_plan(payloads: DataFrame, target: DataFrame | Target, started_at: str,
+                   stage: Stage = _keep) -> RunPlan:
+    """Plan of one stock run against ``target`` (the snapshot rows it may touch)."""
+    batches = stage(P.classify_stock_payloads(payloads)
+                    .withColumnRenamed("ticker", "entity_name"), "batches")
+    final = stage(N.stock_reasons(P.parse_stock_payloads(payloads), batch_cols=["payload_id"]),
+                  "reasons")
     metrics = N.metrics_from_reasons(final, N.STOCK_REASONS, ["payload_id"])
-    valid = sinks.with_month(N.valid_stock_rows(final, ["payload_id"]), "trade_date")
-    target = _touched(sinks.read_snapshot(spark, snapshot_path, RAW_STOCK_SCHEMA), valid)
-    merged = U.upsert_stock_prices(target, valid,
-                                   loaded_at=F.lit(started).cast("timestamp_ntz"),
+    valid = N.valid_stock_rows(final, ["payload_id"])
+    merged = U.upsert_stock_prices(_target(target, valid), valid,
+                                   loaded_at=F.lit(started_at).cast("timestamp_ntz"),
                                    carry=["payload_id"])
-    merged = sinks.stage(spark, sinks.with_month(merged, "trade_date"), "merged", key)
-    sinks.write_snapshot_months(merged.drop("_action", "payload_id"), snapshot_path)
-    audit = AU.run_log(batches, metrics, U.merge_counts(merged, ["payload_id"]),
-                       pipeline_name=AU.STOCK_PIPELINE, started_at=started,
-                       completed_at=_now(), secrets=secrets)
-    audit = sinks.stage(spark, audit, "audit", key)
-    sinks.append_pipeline_log(spark, audit, logs_path)
-    return audit
+    return RunPlan(batches, metrics, merged)
 
 
-def run_macro_ingestion(spark: SparkSession, payloads: DataFrame, snapshot_path: str,
-                        logs_path: str, started_at: str | None = None,
-                        secrets: Sequence[str] = ()) -> DataFrame:
-    """Ingest macro payloads (payload_id, series_id, indicator_name, payload).
+def macro_run_plan(payloads: DataFrame, target: DataFrame | Target, started_at: str,
+                   stage: Stage = _keep) -> RunPlan:
+    """Plan of one macro run.
 
-    Payloads whose batch would give two rows for one (indicator_name, date) —
-    two series sharing a display name — fail as a whole instead of merging
-    ambiguously.
+    Payloads whose rows would give two batch rows for one (indicator_name,
+    date) — two series sharing a display name — fail as a whole instead of
+    merging ambiguously.
     """
-    started = started_at or _now()
-    key = f"macro-{uuid.uuid4().hex}"
-    classified = P.classify_macro_payloads(payloads)
-    final = sinks.stage(spark, N.macro_reasons(P.parse_macro_payloads(payloads),
-                                               batch_cols=["payload_id"]), "reasons", key)
-    valid = sinks.with_month(N.valid_macro_rows(final, ["payload_id"]), "indicator_date")
+    final = stage(N.macro_reasons(P.parse_macro_payloads(payloads), batch_cols=["payload_id"]),
+                  "reasons")
+    metrics = N.metrics_from_reasons(final, N.MACRO_REASONS, ["payload_id"])
+    valid = N.valid_macro_rows(final, ["payload_id"])
     clash = (U.duplicate_source_keys(valid).join(valid, list(U.MACRO_KEY))
              .select("payload_id").distinct().withColumn("_clash", F.lit(True)))
-    batches = (classified.join(clash, "payload_id", "left").select(
+    batches = stage(P.classify_macro_payloads(payloads).join(clash, "payload_id", "left").select(
         "payload_id", F.col("series_id").alias("entity_name"),
         F.when(F.col("error_code").isNotNull(), F.col("error_code"))
-        .when(F.col("_clash"), F.lit("SNOWFLAKE_LOAD_ERROR")).alias("error_code")))
-    batches = sinks.stage(spark, batches, "batches", key)
-    metrics = N.metrics_from_reasons(final, N.MACRO_REASONS, ["payload_id"])
+        .when(F.col("_clash"), F.lit("SNOWFLAKE_LOAD_ERROR")).alias("error_code")), "batches")
     loadable = valid.join(batches.where(F.col("error_code").isNull()).select("payload_id"),
                           "payload_id", "left_semi")
-    target = _touched(sinks.read_snapshot(spark, snapshot_path, RAW_MACRO_SCHEMA), loadable)
-    merged = U.upsert_macro_indicators(target, loadable,
-                                       loaded_at=F.lit(started).cast("timestamp_ntz"),
+    merged = U.upsert_macro_indicators(_target(target, loadable), loadable,
+                                       loaded_at=F.lit(started_at).cast("timestamp_ntz"),
                                        carry=["payload_id"])
-    merged = sinks.stage(spark, sinks.with_month(merged, "indicator_date"), "merged", key)
+    return RunPlan(batches, metrics, merged)
+
+
+def _execute(spark: SparkSession, plan_fn, payloads: DataFrame, snapshot_path: str,
+             schema, date_col: str, logs_path: str, pipeline: str, started_at: str | None,
+             secrets: Sequence[str]) -> DataFrame:
+    started = started_at or _now()
+    key = f"{pipeline.lower()}-{uuid.uuid4().hex}"
+    snapshot = sinks.read_snapshot(spark, snapshot_path, schema)
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        return sinks.stage(spark, df, name, key)
+
+    def touched(valid: DataFrame) -> DataFrame:
+        """Snapshot rows in the months the batch touches (semi join: partition pruning)."""
+        months = sinks.with_month(valid, date_col).select(sinks.MONTH_COLUMN).distinct()
+        return snapshot.join(months, sinks.MONTH_COLUMN, "left_semi")
+
+    plan = plan_fn(payloads, touched, started, stage)
+    merged = stage(sinks.with_month(plan.merged, date_col), "merged")
     sinks.write_snapshot_months(merged.drop("_action", "payload_id"), snapshot_path)
-    audit = AU.run_log(batches, metrics, U.merge_counts(merged, ["payload_id"]),
-                       pipeline_name=AU.MACRO_PIPELINE, started_at=started,
-                       completed_at=_now(), secrets=secrets)
-    audit = sinks.stage(spark, audit, "audit", key)
+    done = RunPlan(plan.batches, plan.metrics, merged)
+    audit = stage(done.audit(pipeline, started, _now(), secrets), "audit")
     sinks.append_pipeline_log(spark, audit, logs_path)
     return audit
+
+
+def run_stock_ingestion(spark: SparkSession, payloads: DataFrame, snapshot_path: str,
+                        logs_path: str, started_at: str | None = None,
+                        secrets: Sequence[str] = ()) -> DataFrame:
+    """Ingest stock payloads (payload_id, ticker, payload); returns the audit rows written."""
+    return _execute(spark, stock_run_plan, payloads, snapshot_path, RAW_STOCK_SCHEMA,
+                    "trade_date", logs_path, AU.STOCK_PIPELINE, started_at, secrets)
+
+
+def run_macro_ingestion(spark: SparkSession, payloads: DataFrame, snapshot_path: str,
+                        logs_path: str, started_at: str | None = None,
+                        secrets: Sequence[str] = ()) -> DataFrame:
+    """Ingest macro payloads (payload_id, series_id, indicator_name, payload)."""
+    return _execute(spark, macro_run_plan, payloads, snapshot_path, RAW_MACRO_SCHEMA,
+                    "indicator_date", logs_path, AU.MACRO_PIPELINE, started_at, secrets)

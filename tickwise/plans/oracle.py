@@ -737,3 +737,57 @@ SELECT ticker, max(trade_date) AS trade_date,
        {R('arg_max(indicator_value, trade_date)', 2)} AS indicator_value
 FROM mart_macro_correlation WHERE indicator_name = '{FOCUS_INDICATOR}' GROUP BY ticker""",
 })
+
+# -- run log of a macro payload ingestion ---------------------------------------------------
+
+MACRO_RUN = f"""mpayload_class AS (
+  SELECT DISTINCT payload_id, series_id, CASE
+    WHEN code IN (1, 2, 3, 4, 5) THEN 'API_DATA_UNAVAILABLE'
+    WHEN code IN (6, 7, 8) THEN 'API_RESPONSE_INVALID' END AS error_code
+  FROM macro_groups),
+mpayload_rows AS (SELECT * FROM macro_groups WHERE code NOT BETWEEN 1 AND 8),
+mpayload_metrics AS (
+  SELECT payload_id, count(*) AS rows_fetched, count_if(value IS NOT NULL) AS rows_valid,
+         count_if(value IS NULL) AS rows_dropped
+  FROM mpayload_rows GROUP BY payload_id),
+mvalid AS (
+  SELECT payload_id, indicator_name, indicator_date,
+         round_even(CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE), 6) AS value
+  FROM mpayload_rows WHERE value IS NOT NULL),
+mpayload_merge AS (
+  SELECT v.payload_id, count_if(t.indicator_name IS NULL) AS rows_inserted,
+    count_if(t.indicator_name IS NOT NULL AND t.value IS DISTINCT FROM v.value) AS rows_updated,
+    count_if(t.indicator_name IS NOT NULL AND NOT (t.value IS DISTINCT FROM v.value)) AS rows_unchanged
+  FROM mvalid v LEFT JOIN ups_target t
+    ON t.indicator_name = v.indicator_name AND t.indicator_date = v.indicator_date
+  GROUP BY v.payload_id),
+mrun_counts AS (
+  SELECT c.payload_id, c.series_id, c.error_code,
+    coalesce(m.rows_fetched, 0) AS rows_fetched, coalesce(m.rows_valid, 0) AS rows_valid,
+    coalesce(m.rows_dropped, 0) AS rows_dropped,
+    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_inserted, 0) ELSE 0 END AS rows_inserted,
+    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_updated, 0) ELSE 0 END AS rows_updated,
+    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_unchanged, 0) ELSE 0 END AS rows_unchanged
+  FROM mpayload_class c LEFT JOIN mpayload_metrics m ON c.payload_id = m.payload_id
+  LEFT JOIN mpayload_merge g ON c.payload_id = g.payload_id),
+macro_run_log AS (
+  SELECT
+    (SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-'
+            || substr(h, 17, 4) || '-' || substr(h, 21, 12)
+     FROM (SELECT md5('MACRO_INGESTION|' || payload_id || '|{RUN_STARTED}') AS h)) AS run_id,
+    TIMESTAMP '{RUN_STARTED}' AS run_timestamp, TIMESTAMP '{RUN_COMPLETED}' AS completed_at,
+    'MACRO_INGESTION' AS pipeline_name, substr(series_id, 1, 128) AS entity_name,
+    CAST(rows_fetched AS BIGINT) AS rows_fetched, CAST(rows_valid AS BIGINT) AS rows_valid,
+    CAST(rows_inserted AS BIGINT) AS rows_inserted, CAST(rows_updated AS BIGINT) AS rows_updated,
+    CAST(rows_unchanged AS BIGINT) AS rows_unchanged, CAST(rows_dropped AS BIGINT) AS rows_dropped,
+    CASE WHEN error_code IS NOT NULL THEN 'FAILED' WHEN rows_valid = 0 THEN 'NO_VALID_ROWS'
+         WHEN rows_inserted = 0 AND rows_updated = 0 THEN 'NO_CHANGES'
+         WHEN rows_dropped > 0 THEN 'PARTIAL_SUCCESS' ELSE 'SUCCESS' END AS status,
+    CAST(300000 AS BIGINT) AS duration_ms,
+    error_code,
+    CASE error_code WHEN 'API_RESPONSE_INVALID' THEN 'Provider response was invalid.'
+         WHEN 'API_DATA_UNAVAILABLE' THEN 'Provider data was unavailable.' END AS error_message
+  FROM mrun_counts)"""
+
+ORACLE["macro_run_log"] = (with_(RAW_MACRO, MACRO_POINTS, _ups_macro("ups_target", 1), MACRO_RUN)
+                           + "SELECT * FROM macro_run_log")

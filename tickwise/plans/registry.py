@@ -16,7 +16,11 @@ from tickwise.operators import normalize as N
 from tickwise.operators.staging import stg_macro_indicators, stg_stock_prices
 from tickwise.plans import marts
 from tickwise.plans.oracle import AS_OF
+import uuid
+
 from tickwise.session import ensure_checkpoint_dir
+from tickwise.sources import sinks
+from tickwise.plans.ingest import macro_run_plan, stock_run_plan
 from tickwise.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,36 +132,42 @@ def _merged_stock(spark, sf):
                                  fixtures.upsert_stock_source(spark, sf))
 
 
-def _stock_run_parts(spark, sf):
-    """Shared inputs of one stock ingestion run, with lineage cut after the expensive steps.
+def _stager(spark):
+    """Stage frames as tables in the checkpoint folder (one computation each, lineage cut)."""
+    ensure_checkpoint_dir(spark)
+    key = f"registry-{uuid.uuid4().hex}"
+    return lambda df, name: sinks.stage(spark, df, name, key)
+
+
+def _stock_run_plan(spark, sf):
+    """One stock ingestion run over the landed payloads against yesterday's snapshot.
 
-    The landed payloads and the normalised batch feed several branches
-    (classification, metrics, merge), so each is checkpointed once into the
-    session's checkpoint folder instead of being recomputed per branch.
+    The landed payloads and the per-row reasons feed several branches
+    (classification, metrics, merge), so each is written once to the
+    checkpoint folder instead of being recomputed per branch.
     """
-    ensure_checkpoint_dir(spark)
-    payloads = fixtures.stock_payloads(spark, sf).checkpoint()
-    batches = P.classify_stock_payloads(payloads).withColumnRenamed("ticker", "entity_name")
-    final = N.stock_reasons(P.parse_stock_payloads(payloads), batch_cols=["payload_id"]).checkpoint()
-    valid = N.valid_stock_rows(final, ["payload_id"])
-    metrics = N.metrics_from_reasons(final, N.STOCK_REASONS, ["payload_id"])
-    merged = U.upsert_stock_prices(fixtures.upsert_stock_target(spark, sf), valid,
-                                   loaded_at=F.lit(RUN_STARTED).cast("timestamp_ntz"),
-                                   carry=["payload_id"])
-    return batches, metrics, U.merge_counts(merged, ["payload_id"])
+    stage = _stager(spark)
+    payloads = stage(fixtures.stock_payloads(spark, sf), "payloads")
+    return stock_run_plan(payloads, fixtures.upsert_stock_target(spark, sf), RUN_STARTED, stage)
 
 
 def _stock_run(spark, sf):
-    """One stock ingestion run over the landed payloads against yesterday's snapshot."""
-    batches, metrics, counts = _stock_run_parts(spark, sf)
-    return AU.run_log(batches, metrics, counts, pipeline_name=AU.STOCK_PIPELINE,
-                      started_at=RUN_STARTED, completed_at=RUN_COMPLETED, batch_col="payload_id")
+    return _stock_run_plan(spark, sf).audit(AU.STOCK_PIPELINE, RUN_STARTED, RUN_COMPLETED)
+
+
+def _macro_run(spark, sf):
+    """One macro ingestion run over the landed macro payloads against yesterday's snapshot."""
+    stage = _stager(spark)
+    payloads = stage(fixtures.macro_payloads(spark, sf), "payloads")
+    plan = macro_run_plan(payloads, fixtures.upsert_macro_target(spark, sf), RUN_STARTED, stage)
+    return plan.audit(AU.MACRO_PIPELINE, RUN_STARTED, RUN_COMPLETED)
 
 
 def _stock_run_status(spark, sf):
     """U2 on its own: the status each payload's counts give (payload id, status)."""
-    batches, metrics, counts = _stock_run_parts(spark, sf)
-    j = batches.join(metrics, "payload_id", "left").join(counts, "payload_id", "left")
+    plan = _stock_run_plan(spark, sf)
+    counts = U.merge_counts(plan.merged, ["payload_id"])
+    j = plan.batches.join(plan.metrics, "payload_id", "left").join(counts, "payload_id", "left")
     z = F.lit(0).cast("bigint")
     return j.select("payload_id", AU.run_status(
         F.coalesce("rows_valid", z), F.coalesce("rows_inserted", z),
@@ -216,6 +226,7 @@ QUERIES.update({
         fixtures.upsert_macro_target(spark, sf), fixtures.upsert_macro_source(spark, sf)),
     "merge_counts": lambda spark, sf: U.merge_counts(_merged_stock(spark, sf), ["ticker"]),
     "run_log": _stock_run,
+    "macro_run_log": _macro_run,
     "run_status": lambda spark, sf: _stock_run_status(spark, sf),
     "run_log_violations": lambda spark, sf: AU.run_log_violations(_logs(spark, sf)),
     "redact_messages": lambda spark, sf: AU.redact_messages(
