@@ -44,9 +44,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001  (no SparkContext under Spark Connect)
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; raises when unset."""
-    value = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    value = spark.conf.get("spark.checkpoint.dir", None) or _context_dir(spark)
     if not value:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     return value
@@ -54,9 +61,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the configured checkpoint folder; create a private one only when unset (tests)."""
-    value = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    value = spark.conf.get("spark.checkpoint.dir", None) or _context_dir(spark)
     if not value:
         value = tempfile.mkdtemp(prefix="tickwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", value)
-    spark.sparkContext.setCheckpointDir(value)
+    try:
+        spark.sparkContext.setCheckpointDir(value)
+    except Exception:  # noqa: BLE001  (Spark Connect: the SQL conf above is what we read)
+        pass
     return value
