@@ -179,10 +179,18 @@ def _logs(spark, sf):
     return fixtures.pipeline_logs(spark, sf)
 
 
-def _dq_models(spark, sf):
-    stg_s = stg_stock_prices(fixtures.raw_stock_prices_with_faults(spark, sf))
-    stg_m = stg_macro_indicators(fixtures.raw_macro_indicators_with_faults(spark, sf))
-    port = marts.mart_portfolio(stg_s, updated_at=as_of())
+def _dq_models(spark, sf, stage=None):
+    """Staging and marts over the fault-planted RAW tables.
+
+    With ``stage`` the shared models are written once to the checkpoint
+    folder (as the build writes its marts) instead of being recomputed by
+    every check that reads them.
+    """
+    keep = stage or (lambda df, name: df)
+    stg_s = keep(stg_stock_prices(fixtures.raw_stock_prices_with_faults(spark, sf)), "stg_stock")
+    stg_m = keep(stg_macro_indicators(fixtures.raw_macro_indicators_with_faults(spark, sf)),
+                 "stg_macro")
+    port = keep(marts.mart_portfolio(stg_s, updated_at=as_of()), "mart_portfolio")
     return {
         "stg_stock_prices": stg_s,
         "stg_macro_indicators": stg_m,
@@ -244,7 +252,8 @@ QUERIES.update({
         _dq_models(spark, sf)["stg_stock_prices"]),
     "dq_log_counts": lambda spark, sf: Q.dq_log_counts(_logs(spark, sf)),
     "dq_log_status": lambda spark, sf: Q.dq_log_status(_logs(spark, sf)),
-    "dq_report": lambda spark, sf: Q.dq_report(_dq_models(spark, sf), _logs(spark, sf)),
+    "dq_report": lambda spark, sf: Q.dq_report(_dq_models(spark, sf, _stager(spark)),
+                                               _logs(spark, sf)),
     "source_freshness": lambda spark, sf: Q.source_freshness(
         fixtures.raw_stock_prices(spark, sf), as_of()),
     # dashboard reads
