@@ -10,17 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The accepted textual forms.
-# A decimal or scientific number with optional sign, or inf / infinity / nan.
-NUMBER_PATTERN = r"(?i)^[+-]?(\d+\.?\d*([e][+-]?\d+)?|\.\d+([e][+-]?\d+)?|inf|infinity|nan)$"
-# ISO-8601 date, optionally followed by a time and a zone offset.
-ISO_DATE_PATTERN = (
-    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
-)
-# The same forms as one capture inside optional surrounding white space, so a
-# single regexp_extract both strips and validates ('' when the text is not one).
+# The accepted textual forms, each as one capture inside optional
+# surrounding white space, so a single regexp_extract both strips and
+# validates ('' when the text is not one).
+# A decimal or scientific number with optional sign, or inf / infinity / nan:
 NUMBER_CAPTURE = (r"(?iU)^\s*([+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)?"
                   r"|inf|infinity|nan))\s*$")
+# an ISO-8601 date, optionally with a time, then an optional zone offset:
 ISO_DATE_CAPTURE = (r"(?U)^\s*(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?)"
                     r"(?:Z|([+-](?:0\d|1[0-8])(?::?[0-5]\d)?))?\s*$")
 # Leading / trailing white space in the Unicode sense (Spark's trim strips spaces only).

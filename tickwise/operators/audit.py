@@ -104,7 +104,7 @@ def run_log(batches: DataFrame, metrics: DataFrame, counts: DataFrame, *, pipeli
     )
 
 
-def count_violations(logs: DataFrame) -> Column:
+def count_violations() -> Column:
     """Q6 predicate: negative counts, or counts that do not reconcile for the status.
 
     Three-valued on purpose: a null operand does not make a violation.
@@ -132,7 +132,7 @@ def run_log_violations(logs: DataFrame) -> DataFrame:
         (F.col("rows_valid") != 0) | (F.col("rows_inserted") != 0)
         | (F.col("rows_updated") != 0) | (F.col("rows_unchanged") != 0))
     rule = (F.when(F.coalesce(status_violations(), F.lit(False)), F.lit("metadata"))
-            .when(F.coalesce(count_violations(logs), F.lit(False)), F.lit("counts"))
+            .when(F.coalesce(count_violations(), F.lit(False)), F.lit("counts"))
             .when(F.coalesce(no_valid, F.lit(False)), F.lit("no_valid_rows")))
     return logs.select("run_id", "pipeline_name", "status", rule.alias("violation")).where(
         F.col("violation").isNotNull())

@@ -75,7 +75,7 @@ def dq_valid_ohlcv(stg_stock: DataFrame) -> DataFrame:
 
 def dq_log_counts(logs: DataFrame) -> DataFrame:
     """Q6: audit rows whose counts are negative or do not reconcile."""
-    return logs.where(count_violations(logs)).select("run_id")
+    return logs.where(count_violations()).select("run_id")
 
 
 def dq_log_status(logs: DataFrame) -> DataFrame:

@@ -63,13 +63,13 @@ def _macro_norm(spark, sf):
 QUERIES.update({
     "normalize_stock_rows": lambda spark, sf: _stock_norm(spark, sf)[0],
     "rejected_stock_rows": lambda spark, sf: _stock_norm(spark, sf)[1].select("_input_order", "reason"),
-    "stock_normalization_metrics": lambda spark, sf: N.normalization_metrics(
-        *_stock_norm(spark, sf), N.STOCK_REASONS),
+    "stock_normalization_metrics": lambda spark, sf: N.metrics_from_reasons(
+        N.stock_reasons(fixtures.dirty_stock_batch(spark, sf)), N.STOCK_REASONS),
     "stock_reason_counts": lambda spark, sf: N.reason_counts(_stock_norm(spark, sf)[1]),
     "normalize_macro_rows": lambda spark, sf: _macro_norm(spark, sf)[0],
     "rejected_macro_rows": lambda spark, sf: _macro_norm(spark, sf)[1].select("_input_order", "reason"),
-    "macro_normalization_metrics": lambda spark, sf: N.normalization_metrics(
-        *_macro_norm(spark, sf), N.MACRO_REASONS),
+    "macro_normalization_metrics": lambda spark, sf: N.metrics_from_reasons(
+        N.macro_reasons(fixtures.dirty_macro_batch(spark, sf)), N.MACRO_REASONS),
 })
 
 
