@@ -67,3 +67,13 @@ def test_raw_fixture_shapes(spark):
     raw = fixtures.raw_stock_prices(spark, SMOKE_SF)
     assert raw.columns == ["ticker", "trade_date", "open_price", "high_price", "low_price",
                            "close_price", "volume", "loaded_at"]
+
+
+def test_parameterised_summary_matches_dataframe_form(spark):
+    from tickwise.operators import reads as RD
+    port = QUERIES["mart_portfolio"](spark, SMOKE_SF)
+    picked = ["S1", "S3", "S1' OR '1'='1"]
+    via_sql = sorted(RD.portfolio_summary_sql(spark, port, picked).collect())
+    via_df = sorted(RD.portfolio_summary(port, picked).collect())
+    assert via_sql == via_df and [r.ticker for r in via_sql] == ["S1", "S3"]
+    assert RD.portfolio_summary_sql(spark, port, []).count() == 0

@@ -158,3 +158,27 @@ def latest_indicator_values(correlation: DataFrame, indicator: str,
     return df.groupBy("ticker").agg(
         F.max("trade_date").alias("trade_date"),
         round_half_up(F.max_by("indicator_value", "trade_date"), 2).alias("indicator_value"))
+
+
+SUMMARY_SQL = """
+SELECT ticker, MAX(close_price) AS max_price, MIN(close_price) AS min_price,
+       CAST(ROUND(CAST(AVG(rolling_volatility_20d) AS DECIMAL(38,8)), 2) AS DOUBLE) AS avg_volatility,
+       CAST(ROUND(CAST(MAX(cumulative_return_pct) AS DECIMAL(38,8)), 2) AS DOUBLE) AS best_return,
+       CAST(ROUND(CAST(MIN(drawdown_pct) AS DECIMAL(38,8)), 2) AS DOUBLE) AS max_drawdown
+FROM {portfolio}
+WHERE ticker IN ({placeholders})
+GROUP BY ticker
+"""
+
+
+def portfolio_summary_sql(spark, portfolio: DataFrame, tickers: Sequence[str]) -> DataFrame:
+    """The summary as SQL text with one bound parameter per selected ticker.
+
+    The values are bound (never spliced into the text), and the IN list is a
+    plain predicate that reaches the scan.  An empty selection runs nothing.
+    """
+    if len(tickers) == 0:
+        return portfolio_summary(portfolio, tickers)
+    placeholders = ", ".join("?" for _ in tickers)
+    return spark.sql(SUMMARY_SQL.format(portfolio="{portfolio}", placeholders=placeholders),
+                     args=list(tickers), portfolio=portfolio)
