@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tickwise.plans.build import Warehouse, build_models, run_pipeline
+from tickwise.plans.build import Warehouse, build_models, run_daily_build
 from tickwise.plans.ingest import run_stock_ingestion
 from tickwise.sources import fixtures, sinks
 from tickwise.sources import payloads as P
@@ -39,7 +39,7 @@ def test_full_pipeline_builds_models_and_dq(spark, scratch):
         P.stock_error_code(F.col("payload")).isNull())
     macro = fixtures.macro_payloads(spark, SMOKE_SF).where(
         P.macro_error_code(F.col("payload")).isNull())
-    summary = run_pipeline(spark, stock, macro, wh, "2026-01-01 00:00:00")
+    summary = run_daily_build(spark, stock, macro, wh, "2026-01-01 00:00:00")
     assert summary["ingestion_failed"] is False
     dq = {r.check_name: r.passed for r in summary["dq"].collect()}
     assert len(dq) == 28

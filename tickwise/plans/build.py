@@ -2,7 +2,7 @@
 
 ``build_models`` materialises the marts: M1 is written once and read back by
 M2 and M3 (the shared intermediate is a written table, not recomputed and
-not a local checkpoint).  ``run_pipeline`` mirrors the stage order of the
+not a local checkpoint).  ``run_daily_build`` mirrors the stage order of the
 original runner: stock ingestion, macro ingestion, then the build only if no
 entity failed.
 """
@@ -75,7 +75,7 @@ def build_models(spark: SparkSession, raw_stock: DataFrame, raw_macro: DataFrame
     return Q.dq_report(models, logs)
 
 
-def run_pipeline(spark: SparkSession, stock_payloads: DataFrame | None,
+def run_daily_build(spark: SparkSession, stock_payloads: DataFrame | None,
                  macro_payloads: DataFrame | None, warehouse: Warehouse,
                  started_at: str | None = None) -> dict:
     """Ingest (stock, then macro), then build the models unless an entity failed."""
