@@ -153,7 +153,9 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
     lam = _lambda([(r["c"] / clean, r["llr"] - DRIFT) for r in rows], -DRIFT)
     model = Model(scores, -DRIFT, lam, 0.0, 1.0, 0.0)
     held = model_evidence(sample, model).toPandas()  # a row of numbers per sampled text
-    _calibrate(model, held)
+    share = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").agg(F.avg(
+        (F.col("toxic") > 0).cast("int"))).first()[0]
+    _calibrate(model, held, share)
     return model
 
 
@@ -189,8 +191,9 @@ def model_evidence(sample: DataFrame, model: Model) -> DataFrame:
     return sample.mapInPandas(run, "n bigint, sums array<double>, toxic int, fit boolean")
 
 
-def _calibrate(model: Model, held) -> None:
-    """K from the clean texts that calibrate, then the logistic curve of the evidence."""
+def _calibrate(model: Model, held, share: float) -> None:
+    """K from the clean texts that calibrate, then the logistic curve of the evidence, with
+    the classes weighted as among all labels (``share``: of toxic ones)."""
     import numpy as np
 
     part = held[~held["fit"]] if (~held["fit"]).any() and held[~held["fit"]]["toxic"].nunique() == 2 else held
@@ -204,7 +207,7 @@ def _calibrate(model: Model, held) -> None:
     y = part["toxic"].to_numpy(float)
     design = np.column_stack([x, np.ones_like(x)])
     beta = np.zeros(2)
-    weight = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)) * len(y)
+    weight = np.where(y > 0, share / max(y.sum(), 1), (1 - share) / max((1 - y).sum(), 1)) * len(y)
     for _ in range(50):  # Newton steps with a small ridge
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -50, 50)))
         grad = design.T @ (weight * (y - p)) - 1e-2 * beta
