@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import chat, decontaminate, mixing, quality_rules, token_store, toxicity, url_filter
+from tickwise.llm import (chat, decontaminate, mixing, phrase_dedup, quality_rules, suffix_dedup, token_store,
+                          toxicity, url_filter)
 from tickwise.llm.common import shared_dir, table
 
 #: The name of the tokenizer's file; its folder is that of the public_tokenizers package.
@@ -55,6 +56,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("removed")
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.copies(table(spark, sf_dir, "documents"))
     return taken.select("doc_id", "size", "source_size", "target",
@@ -85,6 +90,10 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", token_store.id_checksum(F.col("ids")).alias("ids_crc32"))
 
 
+def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("removed")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_url_filter, op3_chat_format, op4_quality_rules, op6_mix, op7_toxicity,
-    op8_token_store)}
+    op1_decontaminate, op2_url_filter, op3_chat_format, op4_quality_rules, op5_suffix_dedup, op6_mix,
+    op7_toxicity, op8_token_store, op10_phrase_dedup)}
