@@ -157,7 +157,7 @@ def op10(docs, size=50):
 
 
 def shingles(text, size=5):
-    w = SPACE_WORD.findall(lowered(text))
+    w = SPACE_WORD.findall(text or "")
     return frozenset(tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset()
 
 

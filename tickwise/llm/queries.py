@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import (chat, decontaminate, mixing, phrase_dedup, quality_rules, suffix_dedup, token_store,
-                          toxicity, url_filter)
+from tickwise.llm import (chat, decontaminate, lsh_forest, mixing, phrase_dedup, quality_rules, suffix_dedup,
+                          token_store, toxicity, url_filter)
 from tickwise.llm.common import shared_dir, table
 
 #: The name of the tokenizer's file; its folder is that of the public_tokenizers package.
@@ -90,10 +90,15 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", token_store.id_checksum(F.col("ids")).alias("ids_crc32"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lsh_forest.join_similar(docs).select("doc_id", "class_id", "n_links", "n_copies")
+
+
 def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("removed")
 
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_url_filter, op3_chat_format, op4_quality_rules, op5_suffix_dedup, op6_mix,
-    op7_toxicity, op8_token_store, op10_phrase_dedup)}
+    op7_toxicity, op8_token_store, op9_jaccard_join, op10_phrase_dedup)}
