@@ -132,7 +132,7 @@ def op8(docs, path):
 
     tok = Tokenizer.from_file(path)
     start, out = 0, []
-    for doc, text in sorted(docs):
+    for doc, text in sorted(docs, key=lambda r: (r[0] is not None, r[0])):
         ids = [*tok.encode(text or "", add_special_tokens=False).ids, 0]
         out.append((doc, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
@@ -141,7 +141,7 @@ def op8(docs, path):
 
 def op10(docs, size=50):
     first = {}
-    bodies = [(d, SPACE_WORD.findall(t or "")) for d, t in docs]
+    bodies = [(float("inf") if d is None else d, SPACE_WORD.findall(t or "")) for d, t in docs]
     for d, w in bodies:
         for i in range(len(w) - size + 1):
             k = tuple(w[i:i + size])
@@ -152,7 +152,8 @@ def op10(docs, size=50):
         for i in range(len(w) - size + 1):
             if first[tuple(w[i:i + size])] < d:
                 gone |= set(range(i, i + size))
-        out.append((d, len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
+        out.append((None if d == float("inf") else d, len(w), len(gone),
+                    sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
     return out
 
 
@@ -161,6 +162,30 @@ def shingles(text, size=5):
     return frozenset(tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset()
 
 
+def op9(docs):
+    """(doc_id, class_id, n_links, n_copies) of every document; ids must differ."""
+    sets, links = op9_links(docs)
+    at = {s: i for i, s in enumerate(sets)}
+    up = list(range(len(sets)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    degree, copies = Counter(), Counter(shingles(t) for _, t in docs)
+    for i, j in links:
+        degree[i] += 1
+        degree[j] += 1
+        up[max(top(i), top(j))] = min(top(i), top(j))
+    head = {}
+    for d, t in docs:
+        if (s := shingles(t)) and d is not None:
+            head[top(at[s])] = min(head.get(top(at[s]), d), d)
+    return [(d, head.get(top(at[s])), degree[at[s]], copies[s] - 1) if (s := shingles(t)) else (d, d, 0, 0)
+            for d, t in docs]
+
+
 def op9_links(docs, least=0.8):
     """Pairs of different shingle sets with a Jaccard similarity of ``least`` or more."""
     sets = list({shingles(t) for _, t in docs} - {frozenset()})

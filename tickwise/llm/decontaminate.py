@@ -174,7 +174,7 @@ def find(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES,
          text: str = "text") -> DataFrame:
     """``docs`` plus n_words, n_hit, items (as strings, sorted), spans (character offsets in
     the original text) and contaminated."""
-    columns = [c for c in docs.columns if c not in _RESULT]
+    columns = [c for c in docs.columns if c not in _RESULT and c not in _STATE]
     df = docs.select(*[F.col(f"`{c}`") for c in columns],
                      *[F.array().cast(kind).alias(n) for n, kind in _STATE.items()])
     blocks = benchmark_blocks(benchmark, block_bytes)

@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.llm.common import staged
@@ -290,8 +290,9 @@ def verified(docs: DataFrame, sets: DataFrame, hoods: DataFrame, block: int = BL
 
 
 def join_similar(docs: DataFrame, trees: int = TREES, block: int = BLOCK) -> DataFrame:
-    """doc_id, h, class_id, n_links (other texts, as sets, of similarity 0.8 or more) and
-    n_copies (other rows with the same set) for every row of ``docs``."""
+    """doc_id, h, root (key of the class; null without shingles), class_id, n_links (other
+    texts, as sets, of similarity 0.8 or more) and n_copies (other rows with the same set)
+    for every row of ``docs``."""
     signed = signatures(docs, trees)
     order = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     sets = staged(signed.filter("fa IS NOT NULL").groupBy("fa", "fb").agg(
@@ -307,25 +308,26 @@ def join_similar(docs: DataFrame, trees: int = TREES, block: int = BLOCK) -> Dat
         F.coalesce("root", "node").alias("root"))
     least = classed.groupBy(F.col("root").alias("k_root")).agg(F.min("doc_id").alias("class_id"))
     named = classed.join(least, F.col("root") == F.col("k_root")).select(
-        F.col("fa").alias("n_fa"), F.col("fb").alias("n_fb"), "class_id", "links", "n")
+        F.col("fa").alias("n_fa"), F.col("fb").alias("n_fb"), "class_id", "root", "links", "n")
     return signed.join(named, (F.col("fa") == F.col("n_fa")) & (F.col("fb") == F.col("n_fb")), "left").select(
-        "doc_id", "h", F.when(F.col("fa").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        "doc_id", "h", "root", F.when(F.col("fa").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("links", F.lit(0)).alias("n_links"),
         (F.coalesce("n", F.lit(1)) - 1).alias("n_copies"))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stand for their class: the least doc_id, one row of it; all
-    rows without shingles.  All columns are kept."""
+    """One row of ``docs`` for each class, with all its columns: that of the least doc_id
+    (null last; of several texts with it, the least hash).  Rows without shingles stay."""
     joined = join_similar(docs, **options)
-    shown = joined.select(F.col("doc_id").alias("j_id"), F.col("h").alias("j_h"), "class_id").distinct()
-    names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col("doc_id").alias("_id"),
-                       F.xxhash64("text").alias("_h"), (F.trim(F.translate(
-                           F.coalesce("text", F.lit("")), "\t\n\x0b\f\r", "     ")) == "").alias("_blank"))
-    kept = rows.join(shown, F.col("_id").eqNullSafe(F.col("j_id")) & (F.col("_h") == F.col("j_h")), "left")
-    stay = kept.filter(F.col("_blank") | F.col("class_id").eqNullSafe(F.col("_id")))
-    plain = stay.filter("_blank").select("_row.*")
-    # a class whose least id has several rows keeps one of them
-    one = stay.filter("NOT _blank").groupBy("_id").agg(F.min_by("_row", F.col("_h")).alias("_row")).select("_row.*")
-    return plain.unionByName(one)
+    order = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    heads = joined.filter("root IS NOT NULL").groupBy("root").agg(
+        F.min(F.struct(order.alias("d"), "doc_id", "h")).alias("one")).select(
+        F.col("one.doc_id").alias("j_id"), F.col("one.h").alias("j_h"), F.lit(True).alias("head"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"),
+                       (~F.coalesce("text", F.lit("")).rlike("[^ \\t-\\r]")).alias("_blank"))
+    found = rows.join(heads, F.col("_id").eqNullSafe(F.col("j_id")) & (F.col("_h") == F.col("j_h")), "left") \
+        .filter("_blank OR head")
+    # rows that repeat a head's id and text
+    again = F.row_number().over(Window.partitionBy("_id", "_h").orderBy("_blank"))
+    return found.withColumn("_n", again).filter("_blank OR _n = 1").select("_row.*")

@@ -1,5 +1,138 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+The others are held to brute force, round trips or held-out accuracy in tests/llm.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from tickwise.llm.queries import BAD_HOST_WORDS, SITE_RULES
+from tickwise.llm.quality_rules import THRESHOLDS, _stop_list
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1 = rf"""
+WITH words_of AS (
+  SELECT 'd' AS kind, doc_id AS id,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+  UNION ALL
+  SELECT 'b', item_id,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  FROM benchmark),
+items AS (
+  SELECT id AS item, len(least_len) AS size, array_to_string(least_len, ' ') AS win FROM (
+    SELECT id, w[i:least(i + 12, len(w))] AS least_len
+    FROM (SELECT id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM words_of
+          WHERE kind = 'b' AND len(w) > 0)) x),
+sizes AS (SELECT DISTINCT size FROM items),
+places AS (
+  SELECT id, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM (SELECT id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words_of, sizes
+        WHERE kind = 'd' AND len(w) >= size) p),
+hits AS (SELECT p.id, p.i, p.size, t.item FROM places p JOIN (SELECT DISTINCT item, win FROM items) t USING (win)),
+covered AS (SELECT id, count(DISTINCT i + k) AS n_hit
+            FROM (SELECT id, i, unnest(range(0, size)) AS k FROM hits) h GROUP BY id),
+named AS (SELECT id, count(DISTINCT item) AS n_items,
+                 sha256(array_to_string(list_sort(list_distinct(list(item::VARCHAR))), ',')) AS sha
+          FROM hits GROUP BY id)
+SELECT d.id AS doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, coalesce(sha, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM words_of d LEFT JOIN covered c ON c.id = d.id LEFT JOIN named n ON n.id = d.id
+WHERE d.kind = 'd'
+"""
+
+_SITES = " UNION ALL ".join(
+    f"SELECT {_text(s)} AS rule, {_text(s.partition('/')[0])} AS h, {_text('/' + s.partition('/')[2])} AS p, "
+    f"{_text(v)} AS v" for s, v in SITE_RULES)
+
+OP2 = rf"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+split AS (
+  SELECT page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM rests),
+rules AS ({_SITES}),
+best AS (
+  SELECT s.page_id, s.host, s.path, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.v, length(r.rule)) AS v
+  FROM split s LEFT JOIN rules r
+    ON (s.host = r.h OR ends_with(s.host, '.' || r.h)) AND starts_with(s.path, r.p)
+  GROUP BY s.page_id, s.host, s.path)
+SELECT page_id, host, path, rule,
+       coalesce(v, CASE WHEN starts_with(path, '/')
+                         AND regexp_matches(host, '(^|[^0-9A-Za-z%_])({"|".join(BAD_HOST_WORDS)})([^0-9A-Za-z%_]|$)')
+                   THEN 'block' ELSE 'allow' END) AS verdict
+FROM best
+"""
+
+OP3 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length('<|turn|>') + length('<|text|>') + length('<|end|>') + length(role) + length(text)
+    + (length(text) - length(replace(text, '\', '')))
+    + (length(text) - length(replace(text, '<|', ''))) // 2
+    + (length(text) - length(replace(text, '</s>', ''))) // 4
+    + (length(text) - length(replace(text, '<s>', ''))) // 3
+    + (length(text) - length(replace(text, '[INST]', ''))) // 6
+    + (length(text) - length(replace(text, '[/INST]', ''))) // 7
+    + (length(text) - length(replace(text, '<<SYS>>', ''))) // 7
+    + (length(text) - length(replace(text, '<</SYS>>', ''))) // 8 AS chars
+  FROM turns)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+def _holds() -> str:
+    parts = []
+    for t in THRESHOLDS:
+        if t.lowest is not None:
+            parts.append(f"{t.numerator} >= {t.lowest!r}::DOUBLE * {t.denominator}")
+        if t.highest is not None:
+            parts.append(f"{t.numerator} <= {t.highest!r}::DOUBLE * {t.denominator}")
+    return " AND ".join(parts)
+
+
+OP4 = rf"""
+WITH base AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT r, i, array_to_string(w[i:i + 7], ' ') AS win
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM base WHERE len(w) >= 8) x),
+repeated AS (
+  SELECT r, count(DISTINCT i + k) AS n
+  FROM (SELECT r, i, unnest(range(0, 8)) AS k
+        FROM (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS c FROM windows) y WHERE c > 1) z
+  GROUP BY r),
+counts AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines,
+         len(list_filter(w, lambda x: x IN ({", ".join(map(_text, _stop_list()))}))) AS n_stop_words
+  FROM base LEFT JOIN repeated USING (r)),
+failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {_holds()} AS kept
+FROM failed
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_decontaminate": OP1, "op2_url_filter": OP2, "op3_chat_format": OP3, "op4_quality_rules": OP4}

@@ -82,10 +82,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def encoder():
+    return token_store.byte_level_encoder(tokenizer_path())
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = f"{shared_dir(spark)}/tickwise-llm/tokens-{uuid.uuid4().hex}"
-    token_store.write_store(docs, path, lambda: token_store.byte_level_encoder(tokenizer_path()))
+    token_store.write_store(docs, path, encoder)
     back = token_store.read_store(spark, path)
     return back.select("doc_id", "start", "n_tokens", token_store.id_checksum(F.col("ids")).alias("ids_crc32"))
 
