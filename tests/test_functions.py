@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from tickwise.functions import parse_iso_date, parse_number, redact_message, round_half_up
+from tickwise.functions import parse_date, parse_iso_date, parse_number, redact_message, round_half_up
 from tickwise.functions.rounding import round_half_even
 
 
@@ -33,6 +33,7 @@ def test_round_half_up_and_half_even(spark):
     up = [r[0] for r in df.select(round_half_up("x", 4)).collect()]
     even = [r[0] for r in df.select(round_half_even("x", 0)).collect()]
     assert up[0] == 100.1235
+    assert _col(spark, [1e31, -1e300, math.inf], lambda c: round_half_up(c, 4), "double") == [1e31, -1e300, math.inf]
     assert even[1:] == [-2.0, 2.0]
 
 
@@ -45,3 +46,21 @@ def test_redaction_matches_reference_case(spark):
     assert out[0].startswith("password=[REDACTED] api_key=[REDACTED]")
     assert out[1] == "Pipeline processing failed."
     assert out[2] == "a  b token=[REDACTED]&k"
+
+
+def test_round_half_even_is_pandas(spark):
+    import numpy as np
+    import pandas as pd
+
+    values = np.random.default_rng(3).integers(0, 10**9, 20_000) / 100_000
+    values = [*values.tolist(), 1.00005, 0.00015, -2.5, 1e15 / 7, 0.0]
+    for scale in (4, 6):
+        got = _col(spark, values, lambda c: round_half_even(c, scale), "double")  # noqa: B023
+        assert got == pd.Series(values).round(scale).tolist()
+
+
+def test_parse_date_forms(spark):
+    got = _col(spark, ["20260102", "01/02/2026", "Jan 2, 2026", "2026-1-2", "2026-01-02T10", "2026-01-02",
+                       " 2026-01-02 10:30:00 ", "20261302", "13/40/2026", "Foo 2, 2026", "2026", "", None, "1/2/26"],
+               parse_date)
+    assert [str(d) if d else None for d in got] == ["2026-01-02"] * 7 + [None] * 7

@@ -35,8 +35,8 @@ def test_valid_row_is_rounded_half_even(spark):
     valid, rejected = N.stock_normalization(stock_batch(spark, {}))
     row = valid.collect()[0]
     assert (row.ticker, str(row.trade_date)) == ("AAPL", "2026-01-02")
-    assert (row.open_price, row.high_price, row.low_price, row.close_price) == (
-        100.1235, 110.1235, 90.1235, 105.1235)
+    assert [str(x) for x in (row.open_price, row.high_price, row.low_price, row.close_price)] == [
+        "100.1235", "110.1235", "90.1235", "105.1235"]
     assert row.volume == 1000 and rejected.count() == 0
 
 
@@ -93,8 +93,8 @@ def test_all_invalid_keeps_columns(spark):
 
 def test_metrics_reconcile(spark):
     batch = stock_batch(spark, {}, {"volume": "0"}, {"close_price": "101"}, {"ticker": "x y"})
-    valid, rejected = N.stock_normalization(batch)
-    m = N.normalization_metrics(valid, rejected, N.STOCK_REASONS).collect()[0]
+    m = N.stock_batch_metrics(batch).collect()[0]
+    assert m == N.metrics_from_reasons(N.stock_reasons(batch), N.STOCK_REASONS).collect()[0]
     assert (m.rows_fetched, m.rows_valid, m.rows_dropped) == (4, 1, 3)
     assert m.rows_valid + m.rows_dropped == m.rows_fetched
     assert (m.dropped_duplicate_key, m.dropped_invalid_volume, m.dropped_invalid_ticker) == (1, 1, 1)
@@ -125,10 +125,29 @@ def test_macro_value_rounding_zero_and_negative_valid(spark):
     valid, _ = N.macro_normalization(macro_batch(
         spark, {}, {"indicator_date": "2026-02-01", "value": "0"},
         {"indicator_date": "2026-03-01", "value": "-1.5"}))
-    assert sorted(r.value for r in valid.collect()) == [-1.5, 0.0, 123.123457]
+    assert sorted(float(r.value) for r in valid.collect()) == [-1.5, 0.0, 123.123457]
 
 
 def test_macro_duplicate_keeps_last(spark):
     valid, rejected = N.macro_normalization(macro_batch(spark, {"value": "1"}, {"value": "2"}))
     assert [r.value for r in valid.collect()] == [2.0]
     assert reasons(rejected) == ["duplicate_key"]
+
+
+def test_extreme_numbers_stay_in_their_row(spark):
+    """A volume of 31 digits and a price of 32 load exactly; what RAW cannot hold is rejected."""
+    big = {"open_price": "1e31", "high_price": "1e31", "low_price": "1e31", "close_price": "1e31"}
+    valid, rejected = N.stock_normalization(stock_batch(
+        spark, {"volume": "1e30"}, {"trade_date": "2026-01-03", **big},
+        {"trade_date": "2026-01-04", "volume": "9007199254740993"},
+        {"trade_date": "2026-01-05", "volume": "1e38"},
+        {"trade_date": "2026-01-06", **{k: "1e34" for k in big}}))
+    rows = {str(r.trade_date): r for r in valid.collect()}
+    assert rows["2026-01-02"].volume == 10 ** 30 and rows["2026-01-03"].close_price == 10 ** 31
+    assert rows["2026-01-04"].volume == 9007199254740993
+    assert reasons(rejected) == ["invalid_ohlc", "invalid_volume"]
+
+
+def test_empty_batch_metrics(spark):
+    m = N.stock_batch_metrics(stock_batch(spark, {}).limit(0)).collect()[0]
+    assert set(m) == {0}

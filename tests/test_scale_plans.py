@@ -55,18 +55,38 @@ def test_unbounded_batch_dedup_is_exact_with_a_hot_key(spark):
     assert "LeftAnti" in _plan(rejected)
 
 
-def test_macro_join_falls_back_to_shuffle_join_above_the_limit(spark):
+def test_macro_join_follows_measured_bytes(spark):
+    """No strategy is forced and nothing runs while the plan is built; results agree either way."""
     port = QUERIES["mart_portfolio"](spark, SMOKE_SF)
-    stg_macro = QUERIES["stg_macro_indicators"](spark, SMOKE_SF)
+    changes = marts.macro_changes(QUERIES["stg_macro_indicators"](spark, SMOKE_SF))
     returns = port.select("ticker", "trade_date", "daily_return_pct").where(
         F.col("daily_return_pct").isNotNull())
-    changes = marts.macro_changes(stg_macro)
-    small = stock_macro_join(returns, changes)
-    big = stock_macro_join(returns, changes, broadcast_row_limit=1)
-    assert "BroadcastHashJoin" in _plan(small)
-    assert "SortMergeJoin" in _plan(big)
     cols = ["ticker", "trade_date", "indicator_name", "indicator_change_pct"]
-    assert sorted(small.select(cols).collect()) == sorted(big.select(cols).collect())
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job may run")
+    joined = stock_macro_join(returns, changes).select(cols)
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    small = sorted(joined.collect())
+    assert "BroadcastHashJoin" in _plan(joined)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = stock_macro_join(returns, changes).select(cols)
+        assert sorted(big.collect()) == small
+        assert "SortMergeJoin" in _plan(big)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _scans(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_metrics_and_single_model_checks_scan_once(spark):
+    for name in ("stock_normalization_metrics", "macro_normalization_metrics", "dq_unique_stock_key",
+                 "dq_valid_ohlcv"):
+        assert _scans(QUERIES[name](spark, SMOKE_SF)) == 1, name
+    assert _scans(QUERIES["dq_accepted_values"](spark, SMOKE_SF)) == 2  # orders and customer
 
 
 def test_mart_windows_share_one_exchange(spark):

@@ -1,10 +1,17 @@
 import datetime as dt
+import glob
 import os
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
+from tickwise.plans.ingest import run_stock_ingestion
 from tickwise.sources import sinks
 from tickwise.sources.tables import PIPELINE_LOG_SCHEMA, RAW_STOCK_SCHEMA
+from tickwise.sources.warehouse import ConcurrentCommit, Warehouse
+
+T0 = dt.datetime(2026, 1, 1)
 
 
 def test_audit_table_created_once_and_appends_typed_rows(spark, scratch):
@@ -26,28 +33,82 @@ def test_audit_table_created_once_and_appends_typed_rows(spark, scratch):
     assert logs.schema.simpleString() == PIPELINE_LOG_SCHEMA.simpleString()
 
 
-def test_month_overwrite_replaces_only_touched_months(spark, scratch):
-    path = os.path.join(scratch, "raw")
-    t = dt.datetime(2026, 1, 1)
+def _bars(spark, *bars):
+    return spark.createDataFrame(
+        [("A", dt.date.fromisoformat(d), *[Decimal("1")] * 3, Decimal(str(c)), Decimal(10), T0) for d, c in bars],
+        RAW_STOCK_SCHEMA)
+
+
+def _log(spark, n):
+    return spark.createDataFrame([(f"r{n}", T0, T0, "STOCK_INGESTION", "A", 1, 1, 1, 0, 0, 0, "SUCCESS", 5, None, None)],
+                                 PIPELINE_LOG_SCHEMA)
+
+
+def _commit(spark, wh, n, *bars):
+    wh.commit(spark, wh.state(spark), f"run{n}", "raw_stock_prices", _bars(spark, *bars), _log(spark, n))
+
+
+def _closes(spark, wh):
+    return sorted((str(r.trade_date), float(r.close_price)) for r in wh.read(spark, "raw_stock_prices").collect())
+
+
+def test_commit_replaces_only_touched_months(spark, scratch):
+    wh = Warehouse(scratch)
+    assert wh.read(spark, "raw_stock_prices").count() == 0 and wh.logs(spark).count() == 0
+    _commit(spark, wh, 1, ("2026-01-05", 1.5), ("2026-02-05", 1.5))
+    _commit(spark, wh, 2, ("2026-02-05", 1.8), ("2026-02-06", 1.9))
+    assert _closes(spark, wh) == [("2026-01-05", 1.5), ("2026-02-05", 1.8), ("2026-02-06", 1.9)]
+    assert sorted(r.run_id for r in wh.logs(spark).collect()) == ["r1", "r2"]
+    # a read of some months opens only their files
+    files = wh.read(spark, "raw_stock_prices", ["2026-02"]).inputFiles()
+    assert files and all("month=2026-02" in f and "/000000000002/" in f for f in files)
+
+
+def test_file_count_follows_months(spark, scratch):
+    wh = Warehouse(scratch)
+    days = [(str(dt.date(2026, 1, 1) + dt.timedelta(days=i)), 1.0) for i in range(120)]
+    rows = _bars(spark, *days).repartition(16)
+    wh.commit(spark, wh.state(spark), "run", "raw_stock_prices", rows, _log(spark, 1))
+    assert len(wh.read(spark, "raw_stock_prices").inputFiles()) == 4
+
+
+def test_crash_between_the_writes_leaves_nothing(spark, scratch, monkeypatch):
+    wh = Warehouse(scratch)
+    _commit(spark, wh, 1, ("2026-01-05", 1.5))
+    monkeypatch.setattr(sinks, "typed_log", lambda rows: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        _commit(spark, wh, 2, ("2026-01-05", 9.0))
+    monkeypatch.undo()
+    assert _closes(spark, wh) == [("2026-01-05", 1.5)] and wh.logs(spark).count() == 1
+    _commit(spark, wh, 2, ("2026-01-05", 2.0))
+    assert _closes(spark, wh) == [("2026-01-05", 2.0)] and wh.logs(spark).count() == 2
 
-    def bars(rows):
-        df = spark.createDataFrame(rows, RAW_STOCK_SCHEMA)
-        return sinks.with_month(df, "trade_date")
 
-    sinks.write_snapshot_months(bars([
-        ("A", dt.date(2026, 1, 5), 1.0, 2.0, 1.0, 1.5, 10, t),
-        ("A", dt.date(2026, 2, 5), 1.0, 2.0, 1.0, 1.5, 10, t)]), path)
-    sinks.write_snapshot_months(bars([
-        ("A", dt.date(2026, 2, 5), 1.0, 2.0, 1.0, 1.8, 10, t),
-        ("A", dt.date(2026, 2, 6), 1.0, 2.0, 1.0, 1.9, 10, t)]), path)
-    snap = sinks.read_snapshot(spark, path, RAW_STOCK_SCHEMA)
-    got = sorted((str(r.trade_date), r.close_price) for r in snap.collect())
-    assert got == [("2026-01-05", 1.5), ("2026-02-05", 1.8), ("2026-02-06", 1.9)]
+def test_two_runs_cannot_follow_one_state(spark, scratch):
+    wh = Warehouse(scratch)
+    state = wh.state(spark)
+    _commit(spark, wh, 1, ("2026-01-05", 1.5))
+    with pytest.raises(ConcurrentCommit):
+        wh.commit(spark, state, "late", "raw_stock_prices", _bars(spark, ("2026-01-05", 7.0)), _log(spark, 2))
+    assert _closes(spark, wh) == [("2026-01-05", 1.5)]
 
 
-def test_read_snapshot_of_missing_table_is_empty_with_schema(spark, scratch):
-    snap = sinks.read_snapshot(spark, os.path.join(scratch, "nothing"), RAW_STOCK_SCHEMA)
-    assert snap.count() == 0 and sinks.MONTH_COLUMN in snap.columns
+def test_unreadable_file_raises_and_changes_nothing(spark, scratch):
+    wh = Warehouse(scratch)
+    bar = '{"Time Series (Daily)": {"%s": {"1. open": "3", "2. high": "4", "3. low": "2", "4. close": "3", "5. volume": "8"}}}'
+    pay = lambda day: spark.createDataFrame([("p", "A", bar % day)], "payload_id string, ticker string, payload string")
+    run_stock_ingestion(spark, pay("2026-01-05"), wh)
+    run_stock_ingestion(spark, pay("2026-02-05"), wh)
+    for name in glob.glob(f"{scratch}/data/raw_stock_prices/000000000001/month=2026-01/*.parquet"):
+        with open(name, "wb") as fh:
+            fh.write(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        run_stock_ingestion(spark, pay("2026-01-06"), wh)
+    assert wh.state(spark).version == 2 and wh.logs(spark).count() == 2
+    run_stock_ingestion(spark, pay("2026-02-06"), wh)       # other months do not open that file
+    assert wh.read(spark, "raw_stock_prices", ["2026-02"]).count() == 2
+    with pytest.raises(Exception, match="(?i)parquet"):
+        wh.read(spark, "raw_stock_prices", ["2026-01"]).collect()
 
 
 def test_write_mart_sorts_within_files(spark, scratch):

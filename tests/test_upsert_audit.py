@@ -43,7 +43,7 @@ def test_null_safe_comparison(spark):
 
 def test_rerun_is_idempotent(spark):
     source = frame(spark, [("A", D1, 1.0, 2.0, 1.0, 2.0, 10, T1), ("A", D2, 1.0, 2.0, 1.0, 2.0, 9, T1)])
-    first = U.snapshot(U.upsert_stock_prices(frame(spark, []), source))
+    first = U.upsert_stock_prices(frame(spark, []), source).drop("_action")
     again = U.merge_counts(U.upsert_stock_prices(first, source)).collect()[0]
     assert (again.rows_inserted, again.rows_updated, again.rows_unchanged) == (0, 0, 2)
 
@@ -73,12 +73,43 @@ def test_run_log_row(spark):
                                    "rows_unchanged bigint")
     rows = {r.entity_name: r for r in AU.run_log(
         batches, metrics, counts, pipeline_name=AU.STOCK_PIPELINE,
-        started_at="2026-01-01 00:00:00", completed_at="2026-01-01 00:00:01.5").collect()}
+        started_at="2026-01-01 00:00:00", completed_at="2026-01-01 00:00:01.5", run_key="a").collect()}
     ok, failed = rows["AAPL"], rows["MSFT"]
     assert (ok.status, ok.duration_ms, ok.error_message) == ("PARTIAL_SUCCESS", 1500, None)
     assert (failed.status, failed.rows_fetched, failed.error_code) == ("FAILED", 0, "API_RATE_LIMITED")
     assert failed.error_message == AU.ERROR_MESSAGES["API_RATE_LIMITED"]
     assert len(ok.run_id) == 36 and ok.run_id != failed.run_id
+    other = AU.run_log(batches, metrics, counts, pipeline_name=AU.STOCK_PIPELINE, run_key="b",
+                       started_at="2026-01-01 00:00:00", completed_at="2026-01-01 00:00:01.5").collect()
+    assert not {r.run_id for r in other} & {ok.run_id, failed.run_id}
+
+
+def test_merge_in_order_is_one_run_after_the_other(spark):
+    """Counts and snapshot of one plan equal those of separate merges in landing order."""
+    import random
+
+    rnd = random.Random(4)
+    days = [D1, D2, D3]
+    def bars(n):
+        keys = rnd.sample([(t, d) for t in "ABC" for d in days], n)
+        return [(t, d, 1.0, 2.0, 1.0, float(rnd.randint(1, 2)), 10) for t, d in keys]
+    target = frame(spark, [(*b, T0) for b in bars(4)])
+    batches = [bars(5) for _ in range(4)]
+    state, want = target, {}
+    for i, b in enumerate(batches):
+        merged = U.upsert_stock_prices(state, frame(spark, [(*r, T1) for r in b]))
+        c = U.merge_counts(merged).collect()[0]
+        want[f"p{i}"] = tuple(c)
+        state = spark.createDataFrame(merged.drop("_action").collect(), SCHEMA)
+    rows = [(f"p{i}", i, *r) for i, b in enumerate(batches) for r in b]
+    source = spark.createDataFrame(rows, "payload_id string, landing_order bigint, " + SCHEMA.rsplit(",", 1)[0])
+    merged = U.merge_in_order(target, source, U.STOCK_KEY, U.STOCK_VALUES, ("landing_order", "payload_id"),
+                              F.lit(T1).cast("timestamp_ntz"), ["payload_id"])
+    got = {r[0]: tuple(r)[1:] for r in U.merge_counts(merged, ["payload_id"]).collect()}
+    assert got == want
+    final = merged.where("_final").select(*state.columns)
+    assert sorted(final.collect()) == sorted(state.collect())
+    assert final.select(*U.STOCK_KEY).distinct().count() == final.count()
 
 
 def test_violations_find_planted_faults(spark):

@@ -19,6 +19,14 @@ NUMBER_CAPTURE = (r"(?iU)^\s*([+-]?(?:\d+\.?\d*(?:e[+-]?\d+)?|\.\d+(?:e[+-]?\d+)
 # an ISO-8601 date, optionally with a time, then an optional zone offset:
 ISO_DATE_CAPTURE = (r"(?U)^\s*(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)?)"
                     r"(?:Z|([+-](?:0\d|1[0-8])(?::?[0-5]\d)?))?\s*$")
+# other date forms, each with the pattern that reads its capture:
+DATE_FORMS = (
+    (r"(?U)^\s*(\d{8})\s*$", "yyyyMMdd"),
+    (r"(?U)^\s*(\d{1,2}/\d{1,2}/\d{4})\s*$", "M/d/yyyy"),
+    (r"(?U)^\s*([A-Za-z]{3} \d{1,2}, \d{4})\s*$", "MMM d, yyyy"),
+    (r"(?U)^\s*(\d{4}-\d{1,2}-\d{1,2})\s*$", "yyyy-M-d"),
+    (r"(?U)^\s*(\d{4}-\d{2}-\d{2}[T ]\d{2})\s*$", "yyyy-MM-dd['T'][' ']HH"),
+)
 # Leading / trailing white space in the Unicode sense (Spark's trim strips spaces only).
 EDGE_SPACE_PATTERN = r"(?U)^\s+|\s+$"
 
@@ -57,6 +65,21 @@ def is_positive_finite(c: Column | str) -> Column:
     return F.coalesce((x > 0) & (x < F.lit(float("inf"))), F.lit(False))
 
 
+def parse_integer(c: Column | str) -> Column:
+    """Text (or number) → decimal(38,0), exact; null when it is no number or does not fit."""
+    return F.regexp_extract(_col(c).cast("string"), NUMBER_CAPTURE, 1).try_cast("decimal(38,0)")
+
+
+def parse_date(c: Column | str) -> Column:
+    """A date in ISO form, or in one of ``DATE_FORMS``; null for anything else."""
+    text = _col(c).cast("string")
+    out = parse_iso_date(text)
+    for capture, form in DATE_FORMS:
+        found = F.regexp_extract(text, capture, 1)
+        out = F.when(found != "", F.to_date(F.try_to_timestamp(found, F.lit(form)))).otherwise(out)
+    return out
+
+
 def parse_iso_date(c: Column | str) -> Column:
     """ISO date or timestamp text → UTC calendar date; null for anything else.
 

@@ -2,7 +2,9 @@
 
 SQL-model ROUND goes through ``decimal(38,8)`` so that double noise beyond the
 8th place cannot tip a near-midpoint the other way; the same text is used in
-the DuckDB oracle.  The normaliser rounds half-to-even like pandas.
+the DuckDB oracle.  Values the decimal cannot hold have no digits to round and
+stay as they are.  The normaliser rounds the scaled double to the nearest
+integer, ties to even, as pandas does.
 """
 
 from __future__ import annotations
@@ -19,9 +21,11 @@ def _col(c: Column | str) -> Column:
 
 def round_half_up(c: Column | str, scale: int) -> Column:
     """ROUND(x, n) of the SQL models: half away from zero, via decimal(38,8), as double."""
-    return F.round(_col(c).cast(DECIMAL_ROUTE), scale).cast("double")
+    x = _col(c)
+    return F.coalesce(F.round(x.try_cast(DECIMAL_ROUTE), scale).cast("double"), x.cast("double"))
 
 
 def round_half_even(c: Column | str, scale: int) -> Column:
-    """Banker's rounding on the double itself (pandas ``Series.round``)."""
-    return F.bround(_col(c), scale)
+    """pandas ``Series.round``: scale, round to the nearest integer (ties to even), scale back."""
+    factor = float(10 ** scale)
+    return F.rint(_col(c) * F.lit(factor)) / F.lit(factor)

@@ -54,7 +54,7 @@ def duration_ms(started: Column, completed: Column) -> Column:
 
 
 def uuid_from(*parts: Column) -> Column:
-    """A deterministic UUID-shaped id (md5 of the parts), so reruns are reproducible."""
+    """A UUID-shaped id (md5 of the parts): unique if one part is, reproducible if all are."""
     h = F.md5(F.concat_ws("|", *parts))
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
@@ -68,9 +68,9 @@ def error_message_for(code: Column) -> Column:
 
 
 def run_log(batches: DataFrame, metrics: DataFrame, counts: DataFrame, *, pipeline_name: str,
-            started_at: str, completed_at: str, batch_col: str = "payload_id",
+            started_at: str, completed_at: str, run_key: str, batch_col: str = "payload_id",
             entity_col: str = "entity_name", secrets: Sequence[str] = ()) -> DataFrame:
-    """One 15-column audit row per batch.
+    """One 15-column audit row per batch; ``run_key`` makes its ids differ from other runs'.
 
     ``batches``: batch id, entity, error_code (null when usable);
     ``metrics``: batch id + fetched/valid/dropped (normalisation);
@@ -89,7 +89,7 @@ def run_log(batches: DataFrame, metrics: DataFrame, counts: DataFrame, *, pipeli
     upd = F.when(failed, z).otherwise(F.coalesce(F.col("rows_updated"), z))
     unch = F.when(failed, z).otherwise(F.coalesce(F.col("rows_unchanged"), z))
     return j.select(
-        uuid_from(F.lit(pipeline_name), F.col(batch_col), F.lit(started_at)).alias("run_id"),
+        uuid_from(F.lit(pipeline_name), F.col(batch_col), F.lit(run_key)).alias("run_id"),
         started.alias("run_timestamp"),
         completed.alias("completed_at"),
         F.lit(pipeline_name).alias("pipeline_name"),

@@ -1,40 +1,19 @@
-"""Joins: the stock/macro date join and a size-checked broadcast.
+"""The stock/macro date join.
 
-A side is broadcast only after counting it against a row limit (the count
-itself stops at limit + 1 rows).  Above the limit the join is forced to a
-shuffle sort-merge join and AQE splits skewed partitions at runtime.
+No join strategy is forced: with adaptive execution Spark broadcasts the macro
+side when its measured size in bytes is below the session's threshold, and
+otherwise merges sorted partitions and splits skewed ones.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Rows a broadcast side may hold.  Staged macro data is bounded by
-# (series × calendar days): five daily series for a century is ~183k rows.
-DEFAULT_BROADCAST_ROW_LIMIT = 2_000_000
 
-
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads no more than limit + 1)."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def checked_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_ROW_LIMIT) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven ≤ limit, else a shuffle-join hint."""
-    if row_count_at_most(df, limit):
-        return F.broadcast(df)
-    return df.hint("merge")
-
-
-def stock_macro_join(returns: DataFrame, macro: DataFrame,
-                     broadcast_row_limit: int = DEFAULT_BROADCAST_ROW_LIMIT) -> DataFrame:
+def stock_macro_join(returns: DataFrame, macro: DataFrame) -> DataFrame:
     """J1. Stock returns ⋈ macro observations on exact date equality (inner).
 
     One output row per indicator observed on the trading day; a monthly point
-    matches only when its date is itself a trading day.  Broadcasting the macro
-    side keeps the stock side's ticker partitioning, so the (ticker, indicator)
-    windows that follow need no further exchange.
+    matches only when its date is itself a trading day.
     """
-    m = checked_broadcast(macro, broadcast_row_limit)
-    return returns.join(m, returns["trade_date"] == m["indicator_date"], "inner")
+    return returns.join(macro, returns["trade_date"] == macro["indicator_date"], "inner")

@@ -6,7 +6,7 @@ run id); the input ordinal ``order_col`` must be supplied by the caller (for
 payloads it is the ``posexplode`` position), never invented here.
 
 Outputs: valid rows (``normalize_*``), rejected rows with their reason
-(``rejected_*``), and per-batch counts (``normalization_metrics``).
+(``rejected_*``), and per-batch counts (``metrics_from_reasons``, ``batch_metrics``).
 
 Scale: the keep-last dedup is a ``row_number() = 1`` (map-side partial limit),
 and the duplicate losers are found by an anti join on the row identity
@@ -21,9 +21,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions.parse import (
-    canonical_upper, is_finite, is_positive_finite, parse_iso_date, parse_number, strip_text,
+    canonical_upper, is_finite, is_positive_finite, parse_date, parse_integer, parse_number, strip_text,
 )
 from tickwise.functions.rounding import round_half_even
+from tickwise.sources.tables import INDICATOR_TYPE, PRICE_TYPE
 
 
 class NormalizationError(ValueError):
@@ -43,6 +44,8 @@ STOCK_REASONS = ("invalid_ticker", "invalid_trade_date", "invalid_ohlc", "incons
 MACRO_REASONS = ("invalid_series_id", "invalid_indicator_name", "invalid_indicator_date",
                  "invalid_value", "duplicate_key")
 PRICE_COLUMNS = ("open_price", "high_price", "low_price", "close_price")
+# The RAW columns hold decimal(38,4) prices and decimal(38,6) values; beyond that a row is invalid.
+PRICE_LIMIT, INDICATOR_LIMIT = 1e34, 1e32
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> None:
@@ -126,13 +129,14 @@ def _stock_tagged(df: DataFrame, order_col: str, batch_cols: Sequence[str]) -> D
     require_columns(df, [*STOCK_INPUT_COLUMNS, order_col, *batch_cols])
     values = {
         "ticker": canonical_upper("ticker"),
-        "trade_date": parse_iso_date("trade_date"),
+        "trade_date": parse_date("trade_date"),
         **{c: parse_number(c) for c in PRICE_COLUMNS},
         "volume": parse_number("volume"),
+        "volume_exact": parse_integer("volume"),
     }
     o, h, l, c = (F.col(x) for x in PRICE_COLUMNS)
     prices_ok = (is_positive_finite(o) & is_positive_finite(h) & is_positive_finite(l)
-                 & is_positive_finite(c))
+                 & is_positive_finite(c) & (F.greatest(o, h, l, c) < PRICE_LIMIT))
     v = F.col("volume")
     # Each parsed value is referenced as few times as possible: Catalyst inlines
     # the parse into every reference when it pushes the reason filter down.
@@ -141,17 +145,17 @@ def _stock_tagged(df: DataFrame, order_col: str, batch_cols: Sequence[str]) -> D
         (F.col("trade_date").isNull(), "invalid_trade_date"),
         (~prices_ok, "invalid_ohlc"),
         ((h < F.greatest(l, o, c)) | (l > F.least(o, c)), "inconsistent_ohlc"),
-        (~(is_positive_finite(v) & (v % 1 == 0)), "invalid_volume"),
+        (~(is_positive_finite(v) & (v % 1 == 0) & F.col("volume_exact").isNotNull()), "invalid_volume"),
     ]
     return _tag(df, values, rules, order_col, batch_cols)
 
 
 def valid_stock_rows(final: DataFrame, batch_cols: Sequence[str] = ()) -> DataFrame:
-    """Loaded rows of a final-reason frame, rounded to the RAW contract."""
+    """Loaded rows of a final-reason frame, rounded and typed as the RAW contract."""
     return final.where(F.col("reason").isNull()).select(
         *batch_cols, "_input_order", "ticker", "trade_date",
-        *[round_half_even(p, 4).alias(p) for p in PRICE_COLUMNS],
-        F.col("volume").cast("bigint").alias("volume"))
+        *[round_half_even(p, 4).cast(PRICE_TYPE).alias(p) for p in PRICE_COLUMNS],
+        F.col("volume_exact").alias("volume"))
 
 
 def stock_normalization(df: DataFrame, order_col: str = "_input_order",
@@ -192,7 +196,7 @@ def _macro_tagged(df: DataFrame, order_col: str, batch_cols: Sequence[str]) -> D
     values = {
         "series_id": canonical_upper("series_id"),
         "indicator_name": name,
-        "indicator_date": parse_iso_date("indicator_date"),
+        "indicator_date": parse_date("indicator_date"),
         "value": parse_number(value_text),
     }
     rules = [
@@ -201,7 +205,7 @@ def _macro_tagged(df: DataFrame, order_col: str, batch_cols: Sequence[str]) -> D
         (~F.coalesce(F.length("indicator_name").between(1, INDICATOR_NAME_MAX), F.lit(False)),
          "invalid_indicator_name"),
         (F.col("indicator_date").isNull(), "invalid_indicator_date"),
-        (~is_finite(F.col("value")), "invalid_value"),
+        (~(is_finite(F.col("value")) & (F.abs("value") < INDICATOR_LIMIT)), "invalid_value"),
     ]
     return _tag(df, values, rules, order_col, batch_cols)
 
@@ -210,7 +214,7 @@ def valid_macro_rows(final: DataFrame, batch_cols: Sequence[str] = ()) -> DataFr
     """Loaded rows of a final-reason frame, value rounded to 6 places."""
     return final.where(F.col("reason").isNull()).select(
         *batch_cols, "_input_order", "series_id", "indicator_name", "indicator_date",
-        round_half_even("value", 6).alias("value"))
+        round_half_even("value", 6).cast(INDICATOR_TYPE).alias("value"))
 
 
 def macro_normalization(df: DataFrame, order_col: str = "_input_order",
@@ -241,21 +245,10 @@ def rejected_macro_rows(df: DataFrame, order_col: str = "_input_order",
 
 # -- counts --------------------------------------------------------------------
 
-def normalization_metrics(valid: DataFrame, rejected: DataFrame, reasons: Sequence[str],
-                          batch_cols: Sequence[str] = ()) -> DataFrame:
-    """Per batch fetched / valid / dropped and one count per reason.
-
-    One aggregation over (valid ∪ rejected) with partial (map-side) combine.
-    ``rows_dropped`` includes duplicates, so fetched = valid + dropped.
-    """
-    tagged = (valid.select(*batch_cols, F.lit(None).cast("string").alias("reason"))
-              .unionByName(rejected.select(*batch_cols, "reason")))
-    return metrics_from_reasons(tagged, reasons, batch_cols)
-
-
 def metrics_from_reasons(tagged: DataFrame, reasons: Sequence[str],
                          batch_cols: Sequence[str] = ()) -> DataFrame:
-    """The same counts from a frame holding every row once with its final reason."""
+    """Per batch fetched / valid / dropped and one count per reason, from a frame that
+    holds every row once with its final reason.  Duplicates count as dropped."""
     aggs = [F.count(F.lit(1)).alias("rows_fetched"),
             F.count_if(F.col("reason").isNull()).alias("rows_valid"),
             F.count_if(F.col("reason").isNotNull()).alias("rows_dropped")]
@@ -264,6 +257,34 @@ def metrics_from_reasons(tagged: DataFrame, reasons: Sequence[str],
     return grouped.agg(*aggs)
 
 
+def batch_metrics(tagged: DataFrame, key: Sequence[str], reasons: Sequence[str]) -> DataFrame:
+    """The counts of one unbounded batch in a single pass over its tagged rows.
+
+    Which of a key's rows survives does not matter for counting: a key with n valid rows has
+    n - 1 duplicates.  Rows are counted by (reason, key of valid rows), pre-aggregated before
+    the shuffle, and those counts are summed up.
+    """
+    ok = F.col("reason").isNull()
+    per_key = tagged.groupBy("reason", *[F.when(ok, F.col(k)).alias(k) for k in key]).agg(
+        F.count(F.lit(1)).alias("n"))
+    lost = F.when(ok, F.col("n") - 1).otherwise(0)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    aggs = [total("n").alias("rows_fetched"), F.count_if(ok).alias("rows_valid"),
+            (total("n") - F.count_if(ok)).alias("rows_dropped")]
+    for r in reasons:
+        n = total(lost) if r == "duplicate_key" else total(F.when(F.col("reason") == r, F.col("n")))
+        aggs.append(n.alias(f"dropped_{r}"))
+    return per_key.agg(*aggs)
+
+
+def stock_batch_metrics(df: DataFrame, order_col: str = "_input_order") -> DataFrame:
+    return batch_metrics(_stock_tagged(df, order_col, ()), ["ticker", "trade_date"], STOCK_REASONS)
+
+
+def macro_batch_metrics(df: DataFrame, order_col: str = "_input_order") -> DataFrame:
+    return batch_metrics(_macro_tagged(df, order_col, ()), ["series_id", "indicator_date"], MACRO_REASONS)
+
+
 def reason_counts(rejected: DataFrame, batch_cols: Sequence[str] = ()) -> DataFrame:
     """The reason histogram in long form (batch, reason, rows)."""
     return rejected.groupBy(*batch_cols, "reason").agg(F.count(F.lit(1)).alias("rows"))

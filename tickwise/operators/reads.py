@@ -45,11 +45,14 @@ def _arg(order: Column, ticker: str = "ticker") -> Column:
     return F.min_by(F.col(ticker), F.when(order.isNotNull(), F.struct(order, F.col(ticker))))
 
 
-def portfolio_extremes(summary: DataFrame) -> DataFrame:
+def portfolio_extremes(summary: DataFrame, selected: Sequence[str] | None = None) -> DataFrame:
     """A2-A4: best / worst performer, most volatile, and the headline numbers.
 
     "Avg Volatility" is the maximum of the per-ticker averages, as displayed.
+    "Tickers Tracked" is the size of the selection, with or without rows; without a
+    selection every ticker of the summary is selected.
     """
+    tracked = F.count(F.lit(1)) if selected is None else F.lit(len(selected)).cast("bigint")
     best, vol = F.col("best_return"), F.col("avg_volatility")
     return summary.agg(
         _arg(-best).alias("best_ticker"),
@@ -58,7 +61,7 @@ def portfolio_extremes(summary: DataFrame) -> DataFrame:
         F.max(best).alias("best_return"),
         F.min(best).alias("worst_return"),
         F.max(vol).alias("avg_volatility"),
-        F.count(F.lit(1)).alias("tickers_tracked"),
+        tracked.alias("tickers_tracked"),
     )
 
 

@@ -51,7 +51,8 @@ def stg_stock_prices(raw: DataFrame) -> DataFrame:
         F.col("high_price").cast("double").alias("high_price"),
         F.col("low_price").cast("double").alias("low_price"),
         F.col("close_price").cast("double").alias("close_price"),
-        F.col("volume").cast("bigint").alias("volume"),
+        # RAW volumes are whole numbers of up to 38 digits; nothing narrower holds them all
+        F.col("volume"),
         F.col("loaded_at"),
     )
 

@@ -54,7 +54,7 @@ def prev_close(spec: WindowSpec) -> Column:
 
 
 def moving_average(col: str, spec: WindowSpec, rows: int, scale: int = 4) -> Column:
-    return round_half_up(F.avg(col).over(trailing(spec, rows)), scale)
+    return round_half_up(F.avg(F.col(col).cast("double")).over(trailing(spec, rows)), scale)
 
 
 def rolling_stddev(col: str, spec: WindowSpec, rows: int, scale: int = 4) -> Column:

@@ -4,13 +4,11 @@
 M2 and M3 (the shared intermediate is a written table, not recomputed and
 not a local checkpoint).  ``run_daily_build`` mirrors the stage order of the
 original runner: stock ingestion, macro ingestion, then the build only if no
-entity failed.
+entity failed; a failed data test fails the build.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,31 +17,15 @@ from tickwise.operators.staging import stg_macro_indicators, stg_stock_prices
 from tickwise.plans import marts
 from tickwise.plans.ingest import run_macro_ingestion, run_stock_ingestion
 from tickwise.sources import sinks
-from tickwise.sources.tables import RAW_MACRO_SCHEMA, RAW_STOCK_SCHEMA
-
-
-@dataclass(frozen=True)
-class Warehouse:
-    """Table locations under one root (a shared file system on a cluster)."""
-    root: str
-
-    def table(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
+from tickwise.sources.warehouse import Warehouse
 
-    @property
-    def raw_stock(self) -> str:
-        return self.table("raw/raw_stock_prices")
 
-    @property
-    def raw_macro(self) -> str:
-        return self.table("raw/raw_macro_indicators")
+class BuildFailed(RuntimeError):
+    """Some of the data tests found rows; ``checks`` names them with their counts."""
 
-    @property
-    def logs(self) -> str:
-        return self.table("raw/pipeline_logs")
-
-    def mart(self, name: str) -> str:
-        return self.table(f"mart/{name}")
+    def __init__(self, checks: dict[str, int]):
+        super().__init__("Data tests failed: " + ", ".join(f"{k} ({n})" for k, n in sorted(checks.items())))
+        self.checks = checks
 
 
 def build_models(spark: SparkSession, raw_stock: DataFrame, raw_macro: DataFrame,
@@ -70,30 +52,37 @@ def build_models(spark: SparkSession, raw_stock: DataFrame, raw_macro: DataFrame
         "mart_risk": spark.read.parquet(warehouse.mart("mart_risk")),
         "mart_macro_correlation": spark.read.parquet(warehouse.mart("mart_macro_correlation")),
     }
-    if logs is None:
-        logs = sinks.read_pipeline_logs(spark, warehouse.logs)
-    return Q.dq_report(models, logs)
+    return Q.dq_report(models, warehouse.logs(spark) if logs is None else logs)
+
+
+def failed_checks(report: DataFrame) -> dict[str, int]:
+    """The failed rows of a ``dq_report`` (28 rows at most)."""
+    return {r["check_name"]: r["failures"] for r in report.where("NOT passed").collect()}
 
 
 def run_daily_build(spark: SparkSession, stock_payloads: DataFrame | None,
-                 macro_payloads: DataFrame | None, warehouse: Warehouse,
-                 started_at: str | None = None) -> dict:
-    """Ingest (stock, then macro), then build the models unless an entity failed."""
+                    macro_payloads: DataFrame | None, warehouse: Warehouse,
+                    started_at: str | None = None) -> dict:
+    """Ingest (stock, then macro), then build the models unless an entity failed.
+
+    Returns the audit rows, the report and ``failed``; raises ``BuildFailed`` when a data test
+    finds rows, after the marts and the audit rows are written, as the original's build does.
+    """
     failed = False
-    summary = {}
-    if stock_payloads is not None:
-        audit = run_stock_ingestion(spark, stock_payloads, warehouse.raw_stock, warehouse.logs,
-                                    started_at)
-        summary["stock"] = audit
-        failed |= audit.where(F.col("status") == "FAILED").limit(1).count() > 0
-    if macro_payloads is not None:
-        audit = run_macro_ingestion(spark, macro_payloads, warehouse.raw_macro, warehouse.logs,
-                                    started_at)
-        summary["macro"] = audit
-        failed |= audit.where(F.col("status") == "FAILED").limit(1).count() > 0
-    summary["ingestion_failed"] = failed
+    summary: dict = {}
+    for name, payloads, run in (("stock", stock_payloads, run_stock_ingestion),
+                                ("macro", macro_payloads, run_macro_ingestion)):
+        if payloads is not None:
+            audit = run(spark, payloads, warehouse, started_at)
+            summary[name] = audit
+            failed |= audit.where(F.col("status") == "FAILED").limit(1).count() > 0
+    summary["ingestion_failed"] = summary["failed"] = failed
     if not failed:
-        raw_stock = sinks.read_snapshot(spark, warehouse.raw_stock, RAW_STOCK_SCHEMA)
-        raw_macro = sinks.read_snapshot(spark, warehouse.raw_macro, RAW_MACRO_SCHEMA)
-        summary["dq"] = build_models(spark, raw_stock, raw_macro, warehouse)
+        state = warehouse.state(spark)
+        report = sinks.stage(spark, build_models(
+            spark, warehouse.read(spark, "raw_stock_prices", state=state),
+            warehouse.read(spark, "raw_macro_indicators", state=state), warehouse), "dq")
+        summary["dq"] = report
+        if checks := failed_checks(report):
+            raise BuildFailed(checks)
     return summary

@@ -1,18 +1,16 @@
-"""One ingestion run: landed payloads → normalised batch → upsert → audit rows.
+"""One ingestion run: landed payloads → normalised batches → upsert → audit rows.
 
 ``stock_run_plan`` / ``macro_run_plan`` are the pure plans (DataFrames in,
 DataFrames out).  ``run_*_ingestion`` execute them against the warehouse.
-All entities (payloads) of the run are processed by one set of Spark jobs,
-keyed by payload id; a bad payload becomes a FAILED audit row and the others
-still load.  Order of effects:
-
-1. the per-row reasons and the labelled merge are staged under the shared
-   checkpoint folder (lineage cut; survives executor loss);
-2. the touched month partitions of the snapshot are replaced;
-3. the audit rows are appended.
-
-A rerun of the same payloads finds every row unchanged (NO_CHANGES), so a run
-that died between steps 2 and 3 is repaired by running it again.
+All entities (payloads) of the run are processed by one set of Spark jobs and
+give what one run after the other, in landing order, would: a later payload
+updates what an earlier one loaded, and each payload's counts are taken against
+the state left by those before it.  A bad payload becomes a FAILED audit row
+and the others still load.
+
+The per-row reasons and the labelled merge are staged under the shared
+checkpoint folder (lineage cut; survives executor loss).  The touched months and
+the audit rows are then published by one commit.
 """
 
 from __future__ import annotations
@@ -22,17 +20,21 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwise.functions.parse import canonical_upper, strip_text
 from tickwise.operators import audit as AU
 from tickwise.operators import normalize as N
 from tickwise.operators import upsert as U
 from tickwise.sources import payloads as P
 from tickwise.sources import sinks
 from tickwise.sources.tables import RAW_MACRO_SCHEMA, RAW_STOCK_SCHEMA
+from tickwise.sources.warehouse import RAW_TABLES, Warehouse
 
-TS_FORMAT = "%Y-%m-%d %H:%M:%S"
+TS_FORMAT = "%Y-%m-%d %H:%M:%S.%f"
+# Payloads merge in this order.
+ORDER = ("landing_order", "payload_id")
 Stage = Callable[[DataFrame, str], DataFrame]
 # The snapshot rows a batch may touch, given the batch's valid rows.
 Target = Callable[[DataFrame], DataFrame]
@@ -50,95 +52,111 @@ def _keep(df: DataFrame, name: str) -> DataFrame:
 class RunPlan:
     batches: DataFrame   # payload_id, entity_name, error_code (null = usable)
     metrics: DataFrame   # payload_id + normalisation counts
-    merged: DataFrame    # labelled merge (snapshot rows + _action + payload_id)
+    merged: DataFrame    # labelled merge (_action, payload_id; _final = new snapshot row)
 
-    def audit(self, pipeline_name: str, started_at: str, completed_at: str,
+    def audit(self, pipeline_name: str, started_at: str, completed_at: str, run_key: str,
               secrets: Sequence[str] = ()) -> DataFrame:
         return AU.run_log(self.batches, self.metrics, U.merge_counts(self.merged, ["payload_id"]),
                           pipeline_name=pipeline_name, started_at=started_at,
-                          completed_at=completed_at, secrets=secrets)
+                          completed_at=completed_at, run_key=run_key, secrets=secrets)
+
+    def snapshot(self) -> DataFrame:
+        return self.merged.where("_final").drop("_action", "_final", "payload_id")
+
+
+def _landed(payloads: DataFrame) -> DataFrame:
+    """Payloads without a landing order come in the order of their ids."""
+    if "landing_order" in payloads.columns:
+        return payloads
+    return payloads.withColumn("landing_order", F.lit(0).cast("bigint"))
+
+
+def _typed(target: DataFrame, schema) -> DataFrame:
+    return target.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
 
+def _merged(target: DataFrame | Target, valid: DataFrame, schema, keys, values, started_at: str) -> DataFrame:
+    rows = target(valid) if callable(target) else target
+    return U.merge_in_order(_typed(rows, schema), valid, keys, values, ORDER,
+                            F.lit(started_at).cast("timestamp_ntz"), carry=["payload_id"])
 
-def _target(target: DataFrame | Target, valid: DataFrame) -> DataFrame:
-    return target(valid) if callable(target) else target
+
+def _entity(name: Column) -> Column:
+    return F.coalesce(F.substring(name, 1, AU.ENTITY_NAME_MAX), F.lit(""))
 
 
 def stock_run_plan(payloads: DataFrame, target: DataFrame | Target, started_at: str,
                    stage: Stage = _keep) -> RunPlan:
-    """Plan of one stock run against ``target`` (the snapshot rows it may touch)."""
-    batches = stage(P.classify_stock_payloads(payloads)
-                    .withColumnRenamed("ticker", "entity_name"), "batches")
-    final = stage(N.stock_reasons(P.parse_stock_payloads(payloads), batch_cols=["payload_id"]),
-                  "reasons")
+    """Plan of one stock run against ``target`` (the snapshot rows it may touch).
+
+    A payload whose ticker is no ticker fails before any of its rows is counted.
+    """
+    landed = _landed(payloads)
+    ticker = canonical_upper("ticker")
+    good = F.coalesce(ticker.rlike(N.TICKER_PATTERN), F.lit(False))
+    batches = stage(P.classify_stock_payloads(landed).select(
+        "payload_id", _entity(ticker).alias("entity_name"),
+        F.when(~good, F.lit(N.NormalizationError.code)).otherwise(F.col("error_code")).alias("error_code")),
+        "batches")
+    rows = P.parse_stock_payloads(landed.where(good), ("payload_id", "landing_order", "ticker"))
+    final = stage(N.stock_reasons(rows, batch_cols=ORDER), "reasons")
     metrics = N.metrics_from_reasons(final, N.STOCK_REASONS, ["payload_id"])
-    valid = N.valid_stock_rows(final, ["payload_id"])
-    merged = U.upsert_stock_prices(_target(target, valid), valid,
-                                   loaded_at=F.lit(started_at).cast("timestamp_ntz"),
-                                   carry=["payload_id"])
+    merged = _merged(target, N.valid_stock_rows(final, ORDER), RAW_STOCK_SCHEMA, U.STOCK_KEY, U.STOCK_VALUES,
+                     started_at)
     return RunPlan(batches, metrics, merged)
 
 
 def macro_run_plan(payloads: DataFrame, target: DataFrame | Target, started_at: str,
                    stage: Stage = _keep) -> RunPlan:
-    """Plan of one macro run.
-
-    Payloads whose rows would give two batch rows for one (indicator_name,
-    date) — two series sharing a display name — fail as a whole instead of
-    merging ambiguously.
-    """
-    final = stage(N.macro_reasons(P.parse_macro_payloads(payloads), batch_cols=["payload_id"]),
-                  "reasons")
+    """Plan of one macro run; the entity is the series' display name."""
+    landed = _landed(payloads)
+    batches = stage(P.classify_macro_payloads(landed).select(
+        "payload_id", _entity(strip_text("indicator_name")).alias("entity_name"), "error_code"), "batches")
+    rows = P.parse_macro_payloads(landed, ("payload_id", "landing_order", "series_id", "indicator_name"))
+    final = stage(N.macro_reasons(rows, batch_cols=ORDER), "reasons")
     metrics = N.metrics_from_reasons(final, N.MACRO_REASONS, ["payload_id"])
-    valid = N.valid_macro_rows(final, ["payload_id"])
-    clash = (U.duplicate_source_keys(valid).join(valid, list(U.MACRO_KEY))
-             .select("payload_id").distinct().withColumn("_clash", F.lit(True)))
-    batches = stage(P.classify_macro_payloads(payloads).join(clash, "payload_id", "left").select(
-        "payload_id", F.col("series_id").alias("entity_name"),
-        F.when(F.col("error_code").isNotNull(), F.col("error_code"))
-        .when(F.col("_clash"), F.lit("SNOWFLAKE_LOAD_ERROR")).alias("error_code")), "batches")
-    loadable = valid.join(batches.where(F.col("error_code").isNull()).select("payload_id"),
-                          "payload_id", "left_semi")
-    merged = U.upsert_macro_indicators(_target(target, loadable), loadable,
-                                       loaded_at=F.lit(started_at).cast("timestamp_ntz"),
-                                       carry=["payload_id"])
+    merged = _merged(target, N.valid_macro_rows(final, ORDER), RAW_MACRO_SCHEMA, U.MACRO_KEY, U.MACRO_VALUES,
+                     started_at)
     return RunPlan(batches, metrics, merged)
 
 
-def _execute(spark: SparkSession, plan_fn, payloads: DataFrame, snapshot_path: str,
-             schema, date_col: str, logs_path: str, pipeline: str, started_at: str | None,
-             secrets: Sequence[str]) -> DataFrame:
-    started = started_at or _now()
-    key = f"{pipeline.lower()}-{uuid.uuid4().hex}"
-    snapshot = sinks.read_snapshot(spark, snapshot_path, schema)
+def _execute(spark: SparkSession, plan_fn, payloads: DataFrame, warehouse: Warehouse, table: str,
+             pipeline: str, started_at: str | None, secrets: Sequence[str], run_key: str | None) -> DataFrame:
+    started, key = started_at or _now(), run_key or uuid.uuid4().hex
+    state = warehouse.state(spark)
+    if key in state.runs:  # this very run is committed; a replay changes nothing
+        return sinks.read_pipeline_logs(spark, warehouse.log_path(state.runs[key]))
+    _, date = RAW_TABLES[table]
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        return sinks.stage(spark, df, name, key)
+        return sinks.stage(spark, df, name, f"{pipeline.lower()}-{key}")
 
     def touched(valid: DataFrame) -> DataFrame:
-        """Snapshot rows in the months the batch touches (semi join: partition pruning)."""
-        months = sinks.with_month(valid, date_col).select(sinks.MONTH_COLUMN).distinct()
-        return snapshot.join(months, sinks.MONTH_COLUMN, "left_semi")
+        """Snapshot rows in the months the batch touches; the calendar bounds their number."""
+        months = [r[0] for r in valid.select(F.date_format(date, "yyyy-MM")).distinct().collect()]
+        return warehouse.read(spark, table, months, state)
 
     plan = plan_fn(payloads, touched, started, stage)
-    merged = stage(sinks.with_month(plan.merged, date_col), "merged")
-    sinks.write_snapshot_months(merged.drop("_action", "payload_id"), snapshot_path)
-    done = RunPlan(plan.batches, plan.metrics, merged)
-    audit = stage(done.audit(pipeline, started, _now(), secrets), "audit")
-    sinks.append_pipeline_log(spark, audit, logs_path)
+    plan = RunPlan(plan.batches, plan.metrics, stage(plan.merged, "merged"))
+    audit = stage(plan.audit(pipeline, started, _now(), key, secrets), "audit")
+    warehouse.commit(spark, state, key, table, plan.snapshot(), audit)
     return audit
 
 
-def run_stock_ingestion(spark: SparkSession, payloads: DataFrame, snapshot_path: str,
-                        logs_path: str, started_at: str | None = None,
-                        secrets: Sequence[str] = ()) -> DataFrame:
-    """Ingest stock payloads (payload_id, ticker, payload); returns the audit rows written."""
-    return _execute(spark, stock_run_plan, payloads, snapshot_path, RAW_STOCK_SCHEMA,
-                    "trade_date", logs_path, AU.STOCK_PIPELINE, started_at, secrets)
+def run_stock_ingestion(spark: SparkSession, payloads: DataFrame, warehouse: Warehouse,
+                        started_at: str | None = None, secrets: Sequence[str] = (),
+                        run_key: str | None = None) -> DataFrame:
+    """Ingest stock payloads (payload_id, ticker, payload and, if known, landing_order).
+
+    Returns the audit rows committed.  A ``run_key`` that is committed already is not run again.
+    """
+    return _execute(spark, stock_run_plan, payloads, warehouse, "raw_stock_prices", AU.STOCK_PIPELINE,
+                    started_at, secrets, run_key)
 
 
-def run_macro_ingestion(spark: SparkSession, payloads: DataFrame, snapshot_path: str,
-                        logs_path: str, started_at: str | None = None,
-                        secrets: Sequence[str] = ()) -> DataFrame:
-    """Ingest macro payloads (payload_id, series_id, indicator_name, payload)."""
-    return _execute(spark, macro_run_plan, payloads, snapshot_path, RAW_MACRO_SCHEMA,
-                    "indicator_date", logs_path, AU.MACRO_PIPELINE, started_at, secrets)
+def run_macro_ingestion(spark: SparkSession, payloads: DataFrame, warehouse: Warehouse,
+                        started_at: str | None = None, secrets: Sequence[str] = (),
+                        run_key: str | None = None) -> DataFrame:
+    """Ingest macro payloads (payload_id, series_id, indicator_name, payload, landing_order)."""
+    return _execute(spark, macro_run_plan, payloads, warehouse, "raw_macro_indicators", AU.MACRO_PIPELINE,
+                    started_at, secrets, run_key)

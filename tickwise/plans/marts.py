@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.operators import windows as W
-from tickwise.operators.joins import DEFAULT_BROADCAST_ROW_LIMIT, stock_macro_join
+from tickwise.operators.joins import stock_macro_join
 
 PORTFOLIO_COLUMNS = (
     "ticker", "trade_date", "open_price", "high_price", "low_price", "close_price", "volume",
@@ -93,12 +93,11 @@ def macro_changes(stg_macro: DataFrame) -> DataFrame:
 
 
 def mart_macro_correlation(portfolio: DataFrame, stg_macro: DataFrame,
-                           updated_at: Column | None = None,
-                           broadcast_row_limit: int = DEFAULT_BROADCAST_ROW_LIMIT) -> DataFrame:
+                           updated_at: Column | None = None) -> DataFrame:
     """M3: returns ⋈ macro changes by exact date, then the 20-row rolling correlation."""
     returns = portfolio.select("ticker", "trade_date", "daily_return_pct").where(
         F.col("daily_return_pct").isNotNull())
-    joined = stock_macro_join(returns, macro_changes(stg_macro), broadcast_row_limit).select(
+    joined = stock_macro_join(returns, macro_changes(stg_macro)).select(
         "ticker", "trade_date", "daily_return_pct", "indicator_name",
         F.col("value").alias("indicator_value"), "indicator_change_pct",
     )

@@ -16,6 +16,13 @@ def R(x: str, n: int) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,8)), {n}) AS DOUBLE)"
 
 
+def NEAREST(x: str, n: int) -> str:
+    """Scaled to an integer, ties to even (adding 1.5 * 2^52 leaves no fraction bits), scaled back."""
+    v = f"(({x}) * 1e{n}::DOUBLE)"
+    return (f"(CASE WHEN abs({v}) < 4503599627370496 THEN ({v} + 6755399441055744::DOUBLE) - 6755399441055744::DOUBLE "
+            f"ELSE {v} END / 1e{n}::DOUBLE)")
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -67,78 +74,62 @@ STG_MACRO = """stg_macro_indicators AS (
         FROM raw_macro_indicators WHERE value IS NOT NULL) c
   WHERE row_num = 1)"""
 
-W_T = "PARTITION BY ticker ORDER BY trade_date"
-
-PORTFOLIO = f"""with_prev AS (
-  SELECT *, LAG(close_price) OVER ({W_T}) AS prev_close_price FROM stg_stock_prices),
-with_returns AS (
-  SELECT *, {R('(close_price - prev_close_price) / NULLIF(prev_close_price, 0) * 100', 4)}
-            AS daily_return_pct FROM with_prev),
-with_metrics AS (
-  SELECT *,
-    {R(f'AVG(close_price) OVER ({W_T} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)', 4)} AS ma_20day,
-    {R(f'AVG(close_price) OVER ({W_T} ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)', 4)} AS ma_50day,
-    {R(f'STDDEV_SAMP(daily_return_pct) OVER ({W_T} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)', 4)}
-      AS rolling_volatility_20d,
-    {R(f'(close_price - FIRST_VALUE(close_price) OVER ({W_T})) / NULLIF(FIRST_VALUE(close_price) OVER ({W_T}), 0) * 100', 4)}
-      AS cumulative_return_pct,
-    MAX(close_price) OVER ({W_T} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_peak
-  FROM with_returns),
+PORTFOLIO = f"""days AS (
+  SELECT *, lag(close_price, 1) OVER by_day AS yesterday,
+         first(close_price) OVER (by_day ROWS UNBOUNDED PRECEDING) AS opening,
+         max(close_price) OVER (by_day ROWS UNBOUNDED PRECEDING) AS running_peak,
+         {R('avg(close_price) OVER (by_day ROWS 19 PRECEDING)', 4)} AS ma_20day,
+         {R('avg(close_price) OVER (by_day ROWS 49 PRECEDING)', 4)} AS ma_50day
+  FROM stg_stock_prices WINDOW by_day AS (PARTITION BY ticker ORDER BY trade_date)),
+moves AS (
+  SELECT * EXCLUDE (yesterday, opening), yesterday AS prev_close_price,
+         {R('(close_price - yesterday) / nullif(yesterday, 0) * 100', 4)} AS daily_return_pct,
+         {R('(close_price - opening) / nullif(opening, 0) * 100', 4)} AS cumulative_return_pct,
+         {R('(close_price - running_peak) / nullif(running_peak, 0) * 100', 4)} AS drawdown_pct
+  FROM days),
 mart_portfolio AS (
-  SELECT ticker, trade_date, open_price, high_price, low_price, close_price, volume,
-         prev_close_price, daily_return_pct, ma_20day, ma_50day, rolling_volatility_20d,
-         cumulative_return_pct, running_peak,
-         {R('(close_price - running_peak) / NULLIF(running_peak, 0) * 100', 4)} AS drawdown_pct,
-         {AS_OF_SQL} AS updated_at
-  FROM with_metrics)"""
-
-RISK = f"""risk_base AS (
-  SELECT ticker, trade_date, daily_return_pct, rolling_volatility_20d, drawdown_pct,
-         cumulative_return_pct, volume
-  FROM mart_portfolio WHERE daily_return_pct IS NOT NULL),
-mart_risk AS (
+  SELECT ticker, trade_date, open_price, high_price, low_price, close_price, volume, prev_close_price,
+         daily_return_pct, ma_20day, ma_50day,
+         {R('stddev_samp(daily_return_pct) OVER (PARTITION BY ticker ORDER BY trade_date ROWS 19 PRECEDING)', 4)}
+           AS rolling_volatility_20d,
+         cumulative_return_pct, running_peak, drawdown_pct, {AS_OF_SQL} AS updated_at
+  FROM moves)"""
+
+RISK = f"""mart_risk AS (
   SELECT ticker, trade_date, daily_return_pct, rolling_volatility_20d,
-    {R(f'(AVG(daily_return_pct) OVER ({W_T} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) - 0.0198) / NULLIF(rolling_volatility_20d, 0) * SQRT(252)', 4)}
+    {R('(avg(daily_return_pct) OVER month_back - 0.0198) / nullif(rolling_volatility_20d, 0) * sqrt(252)', 4)}
       AS sharpe_ratio_20d,
-    MIN(drawdown_pct) OVER ({W_T} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS max_drawdown_pct,
-    {R(f'AVG(daily_return_pct) OVER ({W_T} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) - 1.645 * NULLIF(rolling_volatility_20d, 0)', 4)}
-      AS var_95_pct,
-    {R(f'AVG(volume) OVER ({W_T} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)', 0)} AS avg_volume_20d,
-    cumulative_return_pct,
-    {AS_OF_SQL} AS updated_at
-  FROM risk_base)"""
-
-W_TI = "PARTITION BY ticker, indicator_name ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW"
-
-MACRO_CHANGE = f"""macro_changes AS (
+    min(drawdown_pct) OVER (so_far ROWS UNBOUNDED PRECEDING) AS max_drawdown_pct,
+    {R('avg(daily_return_pct) OVER month_back - 1.645 * nullif(rolling_volatility_20d, 0)', 4)} AS var_95_pct,
+    {R('avg(volume) OVER month_back', 0)} AS avg_volume_20d,
+    cumulative_return_pct, {AS_OF_SQL} AS updated_at
+  FROM mart_portfolio WHERE daily_return_pct IS NOT NULL
+  WINDOW so_far AS (PARTITION BY ticker ORDER BY trade_date),
+         month_back AS (PARTITION BY ticker ORDER BY trade_date ROWS 19 PRECEDING))"""
+
+MACRO_CHANGE = f"""macro_steps AS (
+  SELECT indicator_name, indicator_date, value,
+         lag(value) OVER (PARTITION BY indicator_name ORDER BY indicator_date) AS was
+  FROM stg_macro_indicators),
+macro_changes AS (
   SELECT indicator_name, indicator_date, value,
-    {R('(value - LAG(value) OVER (PARTITION BY indicator_name ORDER BY indicator_date)) / NULLIF(LAG(value) OVER (PARTITION BY indicator_name ORDER BY indicator_date), 0) * 100', 4)}
-      AS indicator_change_pct
-  FROM stg_macro_indicators)"""
+         {R('(value - was) / nullif(was, 0) * 100', 4)} AS indicator_change_pct
+  FROM macro_steps)"""
 
 JOINED = """stock_macro AS (
-  SELECT s.ticker, s.trade_date, s.daily_return_pct, m.indicator_name,
-         m.value AS indicator_value, m.indicator_change_pct
-  FROM (SELECT ticker, trade_date, daily_return_pct FROM mart_portfolio
-        WHERE daily_return_pct IS NOT NULL) s
-  LEFT JOIN macro_changes m ON s.trade_date = m.indicator_date
-  WHERE m.indicator_name IS NOT NULL)"""
-
-CORRELATION = f"""corr_windowed AS (
-  SELECT *,
-    AVG(daily_return_pct) OVER ({W_TI}) AS avg_return,
-    AVG(indicator_change_pct) OVER ({W_TI}) AS avg_indicator,
-    STDDEV_SAMP(daily_return_pct) OVER ({W_TI}) AS std_return,
-    STDDEV_SAMP(indicator_change_pct) OVER ({W_TI}) AS std_indicator,
-    AVG(daily_return_pct * indicator_change_pct) OVER ({W_TI}) AS avg_product
-  FROM stock_macro),
-mart_macro_correlation AS (
-  SELECT ticker, trade_date, indicator_name, indicator_value, indicator_change_pct,
-         daily_return_pct,
-         {R('(avg_product - avg_return * avg_indicator) / NULLIF(std_return * std_indicator, 0)', 4)}
-           AS rolling_correlation_20d,
-         {AS_OF_SQL} AS updated_at
-  FROM corr_windowed)"""
+  SELECT ticker, trade_date, daily_return_pct, indicator_name, value AS indicator_value, indicator_change_pct
+  FROM mart_portfolio JOIN macro_changes ON indicator_date = trade_date
+  WHERE daily_return_pct IS NOT NULL)"""
+
+CORRELATION = f"""mart_macro_correlation AS (
+  SELECT ticker, trade_date, indicator_name, indicator_value, indicator_change_pct, daily_return_pct,
+    {R('''(avg(daily_return_pct * indicator_change_pct) OVER pair
+        - avg(daily_return_pct) OVER pair * avg(indicator_change_pct) OVER pair)
+       / nullif(stddev_samp(daily_return_pct) OVER pair * stddev_samp(indicator_change_pct) OVER pair, 0)''', 4)}
+      AS rolling_correlation_20d,
+    {AS_OF_SQL} AS updated_at
+  FROM stock_macro
+  WINDOW pair AS (PARTITION BY ticker, indicator_name ORDER BY trade_date ROWS 19 PRECEDING))"""
 
 STOCK_CHAIN = (RAW_STOCK, STG_STOCK)
 MACRO_CHAIN = (RAW_MACRO, STG_MACRO)
@@ -263,9 +254,9 @@ def _metrics_sql(final: str, reasons) -> str:
 
 ORACLE.update({
     "normalize_stock_rows": with_(DIRTY_STOCK, STOCK_NORMALIZED) + """
-SELECT _input_order, ticker, trade_date, round_even(open_price, 4) AS open_price,
-       round_even(high_price, 4) AS high_price, round_even(low_price, 4) AS low_price,
-       round_even(close_price, 4) AS close_price, CAST(volume AS BIGINT) AS volume
+SELECT _input_order, ticker, trade_date, """ + ", ".join(
+        f"{NEAREST(c, 4)} AS {c}" for c in ("open_price", "high_price", "low_price", "close_price")) + """,
+       CAST(CAST(volume AS BIGINT) AS VARCHAR) AS volume
 FROM stock_final WHERE final_reason IS NULL""",
     "rejected_stock_rows": with_(DIRTY_STOCK, STOCK_NORMALIZED)
     + "SELECT _input_order, final_reason AS reason FROM stock_final WHERE final_reason IS NOT NULL",
@@ -274,8 +265,8 @@ FROM stock_final WHERE final_reason IS NULL""",
     "stock_reason_counts": with_(DIRTY_STOCK, STOCK_NORMALIZED)
     + "SELECT final_reason AS reason, count(*) AS rows FROM stock_final "
       "WHERE final_reason IS NOT NULL GROUP BY final_reason",
-    "normalize_macro_rows": with_(DIRTY_MACRO, MACRO_NORMALIZED) + """
-SELECT _input_order, series_id, indicator_name, indicator_date, round_even(value, 6) AS value
+    "normalize_macro_rows": with_(DIRTY_MACRO, MACRO_NORMALIZED) + f"""
+SELECT _input_order, series_id, indicator_name, indicator_date, {NEAREST("value", 6)} AS value
 FROM macro_final WHERE final_reason IS NULL""",
     "rejected_macro_rows": with_(DIRTY_MACRO, MACRO_NORMALIZED)
     + "SELECT _input_order, final_reason AS reason FROM macro_final WHERE final_reason IS NOT NULL",
@@ -322,42 +313,61 @@ def DEC(x: str, s: int) -> str:
     return f"CAST(CAST({x} AS DECIMAL(18,{s})) AS VARCHAR)"
 
 
+def PRICE(x: str) -> str:
+    """A price as its payload text says it, normalised."""
+    return NEAREST(f"CAST(CAST({x} AS DECIMAL(18,4)) AS DOUBLE)", 4)
+
+
+HUGE = NEAREST("1e31::DOUBLE", 4)
+HUGE_VOLUME = "'1' || repeat('0', 30)"
+PRICES = ("open_price", "high_price", "low_price", "close_price")
+
+# Every payload: the groups themselves (landed first) and the extra ones.
+STOCK_LANDED = """stock_landed AS (
+  SELECT DISTINCT payload_id, ticker, 0 AS landed, NULL AS error_code, code, payload_id AS base FROM stock_groups
+  UNION ALL SELECT DISTINCT payload_id || ':error', ticker, 1, CASE
+      WHEN code <= 2 THEN 'API_RATE_LIMITED' WHEN code <= 6 THEN 'API_DATA_UNAVAILABLE'
+      ELSE 'API_RESPONSE_INVALID' END, code, NULL FROM stock_groups WHERE code BETWEEN 1 AND 9
+  UNION ALL SELECT DISTINCT payload_id || ':huge', ticker, 1, NULL, code, NULL FROM stock_groups WHERE code = 10
+  UNION ALL SELECT DISTINCT payload_id || ':ticker', 'bad ticker!', 1, NULL, code, payload_id FROM stock_groups
+    WHERE code = 11)"""
+MACRO_LANDED = """macro_landed AS (
+  SELECT DISTINCT payload_id, series_id, indicator_name, 0 AS landed, NULL AS error_code FROM macro_groups
+  UNION ALL SELECT DISTINCT payload_id || ':error', series_id, indicator_name, 1,
+    CASE WHEN code <= 5 THEN 'API_DATA_UNAVAILABLE' ELSE 'API_RESPONSE_INVALID' END
+  FROM macro_groups WHERE code BETWEEN 1 AND 8)"""
+
+STOCK_PAYLOAD_CHAIN += (STOCK_LANDED,)
+MACRO_PAYLOAD_CHAIN += (MACRO_LANDED,)
+
 ORACLE.update({
-    "classify_stock_payloads": with_(*STOCK_PAYLOAD_CHAIN) + """
-SELECT DISTINCT payload_id, ticker, CASE
-    WHEN code IN (1, 2) THEN 'API_RATE_LIMITED'
-    WHEN code IN (3, 4, 5, 6) THEN 'API_DATA_UNAVAILABLE'
-    WHEN code IN (7, 8, 9) THEN 'API_RESPONSE_INVALID' END AS error_code
-FROM stock_groups""",
+    "classify_stock_payloads": with_(*STOCK_PAYLOAD_CHAIN)
+    + "SELECT payload_id, ticker, error_code FROM stock_landed",
     "parse_stock_payloads": with_(*STOCK_PAYLOAD_CHAIN) + f"""
-SELECT payload_id, ticker, pos AS _input_order, strftime(trade_date, '%Y-%m-%d') AS trade_date,
+SELECT l.payload_id, l.ticker, g.pos AS _input_order, strftime(trade_date, '%Y-%m-%d') AS trade_date,
        {DEC('open_price', 4)} AS open_price, {DEC('high_price', 4)} AS high_price,
        {DEC('low_price', 4)} AS low_price, {DEC('close_price', 4)} AS close_price,
        CAST(volume AS VARCHAR) AS volume
-FROM stock_groups WHERE code NOT BETWEEN 1 AND 9""",
-    "ingest_stock_payloads": with_(*STOCK_PAYLOAD_CHAIN) + """
+FROM stock_groups g JOIN stock_landed l ON l.base = g.payload_id
+UNION ALL SELECT payload_id, ticker, 0, '2099-01-01', '1e31', '1e31', '1e31', '1e31', '1e30'
+FROM stock_landed WHERE ends_with(payload_id, ':huge')""",
+    "ingest_stock_payloads": with_(*STOCK_PAYLOAD_CHAIN) + f"""
 SELECT payload_id, pos AS _input_order, ticker, trade_date,
-       round_even(CAST(CAST(open_price AS DECIMAL(18,4)) AS DOUBLE), 4) AS open_price,
-       round_even(CAST(CAST(high_price AS DECIMAL(18,4)) AS DOUBLE), 4) AS high_price,
-       round_even(CAST(CAST(low_price AS DECIMAL(18,4)) AS DOUBLE), 4) AS low_price,
-       round_even(CAST(CAST(close_price AS DECIMAL(18,4)) AS DOUBLE), 4) AS close_price,
-       volume
-FROM stock_groups
-WHERE code NOT BETWEEN 1 AND 9 AND close_price IS NOT NULL AND volume > 0""",
-    "classify_macro_payloads": with_(*MACRO_PAYLOAD_CHAIN) + """
-SELECT DISTINCT payload_id, series_id, indicator_name, CASE
-    WHEN code IN (1, 2, 3, 4, 5) THEN 'API_DATA_UNAVAILABLE'
-    WHEN code IN (6, 7, 8) THEN 'API_RESPONSE_INVALID' END AS error_code
-FROM macro_groups""",
+       {", ".join(f"{PRICE(c)} AS {c}" for c in PRICES)}, CAST(volume AS VARCHAR) AS volume
+FROM stock_groups WHERE close_price IS NOT NULL AND volume > 0
+UNION ALL SELECT payload_id, 0, ticker, DATE '2099-01-01', {HUGE}, {HUGE}, {HUGE}, {HUGE}, {HUGE_VOLUME}
+FROM stock_landed WHERE ends_with(payload_id, ':huge')""",
+    "classify_macro_payloads": with_(*MACRO_PAYLOAD_CHAIN)
+    + "SELECT payload_id, series_id, indicator_name, error_code FROM macro_landed",
     "parse_macro_payloads": with_(*MACRO_PAYLOAD_CHAIN) + f"""
 SELECT payload_id, series_id, indicator_name, pos AS _input_order,
        strftime(indicator_date, '%Y-%m-%d') AS indicator_date,
        coalesce({DEC('value', 2)}, '.') AS value
-FROM macro_groups WHERE code NOT BETWEEN 1 AND 8""",
-    "ingest_macro_payloads": with_(*MACRO_PAYLOAD_CHAIN) + """
+FROM macro_groups""",
+    "ingest_macro_payloads": with_(*MACRO_PAYLOAD_CHAIN) + f"""
 SELECT payload_id, pos AS _input_order, series_id, indicator_name, indicator_date,
-       round_even(CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE), 6) AS value
-FROM macro_groups WHERE code NOT BETWEEN 1 AND 8 AND value IS NOT NULL""",
+       {NEAREST("CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE)", 6)} AS value
+FROM macro_groups WHERE value IS NOT NULL""",
     "latest_observations": with_(*MACRO_CHAIN) + """
 SELECT indicator_name, indicator_date, value, loaded_at FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY indicator_name ORDER BY indicator_date DESC) AS rn
@@ -540,71 +550,154 @@ WHERE pipeline_name = 'MACRO_INGESTION'
 ORDER BY completed_at DESC, run_id DESC LIMIT 1""",
 })
 
-# -- run log of a payload ingestion --------------------------------------------------------
+# -- runs: payloads merged one after the other -----------------------------------------------
 
 RUN_STARTED = "2024-01-31 00:00:00"
 RUN_COMPLETED = "2024-01-31 00:05:00"
-
-STOCK_RUN = f"""payload_class AS (
-  SELECT DISTINCT payload_id, ticker, CASE
-    WHEN code IN (1, 2) THEN 'API_RATE_LIMITED'
-    WHEN code IN (3, 4, 5, 6) THEN 'API_DATA_UNAVAILABLE'
-    WHEN code IN (7, 8, 9) THEN 'API_RESPONSE_INVALID' END AS error_code
-  FROM stock_groups),
-payload_rows AS (SELECT * FROM stock_groups WHERE code NOT BETWEEN 1 AND 9),
-payload_metrics AS (
-  SELECT payload_id, count(*) AS rows_fetched,
-         count_if(close_price IS NOT NULL AND volume > 0) AS rows_valid,
-         count_if(NOT (close_price IS NOT NULL AND volume > 0)) AS rows_dropped
-  FROM payload_rows GROUP BY payload_id),
-payload_merge AS (
-  SELECT v.payload_id, count_if(t.ticker IS NULL) AS rows_inserted,
-    count_if(t.ticker IS NOT NULL AND (t.open_price IS DISTINCT FROM v.open_price
-      OR t.high_price IS DISTINCT FROM v.high_price OR t.low_price IS DISTINCT FROM v.low_price
-      OR t.close_price IS DISTINCT FROM v.close_price OR t.volume IS DISTINCT FROM v.volume))
-      AS rows_updated,
-    count_if(t.ticker IS NOT NULL AND NOT (t.open_price IS DISTINCT FROM v.open_price
-      OR t.high_price IS DISTINCT FROM v.high_price OR t.low_price IS DISTINCT FROM v.low_price
-      OR t.close_price IS DISTINCT FROM v.close_price OR t.volume IS DISTINCT FROM v.volume))
-      AS rows_unchanged
-  FROM (SELECT * FROM payload_rows WHERE close_price IS NOT NULL AND volume > 0) v
-  LEFT JOIN ups_target t ON t.ticker = v.ticker AND t.trade_date = v.trade_date
-  GROUP BY v.payload_id),
-run_counts AS (
-  SELECT c.payload_id, c.ticker, c.error_code,
-    coalesce(m.rows_fetched, 0) AS rows_fetched, coalesce(m.rows_valid, 0) AS rows_valid,
-    coalesce(m.rows_dropped, 0) AS rows_dropped,
-    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_inserted, 0) ELSE 0 END AS rows_inserted,
-    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_updated, 0) ELSE 0 END AS rows_updated,
-    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_unchanged, 0) ELSE 0 END AS rows_unchanged
-  FROM payload_class c LEFT JOIN payload_metrics m ON c.payload_id = m.payload_id
-  LEFT JOIN payload_merge g ON c.payload_id = g.payload_id),
-run_log AS (
-  SELECT
-    (SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-'
-            || substr(h, 17, 4) || '-' || substr(h, 21, 12)
-     FROM (SELECT md5('STOCK_INGESTION|' || payload_id || '|{RUN_STARTED}') AS h)) AS run_id,
-    TIMESTAMP '{RUN_STARTED}' AS run_timestamp, TIMESTAMP '{RUN_COMPLETED}' AS completed_at,
-    'STOCK_INGESTION' AS pipeline_name, substr(ticker, 1, 128) AS entity_name,
-    CAST(rows_fetched AS BIGINT) AS rows_fetched, CAST(rows_valid AS BIGINT) AS rows_valid,
-    CAST(rows_inserted AS BIGINT) AS rows_inserted, CAST(rows_updated AS BIGINT) AS rows_updated,
-    CAST(rows_unchanged AS BIGINT) AS rows_unchanged, CAST(rows_dropped AS BIGINT) AS rows_dropped,
-    CASE WHEN error_code IS NOT NULL THEN 'FAILED' WHEN rows_valid = 0 THEN 'NO_VALID_ROWS'
+RUN_KEY = "run-1"
+
+
+def _sequence(rows: str, keys, values) -> str:
+    """``steps``: each row of ``rows`` (payload_id, landed, keys, values) with what it did to the
+    state that the payloads before it left, starting from ``ups_target``."""
+    on = " AND ".join(f"{{0}}.{k} = r.{k}" for k in keys)
+    now = "row(" + ", ".join(f"r.{v}" for v in values) + ")"
+    old = "row(" + ", ".join(f"p.{v}" for v in values) + ")"
+    start = "row(" + ", ".join(f"t.{v}" for v in values) + ")"
+    return f"""numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY {", ".join(keys)} ORDER BY landed, payload_id) AS turn,
+         count(*) OVER (PARTITION BY {", ".join(keys)}) AS turns
+  FROM {rows}),
+steps AS (
+  SELECT r.*, t.loaded_at AS old_loaded_at, CASE
+      WHEN p.turn IS NULL AND t.{keys[0]} IS NULL THEN 'insert'
+      WHEN p.turn IS NOT NULL AND {now} IS DISTINCT FROM {old} THEN 'update'
+      WHEN p.turn IS NULL AND {now} IS DISTINCT FROM {start} THEN 'update'
+      ELSE 'unchanged' END AS did
+  FROM numbered r
+  LEFT JOIN numbered p ON {on.format("p")} AND p.turn = r.turn - 1
+  LEFT JOIN ups_target t ON {on.format("t")}),
+step_counts AS (
+  SELECT payload_id, count_if(did = 'insert') AS rows_inserted, count_if(did = 'update') AS rows_updated,
+         count_if(did = 'unchanged') AS rows_unchanged
+  FROM steps GROUP BY payload_id)"""
+
+
+_COUNTS = ("rows_valid", "rows_inserted", "rows_updated", "rows_unchanged", "rows_dropped")
+_STATUS = """CASE WHEN error_code IS NOT NULL THEN 'FAILED' WHEN rows_valid = 0 THEN 'NO_VALID_ROWS'
          WHEN rows_inserted = 0 AND rows_updated = 0 THEN 'NO_CHANGES'
-         WHEN rows_dropped > 0 THEN 'PARTIAL_SUCCESS' ELSE 'SUCCESS' END AS status,
-    CAST(300000 AS BIGINT) AS duration_ms,
-    error_code,
-    CASE error_code WHEN 'API_RESPONSE_INVALID' THEN 'Provider response was invalid.'
-         WHEN 'API_RATE_LIMITED' THEN 'Provider request was rate limited.'
-         WHEN 'API_DATA_UNAVAILABLE' THEN 'Provider data was unavailable.' END AS error_message,
-    payload_id
-  FROM run_counts)"""
+         WHEN rows_dropped > 0 THEN 'PARTIAL_SUCCESS' ELSE 'SUCCESS' END"""
+
+
+def _run_counts(landed: str, fetched: str, entity: str) -> str:
+    """``run_counts``: one row per payload of ``landed`` with its counts and status.
 
-STOCK_RUN_CHAIN = (RAW_STOCK, STOCK_BARS, _ups_stock("ups_target", 1), STOCK_RUN)
+    ``fetched`` has payload_id and ``ok`` for every row of every usable payload.
+    """
+    return f"""payload_metrics AS (
+  SELECT payload_id, count(*) AS rows_fetched, count_if(ok) AS rows_valid, count_if(NOT ok) AS rows_dropped
+  FROM {fetched} GROUP BY payload_id),
+run_counts AS (
+  SELECT *, {_STATUS} AS status FROM (
+    SELECT l.payload_id, {entity} AS entity_name, l.error_code,
+      {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("rows_fetched", *_COUNTS))}
+    FROM {landed} l LEFT JOIN payload_metrics m ON m.payload_id = l.payload_id
+    LEFT JOIN step_counts s ON s.payload_id = l.payload_id) c)"""
+
+
+def _log_rows(pipeline: str) -> str:
+    return f"""
+SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4)
+         || '-' || substr(h, 21, 12) AS run_id,
+  TIMESTAMP '{RUN_STARTED}' AS run_timestamp, TIMESTAMP '{RUN_COMPLETED}' AS completed_at,
+  '{pipeline}' AS pipeline_name, entity_name, rows_fetched, rows_valid, rows_inserted, rows_updated,
+  rows_unchanged, rows_dropped, status, CAST(300000 AS BIGINT) AS duration_ms, error_code,
+  CASE error_code WHEN 'API_RESPONSE_INVALID' THEN 'Provider response was invalid.'
+       WHEN 'API_RATE_LIMITED' THEN 'Provider request was rate limited.'
+       WHEN 'NORMALIZATION_ERROR' THEN 'Batch could not be normalised.'
+       WHEN 'API_DATA_UNAVAILABLE' THEN 'Provider data was unavailable.' END AS error_message
+FROM (SELECT *, md5('{pipeline}|' || payload_id || '|{RUN_KEY}') AS h FROM run_counts) r"""
+
+
+_STATUS_ROWS = f"SELECT payload_id, {', '.join(_COUNTS)}, status FROM run_counts"
+
+
+def _new_snapshot(keys, values, shown) -> str:
+    """Keys no payload has as they were; the others as the last payload left them."""
+    by = ", ".join(keys)
+    return f"""
+SELECT {by}, {", ".join(shown)}, CASE WHEN bool_or(did <> 'unchanged') OVER (PARTITION BY {by})
+    THEN TIMESTAMP '{RUN_STARTED}' ELSE old_loaded_at END AS loaded_at
+FROM steps QUALIFY turn = turns
+UNION ALL SELECT {by}, {", ".join(shown)}, loaded_at FROM ups_target t
+WHERE NOT EXISTS (SELECT 1 FROM steps s WHERE {" AND ".join(f"s.{k} = t.{k}" for k in keys)})"""
+
+
+MACRO_KEYS, MACRO_VALUES = ("indicator_name", "indicator_date"), ("value",)
+_VALUE = NEAREST("CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE)", 6)
+
+STOCK_RUN_CHAIN = (*STOCK_PAYLOAD_CHAIN, _ups_stock("ups_target", 1), f"""stock_fetched AS (
+  SELECT payload_id, close_price IS NOT NULL AND volume > 0 AS ok FROM stock_groups
+  UNION ALL SELECT payload_id, true FROM stock_landed WHERE ends_with(payload_id, ':huge')),
+stock_valid AS (
+  SELECT payload_id, 0 AS landed, ticker, trade_date, {", ".join(f"{PRICE(c)} AS {c}" for c in PRICES)},
+         CAST(volume AS DECIMAL(38,0)) AS volume
+  FROM stock_groups WHERE close_price IS NOT NULL AND volume > 0
+  UNION ALL SELECT payload_id, 1, ticker, DATE '2099-01-01', {HUGE}, {HUGE}, {HUGE}, {HUGE},
+    CAST({HUGE_VOLUME} AS DECIMAL(38,0))
+  FROM stock_landed WHERE ends_with(payload_id, ':huge')),
+stock_entities AS (
+  SELECT * REPLACE (CASE WHEN ticker = 'bad ticker!' THEN 'NORMALIZATION_ERROR' ELSE error_code END AS error_code)
+  FROM stock_landed)""", _sequence("stock_valid", STOCK_KEYS, STOCK_VALUES),
+    _run_counts("stock_entities", "stock_fetched", "upper(l.ticker)"))
+
+MACRO_RUN_CHAIN = (*MACRO_PAYLOAD_CHAIN, _ups_macro("ups_target", 1), f"""macro_fetched AS (
+  SELECT payload_id, value IS NOT NULL AS ok FROM macro_groups),
+macro_valid AS (
+  SELECT payload_id, 0 AS landed, indicator_name, indicator_date, {_VALUE} AS value
+  FROM macro_groups WHERE value IS NOT NULL)""", _sequence("macro_valid", MACRO_KEYS, MACRO_VALUES),
+    _run_counts("macro_landed", "macro_fetched", "l.indicator_name"))
+
+STOCK_OVERLAP_CHAIN = (RAW_STOCK, _ups_stock("ups_target", 1), f"""fetched AS (
+  SELECT * EXCLUDE (rn), close_price IS NOT NULL AND volume > 0 AS ok,
+    ticker || ':' || strftime(trade_date, '%Y-%m') || ':' || CAST(landed AS VARCHAR) AS payload_id
+  FROM (SELECT *, source_key % 3 AS landed, row_number() OVER (
+          PARTITION BY ticker, trade_date, source_key % 3 ORDER BY {STOCK_ORDER_SQL}) AS rn
+        FROM raw_stock_prices) x WHERE rn = 1),
+landed_payloads AS (SELECT DISTINCT payload_id, ticker, NULL AS error_code FROM fetched),
+stock_valid AS (
+  SELECT payload_id, landed, ticker, trade_date, {", ".join(f"{PRICE(c)} AS {c}" for c in PRICES)}, volume
+  FROM fetched WHERE ok)""", _sequence("stock_valid", STOCK_KEYS, STOCK_VALUES),
+    _run_counts("landed_payloads", "fetched", "ticker"))
+
+MACRO_OVERLAP_CHAIN = (RAW_MACRO, _ups_macro("ups_target", 1), f"""series_dim AS (
+  SELECT * FROM (VALUES ('FEDFUNDS', 'Federal Funds Rate'), ('CPIAUCSL', 'Consumer Price Index'),
+                        ('GDP', 'Gross Domestic Product'), ('UNRATE', 'Unemployment Rate'),
+                        ('DGS10', '10 Year Treasury Rate')) t(series_id, indicator_name)),
+fetched AS (
+  SELECT x.*, value IS NOT NULL AS ok,
+    series_id || ':' || CAST(year(indicator_date) AS VARCHAR) || ':' || CAST(landed AS VARCHAR) AS payload_id
+  FROM (SELECT *, source_key % 3 AS landed, row_number() OVER (
+          PARTITION BY indicator_name, indicator_date, source_key % 3
+          ORDER BY loaded_at DESC NULLS LAST, value DESC NULLS LAST) AS rn
+        FROM raw_macro_indicators) x JOIN series_dim USING (indicator_name) WHERE rn = 1),
+landed_payloads AS (SELECT DISTINCT payload_id, indicator_name, NULL AS error_code FROM fetched),
+macro_valid AS (
+  SELECT payload_id, landed, indicator_name, indicator_date, {_VALUE} AS value FROM fetched WHERE ok)""",
+    _sequence("macro_valid", MACRO_KEYS, MACRO_VALUES),
+    _run_counts("landed_payloads", "fetched", "indicator_name"))
+
+_STOCK_SHOWN = (*PRICES, "CAST(CAST(volume AS DECIMAL(38,0)) AS VARCHAR) AS volume")
 
 ORACLE.update({
-    "run_log": with_(*STOCK_RUN_CHAIN) + "SELECT * EXCLUDE (payload_id) FROM run_log",
-    "run_status": with_(*STOCK_RUN_CHAIN) + "SELECT payload_id, status FROM run_log",
+    "run_log": with_(*STOCK_RUN_CHAIN) + _log_rows("STOCK_INGESTION"),
+    "run_status": with_(*STOCK_RUN_CHAIN) + "SELECT payload_id, status FROM run_counts",
+    "macro_run_log": with_(*MACRO_RUN_CHAIN) + _log_rows("MACRO_INGESTION"),
+    "ingest_overlapping_stock": with_(*STOCK_OVERLAP_CHAIN) + _STATUS_ROWS,
+    "ingest_overlapping_macro": with_(*MACRO_OVERLAP_CHAIN) + _STATUS_ROWS,
+    "overlapping_stock_snapshot": with_(*STOCK_OVERLAP_CHAIN)
+    + _new_snapshot(STOCK_KEYS, STOCK_VALUES, _STOCK_SHOWN),
+    "overlapping_macro_snapshot": with_(*MACRO_OVERLAP_CHAIN) + _new_snapshot(MACRO_KEYS, MACRO_VALUES, ("value",)),
 })
 
 # -- data quality ---------------------------------------------------------------------------
@@ -737,57 +830,3 @@ SELECT ticker, max(trade_date) AS trade_date,
        {R('arg_max(indicator_value, trade_date)', 2)} AS indicator_value
 FROM mart_macro_correlation WHERE indicator_name = '{FOCUS_INDICATOR}' GROUP BY ticker""",
 })
-
-# -- run log of a macro payload ingestion ---------------------------------------------------
-
-MACRO_RUN = f"""mpayload_class AS (
-  SELECT DISTINCT payload_id, series_id, CASE
-    WHEN code IN (1, 2, 3, 4, 5) THEN 'API_DATA_UNAVAILABLE'
-    WHEN code IN (6, 7, 8) THEN 'API_RESPONSE_INVALID' END AS error_code
-  FROM macro_groups),
-mpayload_rows AS (SELECT * FROM macro_groups WHERE code NOT BETWEEN 1 AND 8),
-mpayload_metrics AS (
-  SELECT payload_id, count(*) AS rows_fetched, count_if(value IS NOT NULL) AS rows_valid,
-         count_if(value IS NULL) AS rows_dropped
-  FROM mpayload_rows GROUP BY payload_id),
-mvalid AS (
-  SELECT payload_id, indicator_name, indicator_date,
-         round_even(CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE), 6) AS value
-  FROM mpayload_rows WHERE value IS NOT NULL),
-mpayload_merge AS (
-  SELECT v.payload_id, count_if(t.indicator_name IS NULL) AS rows_inserted,
-    count_if(t.indicator_name IS NOT NULL AND t.value IS DISTINCT FROM v.value) AS rows_updated,
-    count_if(t.indicator_name IS NOT NULL AND NOT (t.value IS DISTINCT FROM v.value)) AS rows_unchanged
-  FROM mvalid v LEFT JOIN ups_target t
-    ON t.indicator_name = v.indicator_name AND t.indicator_date = v.indicator_date
-  GROUP BY v.payload_id),
-mrun_counts AS (
-  SELECT c.payload_id, c.series_id, c.error_code,
-    coalesce(m.rows_fetched, 0) AS rows_fetched, coalesce(m.rows_valid, 0) AS rows_valid,
-    coalesce(m.rows_dropped, 0) AS rows_dropped,
-    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_inserted, 0) ELSE 0 END AS rows_inserted,
-    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_updated, 0) ELSE 0 END AS rows_updated,
-    CASE WHEN c.error_code IS NULL THEN coalesce(g.rows_unchanged, 0) ELSE 0 END AS rows_unchanged
-  FROM mpayload_class c LEFT JOIN mpayload_metrics m ON c.payload_id = m.payload_id
-  LEFT JOIN mpayload_merge g ON c.payload_id = g.payload_id),
-macro_run_log AS (
-  SELECT
-    (SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-'
-            || substr(h, 17, 4) || '-' || substr(h, 21, 12)
-     FROM (SELECT md5('MACRO_INGESTION|' || payload_id || '|{RUN_STARTED}') AS h)) AS run_id,
-    TIMESTAMP '{RUN_STARTED}' AS run_timestamp, TIMESTAMP '{RUN_COMPLETED}' AS completed_at,
-    'MACRO_INGESTION' AS pipeline_name, substr(series_id, 1, 128) AS entity_name,
-    CAST(rows_fetched AS BIGINT) AS rows_fetched, CAST(rows_valid AS BIGINT) AS rows_valid,
-    CAST(rows_inserted AS BIGINT) AS rows_inserted, CAST(rows_updated AS BIGINT) AS rows_updated,
-    CAST(rows_unchanged AS BIGINT) AS rows_unchanged, CAST(rows_dropped AS BIGINT) AS rows_dropped,
-    CASE WHEN error_code IS NOT NULL THEN 'FAILED' WHEN rows_valid = 0 THEN 'NO_VALID_ROWS'
-         WHEN rows_inserted = 0 AND rows_updated = 0 THEN 'NO_CHANGES'
-         WHEN rows_dropped > 0 THEN 'PARTIAL_SUCCESS' ELSE 'SUCCESS' END AS status,
-    CAST(300000 AS BIGINT) AS duration_ms,
-    error_code,
-    CASE error_code WHEN 'API_RESPONSE_INVALID' THEN 'Provider response was invalid.'
-         WHEN 'API_DATA_UNAVAILABLE' THEN 'Provider data was unavailable.' END AS error_message
-  FROM mrun_counts)"""
-
-ORACLE["macro_run_log"] = (with_(RAW_MACRO, MACRO_POINTS, _ups_macro("ups_target", 1), MACRO_RUN)
-                           + "SELECT * FROM macro_run_log")

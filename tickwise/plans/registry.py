@@ -8,6 +8,7 @@ parameters so results can be compared with the oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,6 @@ from tickwise.plans import marts
 from tickwise.plans.oracle import AS_OF
 import uuid
 
-from tickwise.session import ensure_checkpoint_dir
 from tickwise.sources import sinks
 from tickwise.plans.ingest import macro_run_plan, stock_run_plan
 from tickwise.sources import fixtures
@@ -52,6 +52,12 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _plain(df: DataFrame) -> DataFrame:
+    """RAW decimals as results show them: prices and values as doubles, volumes as text."""
+    return df.select(*[F.col(f.name).cast("string" if f.name == "volume" else "double").alias(f.name)
+                       if f.dataType.typeName() == "decimal" else F.col(f.name) for f in df.schema.fields])
+
+
 def _stock_norm(spark, sf):
     return N.stock_normalization(fixtures.dirty_stock_batch(spark, sf))
 
@@ -61,15 +67,15 @@ def _macro_norm(spark, sf):
 
 
 QUERIES.update({
-    "normalize_stock_rows": lambda spark, sf: _stock_norm(spark, sf)[0],
+    "normalize_stock_rows": lambda spark, sf: _plain(_stock_norm(spark, sf)[0]),
     "rejected_stock_rows": lambda spark, sf: _stock_norm(spark, sf)[1].select("_input_order", "reason"),
-    "stock_normalization_metrics": lambda spark, sf: N.metrics_from_reasons(
-        N.stock_reasons(fixtures.dirty_stock_batch(spark, sf)), N.STOCK_REASONS),
+    "stock_normalization_metrics": lambda spark, sf: N.stock_batch_metrics(
+        fixtures.dirty_stock_batch(spark, sf)),
     "stock_reason_counts": lambda spark, sf: N.reason_counts(_stock_norm(spark, sf)[1]),
-    "normalize_macro_rows": lambda spark, sf: _macro_norm(spark, sf)[0],
+    "normalize_macro_rows": lambda spark, sf: _plain(_macro_norm(spark, sf)[0]),
     "rejected_macro_rows": lambda spark, sf: _macro_norm(spark, sf)[1].select("_input_order", "reason"),
-    "macro_normalization_metrics": lambda spark, sf: N.metrics_from_reasons(
-        N.macro_reasons(fixtures.dirty_macro_batch(spark, sf)), N.MACRO_REASONS),
+    "macro_normalization_metrics": lambda spark, sf: N.macro_batch_metrics(
+        fixtures.dirty_macro_batch(spark, sf)),
 })
 
 
@@ -78,12 +84,12 @@ from tickwise.sources import payloads as P  # noqa: E402
 
 def _ingest_stock(spark, sf):
     rows = P.parse_stock_payloads(fixtures.stock_payloads(spark, sf))
-    return N.normalize_stock_rows(rows, batch_cols=["payload_id"])
+    return _plain(N.normalize_stock_rows(rows, batch_cols=["payload_id"]))
 
 
 def _ingest_macro(spark, sf):
     rows = P.parse_macro_payloads(fixtures.macro_payloads(spark, sf))
-    return N.normalize_macro_rows(rows, batch_cols=["payload_id"])
+    return _plain(N.normalize_macro_rows(rows, batch_cols=["payload_id"]))
 
 
 QUERIES.update({
@@ -106,7 +112,8 @@ from tickwise.operators import audit as AU  # noqa: E402
 from tickwise.operators import quality as Q  # noqa: E402
 from tickwise.operators import reads as RD  # noqa: E402
 from tickwise.operators import upsert as U  # noqa: E402
-from tickwise.plans.oracle import FOCUS_INDICATOR, MA_TICKER, RUN_COMPLETED, RUN_STARTED  # noqa: E402
+from tickwise.plans.oracle import (  # noqa: E402
+    FOCUS_INDICATOR, MA_TICKER, RUN_COMPLETED, RUN_KEY, RUN_STARTED)
 
 
 def _risk(spark, sf):
@@ -134,7 +141,6 @@ def _merged_stock(spark, sf):
 
 def _stager(spark):
     """Stage frames as tables in the checkpoint folder (one computation each, lineage cut)."""
-    ensure_checkpoint_dir(spark)
     key = f"registry-{uuid.uuid4().hex}"
     return lambda df, name: sinks.stage(spark, df, name, key)
 
@@ -152,7 +158,7 @@ def _stock_run_plan(spark, sf):
 
 
 def _stock_run(spark, sf):
-    return _stock_run_plan(spark, sf).audit(AU.STOCK_PIPELINE, RUN_STARTED, RUN_COMPLETED)
+    return _stock_run_plan(spark, sf).audit(AU.STOCK_PIPELINE, RUN_STARTED, RUN_COMPLETED, RUN_KEY)
 
 
 def _macro_run(spark, sf):
@@ -160,37 +166,60 @@ def _macro_run(spark, sf):
     stage = _stager(spark)
     payloads = stage(fixtures.macro_payloads(spark, sf), "payloads")
     plan = macro_run_plan(payloads, fixtures.upsert_macro_target(spark, sf), RUN_STARTED, stage)
-    return plan.audit(AU.MACRO_PIPELINE, RUN_STARTED, RUN_COMPLETED)
+    return plan.audit(AU.MACRO_PIPELINE, RUN_STARTED, RUN_COMPLETED, RUN_KEY)
 
 
-def _stock_run_status(spark, sf):
-    """U2 on its own: the status each payload's counts give (payload id, status)."""
-    plan = _stock_run_plan(spark, sf)
+def _overlapping_stock(spark, sf):
+    """A run whose payloads overlap: each is merged into what the earlier ones left."""
+    stage = _stager(spark)
+    payloads = stage(fixtures.overlapping_stock_payloads(spark, sf), "payloads")
+    return stock_run_plan(payloads, fixtures.upsert_stock_target(spark, sf), RUN_STARTED, stage)
+
+
+def _overlapping_macro(spark, sf):
+    stage = _stager(spark)
+    payloads = stage(fixtures.overlapping_macro_payloads(spark, sf), "payloads")
+    return macro_run_plan(payloads, fixtures.upsert_macro_target(spark, sf), RUN_STARTED, stage)
+
+
+def _statuses(plan):
+    """Per payload its merge counts and the status they give."""
     counts = U.merge_counts(plan.merged, ["payload_id"])
     j = plan.batches.join(plan.metrics, "payload_id", "left").join(counts, "payload_id", "left")
     z = F.lit(0).cast("bigint")
-    return j.select("payload_id", AU.run_status(
-        F.coalesce("rows_valid", z), F.coalesce("rows_inserted", z),
-        F.coalesce("rows_updated", z), F.coalesce("rows_dropped", z),
+    n = {c: F.coalesce(c, z) for c in ("rows_valid", "rows_inserted", "rows_updated", "rows_unchanged",
+                                       "rows_dropped")}
+    return j.select("payload_id", *[v.alias(c) for c, v in n.items()], AU.run_status(
+        n["rows_valid"], n["rows_inserted"], n["rows_updated"], n["rows_dropped"],
         F.col("error_code")).alias("status"))
 
 
+def _stock_run_status(spark, sf):
+    """U2 on its own: the status each payload's counts give (payload id, status)."""
+    return _statuses(_stock_run_plan(spark, sf)).select("payload_id", "status")
+
+
 def _logs(spark, sf):
     return fixtures.pipeline_logs(spark, sf)
 
 
-def _dq_models(spark, sf, stage=None):
-    """Staging and marts over the fault-planted RAW tables.
+def _dq_stock(spark, sf):
+    return stg_stock_prices(fixtures.raw_stock_prices_with_faults(spark, sf))
 
-    With ``stage`` the shared models are written once to the checkpoint
-    folder (as the build writes its marts) instead of being recomputed by
-    every check that reads them.
+
+def _dq_macro(spark, sf):
+    return stg_macro_indicators(fixtures.raw_macro_indicators_with_faults(spark, sf))
+
+
+def _dq_models(spark, sf):
+    """Staging and marts over the fault-planted RAW tables, for checks that read all of them.
+
+    The shared models are written once to the checkpoint folder, as the build writes its
+    marts, instead of being derived again by every check.
     """
-    keep = stage or (lambda df, name: df)
-    stg_s = keep(stg_stock_prices(fixtures.raw_stock_prices_with_faults(spark, sf)), "stg_stock")
-    stg_m = keep(stg_macro_indicators(fixtures.raw_macro_indicators_with_faults(spark, sf)),
-                 "stg_macro")
-    port = keep(marts.mart_portfolio(stg_s, updated_at=as_of()), "mart_portfolio")
+    stage = _stager(spark)
+    stg_s, stg_m = stage(_dq_stock(spark, sf), "stg_stock"), stage(_dq_macro(spark, sf), "stg_macro")
+    port = stage(marts.mart_portfolio(stg_s, updated_at=as_of()), "mart_portfolio")
     return {
         "stg_stock_prices": stg_s,
         "stg_macro_indicators": stg_m,
@@ -202,11 +231,7 @@ def _dq_models(spark, sf, stage=None):
 
 def _dq_not_null(spark, sf):
     models = _dq_models(spark, sf)
-    out = None
-    for name in Q.NOT_NULL:
-        part = Q.dq_not_null(models[name], name)
-        out = part if out is None else out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, [Q.dq_not_null(models[name], name) for name in Q.NOT_NULL])
 
 
 def _summary(spark, sf):
@@ -236,24 +261,23 @@ QUERIES.update({
     "run_log": _stock_run,
     "macro_run_log": _macro_run,
     "run_status": lambda spark, sf: _stock_run_status(spark, sf),
+    "ingest_overlapping_stock": lambda spark, sf: _statuses(_overlapping_stock(spark, sf)),
+    "ingest_overlapping_macro": lambda spark, sf: _statuses(_overlapping_macro(spark, sf)),
+    "overlapping_stock_snapshot": lambda spark, sf: _plain(_overlapping_stock(spark, sf).snapshot()),
+    "overlapping_macro_snapshot": lambda spark, sf: _plain(_overlapping_macro(spark, sf).snapshot()),
     "run_log_violations": lambda spark, sf: AU.run_log_violations(_logs(spark, sf)),
     "redact_messages": lambda spark, sf: AU.redact_messages(
         _logs(spark, sf), secrets=[fixtures.PLANTED_SECRET]),
     "run_summary": lambda spark, sf: AU.run_summary(_logs(spark, sf)),
     # data quality
     "dq_not_null": _dq_not_null,
-    "dq_accepted_values": lambda spark, sf: Q.dq_accepted_values(
-        _dq_models(spark, sf)["stg_macro_indicators"]),
-    "dq_unique_stock_key": lambda spark, sf: Q.dq_unique_stock_key(
-        _dq_models(spark, sf)["stg_stock_prices"]),
-    "dq_unique_macro_key": lambda spark, sf: Q.dq_unique_macro_key(
-        _dq_models(spark, sf)["stg_macro_indicators"]),
-    "dq_valid_ohlcv": lambda spark, sf: Q.dq_valid_ohlcv(
-        _dq_models(spark, sf)["stg_stock_prices"]),
+    "dq_accepted_values": lambda spark, sf: Q.dq_accepted_values(_dq_macro(spark, sf)),
+    "dq_unique_stock_key": lambda spark, sf: Q.dq_unique_stock_key(_dq_stock(spark, sf)),
+    "dq_unique_macro_key": lambda spark, sf: Q.dq_unique_macro_key(_dq_macro(spark, sf)),
+    "dq_valid_ohlcv": lambda spark, sf: Q.dq_valid_ohlcv(_dq_stock(spark, sf)),
     "dq_log_counts": lambda spark, sf: Q.dq_log_counts(_logs(spark, sf)),
     "dq_log_status": lambda spark, sf: Q.dq_log_status(_logs(spark, sf)),
-    "dq_report": lambda spark, sf: Q.dq_report(_dq_models(spark, sf, _stager(spark)),
-                                               _logs(spark, sf)),
+    "dq_report": lambda spark, sf: Q.dq_report(_dq_models(spark, sf), _logs(spark, sf)),
     "source_freshness": lambda spark, sf: Q.source_freshness(
         fixtures.raw_stock_prices(spark, sf), as_of()),
     # dashboard reads

@@ -2,7 +2,7 @@
 
 Library code never builds a session; it receives one.  On a cluster the
 checkpoint folder comes from ``spark.checkpoint.dir`` (a shared file system);
-only tests and local runs fall back to a folder of their own.
+only sessions built here for one machine get a folder of their own.
 """
 
 from __future__ import annotations
@@ -40,7 +40,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if not _configured_dir(spark):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(
+            prefix="tickwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
     return spark
 
 
@@ -51,22 +53,13 @@ def _context_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def _configured_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or _context_dir(spark)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; raises when unset."""
-    value = spark.conf.get("spark.checkpoint.dir", None) or _context_dir(spark)
+    value = _configured_dir(spark)
     if not value:
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     return value
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; create a private one only when unset (tests)."""
-    value = spark.conf.get("spark.checkpoint.dir", None) or _context_dir(spark)
-    if not value:
-        value = tempfile.mkdtemp(prefix="tickwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", value)
-    try:
-        spark.sparkContext.setCheckpointDir(value)
-    except Exception:  # noqa: BLE001  (Spark Connect: the SQL conf above is what we read)
-        pass
-    return value

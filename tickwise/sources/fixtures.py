@@ -128,7 +128,7 @@ SERIES_NAMES = {
     "DGS10": "10 Year Treasury Rate",
 }
 
-# The error payload forms planted among the landed payloads.
+# The error payload forms that land besides the real ones.
 STOCK_ERROR_PAYLOADS = (
     '{"Note": null}',
     '{"Information": "i", "Error Message": "x"}',
@@ -150,15 +150,38 @@ MACRO_ERROR_PAYLOADS = (
     '{oops',
     None,
 )
+# Which groups get an extra payload: by a code in 0..36 (stock) or 0..12 (macro).
 STOCK_ERROR_MODULUS = 37
 MACRO_ERROR_MODULUS = 13
+STOCK_HUGE_CODE = len(STOCK_ERROR_PAYLOADS) + 1
+STOCK_TICKER_CODE = STOCK_HUGE_CODE + 1
+# A bar at the far end of the RAW columns, and an entity that is no ticker.
+HUGE_DAY, HUGE_PRICE, HUGE_VOLUME = "2099-01-01", "1e31", "1e30"
+HUGE_PAYLOAD = (f'{{"Time Series (Daily)": {{"{HUGE_DAY}": {{"1. open": "{HUGE_PRICE}", '
+                f'"2. high": "{HUGE_PRICE}", "3. low": "{HUGE_PRICE}", "4. close": "{HUGE_PRICE}", '
+                f'"5. volume": "{HUGE_VOLUME}"}}}}}}')
+BAD_TICKER = "bad ticker!"
+# Fetches that overlap: every source row belongs to one of them.
+FETCHES = 3
+
+
+def _form(code: Column, forms) -> Column:
+    """The form planted for a code 1..n."""
+    expr = F.lit(None).cast("string")
+    for i, form in enumerate(forms, start=1):
+        expr = F.when(code == i, F.lit(form).cast("string")).otherwise(expr)
+    return expr
 
 
-def _plant(code: Column, forms, payload: Column) -> Column:
-    expr = payload
-    for i in range(len(forms), 0, -1):
-        expr = F.when(code == i, F.lit(forms[i - 1]).cast("string")).otherwise(expr)
-    return expr
+def _with_extras(payloads: DataFrame, extras: list[tuple[Column, dict[str, Column]]]) -> DataFrame:
+    """Every payload, and after it those extra ones whose condition holds; they land later."""
+    def row(changes: dict[str, Column]) -> Column:
+        return F.struct(*[changes.get(c, F.col(c)).alias(c) for c in payloads.columns if c != "code"])
+
+    rows = [F.array(row({}))] + [
+        F.when(cond, F.array(row(changes | {"landing_order": F.lit(1).cast("bigint")}))).otherwise(F.array())
+        for cond, changes in extras]
+    return payloads.select(F.inline(F.concat(*rows)))
 
 
 def _decimal_text(c: Column, scale: int) -> Column:
@@ -171,14 +194,8 @@ def latest_stock_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(raw_stock_prices(spark, sf_dir), ["ticker", "trade_date"], STOCK_ORDER)
 
 
-def stock_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed stock responses: one JSON per (ticker, month), newest day first.
-
-    A group is one calendar month of one ticker, so it holds at most 31 bars.
-    Payloads whose (supplier + month index) % 37 is 1..9 are replaced by the
-    nine error forms.
-    """
-    bars = latest_stock_bars(spark, sf_dir)
+def _stock_bodies(bars: DataFrame, by: list[Column]) -> DataFrame:
+    """One JSON per (ticker, month, ``by``), newest day first: at most 31 bars each."""
     bar = F.struct(
         _decimal_text(F.col("open_price"), 4).alias("1. open"),
         _decimal_text(F.col("high_price"), 4).alias("2. high"),
@@ -187,17 +204,44 @@ def stock_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("volume").cast("string").alias("5. volume"),
     )
     month = F.date_format("trade_date", "yyyy-MM")
-    grouped = bars.groupBy("ticker", month.alias("month")).agg(
+    grouped = bars.groupBy("ticker", month.alias("month"), *by).agg(
         F.sort_array(F.collect_list(F.struct(
             F.date_format("trade_date", "yyyy-MM-dd").alias("d"), bar.alias("b"))), asc=False)
         .alias("days"))
-    body = F.to_json(F.struct(F.map_from_entries("days").alias("Time Series (Daily)")))
+    return grouped.withColumn("payload", F.to_json(F.struct(
+        F.map_from_entries("days").alias("Time Series (Daily)"))))
+
+
+def stock_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed stock responses: one per (ticker, month), with every bar of the raw rows.
+
+    By (supplier + month index) % 37 some groups are followed by an extra payload: 1..9 one of
+    the error forms, 10 a bar of extreme numbers, 11 the same bars under a bad ticker.
+    """
+    bodies = _stock_bodies(latest_stock_bars(spark, sf_dir), [])
     code = (F.substring("ticker", 2, 20).cast("int")
             + F.substring("month", 1, 4).cast("int") * 12
             + F.substring("month", 6, 2).cast("int")) % STOCK_ERROR_MODULUS
-    return grouped.select(
-        F.concat_ws(":", "ticker", "month").alias("payload_id"), "ticker",
-        _plant(code, STOCK_ERROR_PAYLOADS, body).alias("payload"))
+    landed = bodies.select(F.concat_ws(":", "ticker", "month").alias("payload_id"), "ticker", "payload",
+                           F.lit(0).cast("bigint").alias("landing_order"), code.alias("code"))
+    c, pid = F.col("code"), F.col("payload_id")
+    return _with_extras(landed, [
+        (c.between(1, len(STOCK_ERROR_PAYLOADS)), {
+            "payload_id": F.concat(pid, F.lit(":error")), "payload": _form(c, STOCK_ERROR_PAYLOADS)}),
+        (c == STOCK_HUGE_CODE, {"payload_id": F.concat(pid, F.lit(":huge")), "payload": F.lit(HUGE_PAYLOAD)}),
+        (c == STOCK_TICKER_CODE, {"payload_id": F.concat(pid, F.lit(":ticker")), "ticker": F.lit(BAD_TICKER)}),
+    ])
+
+
+def overlapping_stock_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three fetches of every ticker and month, landed one after the other; their days overlap."""
+    from tickwise.operators.staging import STOCK_ORDER, latest_per_key
+    raw = raw_stock_prices(spark, sf_dir, with_source_key=True).withColumn(
+        "fetch", F.col("source_key") % FETCHES)
+    bars = latest_per_key(raw, ["ticker", "trade_date", "fetch"], STOCK_ORDER)
+    return _stock_bodies(bars, [F.col("fetch")]).select(
+        F.concat_ws(":", "ticker", "month", F.col("fetch").cast("string")).alias("payload_id"), "ticker",
+        "payload", F.col("fetch").alias("landing_order"))
 
 
 def latest_macro_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,26 +256,46 @@ def series_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(SERIES_NAMES.items()), "series_id string, indicator_name string")
 
 
-def macro_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed macro responses: one JSON per (series, year), newest first; ``"."`` marks missing.
-
-    A group is one year of one series (≤ 366 points).  Payloads whose
-    (year + length of the series id) % 13 is 1..8 carry the eight error forms.
-    """
-    points = latest_macro_points(spark, sf_dir).join(
-        F.broadcast(series_dimension(spark)), "indicator_name")
+def _macro_bodies(spark: SparkSession, points: DataFrame, by: list[Column]) -> DataFrame:
+    """One JSON per (series, year, ``by``), newest first, at most 366 points; ``"."`` marks missing."""
+    named = points.join(F.broadcast(series_dimension(spark)), "indicator_name")
     value_text = F.coalesce(_decimal_text(F.col("value"), 2), F.lit("."))
-    year = F.year("indicator_date")
-    grouped = points.groupBy("series_id", "indicator_name", year.alias("year")).agg(
+    grouped = named.groupBy("series_id", "indicator_name", F.year("indicator_date").alias("year"), *by).agg(
         F.sort_array(F.collect_list(F.struct(
             F.date_format("indicator_date", "yyyy-MM-dd").alias("date"),
             value_text.alias("value"))), asc=False).alias("observations"))
-    body = F.to_json(F.struct("observations"))
-    code = (F.col("year") + F.length("series_id")) % MACRO_ERROR_MODULUS
-    return grouped.select(
+    return grouped.withColumn("payload", F.to_json(F.struct("observations")))
+
+
+def macro_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed macro responses: one per (series, year), with every point of the raw rows.
+
+    Groups whose (year + length of the series id) % 13 is 1..8 are followed by an extra
+    payload with one of the error forms.
+    """
+    bodies = _macro_bodies(spark, latest_macro_points(spark, sf_dir), [])
+    landed = bodies.select(
         F.concat_ws(":", "series_id", F.col("year").cast("string")).alias("payload_id"),
-        "series_id", "indicator_name",
-        _plant(code, MACRO_ERROR_PAYLOADS, body).alias("payload"))
+        "series_id", "indicator_name", "payload", F.lit(0).cast("bigint").alias("landing_order"),
+        ((F.col("year") + F.length("series_id")) % MACRO_ERROR_MODULUS).alias("code"))
+    c = F.col("code")
+    return _with_extras(landed, [(c.between(1, len(MACRO_ERROR_PAYLOADS)), {
+        "payload_id": F.concat("payload_id", F.lit(":error")), "payload": _form(c, MACRO_ERROR_PAYLOADS)})])
+
+
+def overlapping_macro_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three fetches of every series and year whose dates overlap; each is a series id of its
+    own that shares the display name."""
+    from tickwise.operators.staging import MACRO_ORDER, latest_per_key
+    raw = raw_macro_indicators(spark, sf_dir, with_source_key=True).withColumn(
+        "fetch", F.col("source_key") % FETCHES)
+    points = latest_per_key(raw, ["indicator_name", "indicator_date", "fetch"], MACRO_ORDER)
+    fetch = F.col("fetch").cast("string")
+    return _macro_bodies(spark, points, [F.col("fetch")]).select(
+        F.concat_ws(":", "series_id", F.col("year").cast("string"), fetch).alias("payload_id"),
+        F.concat_ws("_", "series_id", fetch).alias("series_id"),
+        F.concat(F.lit(" "), "indicator_name", F.lit(" ")).alias("indicator_name"), "payload",
+        F.col("fetch").alias("landing_order"))
 
 
 # -- upsert pair (B6) ------------------------------------------------------------

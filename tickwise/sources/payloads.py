@@ -1,8 +1,7 @@
 """Landed API payloads → rows, and payload → error code.
 
 A payload row is (batch id, entity, JSON text).  Everything is parsed on the
-JVM with ``from_json`` / ``json_object_keys`` / ``get_json_object``; rows are
-produced with ``posexplode`` so the position inside the payload is the input
+JVM with ``from_json``; rows keep their position inside the payload, the input
 ordinal the normaliser needs.  Payloads with an error code yield no rows.
 """
 
@@ -36,39 +35,53 @@ def _has_key(keys: Column, key: str) -> Column:
     return F.coalesce(F.array_contains(keys, key), F.lit(False))
 
 
-def _top_level(payload: Column) -> Column:
-    return F.from_json(payload, "map<string,string>")
+def _opened(payloads: DataFrame, id_cols, key: str, body_type: str) -> DataFrame:
+    """``id_cols``, the payload's top-level object and the value of ``key``, each parsed once.
+
+    ``explode`` of one value is a barrier: what reads the parsed columns cannot be pushed
+    below it and parse again.  A payload that is no object has a null ``top``.
+    """
+    top = payloads.select(*id_cols, F.explode(F.array(F.from_json("payload", "map<string,string>")))
+                          .alias("top"))
+    return top.select("*", F.explode(F.array(F.from_json(F.col("top")[key], body_type))).alias("body"))
+
+
+def _stock_opened(payloads: DataFrame, id_cols) -> DataFrame:
+    return _opened(payloads, id_cols, STOCK_SERIES_KEY, "map<string,string>").withColumn(
+        "error_code", _stock_error_code())
 
 
-def stock_error_code(payload: Column) -> Column:
+def _macro_opened(payloads: DataFrame, id_cols) -> DataFrame:
+    return _opened(payloads, id_cols, MACRO_LIST_KEY, "array<string>").withColumn(
+        "error_code", _macro_error_code())
+
+
+def _stock_error_code() -> Column:
     """Null for a usable payload, else the error code, in priority order."""
-    keys = F.json_object_keys(payload)
-    series_keys = F.json_object_keys(_top_level(payload)[STOCK_SERIES_KEY])
-    rate_limited = _has_key(keys, STOCK_RATE_LIMIT_KEYS[0]) | _has_key(keys, STOCK_RATE_LIMIT_KEYS[1])
+    keys = F.map_keys("top")
+    limited = _has_key(keys, STOCK_RATE_LIMIT_KEYS[0]) | _has_key(keys, STOCK_RATE_LIMIT_KEYS[1])
     return (F.when(keys.isNull(), F.lit(API_RESPONSE_INVALID))
-            .when(rate_limited, F.lit(API_RATE_LIMITED))
+            .when(limited, F.lit(API_RATE_LIMITED))
             .when(_has_key(keys, STOCK_ERROR_KEY), F.lit(API_DATA_UNAVAILABLE))
-            .when(F.coalesce(F.size(series_keys), F.lit(0)) <= 0, F.lit(API_DATA_UNAVAILABLE)))
+            .when(F.coalesce(F.size("body"), F.lit(0)) <= 0, F.lit(API_DATA_UNAVAILABLE)))
 
 
-def macro_error_code(payload: Column) -> Column:
+def _macro_error_code() -> Column:
     """Invalid → API_RESPONSE_INVALID; error keys or no observations → API_DATA_UNAVAILABLE."""
-    keys = F.json_object_keys(payload)
-    obs_text = _top_level(payload)[MACRO_LIST_KEY]
-    obs_len = F.json_array_length(obs_text)
+    keys = F.map_keys("top")
     return (F.when(keys.isNull(), F.lit(API_RESPONSE_INVALID))
             .when(_has_key(keys, MACRO_ERROR_KEYS[0]) | _has_key(keys, MACRO_ERROR_KEYS[1]),
                   F.lit(API_DATA_UNAVAILABLE))
-            .when(F.coalesce(obs_len, F.lit(0)) <= 0, F.lit(API_DATA_UNAVAILABLE)))
+            .when(F.coalesce(F.size("body"), F.lit(0)) <= 0, F.lit(API_DATA_UNAVAILABLE)))
 
 
 def classify_stock_payloads(payloads: DataFrame, id_cols=("payload_id", "ticker")) -> DataFrame:
-    return payloads.select(*id_cols, stock_error_code(F.col("payload")).alias("error_code"))
+    return _stock_opened(payloads, id_cols).select(*id_cols, "error_code")
 
 
 def classify_macro_payloads(payloads: DataFrame,
                             id_cols=("payload_id", "series_id", "indicator_name")) -> DataFrame:
-    return payloads.select(*id_cols, macro_error_code(F.col("payload")).alias("error_code"))
+    return _macro_opened(payloads, id_cols).select(*id_cols, "error_code")
 
 
 def _day_schema() -> T.StructType:
@@ -109,11 +122,8 @@ def parse_stock_payloads(payloads: DataFrame, id_cols=("payload_id", "ticker"))
 
     A day whose value is not an object gives a row of null fields.
     """
-    usable = payloads.where(stock_error_code(F.col("payload")).isNull()).select(
-        *id_cols,
-        F.from_json("payload", f"struct<`{STOCK_SERIES_KEY}`: map<string,string>>")
-        [STOCK_SERIES_KEY].alias("series"))
-    days = usable.select(*id_cols, F.explode(_days(F.col("series"))).alias("d"))
+    usable = _stock_opened(payloads, id_cols).where("error_code IS NULL")
+    days = usable.select(*id_cols, F.explode(_days(F.col("body"))).alias("d"))
     return days.select(
         *id_cols,
         F.col("d.pos").cast("bigint").alias("_input_order"),
@@ -126,9 +136,8 @@ def parse_macro_payloads(payloads: DataFrame,
                          id_cols=("payload_id", "series_id", "indicator_name")) -> DataFrame:
     """S3: one text row per observation; a non-object element gives null date and value."""
     schema = _observation_schema()
-    obs = F.from_json("payload", f"struct<{MACRO_LIST_KEY}: array<string>>")[MACRO_LIST_KEY]
-    usable = payloads.where(macro_error_code(F.col("payload")).isNull())
-    parsed = F.transform(obs, lambda o, i: F.struct(
+    usable = _macro_opened(payloads, id_cols).where("error_code IS NULL")
+    parsed = F.transform(F.col("body"), lambda o, i: F.struct(
         i.alias("pos"), F.from_json(o, schema).alias("fields")))
     rows = usable.select(*id_cols, F.explode(parsed).alias("o"))
     return rows.select(

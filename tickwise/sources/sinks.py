@@ -1,11 +1,10 @@
-"""Sinks: mart tables, the month-partitioned RAW snapshot, the audit log.
+"""Sinks: mart tables, the audit log as a plain table, staged intermediates.
 
 * Marts are rebuilt each run (overwrite), sorted within partitions so the
   presentation order costs no global sort.
-* The RAW snapshot is partitioned by trade month; an upsert rewrites only the
-  months its batch touches (dynamic partition overwrite).
-* The audit log is append-only; the table is created on first append with the
-  fixed 15-column schema (create-if-absent, never dropped).
+* The audit table is append-only and is created on first use with the fixed
+  15-column schema (create-if-absent, never dropped).  Ingestion runs commit
+  their audit rows together with the data, see ``tickwise.sources.warehouse``.
 * Intermediate results are staged under the shared ``spark.checkpoint.dir``,
   never in a machine-local folder.
 """
@@ -15,6 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,16 +22,18 @@ from pyspark.sql import types as T
 from tickwise.session import checkpoint_dir
 from tickwise.sources.tables import PIPELINE_LOG_SCHEMA
 
-MONTH_COLUMN = "trade_month"
 
+def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A table with its fixed schema, or None where the path does not exist.
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder exists (schema-only read; no data is scanned)."""
+    Only that one condition means "absent": any other failure is raised.
+    """
     try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001  (missing path or empty folder)
-        return False
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def stage(spark: SparkSession, df: DataFrame, name: str, run_key: str | None = None) -> DataFrame:
@@ -43,7 +45,7 @@ def stage(spark: SparkSession, df: DataFrame, name: str, run_key: str | None = N
     key = run_key or uuid.uuid4().hex
     path = f"{checkpoint_dir(spark).rstrip('/')}/tickwise/{key}/{name}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_mart(df: DataFrame, path: str, order: Sequence[str]) -> None:
@@ -51,39 +53,22 @@ def write_mart(df: DataFrame, path: str, order: Sequence[str]) -> None:
     df.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
-def with_month(df: DataFrame, date_col: str) -> DataFrame:
-    return df.withColumn(MONTH_COLUMN, F.date_format(F.col(date_col), "yyyy-MM"))
-
-
-def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The current RAW snapshot, or an empty frame with its schema on the first run."""
-    if path_exists(spark, path):
-        return spark.read.parquet(path).select(*schema.fieldNames(), MONTH_COLUMN)
-    empty = spark.createDataFrame([], schema)
-    return empty.withColumn(MONTH_COLUMN, F.lit(None).cast("string"))
-
-
-def write_snapshot_months(df: DataFrame, path: str) -> None:
-    """Replace only the month partitions present in ``df`` (dynamic partition overwrite)."""
-    (df.write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(MONTH_COLUMN)
-       .parquet(path))
+def typed_log(rows: DataFrame) -> DataFrame:
+    """Audit rows in the fixed column order and types."""
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PIPELINE_LOG_SCHEMA.fields])
 
 
 def ensure_audit_table(spark: SparkSession, path: str) -> None:
     """Create the audit table if absent (an empty, typed Parquet folder)."""
-    if not path_exists(spark, path):
+    if read_if_present(spark, path, PIPELINE_LOG_SCHEMA) is None:
         spark.createDataFrame([], PIPELINE_LOG_SCHEMA).write.mode("ignore").parquet(path)
 
 
 def append_pipeline_log(spark: SparkSession, rows: DataFrame, path: str) -> None:
     """Append audit rows in the fixed column order and types."""
     ensure_audit_table(spark, path)
-    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                          for f in PIPELINE_LOG_SCHEMA.fields])
-    typed.write.mode("append").parquet(path)
+    typed_log(rows).write.mode("append").parquet(path)
 
 
-def read_pipeline_logs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PIPELINE_LOG_SCHEMA).parquet(path)
+def read_pipeline_logs(spark: SparkSession, *paths: str) -> DataFrame:
+    return spark.read.schema(PIPELINE_LOG_SCHEMA).parquet(*paths)

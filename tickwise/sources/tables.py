@@ -20,21 +20,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # RAW contracts (staging reads these columns by name; extras are ignored).
+PRICE_TYPE = T.DecimalType(38, 4)
+VOLUME_TYPE = T.DecimalType(38, 0)
+INDICATOR_TYPE = T.DecimalType(38, 6)
+
 RAW_STOCK_SCHEMA = T.StructType([
     T.StructField("ticker", T.StringType()),
     T.StructField("trade_date", T.DateType()),
-    T.StructField("open_price", T.DoubleType()),
-    T.StructField("high_price", T.DoubleType()),
-    T.StructField("low_price", T.DoubleType()),
-    T.StructField("close_price", T.DoubleType()),
-    T.StructField("volume", T.LongType()),
+    T.StructField("open_price", PRICE_TYPE),
+    T.StructField("high_price", PRICE_TYPE),
+    T.StructField("low_price", PRICE_TYPE),
+    T.StructField("close_price", PRICE_TYPE),
+    T.StructField("volume", VOLUME_TYPE),
     T.StructField("loaded_at", T.TimestampNTZType()),
 ])
 
 RAW_MACRO_SCHEMA = T.StructType([
     T.StructField("indicator_name", T.StringType()),
     T.StructField("indicator_date", T.DateType()),
-    T.StructField("value", T.DoubleType()),
+    T.StructField("value", INDICATOR_TYPE),
     T.StructField("loaded_at", T.TimestampNTZType()),
 ])
 
@@ -56,7 +60,3 @@ PIPELINE_LOG_SCHEMA = T.StructType([
     T.StructField("error_message", T.StringType(), True),
 ])
 
-
-def read_raw(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Scan a RAW table written by our sinks, with its fixed schema (no inference)."""
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
