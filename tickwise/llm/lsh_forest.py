@@ -251,8 +251,7 @@ def verified(docs: DataFrame, sets: DataFrame, hoods: DataFrame, block: int = BL
         F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).alias("own"))
     chosen = sets.join(placed, F.col("node") == F.col("h_node")).select(
         F.col("doc_id").alias("c_id"), F.col("h").alias("c_h"), "node", "hood", "blocks", "own")
-    texts = keyed(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("h") == F.col("c_h"))) \
-        .dropDuplicates(["node"])
+    texts = keyed(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("h") == F.col("c_h")))
     # every block meets itself once and every other block once
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     dealt = texts.select("node", "hood", "own", "text", other.alias("other")).select(
@@ -281,7 +280,8 @@ def verified(docs: DataFrame, sets: DataFrame, hoods: DataFrame, block: int = BL
                 if (hood, i, j) != key:
                     yield from out(group)
                     key, group = (hood, i, j), []
-                group.append((node, side, text))
+                if not group or group[-1][0] != node:  # rows that repeat a document come together
+                    group.append((node, side, text))
         yield from out(group)
 
     rows = dealt.repartition("hood", "i", "j").sortWithinPartitions("hood", "i", "j", "node") \

@@ -83,7 +83,10 @@ def contents(spans: DataFrame) -> DataFrame:
 
 def rivals(docs: DataFrame, found: DataFrame, kind: str, size: int) -> tuple[DataFrame, DataFrame]:
     """a, c, least, starts and body (the span's tokens) of one span of each content of the
-    anchors that have several; apart, those of anchors with more than ``GROUP_CONTENTS``."""
+    anchors that have several; apart, those of anchors with more than ``GROUP_CONTENTS``.
+
+    Rows that repeat a document give their spans again; the readers skip those.
+    """
     split, _ = KINDS[kind]
     mixed = found.filter("mixed")
     counts = mixed.groupBy("a").count().filter(F.col("count") > GROUP_CONTENTS).select(F.col("a").alias("a3"))
@@ -91,8 +94,7 @@ def rivals(docs: DataFrame, found: DataFrame, kind: str, size: int) -> tuple[Dat
     wanted = wide.groupBy(F.col("doc_id").alias("w_id"), F.col("h").alias("w_h")).agg(
         F.collect_list(F.struct("a", "c", "least", "first", "starts", "wide")).alias("want"))
     texts = keyed(docs).join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("h") == F.col("w_h"))).dropDuplicates(
-        ["doc_id", "h"]).select("text", "want")
+        wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("h") == F.col("w_h"))).select("text", "want")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -142,6 +144,8 @@ def compare(rows: DataFrame, method: Callable) -> DataFrame:
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("a", "c", "least", "starts", "body")),
                            strict=True):
+                if group and row[:2] == group[-1][:2]:
+                    continue
                 if held >= limit and row[0] != group[-1][0]:
                     yield from out(group)
                     group, held = [], 0
@@ -173,7 +177,7 @@ def by_digest(rows: DataFrame, kind: str, size: int) -> DataFrame:
                      pa.array(range(starts), pa.int64()), pa.array(digests, pa.binary())],
                     ["a", "c", "least", "lo", "w"])
 
-    windows = rows.mapInArrow(run, "a bigint, c bigint, least bigint, lo bigint, w binary")
+    windows = rows.dropDuplicates(["a", "c"]).mapInArrow(run, "a bigint, c bigint, least bigint, lo bigint, w binary")
     shared = windows.groupBy(F.col("w").alias("w2")).agg(F.count(F.lit(1)).alias("k"), F.min("least").alias("g")) \
         .filter("k > 1")
     return windows.join(shared, F.col("w") == F.col("w2")).select(
