@@ -156,7 +156,8 @@ def _similar_blocks(left: list, right: list | None):
     common = np.zeros((nl, nr), np.float32)
     order = np.argsort(column, kind="stable")
     ends = np.cumsum(count)
-    frequent = count > max(8, len(every) // 10)
+    # a product costs a column as much as listing the pairs of some 4 % of the sets
+    frequent = 500 * count * count > nl * nr
     # frequent shingles: matrix products, some columns at a time
     chosen = np.flatnonzero(frequent)
     for at in range(0, len(chosen), 2048):
@@ -180,8 +181,11 @@ def _similar_blocks(left: list, right: list | None):
                 keep = (i < nl) & (j >= nl)
                 i, j = i[keep], j[keep] - nl
             flat = i * nr + j
-            cells, times = np.unique(flat, return_counts=True)
-            common.ravel()[cells] += times.astype(np.float32)
+            if 20 * len(flat) > nl * nr:
+                common += np.bincount(flat, minlength=nl * nr).reshape(nl, nr)
+            else:
+                cells, times = np.unique(flat, return_counts=True)
+                common.ravel()[cells] += times
     both = sizes[:nl, None] + (sizes[nl:] if right is not None else sizes)[None, :]
     # I / (a + b - I) >= p / q
     out = (NUMERATOR + DENOMINATOR) * common.astype(np.int64) >= NUMERATOR * both
