@@ -134,5 +134,80 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed
 """
 
+OP5 = """
+WITH bodies AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS body FROM documents),
+places AS (
+  SELECT r, i, md5(substr(body, 2 * i - 1, 800)) AS win
+  FROM (SELECT r, body, unnest(range(1, length(body) // 2 - 398)) AS i FROM bodies WHERE length(body) >= 800) b),
+repeated AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY win) AS n FROM places) p WHERE n > 1),
+runs AS (
+  SELECT r, min(i) AS lo, max(i) + 399 AS hi FROM (
+    SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS island FROM (
+      SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 400 THEN 0 ELSE 1 END AS fresh
+      FROM repeated) f) g GROUP BY r, island),
+gaps AS (
+  SELECT r, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) + 1 AS a, lo - 1 AS b FROM runs
+  UNION ALL SELECT r, max(hi) + 1, NULL FROM runs GROUP BY r),
+kept AS (
+  SELECT r, string_agg(substr(body, 2 * a - 1, 2 * (coalesce(b, length(body) // 2) - a + 1)), '' ORDER BY a) AS body
+  FROM gaps JOIN bodies USING (r) WHERE a <= coalesce(b, length(body) // 2) GROUP BY r),
+sums AS (SELECT r, sum(hi - lo + 1) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+SELECT doc_id, (length(b.body) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN b.body ELSE coalesce(k.body, '') END)) AS kept_sha256
+FROM bodies b LEFT JOIN sums USING (r) LEFT JOIN kept k USING (r)
+"""
+
+OP9 = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+pieces AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS piece
+  FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM words WHERE len(w) > 0) x),
+rows_of AS (SELECT r, md5(string_agg(piece, chr(10) ORDER BY piece)) AS s, count(*) AS n FROM pieces GROUP BY r),
+sets AS (SELECT s, any_value(r) AS r, any_value(n) AS n, count(*) AS docs FROM rows_of GROUP BY s),
+members AS (SELECT s, n, piece FROM sets JOIN pieces USING (r)),
+links AS (
+  SELECT a.s AS s, b.s AS t FROM members a JOIN members b ON a.piece = b.piece AND a.s <> b.s
+  GROUP BY a.s, b.s HAVING 9 * count(*) >= 4 * (any_value(a.n) + any_value(b.n))),
+reach AS (SELECT s, s AS t FROM sets UNION SELECT reach.s, links.t FROM reach JOIN links ON links.s = reach.t),
+heads AS (SELECT reach.s, min(doc_id) AS class_id
+          FROM reach JOIN rows_of ON rows_of.s = reach.t JOIN words USING (r) GROUP BY reach.s),
+degree AS (SELECT s, count(*) AS n_links FROM links GROUP BY s)
+SELECT doc_id, CASE WHEN o.s IS NULL THEN doc_id ELSE class_id END AS class_id,
+       coalesce(n_links, 0)::BIGINT AS n_links, (coalesce(docs, 1) - 1)::BIGINT AS n_copies
+FROM words LEFT JOIN rows_of o USING (r) LEFT JOIN sets ON sets.s = o.s LEFT JOIN heads ON heads.s = o.s
+LEFT JOIN degree ON degree.s = o.s
+"""
+
+OP10 = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+places AS (
+  SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS win
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) >= 50) x),
+repeated AS (
+  SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY win) AS least FROM places) p
+  WHERE least < coalesce(doc_id, 9223372036854775807)),
+runs AS (
+  SELECT r, min(i) AS lo, max(i) + 49 AS hi FROM (
+    SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS island FROM (
+      SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh
+      FROM repeated) f) g GROUP BY r, island),
+gaps AS (
+  SELECT r, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) + 1 AS a, lo - 1 AS b FROM runs
+  UNION ALL SELECT r, max(hi) + 1, NULL FROM runs GROUP BY r),
+kept AS (
+  SELECT r, string_agg(array_to_string(w[a:coalesce(b, len(w))], ' '), ' ' ORDER BY a) AS body
+  FROM gaps JOIN words USING (r) WHERE a <= coalesce(b, len(w)) GROUP BY r),
+sums AS (SELECT r, sum(hi - lo + 1) AS n_removed FROM runs GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(CASE WHEN n_removed IS NULL THEN array_to_string(w, ' ') ELSE coalesce(body, '') END) AS kept_sha256
+FROM words LEFT JOIN sums USING (r) LEFT JOIN kept USING (r)
+"""
+
 ORACLE: dict[str, str] = {
-    "op1_decontaminate": OP1, "op2_url_filter": OP2, "op3_chat_format": OP3, "op4_quality_rules": OP4}
+    "op1_decontaminate": OP1, "op2_url_filter": OP2, "op3_chat_format": OP3, "op4_quality_rules": OP4,
+    "op5_suffix_dedup": OP5, "op9_jaccard_join": OP9, "op10_phrase_dedup": OP10}
