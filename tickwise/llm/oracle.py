@@ -66,8 +66,7 @@ best AS (
     ON (s.host = r.h OR ends_with(s.host, '.' || r.h)) AND starts_with(s.path, r.p)
   GROUP BY s.page_id, s.host, s.path)
 SELECT page_id, host, path, rule,
-       coalesce(v, CASE WHEN starts_with(path, '/')
-                         AND regexp_matches(host, '(^|[^0-9A-Za-z%_])({"|".join(BAD_HOST_WORDS)})([^0-9A-Za-z%_]|$)')
+       coalesce(v, CASE WHEN regexp_matches(host, '(^|[^0-9A-Za-z%_])({"|".join(BAD_HOST_WORDS)})([^0-9A-Za-z%_]|$)')
                    THEN 'block' ELSE 'allow' END) AS verdict
 FROM best
 """

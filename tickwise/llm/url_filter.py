@@ -6,8 +6,9 @@ tokens fetch the candidate rules, and only those run their regular expression.
 without a whole token are candidates for every URL.
 
 Pattern language: ``||`` at the start anchors at the host or a subdomain boundary, ``|`` at
-the start anchors at the host's start, ``^`` is a separator (anything but letters, digits,
-``%``, ``_``, or the end), ``*`` is any run; the rest is literal.
+the start anchors at the host's start, ``^`` is a separator (any character but letters, digits,
+``%``, ``_`` and ``/``, or an end of the host or of a path's part), ``*`` is any run without
+``/``; the rest is literal.
 
 Defined cases.  Null URLs and URLs without ``://`` have an empty host and path, fit no rule
 that names a token and get the default verdict.  Repeated rows are judged alike; an empty
@@ -48,7 +49,7 @@ def site_rule(site: str, verdict: str, rank: int = 1) -> UrlRule:
 
 def word_rule(word: str, verdict: str = "block") -> UrlRule:
     """A rule for a whole word of the host name."""
-    return UrlRule(word, f"||*^{word}^*/", verdict)
+    return UrlRule(word, f"||*^{word}^", verdict)
 
 
 def rule_regex(pattern: str) -> re.Pattern:
@@ -58,7 +59,7 @@ def rule_regex(pattern: str) -> re.Pattern:
         head, pattern = r"\A(?:[^/]*\.)?", pattern[2:]
     elif pattern.startswith("|"):
         head, pattern = r"\A", pattern[1:]
-    parts = {"*": ".*", "^": r"(?:[^0-9A-Za-z%_\u0080-\U0010ffff]|\Z|\A)"}
+    parts = {"*": "[^/]*", "^": r"(?:[^0-9A-Za-z%_/\u0080-\U0010ffff]|\A|\Z|(?=/)|(?<=/))"}
     return re.compile(head + "".join(parts.get(c) or re.escape(c) for c in pattern), re.DOTALL)
 
 
