@@ -83,7 +83,7 @@ def tokenizer_path() -> str:
 
 
 def encoder():
-    return token_store.byte_level_encoder(tokenizer_path())
+    return token_store.remembered(TOKENIZER, lambda: token_store.byte_level_encoder(tokenizer_path()))
 
 
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,8 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -37,7 +39,7 @@ LANE = 1024
 BLOCK_DOCS = 4096
 BLOCK_IDS = 1 << 18
 #: Distinct pieces of text whose ids a task remembers.
-CACHE = 400_000
+CACHE = 250_000
 #: Fixed values: (values per word, bits per value) by selector.
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12),
          (4, 15), (3, 20), (2, 30), (1, 60))
@@ -47,13 +49,17 @@ ESCAPE = 15
 # ---------------------------------------------------------------- coding
 
 def _bits(ids):
-    """Bit lengths of unsigned values; 64 for those that need an escape."""
+    """Bits of the narrowest pack that holds each value; 64 for those that need an escape."""
     import numpy as np
 
-    bits = np.zeros(len(ids), np.uint8)
-    for at in sorted({b for _, b in PACKS}):
-        bits[ids >= np.uint64(1 << at)] = at + 1
-    return bits
+    steps = np.array(sorted(b for _, b in PACKS), np.uint8)
+    needs = np.append(steps, np.uint8(64))
+    limits = np.uint64(1) << steps.astype(np.uint64)
+    small = needs[np.searchsorted(limits, np.arange(1 << 16, dtype=np.uint64), side="right")]
+    low = ids < np.uint64(1 << 16)
+    if low.all():
+        return small[ids]
+    return needs[np.searchsorted(limits, ids, side="right")]
 
 
 def encode(ids) -> bytes:
@@ -70,36 +76,38 @@ def encode(ids) -> bytes:
     flat = np.full(lanes * LANE, 255, np.uint8)
     flat[:n] = _bits(ids)
     wide[:, :LANE] = flat.reshape(lanes, LANE)
-    # widest of the next 1, 2, 3, ... values, and with it the selector for every position
+    # widest of the next 1, 2, 3, ... values; where more values fit, fewer fit too, so the
+    # number of packs that fit gives the selector for every position
     widest, have = wide, 1
-    best = np.full(wide.shape, ESCAPE, np.uint8)
-    for sel in range(len(PACKS) - 1, -1, -1):
-        count, bits = PACKS[sel]
+    fit = np.zeros(wide.shape, np.uint8)
+    for count, bits in reversed(PACKS):
         while have < count:
             step = min(have, count - have)
-            grown = widest.copy()
+            grown = np.full_like(widest, 255)
             np.maximum(widest[:, :-step], widest[:, step:], out=grown[:, :-step])
-            grown[:, -step:] = 255
             widest, have = grown, have + step
-        best[widest <= bits] = sel
+        good = widest <= bits
+        if not good.any():
+            break
+        fit += good
+    best = np.where(fit > 0, len(PACKS) - fit, ESCAPE)
     taken = np.array([c for c, _ in PACKS] + [0, 1], np.int64)
     # all lanes step from word to word together
     lengths = np.full(lanes, LANE, np.int64)
     lengths[-1] = n - (lanes - 1) * LANE
     place, live = np.zeros(lanes, np.int64), np.arange(lanes)
-    steps_lane, steps_at, steps_sel = [], [], []
+    steps = []
     while len(live):
         at = place[live]
-        sel = best[live, at]
-        steps_lane.append(live)
-        steps_at.append(at)
-        steps_sel.append(sel)
-        place[live] = at + taken[sel]
+        row = np.full(lanes, -1, np.int64)
+        row[live] = at
+        steps.append(row)
+        place[live] = at + taken[best[live, at]]
         live = live[place[live] < lengths[live]]
-    lane, at = np.concatenate(steps_lane), np.concatenate(steps_at)
-    sel = np.concatenate(steps_sel)
-    order = np.lexsort((at, lane))
-    lane, at, sel = lane[order], at[order], sel[order]
+    every = np.stack(steps, axis=1)
+    lane, step = np.nonzero(every >= 0)
+    at = every[lane, step]
+    sel = best[lane, at]
     size = np.where(sel == ESCAPE, 2, 1)
     where = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
@@ -156,61 +164,109 @@ def decode(payload: bytes, n: int):
 # ---------------------------------------------------------------- tokenizing
 
 _PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Every white space character but space and newline.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+#: Fixed value: how a byte-level pre-tokenizer cuts a text.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Above this, character classes may differ between libraries' Unicode versions.
+_PLAIN = re.compile(r"[^\x00-\u024f]")
 
 
-class _Pieces(dict):
-    """Ids of pieces, little-endian u32, made on first use."""
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte: itself where it prints, the next free one above
+    U+00FF elsewhere."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
 
-    def __init__(self, tokenizer, room: int):
-        super().__init__()
-        self.tokenizer, self.room = tokenizer, room
 
-    def __missing__(self, piece: str) -> bytes:
-        import numpy as np
+class _Memory(dict):
+    """Values made on first use.  When full, all become old; old ones that are used again are
+    kept, the others go the next time."""
 
-        out = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+    def __init__(self, make, room: int):
+        super().__init__()
+        self.make, self.room, self.old = make, room, {}
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > 64:
+                return value
         if len(self) >= self.room:
+            self.old = dict(self)
             self.clear()
-        if len(piece) <= 64:
-            self[piece] = out
-        return out
+        self[key] = value
+        return value
 
 
 def byte_level_encoder(path: str, end_id: int = 0, room: int = CACHE) -> Callable:
     """Text to ids (little-endian u32 bytes) with a byte-level BPE file, ``end_id`` appended.
 
     A byte-level pre-tokenizer never joins a non-space to the white space after it, so a
-    text may be cut there and the parts encoded apart; frequent parts are remembered.
-    Texts with white space besides space and newline, and files with another normalizer or
-    pre-tokenizer, are encoded whole.
+    text may be cut there and the parts encoded apart; frequent parts and their words are
+    remembered.  Texts with white space besides space and newline or with a string of an
+    added token, and files with another normalizer or pre-tokenizer, are encoded whole.
     """
     import json
 
-    import numpy as np
+    import regex
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     about = json.loads(tokenizer.to_str())
     before = about["pre_tokenizer"] or {}
-    parts = (before.get("type") == "ByteLevel" and before.get("use_regex") is True
-             and not before.get("add_prefix_space") and about["normalizer"] is None
-             and about["post_processor"] is None and not about["truncation"] and not about["padding"]
-             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"])
-                         for t in about["added_tokens"]))
-    known = _Pieces(tokenizer, room)
-    end = np.array([end_id], "<u4").tobytes()
+    cuts = (before.get("type") == "ByteLevel" and before.get("use_regex") is True
+            and not before.get("add_prefix_space") and about["normalizer"] is None
+            and about["post_processor"] is None and not about["truncation"] and not about["padding"])
+    added = [t["content"] for t in about["added_tokens"]]
+    model, words_of = tokenizer.model, regex.compile(BYTE_LEVEL).findall
+    letters = dict(enumerate(byte_letters()))
+
+    def coded(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def whole(text: str) -> bytes:
+        return coded(tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def word(text: str) -> bytes:
+        spelt = text.encode("utf-8").decode("latin-1").translate(letters)
+        return coded([t.id for t in model.tokenize(spelt)])
+
+    words = _Memory(word, room)
+
+    def piece(text: str) -> bytes:
+        return whole(text) if _PLAIN.search(text) else b"".join(map(words.__getitem__, words_of(text)))
+
+    pieces = _Memory(piece, room)
+    # keyed without the space that comes before
+    spaced = _Memory(lambda text: piece(" " + text), room)
+    end = coded([end_id])
 
     def run(text: str | None) -> bytes:
         if not text:
             return end
-        if not parts or _OTHER_SPACE.search(text):
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + end
-        return b"".join(map(known.__getitem__, _PIECES.findall(text))) + end
+        if not cuts or any(c in text for c in _OTHER_SPACE) or any(t in text for t in added):
+            return whole(text) + end
+        if "  " in text or "\n " in text or text[0] == " " or text[-1] == " ":
+            return b"".join(map(pieces.__getitem__, _PIECES.findall(text))) + end
+        # every space follows a non-space, so the text may be cut before each
+        first, *rest = text.split(" ")
+        return pieces[first] + b"".join(map(spaced.__getitem__, rest)) + end
 
     return run
 
 
+def remembered(key: str, make: Callable) -> Callable:
+    """``make()``, once in a Python worker: Spark gives a worker many tasks, one after the
+    other, and an encoder's memory is worth keeping between them."""
+    state = sys.modules.setdefault("_tickwise_worker_state", types.ModuleType("_tickwise_worker_state"))
+    if not hasattr(state, key):
+        setattr(state, key, make())
+    return getattr(state, key)
+
+
 # ---------------------------------------------------------------- the store
 
 BLOCK_SCHEMA = ("shard int, block int, doc_ids array<bigint>, counts array<bigint>, n_ids bigint, "
