@@ -1,10 +1,12 @@
 """Toxicity by maximum-scoring segments.
 
-Training.  Words of labelled texts are counted by class; a word's score is its log-odds,
-toxic against clean, with a Dirichlet prior proportional to its overall count, less a drift
-``DRIFT`` that makes an ordinary word cost something.  Training rows are a bounded sample,
+Training.  Words of labelled texts are counted by class, once for each pair of neighbours
+they stand between, so that copies of a text count once; a word's score is its log-odds,
+toxic against clean, with a Dirichlet prior proportional to its overall count, taken
+``SHRINK`` standard errors nearer to zero, less a drift ``DRIFT`` that makes an ordinary word
+cost something.  Training rows are a bounded sample,
 ``SAMPLE_PER_CLASS`` of each class, chosen by hash; the model keeps at most ``VOCABULARY``
-words, those whose log-odds differ most from zero.
+words, those with the strongest scores.
 
 Scoring.  One linear scan finds every maximal segment of a text whose word scores sum
 highest (Ruzzo and Tompa's algorithm).  Segment sums of clean text follow an extreme-value
@@ -33,7 +35,9 @@ from tickwise.llm.common import staged
 
 SAMPLE_PER_CLASS = 8_000
 VOCABULARY = 50_000
-PRIOR_WORDS = 2_000.0
+#: Pseudo-counts of the prior, as a share of the counted words.
+PRIOR_SHARE = 0.01
+SHRINK = 1.0
 DRIFT = 0.75
 MIN_COUNT = 3
 #: A segment is reported as a passage if clean text of that length has one as good with at
@@ -135,20 +139,27 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
           vocabulary: int = VOCABULARY) -> Model:
     """The model for ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     sample = training_sample(docs, labels, per_class)
-    each = sample.filter("fit").select("toxic", F.explode(_word_list(F.col("text"))).alias("word"))
+    found = sample.filter("fit").select("toxic", F.explode(F.array(_word_list(F.col("text")))).alias("words"))
+    places = F.transform("words", lambda w, i: F.struct(w.alias("word"), F.xxhash64(
+        F.get("words", i - 1), w, F.get("words", i + 1)).alias("between")))
+    each = found.select("toxic", F.inline(places)).distinct()
     counts = each.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     counts = staged(counts.filter(F.col("t") + F.col("c") >= MIN_COUNT), "toxicity-counts")
     totals = counts.agg(F.sum("t"), F.sum("c")).first()
     toxic, clean = (float(x or 0) for x in totals)
     if not toxic or not clean:
         return Model({}, -DRIFT, 1.0, 0.0, 0.0, -50.0)
-    prior = (F.col("t") + F.col("c")) / (toxic + clean) * PRIOR_WORDS
+    mass = PRIOR_SHARE * (toxic + clean)
+    prior = (F.col("t") + F.col("c")) * PRIOR_SHARE
 
     def odds(n, total):
-        return F.log((n + prior) / (total + PRIOR_WORDS - n - prior))
+        return F.log((n + prior) / (total + mass - n - prior))
 
-    scored = counts.select("word", "c", (odds(F.col("t"), toxic) - odds(F.col("c"), clean)).alias("llr"))
-    rows = scored.orderBy(F.abs(F.col("llr")).desc(), "word").limit(vocabulary).collect()
+    error = F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior))
+    raw = odds(F.col("t"), toxic) - odds(F.col("c"), clean)
+    scored = counts.select("word", "c", (F.signum(raw) * F.greatest(
+        F.lit(0.0), F.abs(raw) - SHRINK * error)).alias("llr"))
+    rows = scored.filter("llr <> 0").orderBy(F.abs("llr").desc(), "word").limit(vocabulary).collect()
     scores = {r["word"].encode("utf-8", "surrogatepass"): r["llr"] - DRIFT for r in rows}
     lam = _lambda([(r["c"] / clean, r["llr"] - DRIFT) for r in rows], -DRIFT)
     model = Model(scores, -DRIFT, lam, 0.0, 1.0, 0.0)
