@@ -86,8 +86,9 @@ def test_toxicity_held_out(spark):
     out = {r["doc_id"]: r for r in queries.op7_toxicity(spark, sf).collect()}
     labels = [(out[d]["score"], t) for d, t in brute.rows(sf, "labels", "doc_id", "toxic") if out[d]["held_out"]]
     bad, good = [s for s, t in labels if t == 1], [s for s, t in labels if t == 0]
+    assert sum(s >= 0.5 for s in bad) > 0.85 * len(bad) and sum(s >= 0.5 for s in good) <= 0.01 * len(good)
     auc = np.mean([(b > g) + 0.5 * (b == g) for b in bad for g in good])
-    assert auc > 0.97
+    assert auc > 0.9
     import zlib
 
     assert all(r["held_out"] == (zlib.crc32(str(d).encode()) % 5 == 0) for d, r in out.items())
