@@ -249,10 +249,14 @@ def neighbourhoods(sets: DataFrame) -> DataFrame:
 
 def verified(docs: DataFrame, sets: DataFrame, hoods: DataFrame, block: int = BLOCK) -> DataFrame:
     """node, links and partner (a set of the same class) from each comparison of blocks; staged."""
-    sizes = hoods.groupBy(F.col("hood").alias("s_hood")).agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
-    placed = hoods.join(sizes, F.col("hood") == F.col("s_hood")).select(
-        F.col("node").alias("h_node"), "hood", "blocks",
-        F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).alias("own"))
+    # staged, so that Spark knows how few neighbourhoods have more than one block and need not
+    # deal the sets by neighbourhood
+    large = staged(hoods.groupBy(F.col("hood").alias("s_hood")).agg(
+        F.ceil(F.count(F.lit(1)) / block).alias("n")).filter("n > 1"), "large-hoods")
+    blocks = F.coalesce("n", F.lit(1).cast("bigint"))
+    placed = hoods.join(large, F.col("hood") == F.col("s_hood"), "left").select(
+        F.col("node").alias("h_node"), "hood", blocks.alias("blocks"),
+        F.pmod(F.xxhash64(F.lit(3), "node"), blocks).alias("own"))
     chosen = sets.join(placed, F.col("node") == F.col("h_node")).select(
         F.col("doc_id").alias("c_id"), F.col("h").alias("c_h"), "node", "hood", "blocks", "own")
     texts = keyed(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("h") == F.col("c_h")))
