@@ -54,7 +54,7 @@ def spans_of(docs: DataFrame, kind: str, size: int, gram: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            bodies = [split(t.as_py()) for t in batch.column("text")]
+            bodies = (split(t.as_py()) for t in batch.column("text"))
             for index, s in span_batches(bodies, tokens, len, size, gram):
                 if not len(index):
                     continue
@@ -69,16 +69,21 @@ def spans_of(docs: DataFrame, kind: str, size: int, gram: int) -> DataFrame:
 
 
 def contents(spans: DataFrame) -> DataFrame:
-    """One row per (a, c) of repeated anchors: n spans, the least doc_id that has one (null
-    last), a span of it, and how many contents the anchor has; staged."""
+    """One row per (a, c) that has several spans or shares its anchor with another content: n
+    spans, the least doc_id that has one (null last), a span of it, and ``mixed``, whether the
+    anchor has other contents; staged.
+
+    Copies of a span meet map-side, so no anchor's copies come together in one task.
+    """
     order = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    anchors = spans.groupBy("a").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-    again = anchors.filter("m > 1").select(F.col("a").alias("a2"), (F.col("c0") != F.col("c1")).alias("mixed"))
-    by_content = spans.join(again, F.col("a") == F.col("a2")).groupBy("a", "c", "mixed").agg(
+    each = spans.groupBy("a", "c").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.struct(order.alias("d"), "doc_id", "h", "first", "starts")).alias("one"))
-    return staged(by_content.select("a", "c", "mixed", "n", F.col("one.d").alias("least"), F.col("one.doc_id"),
-                                    F.col("one.h"), F.col("one.first"), F.col("one.starts")), "contents")
+    several = each.groupBy(F.col("a").alias("a2")).agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    found = each.join(several, F.col("a") == F.col("a2"), "left").withColumn("mixed", F.col("a2").isNotNull())
+    return staged(found.filter("mixed OR n > 1").select(
+        "a", "c", "mixed", "n", F.col("one.d").alias("least"), F.col("one.doc_id"), F.col("one.h"),
+        F.col("one.first"), F.col("one.starts")), "contents")
 
 
 def rivals(docs: DataFrame, found: DataFrame, kind: str, size: int) -> tuple[DataFrame, DataFrame]:
