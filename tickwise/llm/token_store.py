@@ -39,7 +39,7 @@ LANE = 1024
 BLOCK_DOCS = 4096
 BLOCK_IDS = 1 << 18
 #: Distinct pieces of text whose ids a task remembers.
-CACHE = 250_000
+CACHE = 450_000
 #: Fixed values: (values per word, bits per value) by selector.
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12),
          (4, 15), (3, 20), (2, 30), (1, 60))
@@ -234,14 +234,19 @@ def byte_level_encoder(path: str, end_id: int = 0, room: int = CACHE) -> Callabl
         spelt = text.encode("utf-8").decode("latin-1").translate(letters)
         return coded([t.id for t in model.tokenize(spelt)])
 
-    words = _Memory(word, room)
+    def after_space(text: str) -> bytes:
+        if text.isalpha() and not _PLAIN.search(text):
+            return word(" " + text)
+        return piece(" " + text)
+
+    def part(text: str) -> bytes:
+        return spaced[text[1:]] if text[0] == " " and text[1:].isalpha() else words[text]
 
     def piece(text: str) -> bytes:
-        return whole(text) if _PLAIN.search(text) else b"".join(map(words.__getitem__, words_of(text)))
+        return whole(text) if _PLAIN.search(text) else b"".join(map(part, words_of(text)))
 
-    pieces = _Memory(piece, room)
-    # keyed without the space that comes before
-    spaced = _Memory(lambda text: piece(" " + text), room)
+    # ``spaced`` is keyed without the space that comes before, and holds most of a text
+    spaced, words, pieces = _Memory(after_space, room), _Memory(word, room // 10), _Memory(piece, room // 10)
     end = coded([end_id])
 
     def run(text: str | None) -> bytes:
