@@ -47,6 +47,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Memory(dict):
+    """Values made on first use.  When ``room`` are held, all become old; old ones that are used
+    again are kept, the others go the next time.  Long keys are not held."""
+
+    def __init__(self, make, room: int, longest: int = 64):
+        super().__init__()
+        self.make, self.room, self.longest, self.old = make, room, longest, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.room:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text, in order; none for null or blank text."""
     body = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE))

@@ -207,6 +207,84 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM words LEFT JOIN sums USING (r) LEFT JOIN kept USING (r)
 """
 
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+cut AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM cut),
+totals AS (SELECT lang, count(*) AS n FROM spots GROUP BY ALL),
+f1 AS (SELECT lang, w[i] AS a, count(*) AS f FROM spots GROUP BY ALL),
+f2 AS (SELECT lang, w[i] AS a, w[i + 1] AS b, count(*) AS f FROM spots WHERE i + 1 <= len(w) GROUP BY ALL
+       HAVING count(*) >= 10),
+f3 AS (SELECT lang, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c, count(*) AS f FROM spots WHERE i + 2 <= len(w)
+       GROUP BY ALL HAVING count(*) >= 10),
+two AS (
+  SELECT f2.lang, f2.a || ' ' || f2.b AS phrase, f2.f AS a, x.f AS l, y.f AS r, 1 AS k
+  FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.a = f2.a JOIN f1 y ON y.lang = f2.lang AND y.a = f2.b
+  WHERE 100 * greatest(
+    coalesce((SELECT max(t.f) FROM f3 t WHERE t.lang = f2.lang AND t.a = f2.a AND t.b = f2.b), 0),
+    coalesce((SELECT max(t.f) FROM f3 t WHERE t.lang = f2.lang AND t.b = f2.a AND t.c = f2.b), 0)) < 50 * f2.f),
+three AS (
+  SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c AS phrase, f3.f AS a, x.f AS l, y.f AS r, 1 AS k
+  FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.a = f3.a
+  JOIN f2 y ON y.lang = f3.lang AND y.a = f3.b AND y.b = f3.c
+  UNION ALL
+  SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || f3.c, f3.f, x.f, y.f, 2
+  FROM f3 JOIN f2 x ON x.lang = f3.lang AND x.a = f3.a AND x.b = f3.b
+  JOIN f1 y ON y.lang = f3.lang AND y.a = f3.c),
+scored AS (
+  SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score
+  FROM (SELECT * FROM two UNION ALL SELECT * FROM three)),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM lowest)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+"""
+
+# CRC-32 by its definition: eight shifts a byte, the reversed polynomial where a bit falls out
+_CRC32 = """xor(4294967295::UBIGINT, list_reduce(
+    list_prepend(4294967295::UBIGINT,
+      list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::UBIGINT)),
+    lambda crc, b: list_reduce(
+      list_prepend(xor(crc, b), list_transform(range(8), lambda i: 0::UBIGINT)),
+      lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT + y))))"""
+
+OP13 = f"""
+WITH convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC32} % 9 AS h,
+         list(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')
+              ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS v,
+         list(strlen(coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS b
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+anew AS (
+  SELECT c.conv_id, list_concat(coalesce(o.v, [])[1:c.h], c.v[c.h + 1:]) AS v,
+         list_concat(coalesce(o.b, [])[1:c.h], c.b[c.h + 1:]) AS b
+  FROM convs c LEFT JOIN convs o ON o.conv_id = c.base),
+prefixes AS (
+  SELECT conv_id, d, v[1:d] AS k, CASE WHEN d > 0 THEN b[d] ELSE 0 END AS bytes, d = len(v) AS ends
+  FROM (SELECT *, unnest(range(0, len(v) + 1)) AS d FROM anew)),
+nodes AS (
+  SELECT k, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(bytes) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY k),
+kids AS (SELECT k[1:depth - 1] AS k, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+weighed AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.k = nodes.k),
+below AS (
+  SELECT k[1:up] AS k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM weighed) GROUP BY ALL)
+SELECT w.conv_id, w.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, w.n_convs::BIGINT AS n_convs,
+       w.n_children::BIGINT AS n_children, below.n_leaves::BIGINT AS n_leaves,
+       below.saved_tokens::BIGINT AS saved_tokens, w.ends_sha256
+FROM weighed w JOIN below ON below.k = w.k LEFT JOIN nodes p ON w.depth > 0 AND p.k = w.k[1:w.depth - 1]
+"""
+
 ORACLE: dict[str, str] = {
     "op1_decontaminate": OP1, "op2_url_filter": OP2, "op3_chat_format": OP3, "op4_quality_rules": OP4,
-    "op5_suffix_dedup": OP5, "op9_jaccard_join": OP9, "op10_phrase_dedup": OP10}
+    "op5_suffix_dedup": OP5, "op9_jaccard_join": OP9, "op10_phrase_dedup": OP10,
+    "op12_collocations": OP12, "op13_prefix_trie": OP13}

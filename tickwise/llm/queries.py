@@ -7,12 +7,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import (chat, decontaminate, lsh_forest, mixing, phrase_dedup, quality_rules, suffix_dedup,
-                          token_store, toxicity, url_filter)
+from tickwise.llm import (byte_bpe, chat, collocations, decontaminate, lsh_forest, mixing, phrase_dedup, prefix_trie, quality_rules,
+                          suffix_dedup, token_store, toxicity, url_filter)
 from tickwise.llm.common import shared_dir, table
 
 #: The name of the tokenizer's file; its folder is that of the public_tokenizers package.
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 #: The sites that are judged by host and path.
 SITE_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"),
@@ -103,6 +104,28 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("removed")
 
 
+def ranks_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(RANKS)
+
+
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_bpe.encode(docs, ranks_path, byte_bpe.tiktoken_classes())
+    decoded = byte_bpe.decode(coded.withColumn("ids_sha256", F.sha2("ids", 256)), ranks_path)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("body", 256).alias("decoded_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_url_filter, op3_chat_format, op4_quality_rules, op5_suffix_dedup, op6_mix,
-    op7_toxicity, op8_token_store, op9_jaccard_join, op10_phrase_dedup)}
+    op7_toxicity, op8_token_store, op9_jaccard_join, op10_phrase_dedup,
+    op11_byte_bpe, op12_collocations, op13_prefix_trie)}
