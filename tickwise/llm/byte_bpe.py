@@ -26,7 +26,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from tickwise.llm import pretokens
 from tickwise.llm.common import Memory
@@ -218,5 +218,5 @@ def decode(encoded: DataFrame, ranks_path: Callable[[], str], first: int = 0, co
                 [*batch.columns, pa.array(bodies, pa.binary()), pa.array(starts, pa.int64())],
                 [*batch.schema.names, "body", "at"])
 
-    schema = StructType([*encoded.schema.fields, StructField("body", BinaryType())]).add("at", "bigint")
+    schema = StructType([*encoded.schema.fields, StructField("body", BinaryType()), StructField("at", LongType())])
     return encoded.mapInArrow(run, schema)
