@@ -1,6 +1,7 @@
 """Plan shapes the scale design relies on, and exact results under a hot key."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -89,10 +90,13 @@ def test_metrics_and_single_model_checks_scan_once(spark):
     assert _scans(QUERIES["dq_accepted_values"](spark, SMOKE_SF)) == 2  # orders and customer
 
 
-def test_mart_windows_share_one_exchange(spark):
-    plan = _plan(QUERIES["mart_risk"](spark, SMOKE_SF))
-    # staging dedup (ticker, date) + the ticker windows of M1 and M2
-    assert plan.count("Exchange hashpartitioning") == 2
+def test_mart_exchanges(spark):
+    """Rows move for the staging dedup, the cuts by year and the blocks; summaries move besides."""
+    plan = _plan(QUERIES["mart_portfolio"](spark, SMOKE_SF))
+    initial = plan.split("Initial Plan")[-1]
+    for keys in (r"ticker#\d+, trade_date#\d+", r"ticker#\d+, _cut#\d+"):
+        assert re.search(rf"Exchange hashpartitioning\({keys}", initial), keys
+    assert "CartesianProduct" not in plan and "SinglePartition" not in plan
 
 
 def test_ticker_predicate_reaches_the_scan(spark):

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.operators import segments as S
 from tickwise.operators import windows as W
 from tickwise.operators.joins import stock_macro_join
 
@@ -31,31 +32,27 @@ def _stamp(updated_at: Column | None) -> Column:
     return (F.current_timestamp() if updated_at is None else updated_at).alias("updated_at")
 
 
-def with_daily_returns(stg: DataFrame) -> DataFrame:
-    """Previous close and the daily return in percent."""
-    w = W.by_ticker()
-    return (stg.withColumn("prev_close_price", W.prev_close(w))
-               .withColumn("daily_return_pct",
-                           W.pct_change(F.col("close_price"), F.col("prev_close_price"))))
-
-
 def mart_portfolio(stg: DataFrame, updated_at: Column | None = None) -> DataFrame:
-    """M1: returns, 20/50-row moving averages, volatility, cumulative return, drawdown."""
-    w = W.by_ticker()
-    metrics = with_daily_returns(stg).select(
-        "ticker", "trade_date", "open_price", "high_price", "low_price", "close_price",
-        "volume", "prev_close_price", "daily_return_pct",
+    """M1: returns, 20/50-row moving averages, volatility, cumulative return, drawdown.
+
+    First close and peak come from a segmented scan, the trailing frames from overlapping
+    blocks (``operators.segments``), so a ticker of any length is spread over tasks.
+    """
+    placed = S.running(stg, "ticker", "trade_date", _first_close=("first", "close_price"),
+                       running_peak=("max", "close_price"))
+    w = S.by_block("ticker")
+    returns = S.overlapping(placed, W.LONG_WINDOW - 1) \
+        .withColumn("prev_close_price", W.prev_close(w)) \
+        .withColumn("daily_return_pct", W.pct_change(F.col("close_price"), F.col("prev_close_price")))
+    metrics = returns.select(
+        "*",
         W.moving_average("close_price", w, W.SHORT_WINDOW).alias("ma_20day"),
         W.moving_average("close_price", w, W.LONG_WINDOW).alias("ma_50day"),
         W.rolling_stddev("daily_return_pct", w, W.SHORT_WINDOW).alias("rolling_volatility_20d"),
-        W.cumulative_return(w).alias("cumulative_return_pct"),
-        W.running_peak(w).alias("running_peak"),
-    )
-    return metrics.select(
-        *PORTFOLIO_COLUMNS[:-2],
+        W.pct_change(F.col("close_price"), F.col("_first_close")).alias("cumulative_return_pct"),
         W.drawdown(F.col("close_price"), F.col("running_peak")).alias("drawdown_pct"),
-        _stamp(updated_at),
     )
+    return S.own_rows(metrics, *PORTFOLIO_COLUMNS[:-1], _stamp(updated_at))
 
 
 def mart_risk(portfolio: DataFrame, updated_at: Column | None = None) -> DataFrame:
@@ -65,22 +62,21 @@ def mart_risk(portfolio: DataFrame, updated_at: Column | None = None) -> DataFra
     portfolio ones), as in the model: the first day's volume leaves the
     20-row average, and frames after a zero close differ from M1's.
     """
-    w = W.by_ticker()
     base = portfolio.select(
         "ticker", "trade_date", "daily_return_pct", "rolling_volatility_20d", "drawdown_pct",
         "cumulative_return_pct", "volume",
     ).where(F.col("daily_return_pct").isNotNull())
+    placed = S.running(base, "ticker", "trade_date", max_drawdown_pct=("min", "drawdown_pct"))
+    w = S.by_block("ticker")
     avg_ret = F.avg("daily_return_pct").over(W.trailing(w, W.SHORT_WINDOW))
     vol = F.col("rolling_volatility_20d")
-    return base.select(
-        "ticker", "trade_date", "daily_return_pct", "rolling_volatility_20d",
+    metrics = S.overlapping(placed, W.SHORT_WINDOW - 1).select(
+        "*",
         W.sharpe_ratio(avg_ret, vol).alias("sharpe_ratio_20d"),
-        W.running_min("drawdown_pct", w).alias("max_drawdown_pct"),
         W.value_at_risk(avg_ret, vol).alias("var_95_pct"),
         W.moving_average("volume", w, W.SHORT_WINDOW, scale=0).alias("avg_volume_20d"),
-        "cumulative_return_pct",
-        _stamp(updated_at),
     )
+    return S.own_rows(metrics, *RISK_COLUMNS[:-1], _stamp(updated_at))
 
 
 def macro_changes(stg_macro: DataFrame) -> DataFrame:
