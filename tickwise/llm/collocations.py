@@ -39,10 +39,10 @@ from pyspark.sql import functions as F
 from tickwise.llm.common import staged
 from tickwise.llm.spans import SliceHash
 
-#: Words whose stripes are built together; their numbers fit 21 bits.
-WORDS = 1 << 20
+#: Words whose stripes are built together; three of their numbers fit 63 bits.
+WORDS = 1 << 19
 #: Bytes of text that are cut into words together.
-STRETCH = 1 << 22
+STRETCH = 1 << 21
 #: Elements beyond which a stripe is dealt out by its elements.
 WIDE = 1 << 12
 #: Parts for each shuffle partition: a task merges one part at a time.
@@ -303,7 +303,8 @@ def merged(packed: DataFrame, least: int, tasks: int) -> DataFrame:
         if rows:
             yield from merge_part(group[0], rows, least)
 
-    return staged(packed.repartition(tasks, "lang", "part").sortWithinPartitions("lang", "part")
+    # parts are dealt in turn, so every task has as many; a hash of them would not be as even
+    return staged(packed.repartitionById(tasks, F.col("part") % tasks).sortWithinPartitions("lang", "part")
                   .mapInArrow(run, MERGED), "stripes")
 
 
