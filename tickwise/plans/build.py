@@ -2,22 +2,25 @@
 
 ``build_models`` materialises the marts: M1 is written once and read back by
 M2 and M3 (the shared intermediate is a written table, not recomputed and
-not a local checkpoint).  ``run_daily_build`` mirrors the stage order of the
+not a local checkpoint), and all three are published by one commit, so a reader
+has the old marts or the new ones.  ``run_daily_build`` mirrors the stage order of the
 original runner: stock ingestion, macro ingestion, then the build only if no
 entity failed; a failed data test fails the build.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.operators import quality as Q
 from tickwise.operators.staging import stg_macro_indicators, stg_stock_prices
 from tickwise.plans import marts
-from tickwise.plans.ingest import run_macro_ingestion, run_stock_ingestion
+from tickwise.plans.ingest import ATTEMPTS, run_macro_ingestion, run_stock_ingestion
 from tickwise.sources import sinks
-from tickwise.sources.warehouse import Warehouse
+from tickwise.sources.warehouse import ConcurrentCommit, Warehouse
 
 
 class BuildFailed(RuntimeError):
@@ -37,24 +40,38 @@ def build_models(spark: SparkSession, raw_stock: DataFrame, raw_macro: DataFrame
     stg_macro = stg_macro_indicators(raw_macro)
     stg_stock.createOrReplaceTempView("stg_stock_prices")
     stg_macro.createOrReplaceTempView("stg_macro_indicators")
-    sinks.write_mart(marts.mart_portfolio(stg_stock, stamp), warehouse.mart("mart_portfolio"),
-                     ["ticker", "trade_date"])
-    portfolio = spark.read.parquet(warehouse.mart("mart_portfolio"))
-    sinks.write_mart(marts.mart_risk(portfolio, stamp), warehouse.mart("mart_risk"),
-                     ["ticker", "trade_date"])
-    sinks.write_mart(marts.mart_macro_correlation(portfolio, stg_macro, stamp),
-                     warehouse.mart("mart_macro_correlation"),
-                     ["ticker", "indicator_name", "trade_date"])
+    state, attempt, folders = warehouse.state(spark), uuid.uuid4().hex, {}
+
+    def written(name: str, df: DataFrame, order: list[str]) -> DataFrame:
+        folders[name] = warehouse.mart_folder(state, name, attempt)
+        sinks.write_mart(df, folders[name], order)
+        return spark.read.schema(df.schema).parquet(folders[name])
+
+    portfolio = written("mart_portfolio", marts.mart_portfolio(stg_stock, stamp), ["ticker", "trade_date"])
     models = {
         "stg_stock_prices": stg_stock,
         "stg_macro_indicators": stg_macro,
         "mart_portfolio": portfolio,
-        "mart_risk": spark.read.parquet(warehouse.mart("mart_risk")),
-        "mart_macro_correlation": spark.read.parquet(warehouse.mart("mart_macro_correlation")),
+        "mart_risk": written("mart_risk", marts.mart_risk(portfolio, stamp), ["ticker", "trade_date"]),
+        "mart_macro_correlation": written(
+            "mart_macro_correlation", marts.mart_macro_correlation(portfolio, stg_macro, stamp),
+            ["ticker", "indicator_name", "trade_date"]),
     }
+    publish_marts(spark, warehouse, folders, attempt)
     return Q.dq_report(models, warehouse.logs(spark) if logs is None else logs)
 
 
+def publish_marts(spark: SparkSession, warehouse: Warehouse, folders: dict[str, str], attempt: str) -> None:
+    """Make written marts the current ones, all at once.  A commit in between changes no mart's
+    folder that this build wrote, so the record is made again on the newer state."""
+    for left in reversed(range(ATTEMPTS)):
+        try:
+            return warehouse.commit_marts(spark, warehouse.state(spark), f"build-{attempt}", folders, attempt)
+        except ConcurrentCommit:
+            if not left:
+                raise
+
+
 def failed_checks(report: DataFrame) -> dict[str, int]:
     """The failed rows of a ``dq_report`` (28 rows at most)."""
     return {r["check_name"]: r["failures"] for r in report.where("NOT passed").collect()}

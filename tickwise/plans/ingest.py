@@ -30,9 +30,11 @@ from tickwise.operators import upsert as U
 from tickwise.sources import payloads as P
 from tickwise.sources import sinks
 from tickwise.sources.tables import RAW_MACRO_SCHEMA, RAW_STOCK_SCHEMA
-from tickwise.sources.warehouse import RAW_TABLES, Warehouse
+from tickwise.sources.warehouse import RAW_TABLES, ConcurrentCommit, Warehouse
 
 TS_FORMAT = "%Y-%m-%d %H:%M:%S.%f"
+# Times a run merges again when others commit before it.
+ATTEMPTS = 10
 # Payloads merge in this order.
 ORDER = ("landing_order", "payload_id")
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -120,16 +122,15 @@ def macro_run_plan(payloads: DataFrame, target: DataFrame | Target, started_at:
     return RunPlan(batches, metrics, merged)
 
 
-def _execute(spark: SparkSession, plan_fn, payloads: DataFrame, warehouse: Warehouse, table: str,
-             pipeline: str, started_at: str | None, secrets: Sequence[str], run_key: str | None) -> DataFrame:
-    started, key = started_at or _now(), run_key or uuid.uuid4().hex
+def _attempt(spark: SparkSession, plan_fn, payloads: DataFrame, warehouse: Warehouse, table: str,
+             pipeline: str, started: str, secrets: Sequence[str], key: str) -> DataFrame:
+    """Merge the payloads into what is committed now, and commit that."""
     state = warehouse.state(spark)
-    if key in state.runs:  # this very run is committed; a replay changes nothing
-        return sinks.read_pipeline_logs(spark, warehouse.log_path(state.runs[key]))
     _, date = RAW_TABLES[table]
+    attempt = uuid.uuid4().hex
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        return sinks.stage(spark, df, name, f"{pipeline.lower()}-{key}")
+        return sinks.stage(spark, df, name, f"{pipeline.lower()}-{attempt}")
 
     def touched(valid: DataFrame) -> DataFrame:
         """Snapshot rows in the months the batch touches; the calendar bounds their number."""
@@ -143,6 +144,22 @@ def _execute(spark: SparkSession, plan_fn, payloads: DataFrame, warehouse: Wareh
     return audit
 
 
+def _execute(spark: SparkSession, plan_fn, payloads: DataFrame, warehouse: Warehouse, table: str,
+             pipeline: str, started_at: str | None, secrets: Sequence[str], run_key: str | None) -> DataFrame:
+    """One run.  If another one commits meanwhile, merge again into what that one left."""
+    started, key = started_at or _now(), run_key or uuid.uuid4().hex
+    for left in reversed(range(ATTEMPTS)):
+        done = warehouse.committed(spark, key)
+        if done is not None:  # this very run is committed; a replay changes nothing
+            return done
+        try:
+            return _attempt(spark, plan_fn, payloads, warehouse, table, pipeline, started, secrets, key)
+        except ConcurrentCommit:
+            if not left:
+                raise
+    raise AssertionError("unreachable")
+
+
 def run_stock_ingestion(spark: SparkSession, payloads: DataFrame, warehouse: Warehouse,
                         started_at: str | None = None, secrets: Sequence[str] = (),
                         run_key: str | None = None) -> DataFrame:

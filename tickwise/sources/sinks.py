@@ -1,7 +1,7 @@
 """Sinks: mart tables, the audit log as a plain table, staged intermediates.
 
-* Marts are rebuilt each run (overwrite), sorted within partitions so the
-  presentation order costs no global sort.
+* A mart goes to a folder of its own, range-partitioned by its order so that file statistics
+  prune a selection and the presentation order costs nothing more.
 * The audit table is append-only and is created on first use with the fixed
   15-column schema (create-if-absent, never dropped).  Ingestion runs commit
   their audit rows together with the data, see ``tickwise.sources.warehouse``.
@@ -14,6 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,38 @@ def read_if_present(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         return None
 
 
+def _file_context(spark: SparkSession, path: str):
+    """The file system's own view of ``path``: (context, path), on the driver."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    where = fs.Path(path)
+    where = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where)
+    return fs.FileContext.getFileContext(where.toUri(), spark._jsc.hadoopConfiguration()), where
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none where it does not exist."""
+    context, where = _file_context(spark, path)
+    if not context.util().exists(where):
+        return []
+    return [entry.getPath().getName() for entry in context.util().listStatus(where)]
+
+
+def rename_if_absent(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder; False where the target exists.  One step on HDFS and local disks, so of
+    two runs that rename to one name one succeeds."""
+    context, there = _file_context(spark, target)
+    _, here = _file_context(spark, source)
+    context.mkdir(there.getParent(), None, True)
+    options = spark._sc._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(here, there, options)
+    except Py4JJavaError as exc:
+        if context.util().exists(there):
+            return False
+        raise exc
+    return True
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str, run_key: str | None = None) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back (cuts lineage).
 
@@ -49,8 +82,10 @@ def stage(spark: SparkSession, df: DataFrame, name: str, run_key: str | None = N
 
 
 def write_mart(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    """Full rebuild of a mart table; rows sorted within each output file."""
-    df.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    """A mart in a new folder, range-partitioned and sorted by ``order``: files hold
+    ranges of the first column, so their statistics prune a selection, and a long range is cut
+    by the columns after it."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
 
 
 def typed_log(rows: DataFrame) -> DataFrame:
