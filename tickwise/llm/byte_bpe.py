@@ -9,8 +9,8 @@ A row keeps, beside the ids, the byte offset where each token ends.  ``decode``
 any range of a row's tokens, back into bytes: the offsets say where a range's bytes lie in the
 text without decoding what stands before it.
 
-Memory of a task: ``ROOM`` bytes of text at a time (a longer text is cut between pre-tokens)
-and ``MEMORY`` remembered slices.  There is no shuffle.
+Memory of a task: ``ROOM`` bytes of text are cut at a time (a longer text between pre-tokens),
+``ROWS`` rows are handed on together, and some ``MEMORY`` slices are remembered.  There is no shuffle.
 
 Defined cases.  A null or empty text has no tokens.  A text that is no valid UTF-8 first gets
 U+FFFD for each ill-formed part; its decoded bytes are those of that text.  A string of a
@@ -32,9 +32,11 @@ from tickwise.llm import pretokens
 from tickwise.llm.common import Memory
 
 #: Bytes of text that are cut at a time.
-ROOM = 1 << 22
+ROOM = 1 << 20
+#: Rows that are handed on together.
+ROWS = 512
 #: Distinct slices whose ids a task remembers.
-MEMORY = 1 << 19
+MEMORY = 1 << 18
 #: Up to this many bytes a slice's pairs are looked over, beyond it they are kept in a heap.
 SHORT = 32
 NEVER = 1 << 62
@@ -160,6 +162,13 @@ def code_texts(bodies: list[bytes], table, code: Callable[[bytes], bytes]) -> li
     return out
 
 
+def in_slices(batches: Iterator) -> Iterator:
+    """Arrow batches of at most ``ROWS`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def valid_bodies(column) -> list[bytes]:
     return [b.as_py() or b"" for b in column]
 
@@ -179,7 +188,7 @@ def encode(docs: DataFrame, ranks_path: Callable[[], str], classes: list[tuple[i
         for token, rank in ranks.items():
             length[rank] = len(token)
         code = slice_coder(ranks)
-        for batch in batches:
+        for batch in in_slices(batches):
             coded = code_texts(valid_bodies(batch.column("body")), table, code)
             ends = [np.cumsum(length[np.frombuffer(ids, "<u4")]).astype("<u4").tobytes() for ids in coded]
             yield pa.RecordBatch.from_arrays(
@@ -203,7 +212,8 @@ def decode(encoded: DataFrame, ranks_path: Callable[[], str], first: int = 0, co
         for token, rank in ranks.items():
             tokens[rank] = token
         vocabulary = pa.array(tokens, pa.large_binary())
-        for batch in batches:
+        del ranks, tokens
+        for batch in in_slices(batches):
             bodies, starts = [], []
             for ids, ends in zip(batch.column("ids"), batch.column("ends"), strict=True):
                 ids = np.frombuffer(ids.as_py() or b"", "<u4")
