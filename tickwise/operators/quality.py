@@ -1,15 +1,16 @@
 """Data-quality checks: each returns the violating rows (zero rows = pass).
 
 ``dq_report`` runs all 28 checks (22 not-null, 1 accepted-values, 5 singular)
-and returns one row per check.  Not-null checks of a model are one pass over
-it (``count_if`` per column), never one scan per column.
+and returns one row per check.  All checks of a model that look at single rows are
+counted as the model is written (``watched``), or else in one pass over it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tickwise.operators.audit import count_violations, status_violations
@@ -25,6 +26,7 @@ NOT_NULL = {
 }
 ACCEPTED_INDICATORS = ("CONSUMER PRICE INDEX", "FEDERAL FUNDS RATE", "GROSS DOMESTIC PRODUCT",
                        "UNEMPLOYMENT RATE", "10 YEAR TREASURY RATE")
+LOGS = "pipeline_logs"
 # Freshness of the stock source, in days.
 FRESHNESS_WARN_DAYS = 3
 FRESHNESS_ERROR_DAYS = 7
@@ -98,31 +100,53 @@ def source_freshness(raw: DataFrame, as_of: Column, source_name: str = "raw_stoc
                          status.alias("status"))
 
 
+def row_checks(model: str) -> dict[str, Column]:
+    """The checks of a model that look at one row at a time: check name to its violation."""
+    checks = {f"not_null_{model}_{c}": F.col(c).isNull() for c in NOT_NULL.get(model, ())}
+    if model == "stg_macro_indicators":
+        checks["accepted_values_stg_macro_indicators_indicator_name"] = ~F.col("indicator_name").isin(
+            *ACCEPTED_INDICATORS)
+    if model == "stg_stock_prices":
+        checks["assert_valid_stock_ohlcv"] = invalid_ohlcv()
+    if model == LOGS:
+        checks |= {"assert_pipeline_log_counts": count_violations(), "assert_pipeline_log_status": status_violations()}
+    return checks
+
+
+def watched(df: DataFrame, model: str) -> tuple[DataFrame, Observation]:
+    """``df`` with its row checks counted while it is written, and where the counts will be.
+
+    Only a full write of the frame counts every row, and it must be written once."""
+    seen = Observation()
+    return df.observe(seen, *[F.count_if(v).alias(name) for name, v in row_checks(model).items()]), seen
+
+
+def counted(df: DataFrame, model: str) -> DataFrame:
+    """(check_name, failures) of a model's row checks, from one aggregation."""
+    checks = row_checks(model)
+    counts = df.agg(*[F.count_if(v).alias(name) for name, v in checks.items()])
+    stack = ", ".join(f"'{c}', `{c}`" for c in checks)
+    return counts.select(F.expr(f"stack({len(checks)}, {stack}) AS (check_name, failures)"))
+
+
 def _failures(check: str, violations: DataFrame) -> DataFrame:
     return violations.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(check).alias("check_name"), "failures")
 
 
-def dq_report(models: dict[str, DataFrame], logs: DataFrame) -> DataFrame:
-    """Q8: every check as (check_name, failures, passed); 28 rows."""
-    parts = []
-    for name, cols in NOT_NULL.items():
-        nn = dq_not_null(models[name], name, cols)
-        parts.append(nn.select(
-            F.concat(F.lit("not_null_"), F.col("model"), F.lit("_"), F.col("column_name"))
-            .alias("check_name"), "failures"))
-    stg_stock, stg_macro = models["stg_stock_prices"], models["stg_macro_indicators"]
-    parts += [
-        _failures("accepted_values_stg_macro_indicators_indicator_name",
-                  dq_accepted_values(stg_macro)),
-        _failures("assert_unique_stock_key", dq_unique_stock_key(stg_stock)),
-        _failures("assert_unique_macro_key", dq_unique_macro_key(stg_macro)),
-        _failures("assert_valid_stock_ohlcv", dq_valid_ohlcv(stg_stock)),
-        _failures("assert_pipeline_log_counts", dq_log_counts(logs)),
-        _failures("assert_pipeline_log_status", dq_log_status(logs)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("check_name", F.col("failures").cast("bigint").alias("failures"),
-                      (F.col("failures") == 0).alias("passed"))
+def dq_report(models: dict[str, DataFrame], logs: DataFrame,
+              seen: Mapping[str, Observation] | None = None) -> DataFrame:
+    """Q8: every check as (check_name, failures, passed); 28 rows.
+
+    Row checks of the models in ``seen`` were counted as they were written (``watched``) and cost
+    no scan; those of another model are one aggregation.  The two key checks read their model."""
+    seen = seen or {}
+    frames = {**models, LOGS: logs}
+    parts = [counted(frames[name], name) for name in (*NOT_NULL, LOGS) if name not in seen]
+    parts += [_failures("assert_unique_stock_key", dq_unique_stock_key(models["stg_stock_prices"])),
+              _failures("assert_unique_macro_key", dq_unique_macro_key(models["stg_macro_indicators"]))]
+    found = [(check, n) for own in seen.values() for check, n in own.get.items()]
+    if found:  # one row for each check
+        parts.append(logs.sparkSession.createDataFrame(found, "check_name string, failures bigint"))
+    return reduce(DataFrame.unionByName, parts).select(
+        "check_name", F.col("failures").cast("bigint").alias("failures"), (F.col("failures") == 0).alias("passed"))

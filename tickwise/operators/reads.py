@@ -1,8 +1,8 @@
 """Read models behind the dashboard: summaries, top-k, latest rows, filtered series.
 
-Ticker selections are pushed-down ``isin`` predicates (a ticker predicate
-passes through the ticker-partitioned windows into the Parquet scan); an
-empty selection gives an empty result, not all rows.
+Short ticker selections are pushed-down ``isin`` predicates (a ticker predicate
+passes through the ticker-partitioned windows into the Parquet scan), long ones
+and tables are semi-joins; an empty selection gives an empty result, not all rows.
 """
 
 from __future__ import annotations
@@ -15,21 +15,34 @@ from pyspark.sql import functions as F
 from tickwise.functions.rounding import round_half_up
 from tickwise.operators.audit import COMPLETED_STATUSES, MACRO_PIPELINE, STOCK_PIPELINE
 
+# Which tickers: a list, a table with a column ``ticker``, or None for all.
+Selection = Sequence[str] | DataFrame | None
+# Tickers that a predicate may list.
+LONG_LIST = 1000
 RECENT_RUNS = 20
 MESSAGE_PREVIEW = 160
 FAILURE_WINDOW_DAYS = 7
 
 
-def select_tickers(df: DataFrame, tickers: Sequence[str] | None) -> DataFrame:
-    """Keep the selected tickers; ``None`` means all, an empty list means none."""
+def select_tickers(df: DataFrame, tickers: Selection) -> DataFrame:
+    """Keep the selected tickers; ``None`` means all, an empty selection means none.
+
+    A list is a predicate that reaches the scan.  A table of tickers, or a list of more than
+    ``LONG_LIST``, is a semi-join, whose size no plan has to carry.
+    """
     if tickers is None:
         return df
-    if len(tickers) == 0:
-        return df.limit(0)
-    return df.where(F.col("ticker").isin(*tickers))
+    if not isinstance(tickers, DataFrame):
+        if len(tickers) == 0:
+            return df.limit(0)
+        if len(tickers) <= LONG_LIST:
+            return df.where(F.col("ticker").isin(*tickers))
+        tickers = df.sparkSession.createDataFrame([(t,) for t in tickers], "ticker string")
+    wanted = tickers.select(F.col("ticker").alias("_wanted"))
+    return df.join(wanted, F.col("ticker") == F.col("_wanted"), "left_semi")
 
 
-def portfolio_summary(portfolio: DataFrame, tickers: Sequence[str] | None = None) -> DataFrame:
+def portfolio_summary(portfolio: DataFrame, tickers: Selection = None) -> DataFrame:
     """A1: per ticker price range and rounded volatility / best return / max drawdown."""
     return select_tickers(portfolio, tickers).groupBy("ticker").agg(
         F.max("close_price").alias("max_price"),
@@ -45,14 +58,21 @@ def _arg(order: Column, ticker: str = "ticker") -> Column:
     return F.min_by(F.col(ticker), F.when(order.isNotNull(), F.struct(order, F.col(ticker))))
 
 
-def portfolio_extremes(summary: DataFrame, selected: Sequence[str] | None = None) -> DataFrame:
+def portfolio_extremes(summary: DataFrame, selected: Selection = None) -> DataFrame:
     """A2-A4: best / worst performer, most volatile, and the headline numbers.
 
     "Avg Volatility" is the maximum of the per-ticker averages, as displayed.
     "Tickers Tracked" is the size of the selection, with or without rows; without a
     selection every ticker of the summary is selected.
     """
-    tracked = F.count(F.lit(1)) if selected is None else F.lit(len(selected)).cast("bigint")
+    if selected is None:
+        tracked = F.count(F.lit(1))
+    elif isinstance(selected, DataFrame):
+        # the selection may have tickers without rows, or the summary none at all
+        return portfolio_extremes(summary, ()).withColumn(
+            "tickers_tracked", selected.agg(F.count_distinct("ticker")).scalar())
+    else:
+        tracked = F.lit(len(selected)).cast("bigint")
     best, vol = F.col("best_return"), F.col("avg_volatility")
     return summary.agg(
         _arg(-best).alias("best_ticker"),
@@ -70,13 +90,13 @@ def ticker_list(portfolio: DataFrame) -> DataFrame:
     return portfolio.select("ticker").distinct()
 
 
-def indicator_list(correlation: DataFrame, tickers: Sequence[str] | None = None) -> DataFrame:
+def indicator_list(correlation: DataFrame, tickers: Selection = None) -> DataFrame:
     """Distinct non-null indicator names of the selected tickers."""
     return (select_tickers(correlation, tickers).where(F.col("indicator_name").isNotNull())
             .select("indicator_name").distinct())
 
 
-def indicator_coverage(correlation: DataFrame, tickers: Sequence[str] | None = None) -> DataFrame:
+def indicator_coverage(correlation: DataFrame, tickers: Selection = None) -> DataFrame:
     """Per indicator, whether any rolling correlation is non-null."""
     return select_tickers(correlation, tickers).groupBy("indicator_name").agg(
         F.bool_or(F.col("rolling_correlation_20d").isNotNull()).alias("has_correlation"))
@@ -124,7 +144,7 @@ def latest_macro_run(logs: DataFrame) -> DataFrame:
     return latest_run(logs, MACRO_PIPELINE)
 
 
-def price_history(portfolio: DataFrame, tickers: Sequence[str] | None = None) -> DataFrame:
+def price_history(portfolio: DataFrame, tickers: Selection = None) -> DataFrame:
     """The price-chart columns."""
     return select_tickers(portfolio, tickers).select(
         "ticker", "trade_date", "close_price", "ma_20day", "ma_50day", "rolling_volatility_20d",
@@ -137,14 +157,14 @@ def moving_average_series(portfolio: DataFrame, ticker: str) -> DataFrame:
         "trade_date", "close_price", "ma_20day", "ma_50day")
 
 
-def risk_series(risk: DataFrame, tickers: Sequence[str] | None = None) -> DataFrame:
+def risk_series(risk: DataFrame, tickers: Selection = None) -> DataFrame:
     """The risk-chart columns."""
     return select_tickers(risk, tickers).select(
         "ticker", "trade_date", "rolling_volatility_20d", "sharpe_ratio_20d", "max_drawdown_pct",
         "var_95_pct", "cumulative_return_pct")
 
 
-def macro_series(correlation: DataFrame, tickers: Sequence[str] | None = None,
+def macro_series(correlation: DataFrame, tickers: Selection = None,
                  indicator: str | None = None) -> DataFrame:
     """Correlation-chart columns for the selected tickers, then one indicator."""
     df = select_tickers(correlation, tickers)
@@ -155,7 +175,7 @@ def macro_series(correlation: DataFrame, tickers: Sequence[str] | None = None,
 
 
 def latest_indicator_values(correlation: DataFrame, indicator: str,
-                            tickers: Sequence[str] | None = None) -> DataFrame:
+                            tickers: Selection = None) -> DataFrame:
     """Per ticker, the indicator value on its latest matched day, rounded to 2."""
     df = macro_series(correlation, tickers, indicator)
     return df.groupBy("ticker").agg(
@@ -169,19 +189,17 @@ SELECT ticker, MAX(close_price) AS max_price, MIN(close_price) AS min_price,
        CAST(ROUND(CAST(MAX(cumulative_return_pct) AS DECIMAL(38,8)), 2) AS DOUBLE) AS best_return,
        CAST(ROUND(CAST(MIN(drawdown_pct) AS DECIMAL(38,8)), 2) AS DOUBLE) AS max_drawdown
 FROM {portfolio}
-WHERE ticker IN ({placeholders})
+WHERE ticker IN (SELECT explode(:tickers))
 GROUP BY ticker
 """
 
 
 def portfolio_summary_sql(spark, portfolio: DataFrame, tickers: Sequence[str]) -> DataFrame:
-    """The summary as SQL text with one bound parameter per selected ticker.
+    """The summary as SQL text with one bound parameter, the array of selected tickers.
 
-    The values are bound (never spliced into the text), and the IN list is a
-    plain predicate that reaches the scan.  An empty selection runs nothing.
+    The text is the same for every selection, and no value is spliced into it.  Spark joins
+    with the array's elements.  An empty selection runs nothing.
     """
     if len(tickers) == 0:
         return portfolio_summary(portfolio, tickers)
-    placeholders = ", ".join("?" for _ in tickers)
-    return spark.sql(SUMMARY_SQL.format(portfolio="{portfolio}", placeholders=placeholders),
-                     args=list(tickers), portfolio=portfolio)
+    return spark.sql(SUMMARY_SQL, args={"tickers": list(tickers)}, portfolio=portfolio)

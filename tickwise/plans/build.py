@@ -40,11 +40,12 @@ def build_models(spark: SparkSession, raw_stock: DataFrame, raw_macro: DataFrame
     stg_macro = stg_macro_indicators(raw_macro)
     stg_stock.createOrReplaceTempView("stg_stock_prices")
     stg_macro.createOrReplaceTempView("stg_macro_indicators")
-    state, attempt, folders = warehouse.state(spark), uuid.uuid4().hex, {}
+    state, attempt, folders, seen = warehouse.state(spark), uuid.uuid4().hex, {}, {}
 
     def written(name: str, df: DataFrame, order: list[str]) -> DataFrame:
         folders[name] = warehouse.mart_folder(state, name, attempt)
-        sinks.write_mart(df, folders[name], order)
+        checked, seen[name] = Q.watched(df, name)
+        sinks.write_mart(checked, folders[name], order)
         return spark.read.schema(df.schema).parquet(folders[name])
 
     portfolio = written("mart_portfolio", marts.mart_portfolio(stg_stock, stamp), ["ticker", "trade_date"])
@@ -58,7 +59,7 @@ def build_models(spark: SparkSession, raw_stock: DataFrame, raw_macro: DataFrame
             ["ticker", "indicator_name", "trade_date"]),
     }
     publish_marts(spark, warehouse, folders, attempt)
-    return Q.dq_report(models, warehouse.logs(spark) if logs is None else logs)
+    return Q.dq_report(models, warehouse.logs(spark) if logs is None else logs, seen)
 
 
 def publish_marts(spark: SparkSession, warehouse: Warehouse, folders: dict[str, str], attempt: str) -> None:

@@ -830,3 +830,52 @@ SELECT ticker, max(trade_date) AS trade_date,
        {R('arg_max(indicator_value, trade_date)', 2)} AS indicator_value
 FROM mart_macro_correlation WHERE indicator_name = '{FOCUS_INDICATOR}' GROUP BY ticker""",
 })
+
+# -- written tables, refreshed marts, selections ------------------------------------------------
+
+WATCHED_REGION = "EUROPE"
+WATCHED = f"""watched AS (
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS ticker
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  WHERE r_name = '{WATCHED_REGION}'
+  UNION ALL SELECT 'N' || CAST(n_nationkey AS VARCHAR)
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = '{WATCHED_REGION}')"""
+_WATCHED_ONLY = " ticker IN (SELECT ticker FROM watched)"
+_WATCHED_SUMMARY = SUMMARY.replace("FROM mart_portfolio GROUP", f"FROM mart_portfolio WHERE{_WATCHED_ONLY} GROUP")
+_SECOND_COUNTS = """
+SELECT status, count(*) AS runs, CAST(sum(rows_inserted) AS BIGINT) AS rows_inserted,
+       CAST(sum(rows_updated) AS BIGINT) AS rows_updated, CAST(sum(rows_unchanged) AS BIGINT) AS rows_unchanged,
+       CAST(sum(rows_dropped) AS BIGINT) AS rows_dropped
+FROM """
+
+ORACLE.update({
+    "staging_view": ORACLE["stg_stock_prices"],
+    "audit_log_table": with_(LOGS) + "SELECT * FROM pipeline_logs",
+    "published_portfolio": ORACLE["mart_portfolio"],
+    "bucketed_upsert_stock_prices": ORACLE["upsert_stock_prices"],
+    # a refreshed mart is the mart of all rows
+    "refreshed_mart_portfolio": ORACLE["mart_portfolio"],
+    "refreshed_mart_risk": ORACLE["mart_risk"],
+    # the runs leave what one run after the other does
+    "interleaved_stock_snapshot": ORACLE["overlapping_stock_snapshot"],
+    "interleaved_stock_log": with_(*STOCK_OVERLAP_CHAIN) + _SECOND_COUNTS + "run_counts GROUP BY status",
+    # every valid row of the second run is there already
+    "rerun_stock_log": with_(*STOCK_RUN_CHAIN) + _SECOND_COUNTS + f"""(
+  SELECT * REPLACE ({_STATUS} AS status) FROM (
+    SELECT * REPLACE (0 AS rows_inserted, 0 AS rows_updated, rows_valid AS rows_unchanged) FROM run_counts) r) s
+GROUP BY status""",
+    "selected_price_history": with_(*PORTFOLIO_CHAIN, WATCHED) + f"""
+SELECT ticker, trade_date, close_price, ma_20day, ma_50day, rolling_volatility_20d, daily_return_pct
+FROM mart_portfolio WHERE{_WATCHED_ONLY}""",
+    "selected_risk_series": with_(*RISK_CHAIN, WATCHED) + f"""
+SELECT ticker, trade_date, rolling_volatility_20d, sharpe_ratio_20d, max_drawdown_pct, var_95_pct,
+       cumulative_return_pct FROM mart_risk WHERE{_WATCHED_ONLY}""",
+    "selected_macro_series": with_(*CORRELATION_CHAIN, WATCHED) + f"""
+SELECT ticker, trade_date, indicator_name, indicator_value, rolling_correlation_20d
+FROM mart_macro_correlation WHERE indicator_name = '{FOCUS_INDICATOR}' AND{_WATCHED_ONLY}""",
+    "selected_summary": with_(*PORTFOLIO_CHAIN, WATCHED, _WATCHED_SUMMARY) + "SELECT * FROM summary",
+    "bound_summary": with_(*PORTFOLIO_CHAIN, WATCHED, _WATCHED_SUMMARY) + "SELECT * FROM summary",
+    "selected_extremes": ORACLE["portfolio_extremes"].replace(SUMMARY, f"{WATCHED}, {_WATCHED_SUMMARY}").replace(
+        "(SELECT count(*) FROM summary)", "(SELECT count(DISTINCT ticker) FROM watched)"),
+    "empty_selection_summary": with_(*PORTFOLIO_CHAIN, SUMMARY) + "SELECT * FROM summary WHERE false",
+})

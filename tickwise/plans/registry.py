@@ -212,25 +212,33 @@ def _dq_macro(spark, sf):
 
 
 def _dq_models(spark, sf):
-    """Staging and marts over the fault-planted RAW tables, for checks that read all of them.
+    """Staging and marts over the fault-planted RAW tables, and the row checks counted while the
+    shared models were written to the checkpoint folder, as the build writes its marts."""
+    stage, seen = _stager(spark), {}
 
-    The shared models are written once to the checkpoint folder, as the build writes its
-    marts, instead of being derived again by every check.
-    """
-    stage = _stager(spark)
-    stg_s, stg_m = stage(_dq_stock(spark, sf), "stg_stock"), stage(_dq_macro(spark, sf), "stg_macro")
-    port = stage(marts.mart_portfolio(stg_s, updated_at=as_of()), "mart_portfolio")
+    def written(name, df):
+        checked, seen[name] = Q.watched(df, name)
+        return stage(checked, name)
+
+    stg_s = written("stg_stock_prices", _dq_stock(spark, sf))
+    stg_m = written("stg_macro_indicators", _dq_macro(spark, sf))
+    port = written("mart_portfolio", marts.mart_portfolio(stg_s, updated_at=as_of()))
     return {
         "stg_stock_prices": stg_s,
         "stg_macro_indicators": stg_m,
         "mart_portfolio": port,
         "mart_risk": marts.mart_risk(port, updated_at=as_of()),
         "mart_macro_correlation": marts.mart_macro_correlation(port, stg_m, updated_at=as_of()),
-    }
+    }, seen
+
+
+def _dq_report(spark, sf):
+    models, seen = _dq_models(spark, sf)
+    return Q.dq_report(models, _logs(spark, sf), seen)
 
 
 def _dq_not_null(spark, sf):
-    models = _dq_models(spark, sf)
+    models, _ = _dq_models(spark, sf)
     return reduce(DataFrame.unionByName, [Q.dq_not_null(models[name], name) for name in Q.NOT_NULL])
 
 
@@ -277,7 +285,7 @@ QUERIES.update({
     "dq_valid_ohlcv": lambda spark, sf: Q.dq_valid_ohlcv(_dq_stock(spark, sf)),
     "dq_log_counts": lambda spark, sf: Q.dq_log_counts(_logs(spark, sf)),
     "dq_log_status": lambda spark, sf: Q.dq_log_status(_logs(spark, sf)),
-    "dq_report": lambda spark, sf: Q.dq_report(_dq_models(spark, sf), _logs(spark, sf)),
+    "dq_report": _dq_report,
     "source_freshness": lambda spark, sf: Q.source_freshness(
         fixtures.raw_stock_prices(spark, sf), as_of()),
     # dashboard reads
@@ -300,3 +308,128 @@ QUERIES.update({
     "latest_indicator_values": lambda spark, sf: RD.latest_indicator_values(
         _correlation(spark, sf), FOCUS_INDICATOR),
 })
+
+
+# -- tables that are written and read back, selections, refreshed marts -----------------------
+
+from tickwise.plans import incremental as I  # noqa: E402
+from tickwise.plans.build import publish_marts  # noqa: E402
+from tickwise.plans.ingest import run_stock_ingestion  # noqa: E402
+from tickwise.session import checkpoint_dir  # noqa: E402
+from tickwise.sources.tables import PIPELINE_LOG_SCHEMA, RAW_STOCK_SCHEMA  # noqa: E402
+from tickwise.sources.warehouse import ConcurrentCommit, Warehouse  # noqa: E402
+
+
+def _new_name(kind: str) -> str:
+    return f"tickwise_{kind}_{uuid.uuid4().hex}"
+
+
+def _new_warehouse(spark) -> Warehouse:
+    return Warehouse(f"{checkpoint_dir(spark).rstrip('/')}/tickwise/{_new_name('warehouse')}")
+
+
+def _staging_view(spark, sf):
+    name = _new_name("stg_stock_prices")
+    _stg_stock(spark, sf).createOrReplaceTempView(name)
+    return spark.table(name)
+
+
+def _audit_log_table(spark, sf):
+    """Create the table twice, append the audit rows of one pipeline and then the others."""
+    name, logs = _new_name("pipeline_logs"), _logs(spark, sf)
+    sinks.create_audit_table(spark, name)
+    stock = F.col("pipeline_name") == AU.STOCK_PIPELINE
+    sinks.append_audit_rows(spark, logs.where(stock), name)
+    sinks.create_audit_table(spark, name)
+    sinks.append_audit_rows(spark, logs.where(~stock).select(*reversed(logs.columns)), name)
+    return spark.table(name)
+
+
+def _published_portfolio(spark, sf):
+    wh = _new_warehouse(spark)
+    folder = wh.mart_folder(wh.state(spark), "mart_portfolio", uuid.uuid4().hex)
+    sinks.write_mart(_portfolio(spark, sf), folder, ["ticker", "trade_date"])
+    publish_marts(spark, wh, {"mart_portfolio": folder}, uuid.uuid4().hex)
+    return wh.read_mart(spark, "mart_portfolio")
+
+
+def _bucketed_upsert(spark, sf):
+    snapshot = sinks.write_bucketed(spark, fixtures.upsert_stock_target(spark, sf), _new_name("snapshot"), U.STOCK_KEY)
+    return U.upsert_stock_prices(snapshot, fixtures.upsert_stock_source(spark, sf))
+
+
+def _first_and_second_load(spark, sf):
+    """The marts of the first load, the changes of the second, and the rows to stage again."""
+    stage = _stager(spark)
+    raw = fixtures.raw_stock_prices(spark, sf, with_source_key=True)
+    later = fixtures.lands_later()
+    old = stage(marts.mart_portfolio(stg_stock_prices(raw.where(~later)), updated_at=as_of()), "old_portfolio")
+    changes = stage(I.first_changes(raw.where(later)), "changes")
+    new = I.refresh_portfolio(old, stg_stock_prices(I.rows_since(raw, changes)), changes, as_of())
+    return stage, old, changes, new
+
+
+def _refreshed_risk(spark, sf):
+    stage, old, changes, new = _first_and_second_load(spark, sf)
+    old_risk = stage(marts.mart_risk(old, updated_at=as_of()), "old_risk")
+    return I.refresh_risk(old_risk, stage(new, "portfolio"), changes, as_of())
+
+
+def _interleaved(spark, sf):
+    """Run A commits after B has read the state; B's late commit is refused and B runs again;
+    then B is replayed.  The warehouse after that."""
+    wh = _new_warehouse(spark)
+    no_log = spark.createDataFrame([], PIPELINE_LOG_SCHEMA)
+    snapshot = fixtures.upsert_stock_target(spark, sf).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_STOCK_SCHEMA.fields])
+    wh.commit(spark, wh.state(spark), "first", "raw_stock_prices", snapshot, no_log)
+    payloads = _stager(spark)(fixtures.overlapping_stock_payloads(spark, sf), "payloads")
+    first = F.col("landing_order") == 0
+    read_by_b = wh.state(spark)
+    run_stock_ingestion(spark, payloads.where(first), wh, RUN_STARTED, run_key="A")
+    try:
+        wh.commit(spark, read_by_b, "B", "raw_stock_prices", snapshot, no_log)
+    except ConcurrentCommit:
+        pass
+    for _ in range(2):
+        run_stock_ingestion(spark, payloads.where(~first), wh, RUN_STARTED, run_key="B")
+    return wh
+
+
+def _log_totals(logs):
+    names = ("rows_inserted", "rows_updated", "rows_unchanged", "rows_dropped")
+    return logs.groupBy("status").agg(F.count(F.lit(1)).alias("runs"), *[F.sum(c).alias(c) for c in names])
+
+
+def _rerun_totals(spark, sf):
+    """The same payloads twice: what the second run's audit rows say."""
+    wh = _new_warehouse(spark)
+    payloads = _stager(spark)(fixtures.stock_payloads(spark, sf), "payloads")
+    run_stock_ingestion(spark, payloads, wh, RUN_STARTED)
+    return _log_totals(run_stock_ingestion(spark, payloads, wh, RUN_STARTED))
+
+
+QUERIES.update({
+    "staging_view": _staging_view,
+    "audit_log_table": _audit_log_table,
+    "published_portfolio": _published_portfolio,
+    "bucketed_upsert_stock_prices": _bucketed_upsert,
+    "refreshed_mart_portfolio": lambda spark, sf: _first_and_second_load(spark, sf)[3],
+    "refreshed_mart_risk": _refreshed_risk,
+    "interleaved_stock_snapshot": lambda spark, sf: _plain(_interleaved(spark, sf).read(spark, "raw_stock_prices")),
+    "interleaved_stock_log": lambda spark, sf: _log_totals(_interleaved(spark, sf).logs(spark)),
+    "rerun_stock_log": _rerun_totals,
+    # selections from a table of tickers
+    "selected_price_history": lambda spark, sf: RD.price_history(
+        _portfolio(spark, sf), fixtures.watch_list(spark, sf)),
+    "selected_risk_series": lambda spark, sf: RD.risk_series(_risk(spark, sf), fixtures.watch_list(spark, sf)),
+    "selected_macro_series": lambda spark, sf: RD.macro_series(
+        _correlation(spark, sf), fixtures.watch_list(spark, sf), FOCUS_INDICATOR),
+    "selected_summary": lambda spark, sf: RD.portfolio_summary(_portfolio(spark, sf), fixtures.watch_list(spark, sf)),
+    "selected_extremes": lambda spark, sf: RD.portfolio_extremes(
+        RD.portfolio_summary(_portfolio(spark, sf), fixtures.watch_list(spark, sf)), fixtures.watch_list(spark, sf)),
+    "bound_summary": lambda spark, sf: RD.portfolio_summary_sql(
+        spark, _portfolio(spark, sf), [r.ticker for r in fixtures.watch_list(spark, sf).collect()]),
+    "empty_selection_summary": lambda spark, sf: RD.portfolio_summary(
+        _portfolio(spark, sf), fixtures.watch_list(spark, sf, region="")),
+})

@@ -335,6 +335,29 @@ def upsert_macro_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _valid_latest_macro(raw.where(F.col("source_key") % 3 != 2))
 
 
+# -- a second load and a watch list ----------------------------------------------
+# Days from SECOND_LOAD on land with the second load, and so does every
+# LATE_EVERY-th source key from LATE_FROM on (corrections of days already built).
+SECOND_LOAD, LATE_FROM, LATE_EVERY = "1997-01-01", "1995-06-01", 97
+WATCHED_REGION = "EUROPE"
+
+
+def lands_later() -> Column:
+    """Whether a raw stock row (with its source key) comes with the second load."""
+    return (F.col("trade_date") >= F.lit(SECOND_LOAD).cast("date")) | (
+        (F.col("trade_date") >= F.lit(LATE_FROM).cast("date")) & (F.col("source_key") % LATE_EVERY == 0))
+
+
+def watch_list(spark: SparkSession, sf_dir: str, region: str = WATCHED_REGION) -> DataFrame:
+    """A table of selected tickers: the suppliers of a region, and its nations, which have no bars."""
+    nations = read_table(spark, sf_dir, "nation").join(
+        read_table(spark, sf_dir, "region").where(F.col("r_name") == region),
+        F.col("n_regionkey") == F.col("r_regionkey"))
+    suppliers = read_table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    return suppliers.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker")).unionByName(
+        nations.select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("ticker")))
+
+
 # -- audit log (B7) --------------------------------------------------------------
 # Event type → run status, and a secret planted in messages.
 EVENT_STATUS = {

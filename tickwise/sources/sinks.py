@@ -88,6 +88,40 @@ def write_mart(df: DataFrame, path: str, order: Sequence[str]) -> None:
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tickwise/tables/{name}"
+
+
+def write_bucketed(spark: SparkSession, df: DataFrame, name: str, keys: Sequence[str],
+                   buckets: int | None = None) -> DataFrame:
+    """A keyed snapshot as a table bucketed and sorted by its key, so that a merge on the key
+    moves the batch only.  As many buckets as the session shuffles to: with fewer, Spark would
+    move both sides to have enough tasks."""
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", table_location(spark, name)) \
+        .format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+class WrongColumns(ValueError):
+    """Rows that do not have a table's columns."""
+
+
+def create_audit_table(spark: SparkSession, name: str) -> None:
+    """S12 by name: the audit table in the session's catalog, if it is absent; never dropped."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PIPELINE_LOG_SCHEMA.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING parquet "
+              f"LOCATION '{table_location(spark, name)}'", args={"name": name})
+
+
+def append_audit_rows(spark: SparkSession, rows: DataFrame, name: str) -> None:
+    """S11 by name: append rows that have the table's columns, in any order, cast to its types."""
+    table = spark.table(name)
+    if sorted(rows.columns) != sorted(table.columns):
+        raise WrongColumns(f"{name} has {table.columns}, not {rows.columns}")
+    rows.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields]).write.insertInto(name)
+
+
 def typed_log(rows: DataFrame) -> DataFrame:
     """Audit rows in the fixed column order and types."""
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PIPELINE_LOG_SCHEMA.fields])
