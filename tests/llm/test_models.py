@@ -145,10 +145,12 @@ def test_encoder_matches_library():
     plain, encode = Tokenizer.from_file(path), token_store.byte_level_encoder(path, room=50)
     rnd = random.Random(2)
     texts = [r[1] for r in awkward_rows()] + [t for _, t in brute.rows(SMOKE_SF, "documents", "doc_id", "text")]
-    texts += ["".join(rnd.choice("ab1é  \n\t'sd!²\u00a0\u0300日") for _ in range(40)) for _ in range(400)]
-    for t in texts:
-        want = [*plain.encode(t or "", add_special_tokens=False).ids, 0]
-        assert np.frombuffer(encode(t), "<u4").tolist() == want
+    texts += ["".join(rnd.choice("ab1é  \n\t'sd!²\u00a0\u0300日") for _ in range(40)) for _ in range(4000)]
+    texts += ["a <|endoftext|> b", "<|endoftext|>"]
+    for at in range(0, len(texts), 500):
+        part = [t or "" for t in texts[at:at + 500]]
+        want = [[*c.ids, 0] for c in plain.encode_batch(part, add_special_tokens=False)]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encode([t.encode() for t in part])] == want
 
 
 def test_token_store(spark, scratch, monkeypatch):

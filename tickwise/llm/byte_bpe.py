@@ -120,13 +120,14 @@ def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def slice_coder(ranks: dict[bytes, int]) -> Callable[[bytes], bytes]:
-    """A slice to its ids as little-endian u32, remembering ``MEMORY`` of them."""
+def slice_coder(ranks: dict[bytes, int]) -> Callable[[list[bytes]], list[bytes]]:
+    """Slices to their ids as little-endian u32, remembering ``MEMORY`` of them."""
     def code(piece: bytes) -> bytes:
         ids = merge_pairs(piece, ranks)
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    return Memory(code, MEMORY).__getitem__
+    known = Memory(code, MEMORY)
+    return lambda slices: [known[s] for s in slices]
 
 
 def texts_in_groups(bodies: Iterator[bytes], table, room: int) -> Iterator[tuple[list[bytes], list[int]]]:
@@ -144,8 +145,8 @@ def texts_in_groups(bodies: Iterator[bytes], table, room: int) -> Iterator[tuple
         yield held, owner
 
 
-def code_texts(bodies: list[bytes], table, code: Callable[[bytes], bytes]) -> list[bytes]:
-    """The ids of each text as little-endian u32."""
+def code_texts(bodies: list[bytes], table, code: Callable[[list[bytes]], list[bytes]]) -> list[bytes]:
+    """The ids of each text as little-endian u32; ``code`` gives those of distinct slices."""
     import numpy as np
     import pyarrow as pa
 
@@ -153,7 +154,7 @@ def code_texts(bodies: list[bytes], table, code: Callable[[bytes], bytes]) -> li
     for parts, owner in texts_in_groups(iter(bodies), table, ROOM):
         joined, begins, first = pretokens.pre_tokens(parts, table)
         coded = pretokens.slices(joined, begins).dictionary_encode()
-        ids = pa.array([code(s) for s in coded.dictionary.to_pylist()], pa.large_binary()).take(coded.indices)
+        ids = pa.array(code(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
         _, offsets, data = ids.buffers()
         at = np.frombuffer(offsets, np.int64)[ids.offset + first].tolist() if len(ids) else [0] * len(first)
         data = b"" if data is None else data.to_pybytes()

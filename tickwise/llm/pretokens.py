@@ -215,11 +215,14 @@ def pieces(body: bytes, table, size: int) -> Iterator[bytes]:
         # what follows decides on the last two code points, so a cut stays before them
         _, begins, _ = pre_tokens([part], table)
         safe = begins[(begins > 0) & (begins <= len(part) - 12)]
-        if not len(safe):
+        # white space would be another token at a text's end, so a cut does not follow any
+        cut = next((b for b in map(int, safe[::-1])
+                    if table[ord(part[max(0, b - 4):b].decode("utf-8", "ignore")[-1])] < SPACE), 0)
+        if not cut:
             room *= 2
             continue
-        yield body[at:at + int(safe[-1])]
-        at, room = at + int(safe[-1]), size
+        yield body[at:at + cut]
+        at, room = at + cut, size
     yield body[at:]
 
 

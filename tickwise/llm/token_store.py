@@ -17,29 +17,28 @@ The documents are range-partitioned and sorted by doc_id, so the blocks in order
 block) hold the documents in ascending doc_id.  Spark's Parquet writer commits the shards,
 so a retried task leaves no half-written file and any file system works.
 
-Defined cases.  A null or empty text has only the end id.  A null doc_id sorts first.  Rows
+Defined cases.  A null or empty text has only the end id.  A text that is no valid UTF-8 is
+encoded with U+FFFD for each ill-formed part.  A null doc_id sorts first.  Rows
 with one doc_id are ordered by a hash of their text; identical rows stand in any order.  A
 document longer than a block is a block of its own.  An empty table makes an empty store.
 """
 
 from __future__ import annotations
 
-import re
 import struct
-import sys
-import types
 from collections.abc import Callable, Iterator
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickwise.llm import pretokens
+from tickwise.llm.byte_bpe import MEMORY, code_texts, in_slices, valid_bodies
 from tickwise.llm.common import staged
 
 LANE = 1024
 BLOCK_DOCS = 4096
 BLOCK_IDS = 1 << 18
-#: Distinct pieces of text whose ids a task remembers.
-CACHE = 450_000
 #: Fixed values: (values per word, bits per value) by selector.
 PACKS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12),
          (4, 15), (3, 20), (2, 30), (1, 60))
@@ -163,115 +162,77 @@ def decode(payload: bytes, n: int):
 
 # ---------------------------------------------------------------- tokenizing
 
-_PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-#: Every white space character but space and newline.
-_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
-#: Fixed value: how a byte-level pre-tokenizer cuts a text.
-BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Above this, character classes may differ between libraries' Unicode versions.
-_PLAIN = re.compile(r"[^\x00-\u024f]")
-
-
-def byte_letters() -> list[str]:
-    """The letter that stands for each byte: itself where it prints, the next free one above
-    U+00FF elsewhere."""
-    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = iter(range(0x100, 0x200))
-    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
-
-
-class _Memory(dict):
-    """Values made on first use.  When full, all become old; old ones that are used again are
-    kept, the others go the next time."""
-
-    def __init__(self, make, room: int):
-        super().__init__()
-        self.make, self.room, self.old = make, room, {}
-
-    def __missing__(self, key: str):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-            if len(key) > 64:
-                return value
-        if len(self) >= self.room:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
-def byte_level_encoder(path: str, end_id: int = 0, room: int = CACHE) -> Callable:
-    """Text to ids (little-endian u32 bytes) with a byte-level BPE file, ``end_id`` appended.
-
-    A byte-level pre-tokenizer never joins a non-space to the white space after it, so a
-    text may be cut there and the parts encoded apart; frequent parts and their words are
-    remembered.  Texts with white space besides space and newline or with a string of an
-    added token, and files with another normalizer or pre-tokenizer, are encoded whole.
+@cache
+def library_classes(path: str) -> tuple[tuple[int, int, int], ...]:
+    """Classes of code points as the tokenizers library matches them."""
+    from tokenizers import Regex, pre_tokenizers
+
+    every = pretokens.all_characters()
+
+    def members(name: str) -> set[int]:
+        only = pre_tokenizers.Split(Regex(name), "removed", invert=True)
+        return {ord(c) for text, _ in only.pre_tokenize_str(every) for c in text}
+
+    return tuple(pretokens.class_ranges(members))
+
+
+@cache
+def byte_level_encoder(path: str, end_id: int = 0, room: int = MEMORY) -> Callable:
+    """Texts (UTF-8) to their ids (little-endian u32 bytes) with a tokenizer file of the tokenizers
+    library, ``end_id`` appended to each.
+
+    The library encodes every pre-token of a byte-level file on its own, so each distinct one is
+    given to it once, and the ids of all texts are gathered from what it returned.  Where the
+    pre-tokens lie is found by ``pretokens``, with the library's own classes of code points.  A
+    text that holds the string of an added token, and every text of a file with a normalizer or
+    another pre-tokenizer, is given to the library whole.  One encoder is made in a worker.
     """
     import json
+    import os
 
-    import regex
+    import numpy as np
     from tokenizers import Tokenizer
 
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks share the cores
     tokenizer = Tokenizer.from_file(path)
     about = json.loads(tokenizer.to_str())
     before = about["pre_tokenizer"] or {}
     cuts = (before.get("type") == "ByteLevel" and before.get("use_regex") is True
             and not before.get("add_prefix_space") and about["normalizer"] is None
             and about["post_processor"] is None and not about["truncation"] and not about["padding"])
-    added = [t["content"] for t in about["added_tokens"]]
-    model, words_of = tokenizer.model, regex.compile(BYTE_LEVEL).findall
-    letters = dict(enumerate(byte_letters()))
-
-    def coded(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def whole(text: str) -> bytes:
-        return coded(tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def word(text: str) -> bytes:
-        spelt = text.encode("utf-8").decode("latin-1").translate(letters)
-        return coded([t.id for t in model.tokenize(spelt)])
-
-    def after_space(text: str) -> bytes:
-        if text.isalpha() and not _PLAIN.search(text):
-            return word(" " + text)
-        return piece(" " + text)
-
-    def part(text: str) -> bytes:
-        return spaced[text[1:]] if text[0] == " " and text[1:].isalpha() else words[text]
-
-    def piece(text: str) -> bytes:
-        return whole(text) if _PLAIN.search(text) else b"".join(map(part, words_of(text)))
-
-    # ``spaced`` is keyed without the space that comes before, and holds most of a text
-    spaced, words, pieces = _Memory(after_space, room), _Memory(word, room // 10), _Memory(piece, room // 10)
-    end = coded([end_id])
-
-    def run(text: str | None) -> bytes:
-        if not text:
-            return end
-        if not cuts or any(c in text for c in _OTHER_SPACE) or any(t in text for t in added):
-            return whole(text) + end
-        if "  " in text or "\n " in text or text[0] == " " or text[-1] == " ":
-            return b"".join(map(pieces.__getitem__, _PIECES.findall(text))) + end
-        # every space follows a non-space, so the text may be cut before each
-        first, *rest = text.split(" ")
-        return pieces[first] + b"".join(map(spaced.__getitem__, rest)) + end
+    added = [t["content"].encode() for t in about["added_tokens"]]
+    table = pretokens.class_table(library_classes(path)) if cuts else None
+    end = struct.pack("<I", end_id)
+    known: dict[bytes, bytes] = {}
+    old: dict[bytes, bytes] = {}
+
+    def whole(bodies: list[bytes]) -> list[bytes]:
+        coded = tokenizer.encode_batch([b.decode("utf-8") for b in bodies], add_special_tokens=False)
+        return [np.array(c.ids, "<u4").tobytes() for c in coded]
+
+    def slices(pieces: list[bytes]) -> list[bytes]:
+        """The ids of distinct pre-tokens; those of the last ``room`` or more are remembered."""
+        nonlocal known, old
+        out = [known.get(p) or old.get(p) for p in pieces]
+        new = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(new, whole([pieces[i] for i in new]), strict=True):
+            out[i] = ids
+        if len(known) > room:
+            old, known = known, {}
+        known.update((p, ids) for p, ids in zip(pieces, out, strict=True) if len(p) <= 64)
+        return out
+
+    def run(bodies: list[bytes]) -> list[bytes]:
+        apart = [not cuts or any(t in b for t in added) for b in bodies]
+        coded = code_texts([b"" if a else b for a, b in zip(apart, bodies, strict=True)], table, slices) \
+            if cuts else [b""] * len(bodies)
+        for i in (i for i, a in enumerate(apart) if a):
+            coded[i] = whole([bodies[i]])[0]
+        return [ids + end for ids in coded]
 
     return run
 
 
-def remembered(key: str, make: Callable) -> Callable:
-    """``make()``, once in a Python worker: Spark gives a worker many tasks, one after the
-    other, and an encoder's memory is worth keeping between them."""
-    state = sys.modules.setdefault("_tickwise_worker_state", types.ModuleType("_tickwise_worker_state"))
-    if not hasattr(state, key):
-        setattr(state, key, make())
-    return getattr(state, key)
-
-
 # ---------------------------------------------------------------- the store
 
 BLOCK_SCHEMA = ("shard int, block int, doc_ids array<bigint>, counts array<bigint>, n_ids bigint, "
@@ -279,15 +240,16 @@ BLOCK_SCHEMA = ("shard int, block int, doc_ids array<bigint>, counts array<bigin
 
 
 def blocks(docs: DataFrame, encoder: Callable[[], Callable], shards: int | None = None) -> DataFrame:
-    """The store's rows for ``docs`` (doc_id, text).  ``encoder()`` makes, once in a task, a
-    function from a text to its ids as little-endian u32 bytes."""
+    """The store's rows for ``docs`` (doc_id, text).  ``encoder()`` gives, in a task, a function
+    from texts to their ids as little-endian u32 bytes."""
     spark = docs.sparkSession
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"),
                         F.monotonically_increasing_id().alias("_row"))
     # the row number spreads rows that share an id and a text
     dealt = keyed.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "_h", "_row") \
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_h").select("doc_id", "text")
+        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_h").select(
+            "doc_id", F.make_valid_utf8("text").cast("binary").alias("body"))
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -295,7 +257,7 @@ def blocks(docs: DataFrame, encoder: Callable[[], Callable], shards: int | None
         from pyspark import TaskContext
 
         shard, block = TaskContext.get().partitionId(), 0
-        encode_text, ids, counts, data = encoder(), [], [], []
+        encode_texts, ids, counts, data = encoder(), [], [], []
         held = 0
 
         def closed():
@@ -306,9 +268,9 @@ def blocks(docs: DataFrame, encoder: Callable[[], Callable], shards: int | None
                  pa.array([sum(counts)], pa.int64()), pa.array([payload], pa.binary())],
                 ["shard", "block", "doc_ids", "counts", "n_ids", "payload"])
 
-        for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                new = encode_text(text.as_py())
+        for batch in in_slices(batches):
+            coded = encode_texts(valid_bodies(batch.column("body")))
+            for doc, new in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
                 if ids and (held + len(new) // 4 > BLOCK_IDS or len(ids) == BLOCK_DOCS):
                     yield closed()
                     block, held = block + 1, 0
