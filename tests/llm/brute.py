@@ -200,3 +200,57 @@ def op9_links(docs, least=0.8):
             if 5 * n >= 4 * (len(s) + len(sets[j]) - n) if least == 0.8 else n >= least * (len(s) + len(sets[j]) - n):
                 out.add((j, i))
     return sets, out
+
+
+def op12(docs, least=10, top=2000):
+    """docs: (doc_id, text, lang)."""
+    f = defaultdict(Counter)
+    n = Counter()
+    for _, text, lang in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", lowered(text)):
+            w = re.findall("[^ \t]+", piece)
+            n[lang] += len(w)
+            for k in (1, 2, 3):
+                f[lang].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, counts in f.items():
+        chosen = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        held = set()
+        for p, a in chosen.items():
+            if len(p) == 3:
+                held |= {q for q in (p[:2], p[1:]) if q in chosen and 100 * a >= 50 * chosen[q]}
+        found = []
+        for p, a in chosen.items():
+            if p not in held:
+                score, _, left, right = min(
+                    (1000000 * a * a // (counts[p[:k]] * counts[p[k:]]), k, counts[p[:k]], counts[p[k:]])
+                    for k in range(1, len(p)))
+                found.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return out
+
+
+def op13(turns):
+    own = defaultdict(list)
+    for c, t, role, text in turns:
+        if c is not None:
+            own[c].append((t is not None, t or 0, (role or "").encode(), (text or "").encode()))
+    own = {c: [t[2:] for t in sorted(v)] for c, v in own.items()}
+    anew = {}
+    for c, v in own.items():
+        h, base = zlib.crc32(str(c).encode()) % 9, c - abs(c) % 5 * (1 if c >= 0 else -1)
+        anew[c] = (*own.get(base, [])[:h], *v[h:])
+    nodes = defaultdict(list)
+    for c, v in anew.items():
+        for d in range(len(v) + 1):
+            nodes[v[:d]].append(c)
+    children = Counter(k[:-1] for k in nodes if k)
+    leaves, saved = Counter(), Counter()
+    for k, m in nodes.items():
+        for d in range(len(k) + 1):
+            saved[k[:d]] += (len(m) - 1) * len(k[-1][1]) if k else 0
+            leaves[k[:d]] += not children[k]
+    return [(min(m), len(k), min(nodes[k[:-1]]) if k else None, len(m), children[k], leaves[k], saved[k],
+             sha(",".join(map(str, sorted(c for c in m if len(anew[c]) == len(k)))))) for k, m in nodes.items()]

@@ -16,7 +16,8 @@ inside a text is broken by a backslash after its first character, and backslashe
 doubled, so ``unescape`` gives the text back.  The loss mask is a span of the rendered
 message: an assistant's text.
 
-Defined cases.  Null texts and roles are empty.  A null conv_id is a conversation of its
+Defined cases.  Null texts and roles are empty, and ill-formed parts of them
+U+FFFD.  A null conv_id is a conversation of its
 own; a null seq or msg comes first.  Events with equal seq are ordered by kind, msg, role
 and text, and repeated rows count as often as they occur.  An empty log gives no rows.
 Extra columns are not read.
@@ -55,8 +56,8 @@ def fold(log: DataFrame) -> DataFrame:
     conv = Window.partitionBy("conv_id")
     forward = conv.orderBy(F.col("seq").asc_nulls_first(), *tie)
     numbered = log.select("conv_id", "seq", "kind", F.coalesce("msg", F.lit(-1)).cast("bigint").alias("msg"),
-                          F.coalesce("role", F.lit("")).alias("role"),
-                          F.coalesce("text", F.lit("")).alias("text"))
+                          F.make_valid_utf8(F.coalesce("role", F.lit(""))).alias("role"),
+                          F.make_valid_utf8(F.coalesce("text", F.lit(""))).alias("text"))
     numbered = numbered.withColumn("n", F.row_number().over(forward))
     later = conv.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, -1)
     back_to = F.min(F.when(F.col("kind") == "regenerate", F.col("msg"))).over(later)

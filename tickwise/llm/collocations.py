@@ -23,7 +23,7 @@ what the texts hold, in proportion to them; what follows the merge holds frequen
 Scores are exact: products are decimals of 38 digits, enough for counts up to 10^15.
 
 Defined cases.  A null or blank text has no words.  A null language is ``und`` and meets the
-rows that say ``und``.  Texts are read as bytes, so ill-formed UTF-8 is kept as it is.
+rows that say ``und``.  Each ill-formed part of a text is U+FFFD, a sign like any other.
 Repeated rows count each time.  Equal scores and counts are ordered by the phrase's bytes.  An
 empty table gives no rows.  A text is cut at separators into stretches of some ``STRETCH``
 bytes (longer where none comes), whatever its length.  Other columns are not looked at.
@@ -219,7 +219,7 @@ def packed_stripes(docs: DataFrame, parts: int) -> DataFrame:
             yield from coded(lang, bodies)
 
     lang = F.make_valid_utf8(F.coalesce("lang", F.lit("und")))
-    return docs.select(lang.alias("lang"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body")) \
+    return docs.select(lang.alias("lang"), F.coalesce(F.make_valid_utf8("text").cast("binary"), F.lit(b"")).alias("body")) \
         .filter(F.length("body") > 0).mapInArrow(run, PACKED)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,18 @@ class Memory(dict):
         return value
 
 
+def bodies_of(column) -> Iterator[bytes | None]:
+    """The bytes of an Arrow column of texts, as they are: they need not be valid UTF-8."""
+    import pyarrow as pa
+
+    return (body.as_py() for body in column.cast(pa.binary()))
+
+
+def texts_of(column) -> Iterator[str | None]:
+    """The texts of an Arrow column; each ill-formed part of one is U+FFFD."""
+    return (None if body is None else body.decode("utf-8", "replace") for body in bodies_of(column))
+
+
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text, in order; none for null or blank text."""
     body = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE))

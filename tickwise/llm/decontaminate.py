@@ -13,7 +13,7 @@ after the other in the same stage, with no shuffle.
 Defined cases.  Null, empty and wordless texts have no words and are clean.  An item without
 words has no window.  An item with a null id marks words and is not counted among the items.
 Repeated documents are judged one by one; repeated items count once.  An empty benchmark
-leaves every document clean.  Columns of ``docs`` with the names of results are replaced.
+leaves every document clean.  Each ill-formed part of a text counts as U+FFFD.  Columns of ``docs`` with the names of results are replaced.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwise.llm.common import texts_of
+
 WINDOW = 13
 #: A document is contaminated if at least one in so many of its words is hit.
 ONE_IN = 20
@@ -145,7 +147,7 @@ def _pass(df: DataFrame, block, text: str, columns: list[str], last: bool) -> Da
         kinds = {n: to_arrow_type(schema[n].dataType) for n in (_RESULT if last else _STATE)}
         for batch in batches:
             new: dict[str, list] = {n: [] for n in kinds}
-            old = zip(batch.column(text).to_pylist(), batch.column("_spans").to_pylist(),
+            old = zip(texts_of(batch.column(text)), batch.column("_spans").to_pylist(),
                       batch.column("_items").to_pylist(), strict=True)
             for body, spans, items in old:
                 found = normalised(body)

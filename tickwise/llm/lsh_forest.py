@@ -14,7 +14,7 @@ their connections.  Texts with equal sets are one class member throughout.
 
 Defined cases.  Null, empty and blank texts have no shingles and are similar to nothing, not
 even to each other.  Repeated rows are copies.  A null doc_id takes part; class ids are the
-least non-null doc_id of a class.  An empty table gives an empty result.
+least non-null doc_id of a class.  Words are bytes, so ill-formed UTF-8 needs no rule.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import staged
+from tickwise.llm.common import bodies_of, staged
 from tickwise.llm.components import components
 from tickwise.llm.recurrence import keyed, split_words
 from tickwise.llm.spans import SliceHash, word_tokens
@@ -120,7 +120,7 @@ def signatures(docs: DataFrame, trees: int = TREES, length: int | None = None) -
 
         hasher = SliceHash()
         for batch in batches:
-            for first, bodies in _chunks(t.as_py() for t in batch.column("text")):
+            for first, bodies in _chunks(bodies_of(batch.column("text"))):
                 sets = shingle_sets(bodies, hasher)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 marks = np.frombuffer(b"".join(
@@ -284,7 +284,7 @@ def verified(docs: DataFrame, sets: DataFrame, hoods: DataFrame, block: int = BL
         key, group = None, []
         for batch in batches:
             for hood, i, j, node, side, text in zip(*(batch.column(c).to_pylist() for c in (
-                    "hood", "i", "j", "node", "side", "text")), strict=True):
+                    "hood", "i", "j", "node", "side")), bodies_of(batch.column("text")), strict=True):
                 if (hood, i, j) != key:
                     yield from out(group)
                     key, group = (hood, i, j), []

@@ -13,7 +13,7 @@ An automaton's alphabet is its shard's vocabulary, one character per word, so a
 
 Defined cases.  Null, empty and blank texts have no words.  Texts of fewer than ``SIZE``
 words lose nothing.  A null doc_id comes after all others.  Rows with equal doc_id never
-remove from each other.  An empty table gives an empty result.  Other columns are not read.
+remove from each other.  Words are bytes, so ill-formed UTF-8 needs no rule.  An empty table gives an empty result.  Other columns are not read.
 """
 
 from __future__ import annotations

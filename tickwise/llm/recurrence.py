@@ -10,7 +10,9 @@
 4. ``intervals``: what was found for a content holds for all its spans.
 
 Texts are known by (doc_id, hash of the text): rows that share both are the same text, and
-so share their result.
+so share their result.  A null text has no tokens, nor has an empty one; a text is its bytes,
+valid UTF-8 or not; a null doc_id comes after all others; an empty table has no spans and so
+no cuts.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import staged
+from tickwise.llm.common import bodies_of, staged
 from tickwise.llm.spans import byte_tokens, span_batches, word_tokens
 
 #: Bytes of spans that are compared in one group.
@@ -34,13 +36,13 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
 
 
-def split_words(text: str | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8."""
-    return (text or "").encode("utf-8", "surrogatepass").split()
+def split_words(body: bytes | None) -> list[bytes]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a text's bytes."""
+    return (body or b"").split()
 
 
-def split_bytes(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass")
+def split_bytes(body: bytes | None) -> bytes:
+    return body or b""
 
 
 KINDS = {"bytes": (split_bytes, byte_tokens), "words": (split_words, word_tokens)}
@@ -54,7 +56,7 @@ def spans_of(docs: DataFrame, kind: str, size: int, gram: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            bodies = (split(t.as_py()) for t in batch.column("text"))
+            bodies = map(split, bodies_of(batch.column("text")))
             for index, s in span_batches(bodies, tokens, len, size, gram):
                 if not len(index):
                     continue
@@ -106,8 +108,8 @@ def rivals(docs: DataFrame, found: DataFrame, kind: str, size: int) -> tuple[Dat
 
         names = ["a", "c", "least", "starts", "wide", "body"]
         for batch in batches:
-            for text, want in zip(batch.column("text"), batch.column("want"), strict=True):
-                body = split(text.as_py())
+            for text, want in zip(bodies_of(batch.column("text")), batch.column("want"), strict=True):
+                body = split(text)
                 rows = []
                 for w in want.as_py():
                     part = body[w["first"]:w["first"] + w["starts"] + size - 1]
@@ -220,7 +222,7 @@ def apply_cuts(docs: DataFrame, cuts: DataFrame, kind: str, schema: str, summari
 
         for batch in batches:
             rows = []
-            for text, parts in zip(batch.column("text"), batch.column("cuts"), strict=True):
+            for text, parts in zip(bodies_of(batch.column("text")), batch.column("cuts"), strict=True):
                 merged: list[list[int]] = []
                 if parts.is_valid:
                     flat = parts.values
@@ -231,7 +233,7 @@ def apply_cuts(docs: DataFrame, cuts: DataFrame, kind: str, schema: str, summari
                             merged[-1][1] = max(merged[-1][1], e)
                         else:
                             merged.append([s, e])
-                rows.append(summarise(split(text.as_py()), merged))
+                rows.append(summarise(split(text), merged))
             frame = pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=names), preserve_index=False)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *frame.columns], ["doc_id", *names])
 

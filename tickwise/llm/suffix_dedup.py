@@ -13,7 +13,7 @@ from the samples alone; positions with ``SIZE`` or more are marked.
 
 Defined cases.  Null and empty texts have no bytes.  Texts shorter than ``SIZE`` lose
 nothing.  Equal rows are copies of each other: all of them lose what they share, and none is
-spared.  Lone surrogates are encoded as they are.  An empty table gives an empty result.
+spared.  A text is its bytes, valid UTF-8 or not.  An empty table gives an empty result.
 Other columns are not read.
 """
 

@@ -19,7 +19,7 @@ scores were learnt, turns the evidence into a score between 0 and 1.
 Defined cases.  Null, empty and wordless texts have no evidence and get the curve's lowest
 score.  Null labels and labels of unknown documents teach nothing; a document with several
 labels counts as toxic if one says so.  Without a labelled text of each class every score
-is 0.  Repeated rows score alike.  Other columns are never read.
+is 0.  Repeated rows score alike, and each ill-formed part of a text is U+FFFD.  Other columns are never read.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwise.llm.common import staged
+from tickwise.llm.common import staged, texts_of
 
 SAMPLE_PER_CLASS = 8_000
 VOCABULARY = 50_000
@@ -130,7 +130,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_
              for c in (0, 1)]
     chosen = parts[0].unionByName(parts[1]).withColumnRenamed("doc_id", "l_id")
     # at most 2 * per_class rows of an id and a flag
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
+    texts = docs.select("doc_id", F.make_valid_utf8("text").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
     fit = F.pmod(F.xxhash64(F.lit(6), "doc_id"), F.lit(4)) > 0
     return staged(texts.select("text", "toxic", fit.alias("fit")), "toxicity-sample")
 
@@ -237,8 +237,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         m = Model(**shared.value)
         for batch in batches:
             scores, spans = [], []
-            for text in batch.column("text"):
-                n, segments = m.segments(text.as_py())
+            for text in texts_of(batch.column("text")):
+                n, segments = m.segments(text)
                 scores.append(m.probability(m.evidence(n, segments)))
                 spans.append(m.passages(n, segments))
             yield pa.RecordBatch.from_arrays(
