@@ -82,3 +82,22 @@ def test_latest_observations_is_top_k_per_series(spark):
     counts = {r.series_id: r["count"] for r in out.groupBy("series_id").count().collect()}
     assert counts == {"A": 100, "B": 3}
     assert out.where("series_id = 'A'").agg({"indicator_date": "min"}).collect()[0][0] == 50
+
+
+def test_a_repeated_date_among_ten_thousand(spark):
+    """First position and last value of each date, in time that follows the payload's length."""
+    import datetime as dt
+    import json
+    import time
+
+    days = [str(dt.date(1990, 1, 1) + dt.timedelta(days=i)) for i in range(10_000)]
+    parts = [f'{json.dumps(d)}: {{"4. close": "{i}"}}' for i, d in enumerate(days)]
+    parts += [f'"{days[5]}": {{"4. close": "again"}}', f'"{days[5]}": {{"4. close": "last"}}',
+              f'"{days[0]}": "no object"']
+    body = '{"Time Series (Daily)": {' + ", ".join(parts) + "}}"
+    df = spark.createDataFrame([("p", "A", body)], "payload_id string, ticker string, payload string")
+    started = time.time()
+    got = {r.trade_date: (r._input_order, r.close_price) for r in P.parse_stock_payloads(df).collect()}
+    assert time.time() - started < 60
+    want = {d: (i, str(i)) for i, d in enumerate(days)} | {days[5]: (5, "last"), days[0]: (0, None)}
+    assert got == want

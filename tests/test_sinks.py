@@ -204,3 +204,10 @@ def test_mart_files_prune_a_ticker(spark, scratch):
     files = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("ticker"), F.max("ticker")).collect()
     hit = [f for f in files if f[1] <= "T20" <= f[2]]
     assert len(files) > 2 and len(hit) <= 2
+
+
+def test_clear_run_removes_a_runs_staged_tables(spark):
+    kept = sinks.stage(spark, spark.range(3), "t", "run-kept")
+    sinks.stage(spark, spark.range(3), "t", "run-done")
+    assert sinks.clear_run(spark, "run-done") and not sinks.clear_run(spark, "run-done")
+    assert kept.count() == 3

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.functions.rounding import round_half_up
+from tickwise.operators.joins import with_series_id
 from tickwise.sources.tables import read_table
 
 # Market segment → indicator display name (one per macro series).
@@ -251,14 +252,9 @@ def latest_macro_points(spark: SparkSession, sf_dir: str) -> DataFrame:
                           ["indicator_name", "indicator_date"], MACRO_ORDER)
 
 
-def series_dimension(spark: SparkSession) -> DataFrame:
-    """The five-row series id → display name dimension."""
-    return spark.createDataFrame(list(SERIES_NAMES.items()), "series_id string, indicator_name string")
-
-
 def _macro_bodies(spark: SparkSession, points: DataFrame, by: list[Column]) -> DataFrame:
     """One JSON per (series, year, ``by``), newest first, at most 366 points; ``"."`` marks missing."""
-    named = points.join(F.broadcast(series_dimension(spark)), "indicator_name")
+    named = with_series_id(points, SERIES_NAMES)
     value_text = F.coalesce(_decimal_text(F.col("value"), 2), F.lit("."))
     grouped = named.groupBy("series_id", "indicator_name", F.year("indicator_date").alias("year"), *by).agg(
         F.sort_array(F.collect_list(F.struct(

@@ -92,29 +92,36 @@ def _observation_schema() -> T.StructType:
     return T.StructType([T.StructField("date", T.StringType()), T.StructField("value", T.StringType())])
 
 
-def _days(series: Column) -> Column:
+def _repeated(series: Column) -> Column:
+    """The entries of a series with a repeated date, by date and position; null for others."""
+    entries = F.transform(F.map_entries(series), lambda e, i: F.struct(
+        e["key"].alias("key"), i.alias("pos"), e["value"].alias("value")))
+    keys = F.map_keys(series)
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.sort_array(entries))
+
+
+def _days(series: Column, repeated: Column) -> Column:
     """Days of a series map as (pos, key, fields); each day's JSON is parsed exactly once.
 
-    A repeated date keeps its first position and its last value (JSON object
-    semantics of the producer).  Parsing inside the array keeps every field a
-    plain struct read of the generator output, so no later filter can be
-    pushed below the explode and re-run the parser per reference.
+    A repeated date keeps its first position and its last value (JSON object semantics of the
+    producer): in ``repeated`` its entries stand together, so the first and the last of each
+    date are two filtered arrays of one length.  Parsing inside the array keeps every field a
+    plain struct read of the generator output, so no later filter can be pushed below the
+    explode and re-run the parser per reference.
     """
     schema = _day_schema()
-    entries = F.map_entries(series)
-    keys = F.map_keys(series)
 
     def day(key: Column, pos: Column, value: Column) -> Column:
-        return F.struct(pos.alias("pos"), key.alias("key"),
-                        F.from_json(value, schema).alias("fields"))
+        return F.struct(pos.alias("pos"), key.alias("key"), F.from_json(value, schema).alias("fields"))
+
+    def other(place: Column, entry: Column) -> Column:
+        return ~F.coalesce(F.get(repeated, place)["key"] == entry["key"], F.lit(False))
 
-    plain = F.transform(entries, lambda e, i: day(e["key"], i, e["value"]))
-    merged = F.filter(
-        F.transform(entries, lambda e, i: day(
-            e["key"], i,
-            F.element_at(F.filter(entries, lambda x: x["key"] == e["key"]), -1)["value"])),
-        lambda d: F.array_position(keys, d["key"]) == d["pos"] + 1)
-    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), merged).otherwise(plain)
+    plain = F.transform(F.map_entries(series), lambda e, i: day(e["key"], i, e["value"]))
+    firsts = F.filter(repeated, lambda e, i: other(i - 1, e))
+    lasts = F.filter(repeated, lambda e, i: other(i + 1, e))
+    merged = F.zip_with(firsts, lasts, lambda f, l: day(f["key"], f["pos"], l["value"]))
+    return F.when(repeated.isNotNull(), merged).otherwise(plain)
 
 
 def parse_stock_payloads(payloads: DataFrame, id_cols=("payload_id", "ticker")) -> DataFrame:
@@ -123,7 +130,9 @@ def parse_stock_payloads(payloads: DataFrame, id_cols=("payload_id", "ticker"))
     A day whose value is not an object gives a row of null fields.
     """
     usable = _stock_opened(payloads, id_cols).where("error_code IS NULL")
-    days = usable.select(*id_cols, F.explode(_days(F.col("body"))).alias("d"))
+    # sorted once per payload, behind a barrier like the parsed columns
+    usable = usable.select(*id_cols, "body", F.explode(F.array(_repeated(F.col("body")))).alias("repeated"))
+    days = usable.select(*id_cols, F.explode(_days(F.col("body"), F.col("repeated"))).alias("d"))
     return days.select(
         *id_cols,
         F.col("d.pos").cast("bigint").alias("_input_order"),

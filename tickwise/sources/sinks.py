@@ -81,6 +81,14 @@ def stage(spark: SparkSession, df: DataFrame, name: str, run_key: str | None = N
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_run(spark: SparkSession, run_key: str) -> bool:
+    """Delete what ``stage`` wrote under a run's key, once nothing reads it any more; whether
+    there was something."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    where = fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/tickwise/{run_key}")
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def write_mart(df: DataFrame, path: str, order: Sequence[str]) -> None:
     """A mart in a new folder, range-partitioned and sorted by ``order``: files hold
     ranges of the first column, so their statistics prune a selection, and a long range is cut
