@@ -97,3 +97,27 @@ def test_path_length_meets_recall():
     assert 1 - (1 - 0.8 ** n) ** lsh_forest.TREES >= lsh_forest.TARGET_RECALL
     assert 1 - (1 - 0.8 ** (n + 1)) ** lsh_forest.TREES < lsh_forest.TARGET_RECALL
     assert lsh_forest.path_length(0.01) == 1
+
+
+LOW = ["x" * 20_000, "=-" * 9000, "abcdefg " * 900, "ab" * 300 + passage(41, 40) + "ab" * 300, "x" * 700 + "y" + "x" * 700,
+       "w " * 3000, "one two " * 400 + passage(42, 60), "one two " * 100]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_low_entropy(spark, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(spans, "PIECE", 700)
+    monkeypatch.setattr(recurrence, "HOT", 5)      # so that some contents are hot
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(LOW)] + awkward_rows()[9:15]
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)]
+    same(got(suffix_dedup.dedup(documents(spark, rows)), *OP5), brute.op5(pairs(rows)))
+    same(got(phrase_dedup.dedup(documents(spark, rows)), *OP10), brute.op10(pairs(rows)))
+
+
+@pytest.mark.parametrize(("text", "most"), [("x" * 1_000_000, 100), ("=-" * 500_000, 200), ("abcdefghij" * 100_000, 600)])
+def test_rows_follow_the_period(spark, text, most):
+    """A long text of a short period is a few rows, and what they say is every window once."""
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    rows = recurrence.spans_of(df, "bytes", suffix_dedup.SIZE, suffix_dedup.GRAM).collect()
+    assert len(rows) <= most
+    assert sum(r.starts * r.repeat for r in rows) == len(text) - suffix_dedup.SIZE + 1

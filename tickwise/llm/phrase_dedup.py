@@ -106,7 +106,7 @@ def removals(docs: DataFrame) -> DataFrame:
                                          F.col("starts").alias("hi"), "least")
     marks = whole.unionByName(recurrence.compare(narrow, shared_windows)).unionByName(
         recurrence.by_digest(wide, "words", SIZE))
-    return recurrence.intervals(spans, marks, SIZE, True)
+    return recurrence.intervals(spans, marks, found, SIZE, True)
 
 
 def _summary(body: list[bytes], cuts: list[list[int]]) -> tuple:

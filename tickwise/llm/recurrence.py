@@ -49,7 +49,7 @@ KINDS = {"bytes": (split_bytes, byte_tokens), "words": (split_words, word_tokens
 
 
 def spans_of(docs: DataFrame, kind: str, size: int, gram: int) -> DataFrame:
-    """doc_id, h, a (anchor), c (content), first and starts of all spans, staged."""
+    """doc_id, h, a (anchor), c (content), first, starts, repeat and step of all spans, staged."""
     split, tokens = KINDS[kind]
 
     def run(batches: Iterator) -> Iterator:
@@ -63,11 +63,12 @@ def spans_of(docs: DataFrame, kind: str, size: int, gram: int) -> DataFrame:
                 at = pa.array(index)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(at), batch.column("h").take(at), pa.array(s.anchor),
-                     pa.array(s.content), pa.array(s.first, pa.int64()), pa.array(s.starts, pa.int64())],
-                    ["doc_id", "h", "a", "c", "first", "starts"])
+                     pa.array(s.content), *[pa.array(x, pa.int64()) for x in (s.first, s.starts, s.repeat, s.step)]],
+                    ["doc_id", "h", "a", "c", "first", "starts", "repeat", "step"])
 
     return staged(keyed(docs).mapInArrow(
-        run, "doc_id bigint, h bigint, a bigint, c bigint, first bigint, starts bigint"), f"spans-{kind}")
+        run, "doc_id bigint, h bigint, a bigint, c bigint, first bigint, starts bigint, repeat bigint, step bigint"),
+        f"spans-{kind}")
 
 
 def contents(spans: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def contents(spans: DataFrame) -> DataFrame:
     """
     order = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     each = spans.groupBy("a", "c").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("repeat").alias("n"),
         F.min(F.struct(order.alias("d"), "doc_id", "h", "first", "starts")).alias("one"))
     several = each.groupBy(F.col("a").alias("a2")).agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     found = each.join(several, F.col("a") == F.col("a2"), "left").withColumn("mixed", F.col("a2").isNotNull())
@@ -126,6 +127,8 @@ def rivals(docs: DataFrame, found: DataFrame, kind: str, size: int) -> tuple[Dat
     return rows.filter("NOT wide"), rows.filter("wide")
 
 
+#: A content with more than one in ``HOT`` of all spans is dealt over ``SALTS`` salts.
+HOT, SALTS = 1000, 64
 MARKS = "a bigint, c bigint, lo bigint, hi bigint, least bigint"
 
 
@@ -191,19 +194,42 @@ def by_digest(rows: DataFrame, kind: str, size: int) -> DataFrame:
         "a", "c", "lo", (F.col("lo") + 1).alias("hi"), F.col("g").alias("least"))
 
 
-def intervals(spans: DataFrame, marks: DataFrame, size: int, earlier_only: bool) -> DataFrame:
+def salted(spans: DataFrame, marks: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with ``salt``: 0, but for contents that hold more than one in ``HOT`` of all spans.
+    Their spans are dealt over ``SALTS`` salts, and their marks repeated for each.
+
+    There are at most ``HOT`` such contents, so their list may be broadcast.
+    """
+    most = found.filter(F.col("n") * HOT > spans.agg(F.sum("repeat")).scalar()).select(
+        F.col("a").alias("x_a"), F.col("c").alias("x_c"))
+
+    def hot(df: DataFrame, a: str, c: str) -> DataFrame:
+        return df.join(F.broadcast(most), (F.col(a) == F.col("x_a")) & (F.col(c) == F.col("x_c")), "left")
+
+    dealt = hot(spans, "a", "c").withColumn("salt", F.when(
+        F.col("x_a").isNotNull(), F.pmod(F.xxhash64("doc_id", "h", "first"), F.lit(SALTS))).otherwise(0))
+    every = F.when(F.col("x_a").isNotNull(), F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))) \
+        .otherwise(F.array(F.lit(0).cast("bigint")))
+    copied = hot(marks, "m_a", "m_c").withColumn("m_salt", F.explode(every))
+    return dealt.drop("x_a", "x_c"), copied.drop("x_a", "x_c")
+
+
+def intervals(spans: DataFrame, marks: DataFrame, found: DataFrame, size: int, earlier_only: bool) -> DataFrame:
     """doc_id, h and cuts: the token intervals that marked windows cover, in order.
 
     With ``earlier_only`` a window is cut only from documents after the least that has it.
+    Spans that repeat at a step of at most ``size`` cover one interval together.
     """
     by_content = marks.groupBy(F.col("a").alias("m_a"), F.col("c").alias("m_c")).agg(
         F.collect_set(F.struct("lo", "hi", "least")).alias("marks"))
-    hit = spans.join(by_content, (F.col("a") == F.col("m_a")) & (F.col("c") == F.col("m_c")))
+    dealt, copied = salted(spans, by_content, found)
+    hit = dealt.join(copied, (F.col("a") == F.col("m_a")) & (F.col("c") == F.col("m_c"))
+                     & (F.col("salt") == F.col("m_salt")))
     own = F.filter("marks", lambda m: F.coalesce("doc_id", F.lit((1 << 63) - 1)) > m["least"]) \
         if earlier_only else F.col("marks")
     cuts = hit.select("doc_id", "h", F.transform(own, lambda m: F.struct(
         (F.col("first") + m["lo"]).alias("lo"),
-        (F.col("first") + m["hi"] + size - 1).alias("hi"))).alias("part")).filter(F.size("part") > 0)
+        (F.col("first") + (F.col("repeat") - 1) * F.col("step") + m["hi"] + size - 1).alias("hi"))).alias("part")).filter(F.size("part") > 0)
     return cuts.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("part")).alias("cuts"))
 
 

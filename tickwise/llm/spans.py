@@ -6,6 +6,14 @@ anchor at the same place, so whatever repeats can be found among the spans of on
 A span is a run of consecutive window starts with one anchor: about half a window long, and
 each window of a text belongs to exactly one span.
 
+Where a text repeats itself every few tokens, so do its spans: in a run of one letter each
+window has its own anchor, and all spans are alike.  Spans of one text with the same anchor and
+content that follow each other at one step of at most a window are kept as one row, with their
+number and step (``folded``), so such a stretch gives as many rows as its period is long.
+
+Defined cases.  Texts of fewer than ``size`` tokens have no spans, so neither have empty ones.
+Any bytes are tokens.  Equal texts have equal spans.
+
 Tokens are slices of one byte buffer, given by the offsets where they begin and end.
 """
 
@@ -69,13 +77,39 @@ def sliding_min(v, width: int):
 @dataclass
 class Spans:
     """Spans of a buffer: the text each is in, its first window start and the number of
-    starts (in tokens of the text), and the hashes of its anchor and of its content."""
+    starts (in tokens of the text), the hashes of its anchor and of its content, and how
+    often it comes again at which step."""
 
     text: object
     first: object
     starts: object
     anchor: object
     content: object
+    repeat: object = None
+    step: object = None
+
+
+def folded(spans: Spans, size: int) -> Spans:
+    """``spans`` with rows that follow each other at one step put together."""
+    import numpy as np
+
+    n = len(spans.text)
+    if not n:
+        spans.repeat = spans.step = np.zeros(0, np.int64)
+        return spans
+    order = np.lexsort((spans.first, spans.starts, spans.content, spans.anchor, spans.text))
+    text, anchor, content, starts, first = (
+        x[order] for x in (spans.text, spans.anchor, spans.content, spans.starts, spans.first))
+    gap = np.diff(first)
+    alike = ((text[1:] == text[:-1]) & (anchor[1:] == anchor[:-1]) & (content[1:] == content[:-1])
+             & (starts[1:] == starts[:-1]) & (gap <= size))
+    # a row goes on with the run before it if its step is the run's, or the run is one row long
+    goes_on = alike.copy()
+    goes_on[1:] &= (gap[1:] == gap[:-1]) | ~alike[:-1]
+    new = np.flatnonzero(np.append(True, ~goes_on))
+    repeat = np.diff(np.append(new, n))
+    step = np.where(repeat > 1, gap[np.minimum(new, n - 2)] if n > 1 else 0, 0)
+    return Spans(text[new], first[new], starts[new], anchor[new], content[new], repeat, step)
 
 
 def cut(buffer: bytes, begins, ends, first_token, size: int, gram: int, hasher: SliceHash) -> Spans:
@@ -153,7 +187,7 @@ def span_batches(bodies, tokens, weigh, size: int, gram: int):
     hasher, held, where, room = SliceHash(), [], [], 0
 
     def close():
-        spans = cut(*tokens(held), size, gram, hasher)
+        spans = folded(cut(*tokens(held), size, gram, hasher), size)
         index = np.array([i for i, _ in where], np.int64)[spans.text]
         offset = np.array([o for _, o in where], np.int64)[spans.text]
         spans.first = spans.first + offset

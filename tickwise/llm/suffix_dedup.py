@@ -140,7 +140,7 @@ def removals(docs: DataFrame) -> DataFrame:
                                          F.col("starts").alias("hi"), "least")
     marks = whole.unionByName(recurrence.compare(narrow, repeated_starts)).unionByName(
         recurrence.by_digest(wide, "bytes", SIZE))
-    return recurrence.intervals(spans, marks.withColumn("least", F.lit(0).cast("bigint")), SIZE, False)
+    return recurrence.intervals(spans, marks.withColumn("least", F.lit(0).cast("bigint")), found, SIZE, False)
 
 
 def _summary(body: bytes, cuts: list[list[int]]) -> tuple:
