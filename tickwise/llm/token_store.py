@@ -176,16 +176,24 @@ def library_classes(path: str) -> tuple[tuple[int, int, int], ...]:
     return tuple(pretokens.class_ranges(members))
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level file: itself where it prints, the
+    next free one above U+00FF elsewhere."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return {b: chr(b) if b in own else chr(next(others)) for b in range(256)}
+
+
 @cache
 def byte_level_encoder(path: str, end_id: int = 0, room: int = MEMORY) -> Callable:
     """Texts (UTF-8) to their ids (little-endian u32 bytes) with a tokenizer file of the tokenizers
     library, ``end_id`` appended to each.
 
-    The library encodes every pre-token of a byte-level file on its own, so each distinct one is
-    given to it once, and the ids of all texts are gathered from what it returned.  Where the
-    pre-tokens lie is found by ``pretokens``, with the library's own classes of code points.  A
-    text that holds the string of an added token, and every text of a file with a normalizer or
-    another pre-tokenizer, is given to the library whole.  One encoder is made in a worker.
+    The library's model encodes every pre-token of a byte-level file on its own, so each distinct
+    one is given to it once, and the ids of all texts are gathered from what it returned.  Where
+    the pre-tokens lie is found by ``pretokens``, with the library's own classes of code points.
+    A text that holds the string of an added token, and every text of a file with a normalizer
+    or another pre-tokenizer, is given to the library whole.  One encoder is made in a worker.
     """
     import json
     import os
@@ -202,7 +210,7 @@ def byte_level_encoder(path: str, end_id: int = 0, room: int = MEMORY) -> Callab
             and about["post_processor"] is None and not about["truncation"] and not about["padding"])
     added = [t["content"].encode() for t in about["added_tokens"]]
     table = pretokens.class_table(library_classes(path)) if cuts else None
-    end = struct.pack("<I", end_id)
+    end, model, letters = struct.pack("<I", end_id), tokenizer.model, byte_letters()
     known: dict[bytes, bytes] = {}
     old: dict[bytes, bytes] = {}
 
@@ -214,9 +222,9 @@ def byte_level_encoder(path: str, end_id: int = 0, room: int = MEMORY) -> Callab
         """The ids of distinct pre-tokens; those of the last ``room`` or more are remembered."""
         nonlocal known, old
         out = [known.get(p) or old.get(p) for p in pieces]
-        new = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(new, whole([pieces[i] for i in new]), strict=True):
-            out[i] = ids
+        for i in (i for i, ids in enumerate(out) if ids is None):
+            ids = [t.id for t in model.tokenize(pieces[i].decode("latin-1").translate(letters))]
+            out[i] = struct.pack(f"<{len(ids)}I", *ids)
         if len(known) > room:
             old, known = known, {}
         known.update((p, ids) for p, ids in zip(pieces, out, strict=True) if len(p) <= 64)
