@@ -12,7 +12,7 @@ import corpus_pipeline
 from tests.conftest import SMOKE_SF
 from tests.llm import brute
 from tests.llm.data import SCHEMA, awkward_rows, documents, got, pairs, passage, same
-from tickwise.llm import decontaminate, mixing, queries, token_store, toxicity
+from tickwise.llm import decontaminate, mixing, quality_rules, queries, token_store, toxicity
 
 # ---------------------------------------------------------------- mixing
 
@@ -197,6 +197,32 @@ def test_pipeline(spark):
     assert got(corpus_pipeline.run(spark, SMOKE_SF), "doc_id", "n_tokens") == got(out, "doc_id", "n_tokens")
 
 
+def test_pipeline_awkward(spark):
+    """Each stage over all awkward rows, with repeats, null ids, extra and clashing columns."""
+    rows = awkward_rows() + awkward_rows()[8:13] + [(None, None, None, None, None)] * 2
+    docs = documents(spark, rows)
+    (_, quality), (_, near), (_, bench), (_, mixture), (_, tokens) = corpus_pipeline.STAGES
+
+    def ids(df):
+        assert df.columns == docs.columns
+        return sorted((r["doc_id"] for r in df.collect()), key=str)
+
+    judged = quality_rules.judge(docs).filter("kept").select("doc_id").collect()
+    assert ids(quality(spark, docs, SMOKE_SF)) == sorted((r[0] for r in judged), key=str)
+    one = ids(near(spark, docs, SMOKE_SF))
+    blank = [d for d, t in pairs(rows) if not (t or "").split()]
+    heads = {c for d, c, _, _ in brute.op9([(d, t) for d, t in pairs(rows) if d is not None and (t or "").split()])}
+    assert set(one) - {None} == heads | {d for d in blank if d is not None}
+    items = brute.rows(SMOKE_SF, "benchmark", "item_id", "text")
+    clean = [r[0] for r in brute.op1(pairs(rows), items) if not r[5]]
+    assert ids(bench(spark, docs, SMOKE_SF)) == sorted(clean, key=str)
+    mixed = ids(mixture(spark, docs, SMOKE_SF))
+    taken = [r["doc_id"] for r in mixing.copies(docs).collect() for _ in range(r["copies"])]
+    assert mixed == sorted(taken, key=str)
+    same(got(tokens(spark, docs, SMOKE_SF), "doc_id", "n_tokens"),
+         [(r[0], r[2]) for r in brute.op8(pairs(rows), queries.tokenizer_path())])
+
+
 def test_pipeline_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:

@@ -86,6 +86,37 @@ URLS = [None, "", "no scheme", "http://", "http://a.net", "http://a.net/", "http
         "http://www.casino-win.com/a", "http://casinos.com/", "http://x.com/casino/a/b.casino.c/", "http://poker.x", "http://ads.x.fr/é?ü"]
 
 
+def _many_rules():
+    """Some thousand generated rules of every form, exceptions among them."""
+    words = [a + b for a in ("ad", "pix", "tra", "spo", "win") for b in ("ser", "el", "ck", "nso", "go", "x1")]
+    tops = ("com", "net", "org", "de", "io")
+    forms = ("||{w}.{t}^", "||{w}*.{t}/", "||*.{w}.{t}/{w}/", "|www.{w}.{t}", "/{w}/*.{t}", "||*^{w}-{t}^", "{w}{t}")
+    for i, (w, t, f) in enumerate((w, t, f) for w in words for t in tops for f in forms):
+        for rank in range(3):
+            yield url_filter.UrlRule(f"r{i}-{rank}", f.format(w=w, t=t), ("block", "allow")[(i + rank) % 2], rank)
+
+
+def test_thousands_of_rules_equal_running_each(spark):
+    rules = [*_many_rules()]
+    assert len(rules) > 3000
+    r = random.Random(9)
+    words = sorted({w for rule in rules for w in url_filter.whole_tokens(rule.pattern)}) + ["www", "x", "a-b"]
+    urls = [f"https://{'.'.join(r.choices(words, k=r.randint(1, 4)))}/{'/'.join(r.choices(words, k=r.randint(0, 3)))}"
+            for _ in range(300)]
+    urls += [f"http://{w}.{t}/" for w in words[:20] for t in ("com", "net")]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    found = {x.page_id: (x.rule, x.verdict) for x in url_filter.judge_urls(df, rules).collect()}
+    searched = [(rule, url_filter.rule_regex(rule.pattern)) for rule in rules]
+    hits = 0
+    for i, url in enumerate(urls):
+        target = url.partition("://")[2]
+        fits = [rule for rule, regex in searched if regex.search(target)]
+        best = max(fits, key=lambda x: (x.rank, len(x.name), x.name), default=None)
+        hits += best is not None
+        assert found[i] == ((best.name, best.verdict) if best else (None, "allow"))
+    assert hits > 50
+
+
 def test_urls_awkward(spark):
     rows = [*enumerate(URLS), (3, "http://"), (None, "http://a.net/")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string").withColumn("host", F.lit(1)).withColumn(
