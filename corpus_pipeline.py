@@ -1,7 +1,8 @@
 """The corpus pipeline: from raw documents to token ids on disk.
 
 Each stage is one of the operators of ``tickwise.llm``; it gets what its predecessor kept
-and its decisions take effect.
+and its decisions take effect.  All but the last return every column of their documents, extra
+ones too, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -17,27 +18,34 @@ from tickwise.llm.queries import encoder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality rules keep."""
+    """Documents the quality rules keep.  Null, empty and short texts go; rows are judged one by
+    one, so repeated rows share their fate; a null doc_id is no reason to go."""
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates: that of the least doc_id (null last; of
+    several texts with it the least hash; of repeated rows one).  Texts without words stay."""
     return lsh_forest.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages."""
+    """Documents without benchmark passages.  Texts without words have none, nor has any
+    document where the benchmark is empty; repeated rows share their fate."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the source mix takes them."""
+    """Documents as often as the source mix takes them, 0 to 3 times.  A null source is a source,
+    the last one; a null text has no words and is not taken; repeated rows are one document and
+    are taken alike."""
     return mixing.mix(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' token ids, written and read back."""
+    """The documents' token ids, written and read back: doc_id, start, n_tokens and ids_crc32.
+    A null text has the end id alone; a null doc_id comes first; rows with one doc_id are
+    ordered by a hash of their text."""
     path = f"{shared_dir(spark)}/tickwise-llm/corpus-{uuid.uuid4().hex}"
     token_store.write_store(docs, path, encoder)
     return token_store.read_store(spark, path).select(
