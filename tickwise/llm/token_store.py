@@ -185,7 +185,7 @@ def byte_letters() -> dict[int, str]:
 
 
 @cache
-def byte_level_encoder(path: str, end_id: int = 0, room: int = MEMORY) -> Callable:
+def byte_level_encoder(path: str, end_id: int = 0, room: int = 2 * MEMORY) -> Callable:
     """Texts (UTF-8) to their ids (little-endian u32 bytes) with a tokenizer file of the tokenizers
     library, ``end_id`` appended to each.
 
