@@ -15,7 +15,8 @@ from tickwise.plans import incremental as I
 from tickwise.plans import marts
 from tickwise.plans.registry import QUERIES, _dq_models, _new_name
 from tickwise.sources import fixtures, sinks
-from tickwise.sources.tables import PIPELINE_LOG_SCHEMA
+from tickwise.sources.tables import PIPELINE_LOG_SCHEMA, RAW_STOCK_SCHEMA
+from tickwise.sources.warehouse import ConcurrentCommit, Warehouse
 
 from .conftest import SMOKE_SF
 from .test_segments import STAGED, T0
@@ -159,3 +160,25 @@ def test_audit_table_by_name(spark):
 
 def test_new_queries_are_registered():
     assert {"refreshed_mart_risk", "interleaved_stock_log", "selected_extremes"} <= set(QUERIES)
+
+
+def test_a_taken_version_is_refused_before_anything_is_written(spark, scratch):
+    wh = Warehouse(f"{scratch}/early")
+    none = spark.createDataFrame([], PIPELINE_LOG_SCHEMA)
+    rows = spark.createDataFrame([], RAW_STOCK_SCHEMA)
+    read = wh.state(spark)
+    wh.commit(spark, read, "A", "raw_stock_prices", rows, none)
+    held = {k: sorted(sinks.folder_names(spark, wh.path(*k.split("/")))) for k in ("data/raw_stock_prices", "log")}
+    with pytest.raises(ConcurrentCommit):
+        wh.commit(spark, read, "B", "raw_stock_prices", rows, none)
+    assert held == {k: sorted(sinks.folder_names(spark, wh.path(*k.split("/")))) for k in held}
+
+
+def test_bars_move_to_their_payload_as_numbers(spark):
+    """The second exchange of the payloads' bars holds no text of theirs and no arrays."""
+    df = fixtures.stock_payloads(spark, SMOKE_SF)
+    initial = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    lines = initial.splitlines()
+    assert sum("Exchange hashpartitioning" in line for line in lines) == 2
+    assert not any("ObjectHashAggregate" in line for line in lines[max(
+        i for i, line in enumerate(lines) if "REPARTITION_BY_COL" in line):])
