@@ -5,6 +5,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickwise.operators import segments as S
@@ -107,3 +108,35 @@ def test_one_ticker_is_spread_over_tasks(spark, monkeypatch):
     windows = [line for line in plan.splitlines() if "Window [" in line]
     whole = [line for line in windows if "_cut#" not in line.rsplit("], [", 2)[-2]]
     assert windows and all("_of_" in line or "_year#" in line for line in whole)
+
+
+def test_running_moves_rows_once_and_joins_nothing(spark):
+    """The years' sums stand in front of their rows; a join on the null-safe key moved all rows again."""
+    stg = _history(spark, days=60)
+    plan = S.running(stg, "ticker", "trade_date", top=("max", "close_price"))._jdf.queryExecution().executedPlan()
+    assert "Join" not in plan.toString()
+
+
+def test_means_from_sums_equal_whole_frames(spark):
+    """Nulls do not count, a frame without values has no mean; also where a block begins."""
+    r = random.Random(5)
+    rows = [(k, i, None if i in (0, 1) or r.random() < 0.2 else r.uniform(-9, 9), Decimal(i)) for k in "AB" for i in range(130)]
+    df = spark.createDataFrame(rows, "k string, i int, v double, n decimal(38,0)")
+    w = Window.partitionBy("k").orderBy("i")
+    got = W.with_means(df, w, 10, {"m20": ("v", 20), "m50": ("v", 50), "n20": ("n", 20)})
+    want = df.select("k", "i", *[F.avg(F.col(c).cast("double")).over(W.trailing(w, n)) for c, n in (("v", 20), ("v", 50), ("n", 20))])
+    for a, b in zip(sorted(got.drop("v", "n").collect()), sorted(want.collect()), strict=True):
+        assert a[:2] == b[:2] and all(x is y is None or x == pytest.approx(y, rel=1e-12, abs=1e-12) for x, y in zip(a[2:], b[2:]))
+    with pytest.raises(ValueError, match="multiple"):
+        W.with_means(df, w, 10, {"m": ("v", 25)})
+
+
+def test_correlation_equals_whole_frames(spark):
+    """Also a change that stays the same (no correlation) and missing changes."""
+    r = random.Random(7)
+    rows = [(k, i, r.uniform(-5, 5), {"A": r.uniform(-1, 1), "B": 0.1}[k] if i % 9 else None) for k in "AB" for i in range(90)]
+    df = spark.createDataFrame(rows, "k string, i int, x double, y double")
+    w = Window.partitionBy("k").orderBy("i")
+    got = W.with_rolling_correlation(df, "x", "y", w, "c").select("k", "i", "c")
+    assert sorted(got.collect(), key=str) == sorted(df.select("k", "i", W.rolling_correlation("x", "y", w)).collect(), key=str)
+    assert got.where("k = 'B' AND c IS NOT NULL").count() == 0

@@ -3,10 +3,10 @@
 ``PARTITION BY key ORDER BY day`` gives a key to one task, however long its history.  Here a
 key's rows are cut twice, and no window sees more than one cut:
 
-* ``running`` cuts by calendar year.  Places and running values (max, min, first) are taken
-  inside a year; the last row of each year is that year's summary, and a scan of the summaries
-  (one row for each key and year) gives what the years before hand on.  A row's value is its
-  own year's combined with what was handed on.
+* ``running`` cuts by calendar year.  A year is summed up by one pre-aggregated row, and a scan of
+  these (one row for each key and year) gives what the years before hand on.  That row stands in
+  front of its year's rows, so one window over them continues the places and running values
+  (max, min, first): rows move once and meet no join.
 * ``overlapping`` cuts by place into blocks of ``BLOCK`` rows and copies the last ``halo`` rows
   of a block into the next one.  A trailing frame of up to ``halo`` + 1 rows then lies within a
   block; the copies are dropped again after the frames are taken.
@@ -32,6 +32,13 @@ _MERGE = {"max": F.greatest, "min": F.least}
 _SCAN = {"max": F.max, "min": F.min, "first": F.first}
 
 
+def _sum_up(how: str, column: str, day: str) -> Column:
+    """What a cut hands on of a value; days of a cut are all null or none is."""
+    if how != "first":
+        return _SCAN[how](column)
+    return F.min_by(column, F.coalesce(F.col(day).cast("date"), F.lit("1970-01-01").cast("date")))
+
+
 def running(df: DataFrame, key: str, day: str, **values: tuple[str, str]) -> DataFrame:
     """``df`` with ``_place`` (from 0, by ``day`` within ``key``) and running values.
 
@@ -40,27 +47,34 @@ def running(df: DataFrame, key: str, day: str, **values: tuple[str, str]) -> Dat
     the key's first row, null or not.
     """
     cut = df.withColumn(CUT, F.coalesce(F.year(day), F.lit(NO_YEAR)))
-    inside = Window.partitionBy(key, CUT).orderBy(day)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = cut.select("*", F.row_number().over(inside).alias("_n"),
-                       F.lead(F.lit(True)).over(inside).isNull().alias("_ends"),
-                       *[_SCAN[how](column).over(upto).alias(f"_in_{name}") for name, (how, column) in values.items()])
-    # the last row of a cut sums it up: the shuffle by (key, cut) serves both uses
-    years = local.filter("_ends").select(F.col(key).alias("_key"), F.col(CUT).alias("_year"), "_n",
-                                         *[F.col(f"_in_{name}").alias(f"_of_{name}") for name in values])
+    years = cut.groupBy(F.col(key).alias("_key"), F.col(CUT).alias("_year")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[_sum_up(how, column, day).alias(f"_of_{name}") for name, (how, column) in values.items()])
     before = Window.partitionBy("_key").orderBy("_year").rowsBetween(Window.unboundedPreceding, -1)
-    handed = years.select("_key", "_year", F.sum("_n").over(before).alias("_before"), *[
+    handed = years.select(F.col("_key").alias(key), F.col("_year").alias(CUT), F.sum("_n").over(before).alias("_before"), *[
         _SCAN[how](f"_of_{name}").over(before).alias(f"_old_{name}") for name, (how, _) in values.items()])
-    joined = local.join(handed, F.col(key).eqNullSafe(F.col("_key")) & (F.col(CUT) == F.col("_year")))
+    handed = handed.where(F.col("_before").isNotNull()).select(
+        key, CUT, F.struct("_before", *[f"_old_{name}" for name in values]).alias("_handed"))
+    # a key's first year gets nothing, so no null day meets the handed row, whose day is null
+    both = cut.unionByName(handed, allowMissingColumns=True)
+    inside = Window.partitionBy(key, CUT).orderBy(day)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # plain columns only, so that none is copied into the shuffle
+    scanned = both.select(
+        *df.columns, "_handed", F.first("_handed").over(upto).alias("_old"), F.row_number().over(inside).alias("_n"),
+        *[_SCAN[how](column).over(upto).alias(f"_in_{name}") for name, (how, column) in values.items()])
+    old = F.col("_old")
 
     def whole(name: str, how: str) -> Column:
-        own, old = F.col(f"_in_{name}"), F.col(f"_old_{name}")
+        own, handed_on = F.col(f"_in_{name}"), old[f"_old_{name}"]
         if how == "first":
-            return F.when(F.col("_before").isNull(), own).otherwise(old)
-        return _MERGE[how](old, own)
+            return F.when(old.isNull(), own).otherwise(handed_on)
+        return _MERGE[how](handed_on, own)
 
-    return joined.select(*df.columns, (F.coalesce("_before", F.lit(0)) + F.col("_n") - 1).alias(PLACE),
-                         *[whole(name, how).alias(name) for name, (how, _) in values.items()])
+    # a handed row counts for as many places as there are before its year
+    place = F.col("_n") - 1 + F.when(old.isNull(), 0).otherwise(old["_before"] - 1)
+    return scanned.where(F.col("_handed").isNull()).select(
+        *df.columns, place.alias(PLACE), *[whole(name, how).alias(name) for name, (how, _) in values.items()])
 
 
 def overlapping(df: DataFrame, halo: int, rows: int | None = None) -> DataFrame:

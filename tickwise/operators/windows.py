@@ -11,8 +11,9 @@ partition is bounded by the length of the calendar, not by the data volume.
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickwise.functions.rounding import round_half_up
@@ -23,6 +24,8 @@ TRADING_DAYS = 252                # annualisation factor for the Sharpe ratio
 VAR_95_Z = 1.645                  # one-sided 95 % normal quantile
 SHORT_WINDOW = 20
 LONG_WINDOW = 50
+# Rows whose sums the averages over both are added up from.
+MEAN_STEP = 10
 
 
 def by_ticker(partition: tuple[str, ...] = ("ticker",), order: str = "trade_date") -> WindowSpec:
@@ -57,6 +60,35 @@ def moving_average(col: str, spec: WindowSpec, rows: int, scale: int = 4) -> Col
     return round_half_up(F.avg(F.col(col).cast("double")).over(trailing(spec, rows)), scale)
 
 
+def with_means(df: DataFrame, spec: WindowSpec, step: int, means: Mapping[str, tuple[str, int]]) -> DataFrame:
+    """``df`` with averages (null values do not count) over trailing rows: name to (column, rows).
+
+    A trailing frame is folded anew for every row.  So only frames of ``step`` rows are, and the
+    sums of longer ones (``rows`` is a multiple of ``step``) are added up from theirs.
+    """
+    columns = list(dict.fromkeys(c for c, _ in means.values()))
+    own = {c: (f"_sum_{i}", f"_count_{i}") for i, c in enumerate(columns)}
+    frame, types = trailing(spec, step), dict(df.dtypes)
+    # a plain column is not copied into the shuffle
+    value = {c: F.col(c) if types[c] == "double" else F.col(c).cast("double") for c in columns}
+    parts = df.select("*", *[F.sum(v).over(frame).alias(own[c][0]) for c, v in value.items()],
+                      *[F.count(c).over(frame).alias(own[c][1]) for c in columns])
+
+    def whole(part: str, rows: int, zero: Column) -> Column:
+        total = F.coalesce(part, zero)
+        for back in range(step, rows, step):
+            total = total + F.coalesce(F.lag(part, back).over(spec), zero)
+        return total
+
+    def mean(column: str, rows: int) -> Column:
+        if rows % step:
+            raise ValueError(f"{rows} rows are no multiple of {step}")
+        total, n = own[column]
+        return whole(total, rows, F.lit(0.0)) / nonzero(whole(n, rows, F.lit(0)))
+
+    return parts.select(*df.columns, *[mean(c, rows).alias(name) for name, (c, rows) in means.items()])
+
+
 def rolling_stddev(col: str, spec: WindowSpec, rows: int, scale: int = 4) -> Column:
     """Sample standard deviation over the trailing rows; null for fewer than 2 values."""
     return round_half_up(F.stddev_samp(col).over(trailing(spec, rows)), scale)
@@ -92,6 +124,18 @@ def running_min(col: str, spec: WindowSpec) -> Column:
 
 # -- W15..W18: rolling correlation --------------------------------------------
 
+def with_rolling_correlation(df: DataFrame, x: str, y: str, spec: WindowSpec, name: str,
+                             rows: int = SHORT_WINDOW, step: int = 5) -> DataFrame:
+    """``rolling_correlation`` as a column of ``df``, its averages from shorter sums."""
+    frame = trailing(spec, rows)
+    # the first window moves the rows, so products need not move
+    spread = df.withColumn("_spread", F.stddev_samp(x).over(frame) * F.stddev_samp(y).over(frame))
+    means = with_means(spread.withColumn("_xy", F.col(x) * F.col(y)), spec, step, {
+        "_mean_x": (x, rows), "_mean_y": (y, rows), "_mean_xy": ("_xy", rows)})
+    value = (F.col("_mean_xy") - F.col("_mean_x") * F.col("_mean_y")) / nonzero(F.col("_spread"))
+    return means.select(*df.columns, round_half_up(value, 4).alias(name))
+
+
 def rolling_correlation(x: str, y: str, spec: WindowSpec, rows: int = SHORT_WINDOW) -> Column:
     """(E[XY] - E[X]E[Y]) / NULLIF(s_x * s_y, 0) over the trailing rows, rounded to 4.
 

@@ -18,9 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwise.functions.rounding import round_half_up
 from tickwise.operators import segments as S
 from tickwise.operators import windows as W
-from tickwise.plans.marts import PORTFOLIO_COLUMNS, RISK_COLUMNS, _stamp
+from tickwise.plans.marts import PORTFOLIO_COLUMNS, PORTFOLIO_MEANS, RISK_COLUMNS, RISK_MEANS, _stamp
 
 RECENT = W.LONG_WINDOW - 1
 
@@ -93,11 +94,12 @@ def refresh_portfolio(old: DataFrame, stg: DataFrame, changes: DataFrame,
     placed = S.running(front.unionByName(new), "ticker", "trade_date", _first_close=("first", "_first"),
                        running_peak=("max", "_top"))
     w = S.by_block("ticker")
-    metrics = S.overlapping(placed, RECENT).withColumn("prev_close_price", W.prev_close(w)).withColumn(
-        "daily_return_pct", W.pct_change(F.col("close_price"), F.col("prev_close_price"))).select(
+    returns = S.overlapping(placed, RECENT).withColumn("prev_close_price", W.prev_close(w)).withColumn(
+        "daily_return_pct", W.pct_change(F.col("close_price"), F.col("prev_close_price")))
+    metrics = W.with_means(returns, w, W.MEAN_STEP, PORTFOLIO_MEANS).select(
         "*",
-        W.moving_average("close_price", w, W.SHORT_WINDOW).alias("ma_20day"),
-        W.moving_average("close_price", w, W.LONG_WINDOW).alias("ma_50day"),
+        round_half_up("_mean_20", 4).alias("ma_20day"),
+        round_half_up("_mean_50", 4).alias("ma_50day"),
         W.rolling_stddev("daily_return_pct", w, W.SHORT_WINDOW).alias("rolling_volatility_20d"),
         W.pct_change(F.col("close_price"), F.col("_first_close")).alias("cumulative_return_pct"),
         W.drawdown(F.col("close_price"), F.col("running_peak")).alias("drawdown_pct"))
@@ -121,9 +123,9 @@ def refresh_risk(old: DataFrame, portfolio: DataFrame, changes: DataFrame,
         F.lit(False).alias("_front"))
     placed = S.running(front.unionByName(new), "ticker", "trade_date", max_drawdown_pct=("min", "_low"))
     w = S.by_block("ticker")
-    average, vol = F.avg("daily_return_pct").over(W.trailing(w, W.SHORT_WINDOW)), F.col("rolling_volatility_20d")
-    metrics = S.overlapping(placed, RECENT).select(
+    average, vol = F.col("_mean_return"), F.col("rolling_volatility_20d")
+    metrics = W.with_means(S.overlapping(placed, RECENT), w, W.MEAN_STEP, RISK_MEANS).select(
         "*", W.sharpe_ratio(average, vol).alias("sharpe_ratio_20d"), W.value_at_risk(average, vol).alias("var_95_pct"),
-        W.moving_average("volume", w, W.SHORT_WINDOW, scale=0).alias("avg_volume_20d"))
+        round_half_up("_mean_volume", 0).alias("avg_volume_20d"))
     rebuilt = S.own_rows(metrics.where(~F.col("_front")), *RISK_COLUMNS[:-1], _stamp(updated_at))
     return _kept(old, changes).select(*RISK_COLUMNS).unionByName(rebuilt)

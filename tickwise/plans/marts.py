@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.functions.rounding import round_half_up
 from tickwise.operators import segments as S
 from tickwise.operators import windows as W
 from tickwise.operators.joins import stock_macro_join
@@ -26,6 +27,9 @@ CORRELATION_COLUMNS = (
     "ticker", "trade_date", "indicator_name", "indicator_value", "indicator_change_pct",
     "daily_return_pct", "rolling_correlation_20d", "updated_at",
 )
+# The averages over trailing rows: column and rows of each.
+PORTFOLIO_MEANS = {"_mean_20": ("close_price", W.SHORT_WINDOW), "_mean_50": ("close_price", W.LONG_WINDOW)}
+RISK_MEANS = {"_mean_return": ("daily_return_pct", W.SHORT_WINDOW), "_mean_volume": ("volume", W.SHORT_WINDOW)}
 
 
 def _stamp(updated_at: Column | None) -> Column:
@@ -44,10 +48,10 @@ def mart_portfolio(stg: DataFrame, updated_at: Column | None = None) -> DataFram
     returns = S.overlapping(placed, W.LONG_WINDOW - 1) \
         .withColumn("prev_close_price", W.prev_close(w)) \
         .withColumn("daily_return_pct", W.pct_change(F.col("close_price"), F.col("prev_close_price")))
-    metrics = returns.select(
+    metrics = W.with_means(returns, w, W.MEAN_STEP, PORTFOLIO_MEANS).select(
         "*",
-        W.moving_average("close_price", w, W.SHORT_WINDOW).alias("ma_20day"),
-        W.moving_average("close_price", w, W.LONG_WINDOW).alias("ma_50day"),
+        round_half_up("_mean_20", 4).alias("ma_20day"),
+        round_half_up("_mean_50", 4).alias("ma_50day"),
         W.rolling_stddev("daily_return_pct", w, W.SHORT_WINDOW).alias("rolling_volatility_20d"),
         W.pct_change(F.col("close_price"), F.col("_first_close")).alias("cumulative_return_pct"),
         W.drawdown(F.col("close_price"), F.col("running_peak")).alias("drawdown_pct"),
@@ -68,13 +72,12 @@ def mart_risk(portfolio: DataFrame, updated_at: Column | None = None) -> DataFra
     ).where(F.col("daily_return_pct").isNotNull())
     placed = S.running(base, "ticker", "trade_date", max_drawdown_pct=("min", "drawdown_pct"))
     w = S.by_block("ticker")
-    avg_ret = F.avg("daily_return_pct").over(W.trailing(w, W.SHORT_WINDOW))
-    vol = F.col("rolling_volatility_20d")
-    metrics = S.overlapping(placed, W.SHORT_WINDOW - 1).select(
+    avg_ret, vol = F.col("_mean_return"), F.col("rolling_volatility_20d")
+    metrics = W.with_means(S.overlapping(placed, W.SHORT_WINDOW - 1), w, W.MEAN_STEP, RISK_MEANS).select(
         "*",
         W.sharpe_ratio(avg_ret, vol).alias("sharpe_ratio_20d"),
         W.value_at_risk(avg_ret, vol).alias("var_95_pct"),
-        W.moving_average("volume", w, W.SHORT_WINDOW, scale=0).alias("avg_volume_20d"),
+        round_half_up("_mean_volume", 0).alias("avg_volume_20d"),
     )
     return S.own_rows(metrics, *RISK_COLUMNS[:-1], _stamp(updated_at))
 
@@ -98,10 +101,6 @@ def mart_macro_correlation(portfolio: DataFrame, stg_macro: DataFrame,
         F.col("value").alias("indicator_value"), "indicator_change_pct",
     )
     w = W.by_ticker(("ticker", "indicator_name"))
-    return joined.select(
-        "ticker", "trade_date", "indicator_name", "indicator_value", "indicator_change_pct",
-        "daily_return_pct",
-        W.rolling_correlation("daily_return_pct", "indicator_change_pct", w)
-        .alias("rolling_correlation_20d"),
-        _stamp(updated_at),
-    )
+    correlated = W.with_rolling_correlation(joined, "daily_return_pct", "indicator_change_pct", w,
+                                            "rolling_correlation_20d")
+    return correlated.select(*CORRELATION_COLUMNS[:-1], _stamp(updated_at))
